@@ -5,15 +5,13 @@ tested in a fixed order and the first match wins, so every dropped row has
 exactly one reason and ``raw = clean + sum(reasons)`` always holds.
 
 Duplicates ("keep the first copy in file order") are found without a window
-over the row key: a window would send every copy of a key to one task, and a
-group of copies may hold a large share of all rows. Instead
-
-1. ``groupBy(key).agg(min(row), count)`` — map-side partial aggregation
-   collapses a hot group to one row per task before the shuffle;
-2. keep keys seen more than once (usually few);
-3. left-join the rows to them on null-safe key equality. The join side is an
-   aggregate whose size AQE measures before choosing a broadcast; beyond the
-   threshold it stays a sort-merge join whose skewed partitions AQE splits.
+over the row key: a window sends every copy of a key to one task, and a
+group of copies may hold a large share of all rows. See ``repeated_keys``:
+a narrow fingerprint aggregate finds the few repeated keys, the exact
+first row is computed over those candidates only, and the result is
+joined back to the rows — broadcast when its measured size allows, so the
+rows themselves are never shuffled; otherwise a sort-merge join whose
+skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -31,6 +29,7 @@ from clickvault.functions.columns import (
     parse_price,
     to_id,
 )
+from clickvault.plans.materialize import broadcast_if_small, materialize
 from clickvault.schemas import DEFAULT_TIME_FORMAT, RAW_COLUMNS, REASONS, REPORT_REASON_ORDER
 
 ROW = "source_row_number"
@@ -41,18 +40,46 @@ _NORMALISED_KEYS = ("_t", "_et", "_p", "product_id", "category_id", "category_co
                     "brand", "user_id", "user_session")
 
 
+def _fingerprint(keys) -> tuple[Column, Column]:
+    """96-bit fingerprint of a key (xxhash64 + murmur3). Collisions only add
+    candidates; the exact comparison below removes them."""
+    cols = [F.col(k) for k in keys]
+    return F.xxhash64(*cols), F.hash(*cols)
+
+
+def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame:
+    """Exact keys seen more than once, with the first ``order_col`` of each.
+
+    1. group the narrow fingerprints (16 bytes a row instead of the whole
+       key; map-side combined, so a hot key ships one row per task);
+    2. keep fingerprints seen twice or more, write them, broadcast them if
+       their measured size allows (else a shuffle join);
+    3. group only the candidate rows by the exact key.
+    The result is written to the staging folder and read back.
+    """
+    h1, h2 = _fingerprint(keys)
+    hot = (df.select(h1.alias("_h1"), h2.alias("_h2"))
+           .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
+           .filter(F.col("_n") > 1).select("_h1", "_h2"))
+    hot, _ = broadcast_if_small(materialize(hot, "dup-fingerprints"))
+    candidates = (df.select(*keys, order_col, h1.alias("_h1"), h2.alias("_h2"))
+                  .join(hot, ["_h1", "_h2"], "left_semi"))
+    firsts = (candidates.groupBy(*keys)
+              .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
+              .filter(F.col("_copies") > 1).drop("_copies"))
+    return materialize(firsts, "dup-firsts")
+
+
 def mark_duplicates(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str = ROW,
                     flag: str = "_is_duplicate") -> DataFrame:
     """Add ``flag``: true for every row but the first (by ``order_col``) of its key.
 
-    Nulls compare equal, as in pandas ``duplicated``.
+    Nulls compare equal, as in pandas ``duplicated``. Runs two small jobs
+    eagerly (the fingerprint and the candidate aggregates); the returned
+    frame is lazy and, when the repeated keys fit a broadcast, has no
+    shuffle of the rows at all.
     """
-    firsts = (
-        df.groupBy(*keys)
-        .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
-        .filter(F.col("_copies") > 1)
-        .drop("_copies")
-    )
+    firsts, _ = broadcast_if_small(repeated_keys(df, keys, order_col))
     left, right = df.alias("_l"), firsts.alias("_r")
     cond = reduce(lambda a, b: a & b,
                   [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])

@@ -76,23 +76,25 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def serving_load(df: DataFrame, table: str, path: str | None = None,
+def serving_load(df: DataFrame, table: str, name: str | None = None, path: str | None = None,
                  jdbc: dict | None = None) -> None:
     """Full refresh of one serving table.
 
+    ``table`` names the serving schema, ``name`` the target (default: same).
     Catalog table (external when ``path`` is given) by default; with ``jdbc``
     options the same frame goes through Spark's JDBC writer with
     ``truncate=true`` (parallel batched inserts, one connection per task).
     """
     out = nan_to_null(to_serving(df, table))
+    name = name or table
     if jdbc:
-        (out.write.format("jdbc").options(**jdbc).option("dbtable", table)
+        (out.write.format("jdbc").options(**jdbc).option("dbtable", name)
          .option("truncate", "true").mode("overwrite").save())
         return
     writer = out.write.mode("overwrite").format("parquet")
     if path:
         writer = writer.option("path", path)
-    writer.saveAsTable(table)
+    writer.saveAsTable(name)
 
 
 def serving_row_counts(spark: SparkSession, tables: tuple[str, ...] = SERVING_TABLES) -> DataFrame:

@@ -1,0 +1,10 @@
+from clickvault.sinks.writers import (
+    ledger_overwrite,
+    sink_gold,
+    sink_perf_append,
+    sink_quality,
+    sink_silver,
+    write_table,
+)
+
+__all__ = ["ledger_overwrite", "sink_gold", "sink_perf_append", "sink_quality", "sink_silver", "write_table"]

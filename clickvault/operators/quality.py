@@ -29,7 +29,7 @@ from clickvault.functions.columns import (
     parse_price,
     to_id,
 )
-from clickvault.plans.materialize import broadcast_if_small, materialize
+from clickvault.plans.materialize import small_side
 from clickvault.schemas import DEFAULT_TIME_FORMAT, RAW_COLUMNS, REASONS, REPORT_REASON_ORDER
 
 ROW = "source_row_number"
@@ -47,39 +47,43 @@ def _fingerprint(keys) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.hash(*cols)
 
 
-def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame:
-    """Exact keys seen more than once, with the first ``order_col`` of each.
+def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame | None:
+    """Exact keys seen more than once, with the first ``order_col`` of each;
+    ``None`` when no key repeats.
 
     1. group the narrow fingerprints (16 bytes a row instead of the whole
        key; map-side combined, so a hot key ships one row per task);
-    2. keep fingerprints seen twice or more, write them, broadcast them if
-       their measured size allows (else a shuffle join);
+    2. keep fingerprints seen twice or more; written and measured in the
+       same job, broadcast if the measured size allows (else a shuffle join);
     3. group only the candidate rows by the exact key.
-    The result is written to the staging folder and read back.
     """
     h1, h2 = _fingerprint(keys)
     hot = (df.select(h1.alias("_h1"), h2.alias("_h2"))
            .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > 1).select("_h1", "_h2"))
-    hot, _ = broadcast_if_small(materialize(hot, "dup-fingerprints"))
+    hot, n_hot = small_side(hot, "dup-fingerprints")
+    if n_hot == 0:
+        return None
     candidates = (df.select(*keys, order_col, h1.alias("_h1"), h2.alias("_h2"))
                   .join(hot, ["_h1", "_h2"], "left_semi"))
-    firsts = (candidates.groupBy(*keys)
-              .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
-              .filter(F.col("_copies") > 1).drop("_copies"))
-    return materialize(firsts, "dup-firsts")
+    return (candidates.groupBy(*keys)
+            .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
+            .filter(F.col("_copies") > 1).drop("_copies"))
 
 
 def mark_duplicates(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str = ROW,
                     flag: str = "_is_duplicate") -> DataFrame:
     """Add ``flag``: true for every row but the first (by ``order_col``) of its key.
 
-    Nulls compare equal, as in pandas ``duplicated``. Runs two small jobs
-    eagerly (the fingerprint and the candidate aggregates); the returned
-    frame is lazy and, when the repeated keys fit a broadcast, has no
-    shuffle of the rows at all.
+    Nulls compare equal, as in pandas ``duplicated``. Runs one or two small
+    jobs eagerly (fingerprints; candidates only when some fingerprint
+    repeats); the returned frame is lazy and, when the repeated keys fit a
+    broadcast, has no shuffle of the rows at all.
     """
-    firsts, _ = broadcast_if_small(repeated_keys(df, keys, order_col))
+    firsts = repeated_keys(df, keys, order_col)
+    if firsts is None:
+        return df.select("*", F.lit(False).alias(flag))
+    firsts, _ = small_side(firsts, "dup-firsts")
     left, right = df.alias("_l"), firsts.alias("_r")
     cond = reduce(lambda a, b: a & b,
                   [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])

@@ -1,14 +1,20 @@
 """Written intermediate tables and size-checked broadcasts.
 
-A small side is written to the shared staging folder (``spark.checkpoint.dir``)
-and read back: that cuts lineage, survives executor loss, and gives the exact
-size to decide on a broadcast. Beyond the limit the caller's join stays a
-shuffle join (AQE splits skewed partitions).
+A join side that is usually small is cached and measured (rows and payload
+bytes) in one job; it is broadcast only when the measured size is within
+``spark.sql.autoBroadcastJoinThreshold``. Beyond that it is written to the
+shared staging folder (``spark.checkpoint.dir``), which cuts lineage, and
+the caller's join stays a shuffle join (AQE splits skewed partitions).
+Large intermediates that are reused go through ``materialize`` (written and
+read back) or a cache whose lineage starts at a written table.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from typing import NamedTuple
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from clickvault.session import fresh_path
@@ -18,12 +24,41 @@ _DEFAULT_LIMIT = 10 * 1024 * 1024
 _ROW_OVERHEAD = 32
 
 
+class Written(NamedTuple):
+    df: DataFrame
+    rows: int
+    bytes: int
+
+
+def _row_bytes(df: DataFrame):
+    parts = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + F.lit(8)
+             for f in df.schema.fields]
+    total = parts[0]
+    for p in parts[1:]:
+        total = total + p
+    return total + F.lit(_ROW_OVERHEAD)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the staging folder and read it back."""
+    return write_measured(df, name, measure=False).df
+
+
+def write_measured(df: DataFrame, name: str, measure: bool = True) -> Written:
+    """Write + read back; with ``measure`` the row count and payload bytes are
+    collected by the write job itself (no second job)."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    if measure:
+        obs = Observation(f"{name}-size")
+        df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")) \
+            .write.mode("overwrite").parquet(path)
+        got = obs.get
+        rows, size = int(got.get("rows") or 0), int(got.get("bytes") or 0)
+    else:
+        df.write.mode("overwrite").parquet(path)
+        rows = size = -1
+    return Written(spark.read.parquet(path), rows, size)
 
 
 def broadcast_limit(spark) -> int:
@@ -35,20 +70,32 @@ def broadcast_limit(spark) -> int:
     return value if value > 0 else 0
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Rows x (payload bytes + overhead) of an (already written) table."""
-    payload = [F.coalesce(F.octet_length(F.col(f.name).cast("string")), F.lit(0)) + F.lit(8)
-               for f in df.schema.fields]
-    row = payload[0]
-    for p in payload[1:]:
-        row = row + p
-    got = df.agg(F.count(F.lit(1)).alias("n"), F.sum(row).alias("b")).first()
-    return int(got["b"] or 0) + int(got["n"] or 0) * _ROW_OVERHEAD
+def broadcast_if_fits(w: Written, limit: int | None = None) -> DataFrame:
+    """Broadcast hint on a measured table when it fits ``limit``."""
+    limit = broadcast_limit(w.df.sparkSession) if limit is None else limit
+    return F.broadcast(w.df) if limit and 0 <= w.bytes <= limit else w.df
+
+
+def measure(df: DataFrame) -> tuple[int, int]:
+    """Row count and payload bytes of ``df`` (one job)."""
+    got = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()
+    return int(got["rows"] or 0), int(got["bytes"] or 0)
+
 
+def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[DataFrame, int]:
+    """Prepare a (usually) small join side: returns the frame to join and its rows.
 
-def broadcast_if_small(df: DataFrame, limit: int | None = None) -> tuple[DataFrame, bool]:
-    """Broadcast hint on ``df`` when its measured size is within ``limit``."""
+    The side is cached (memory, spilling to disk) and measured in one job.
+    When it fits the broadcast limit it is hinted for broadcast — the
+    broadcast reads the cache, and a lost executor only recomputes its
+    partitions from lineage. When it does not fit, it is written to the
+    staging folder instead (lineage cut) and joined with a shuffle join.
+    """
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    rows, size = measure(cached)
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
-    if limit and measured_bytes(df) <= limit:
-        return F.broadcast(df), True
-    return df, False
+    if limit and size <= limit:
+        return F.broadcast(cached), rows
+    written = materialize(cached, name)
+    cached.unpersist()
+    return written, rows

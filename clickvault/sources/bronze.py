@@ -1,8 +1,8 @@
 """Bronze event CSV reader.
 
-* column names come from the header (no type inference: every column is
-  text, the cleaning step parses); the nine required columns are checked
-  before any data job, extra columns are ignored;
+* column names come from the header, read on the driver (no inference
+  job; every column is text, the cleaning step parses); the nine required
+  columns are checked before any data job, extra columns are ignored;
 * the missing-value spellings pandas' CSV reader treats as NA become null
   (Spark's CSV reader only nulls empty fields);
 * ``source_row_number`` counts data rows in file order from 2 (row 1 is the
@@ -13,10 +13,13 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from clickvault.plans.materialize import broadcast_if_small, materialize
+from clickvault.plans.materialize import small_side
 from clickvault.schemas import RAW_COLUMNS
 
 # The strings pandas.read_csv reads as missing by default.
@@ -72,18 +75,65 @@ def with_source_row_number(scan: DataFrame, start: int = 2, name: str = "source_
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_block", "_lo",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    offsets, _ = broadcast_if_small(materialize(offsets, "split-offsets"))
+    offsets, _ = small_side(offsets, "split-offsets")
     number = (F.col("_before") + F.col("_local") - F.col("_lo") + F.lit(start)).cast("bigint")
     return (t.join(offsets, ["_file", "_block"])
             .select(number.alias(name), *scan.columns))
 
 
+def _data_files(spark: SparkSession, path: str) -> list:
+    """Visible data files under ``path`` (file, folder or glob), sorted by path."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(conf)
+    out = []
+    for st in fs.globStatus(root) or []:
+        if st.isDirectory():
+            it = fs.listFiles(st.getPath(), True)
+            while it.hasNext():
+                out.append(it.next().getPath())
+        else:
+            out.append(st.getPath())
+    visible = [q for q in out if not q.getName().startswith(("_", "."))]
+    return sorted(visible, key=lambda q: q.toString())
+
+
+def read_header(spark: SparkSession, path: str) -> list[str]:
+    """Column names from the first line of the first data file.
+
+    A driver-side read of one line through the Hadoop file system (any FS
+    URI, compressed files through their codec) — no Spark job.
+    """
+    files = _data_files(spark, path)
+    if not files:
+        raise FileNotFoundError(f"no data files under {path}")
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    first = files[0]
+    stream = first.getFileSystem(conf).open(first)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(first)
+    if codec is not None:
+        stream = codec.createInputStream(stream)
+    reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
+    try:
+        line = reader.readLine() or ""
+    finally:
+        reader.close()
+    return next(csv.reader([line.lstrip("\ufeff")]), [])
+
+
 def read_bronze_csv(spark: SparkSession, path: str, missing_tokens=PANDAS_NA_TOKENS,
                     row_numbers: bool = True) -> DataFrame:
-    """Read event CSV file(s) with a header into the nine raw text columns."""
-    scan = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    require_columns(scan.columns)
-    scan = scan.select(*RAW_COLUMNS)
+    """Read event CSV file(s) with a header into the nine raw text columns.
+
+    The header is read on the driver and checked before any data job; the
+    scan then gets an explicit all-text schema in header order.
+    """
+    header = read_header(spark, path)
+    require_columns(header)
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
+    scan = spark.read.schema(schema).option("header", True).csv(path).select(*RAW_COLUMNS)
     if row_numbers:
         scan = with_source_row_number(scan)
     return null_missing_tokens(scan, missing_tokens)

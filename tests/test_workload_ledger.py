@@ -82,8 +82,10 @@ def test_require_columns(spark):
 
 def _evidence(spark, docs):
     path = fresh_path(spark, "t-evidence")
-    spark.createDataFrame([(json.dumps(d),) for d in docs], "value string").write.text(path)
-    return LG.scan_run_evidence(spark, path)
+    for i, d in enumerate(docs):  # one document per file, pretty-printed
+        spark.createDataFrame([(json.dumps(d, indent=2),)], "value string").coalesce(1) \
+            .write.text(f"{path}/doc{i}.json")
+    return LG.scan_run_evidence(spark, f"{path}/*")
 
 
 def _doc(size, run, status="Succeeded", ms=2000, end="2026-01-01T00:00:00+00:00", acts=None):

@@ -4,8 +4,9 @@ Environment: ``BENCH_SF_DIR`` (default /root/testdata/sf0.1), ``BENCH_CPUS``
 (default 8), ``BENCH_REPEAT`` (timed runs per query, default 3).
 
 Setup (untimed): the click-stream fixture of the scale is written once as
-bronze CSV, and an audited Silver Parquet table is written once for the Gold
-queries. Each query then runs once to warm up and ``BENCH_REPEAT`` times
+bronze CSV, 500,000- and 1,000,000-row workloads are amplified from it
+(``BENCH_WORKLOADS``), and an audited Silver Parquet table is written once
+for the Gold queries. Each query then runs once to warm up and ``BENCH_REPEAT`` times
 timed; the median is reported. JVM start-up is excluded.
 
 ``value`` is the reference's timed unit of work — read the event CSV,
@@ -29,6 +30,7 @@ from clickvault.operators import category as CA  # noqa: E402
 from clickvault.operators import engagement as EN  # noqa: E402
 from clickvault.operators import funnel as FU  # noqa: E402
 from clickvault.operators import quality as Q  # noqa: E402
+from clickvault.operators.workload import build_workload  # noqa: E402
 from clickvault.plans.job import JobParams, gold_tables, run_job  # noqa: E402
 from clickvault.session import get_spark  # noqa: E402
 from clickvault.sources.bronze import read_bronze_csv, write_bronze_csv  # noqa: E402
@@ -47,7 +49,15 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     csv = f"{scratch}/bronze/events.csv"
-    write_bronze_csv(raw_events(spark, sf_dir), csv)
+    base = raw_events(spark, sf_dir)
+    write_bronze_csv(base, csv)
+    # the reference's larger timed sizes, built with the workload amplifier
+    sizes = [int(x) for x in os.environ.get("BENCH_WORKLOADS", "500000,1000000").split(",") if x]
+    n_base = base.count()
+    workloads = {}
+    for size in sizes:
+        workloads[size] = f"{scratch}/samples/ecommerce_{size}.csv"
+        write_bronze_csv(build_workload(base, size, n=n_base), workloads[size])
     silver_path = f"{scratch}/silver"
     Q.silver(Q.tag(read_bronze_csv(spark, csv))).write.mode("overwrite").parquet(silver_path)
     raw_rows = spark.read.option("header", True).csv(csv).count()
@@ -77,6 +87,9 @@ def main() -> None:
         "all_gold_shared": lambda: [df.collect() for df in gold_tables(silver()).values()],
         "full_job_csv_to_gold": full_job,
     }
+    for size, path in workloads.items():
+        queries[f"clean_groupby_{size}"] = (lambda p=path: CA.events_by_type(
+            Q.filter_chain(read_bronze_csv(spark, p, row_numbers=False))).collect())
     timings = {}
     for name, fn in queries.items():
         fn()  # warm-up
@@ -96,6 +109,7 @@ def main() -> None:
         "sf": os.path.basename(sf_dir).replace("sf", ""),
         "raw_rows": raw_rows,
         "rows_per_sec": round(raw_rows / value, 2) if value else None,
+        "workload_rows_per_sec": {str(k): round(k / timings[f"clean_groupby_{k}"], 2) for k in workloads},
         "cpus": cpus,
         "repeat": repeat,
         "note": "median of warm runs; JVM start-up and fixture setup excluded",

@@ -1,12 +1,13 @@
 """End-to-end batch job: bronze -> audited Silver -> Gold, written once each.
 
-Layout under ``base`` (any Hadoop FS URI):
-``silver/events``, ``silver/data_quality_report``,
+Layout under ``base`` (any Hadoop FS URI): ``bronze/events`` (raw text +
+row numbers, Parquet), ``silver/events``, ``silver/data_quality_report``,
 ``silver/data_quality_rejected_records``, ``gold/<table>``, ``gold/pipeline_performance``.
 
-Work sharing: Gold reads the written Silver Parquet (column-pruned), and
-the per-user, per-session and per-(session, category) tables are each
-computed once and written; the Gold tables are small aggregates of them.
+Work sharing: the CSV is parsed into Bronze Parquet once; cleaning passes
+read it column-pruned; Gold reads the written Silver, and the per-user,
+per-session and per-(session, category) tables are each computed once
+(cached) and feed several Gold tables.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ import json
 import time
 from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickvault.operators import abandonment as AB
@@ -24,8 +26,7 @@ from clickvault.operators import engagement as EN
 from clickvault.operators import funnel as FU
 from clickvault.operators import kpi as KP
 from clickvault.operators import quality as Q
-from clickvault.plans.materialize import materialize
-from clickvault.schemas import REASONS, REPORT_REASON_ORDER
+from clickvault.schemas import REASONS, REPORT_REASON_ORDER, SILVER
 from clickvault.session import ensure_session
 from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_silver, write_table
 from clickvault.sources.bronze import read_bronze_csv
@@ -48,7 +49,8 @@ class JobParams:
 
     def paths(self) -> dict[str, str]:
         b = self.base.rstrip("/")
-        return {"silver": f"{b}/silver/events", "report": f"{b}/silver/data_quality_report",
+        return {"bronze": f"{b}/bronze/events",
+                "silver": f"{b}/silver/events", "report": f"{b}/silver/data_quality_report",
                 "rejected": f"{b}/silver/data_quality_rejected_records", "gold": f"{b}/gold",
                 "performance": f"{b}/gold/pipeline_performance"}
 
@@ -69,19 +71,42 @@ def report_from_outputs(silver: DataFrame, rejected: DataFrame) -> DataFrame:
         for m, v in rows])))
 
 
+def _reason_metrics() -> list:
+    r = F.col(Q.REASON)
+    return [F.count(F.lit(1)).alias("raw_rows"), F.count_if(r.isNull()).alias("clean_rows"),
+            *[F.count_if(r == x).alias(x) for x in REASONS]]
+
+
+def report_from_counts(spark: SparkSession, counts: dict) -> DataFrame:
+    """The 9-row report from observed counts (a fixed-size frame)."""
+    raw, clean = int(counts["raw_rows"]), int(counts["clean_rows"])
+    rows = [("raw_rows", raw)] + [(m, int(counts[x])) for m, x in REPORT_REASON_ORDER]
+    rows += [("clean_rows", clean), ("removed_rows", raw - clean)]
+    return spark.createDataFrame(rows, "metric string, value bigint")
+
+
 def gold_tables(silver: DataFrame, quantiles: str = "exact", funnel_mode: str = "first_touch",
-                share: bool = True) -> dict[str, DataFrame]:
+                share: bool = True, cached: list | None = None) -> dict[str, DataFrame]:
     """All Gold tables from Silver. With ``share`` the three keyed
-    intermediates are written once to the staging folder and reused."""
-    keep = materialize if share else (lambda df, _name: df)
-    users = keep(EN.user_activity(silver), "users")
+    intermediates (per user, per session, per session x category) are
+    cached and reused by the tables built from them; their lineage starts at
+    the written Silver, so a lost executor recomputes cheaply. Cached frames
+    are appended to ``cached`` so the caller can release them."""
+    def keep(df: DataFrame) -> DataFrame:
+        if not share:
+            return df
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        if cached is not None:
+            cached.append(df)
+        return df
+    users = keep(EN.user_activity(silver))
     thr = EN.engagement_thresholds(users, quantiles)
     levels = thr.select(F.struct("users", "q33", "q67")).scalar()
     engagement = users.select("*", EN.level_expr(F.col("engagement_score"), levels).alias("engagement_level"))
-    flags = keep(FU.session_flags(silver, "first_touch"), "session-flags")
+    flags = keep(FU.session_flags(silver, "first_touch"))
     funnel_flags = flags if funnel_mode == "first_touch" else FU.session_flags(silver, funnel_mode)
     funnel = FU.funnel_from_counts(FU.funnel_counts(funnel_flags))
-    pairs = keep(AB.session_category_flags(silver), "session-category")
+    pairs = keep(AB.session_category_flags(silver))
     abandonment = AB.cart_abandonment_from_pairs(pairs)
     return {
         "customer_engagement": engagement,
@@ -96,7 +121,12 @@ def gold_tables(silver: DataFrame, quantiles: str = "exact", funnel_mode: str =
 def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None) -> dict:
     """Run the whole pipeline; returns the run record (also appended as a
     performance row). ``raw`` may replace the CSV input (a DataFrame with
-    ``source_row_number`` + nine raw columns)."""
+    ``source_row_number`` + nine raw columns).
+
+    Passes: the CSV is parsed twice (row numbering, Bronze Parquet write);
+    everything after reads column-pruned Parquet. The report counts are
+    collected by the Silver write itself (``observe``).
+    """
     ensure_session(spark)
     p = params.paths()
     start = time.perf_counter()
@@ -104,21 +134,24 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
         if not params.input_path:
             raise ValueError("input_path or raw is required")
         raw = read_bronze_csv(spark, params.input_path)
+    write_table(raw, p["bronze"])
+    raw = spark.read.parquet(p["bronze"])
     tagged = Q.tag(raw, dedupe=params.dedupe)
-    sink_silver(Q.silver(tagged), p["silver"], params.fmt, params.partition_silver_by_date)
+    obs = Observation("quality")
+    observed = tagged.observe(obs, *_reason_metrics())
+    sink_silver(Q.silver(observed), p["silver"], params.fmt, params.partition_silver_by_date)
+    counts = obs.get
     write_table(Q.rejected_records(tagged), p["rejected"], params.fmt)
-    reader = spark.read.format(params.fmt)
-    if params.fmt == "csv":
-        reader = reader.option("header", True)
-    silver = spark.read.parquet(p["silver"]) if params.fmt == "parquet" else reader.load(p["silver"])
-    rejected = reader.load(p["rejected"])
-    report = report_from_outputs(silver, rejected)
-    write_table(report.coalesce(1), p["report"], params.fmt)
-    counts = {r["metric"]: int(r["value"]) for r in spark.read.format(params.fmt)
-              .options(**({"header": True} if params.fmt == "csv" else {})).load(p["report"]).collect()}
-    sink_gold(gold_tables(silver, params.quantiles, params.funnel_mode), p["gold"], params.fmt)
+    write_table(report_from_counts(spark, counts).coalesce(1), p["report"], params.fmt)
+    silver = (spark.read.parquet(p["silver"]) if params.fmt == "parquet"
+              else spark.read.option("header", True).schema(SILVER).csv(p["silver"]))
+    cached: list[DataFrame] = []
+    gold = gold_tables(silver, params.quantiles, params.funnel_mode, cached=cached)
+    sink_gold(gold, p["gold"], params.fmt)
+    for df in cached:
+        df.unpersist()
     elapsed = time.perf_counter() - start
-    raw_rows, clean_rows = counts["raw_rows"], counts["clean_rows"]
+    raw_rows, clean_rows = int(counts["raw_rows"]), int(counts["clean_rows"])
     record = {
         "status": "SUCCESS",
         "sample_size": params.sample_size if params.sample_size is not None else raw_rows,

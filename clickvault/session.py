@@ -37,6 +37,7 @@ def get_spark(master: str | None = None, app: str = "clickvault",
     conf = dict(_SESSION_CONF)
     conf.update({
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     })
     if shuffle_partitions:

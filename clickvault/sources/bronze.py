@@ -45,13 +45,19 @@ def missing_columns(df: DataFrame, required=RAW_COLUMNS) -> DataFrame:
     return spark.createDataFrame([(c,) for c in absent], "missing_column string")
 
 
+def _sql_string(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def null_missing_tokens(df: DataFrame, tokens=PANDAS_NA_TOKENS, columns=RAW_COLUMNS) -> DataFrame:
+    """Missing-value spellings -> null, as one projection (one ``IN`` list per
+    column, parsed on the JVM in a single call)."""
     if not tokens:
         return df
-    toks = list(tokens)
-    return df.select(*[
-        F.when(F.col(c).isin(toks), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-        if c in columns else F.col(c) for c in df.columns])
+    in_list = ", ".join(_sql_string(t) for t in tokens)
+    return df.selectExpr(*[
+        f"CASE WHEN `{c}` IN ({in_list}) THEN NULL ELSE `{c}` END AS `{c}`" if c in columns else f"`{c}`"
+        for c in df.columns])
 
 
 def with_source_row_number(scan: DataFrame, start: int = 2, name: str = "source_row_number") -> DataFrame:

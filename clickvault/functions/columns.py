@@ -1,4 +1,10 @@
-"""Column expressions shared by the operators. All JVM-side, no UDFs."""
+"""Column expressions shared by the operators. All JVM-side, no UDFs.
+
+Each rule is written once as Spark SQL text (``*_sql``) over a column
+reference; the ``Column`` form parses that text in one call (building the
+same tree node by node from Python costs one round trip per node). Passing a
+``Column`` instead of a name uses the equivalent ``Column`` API form.
+"""
 
 from __future__ import annotations
 
@@ -12,44 +18,105 @@ from clickvault.schemas import DEFAULT_TIME_FORMAT, EVENT_TYPES
 BLANKS = " \t\n\r\x0b\x0c"
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def sql_string(text: str) -> str:
+    """A Spark SQL string literal (backslash escapes; control characters as \\uXXXX)."""
+    out = []
+    for ch in text:
+        if ch in ("\\", "'"):
+            out.append("\\" + ch)
+        elif ord(ch) < 32:
+            out.append(f"\\u{ord(ch):04x}")
+        else:
+            out.append(ch)
+    return "'" + "".join(out) + "'"
+
+
+def ref(name: str) -> str:
+    return f"`{name}`"
+
+
+# ------------------------------------------------------------ SQL text forms
+def parse_event_time_sql(c: str, fmt: str | None = DEFAULT_TIME_FORMAT) -> str:
+    return f"try_to_timestamp({c})" if fmt is None else f"try_to_timestamp({c}, {sql_string(fmt)})"
+
+
+def normalise_event_type_sql(c: str) -> str:
+    return f"lower(btrim({c}, {sql_string(BLANKS)}))"
+
+
+def event_type_is_valid_sql(normalised: str) -> str:
+    types = ", ".join(sql_string(t) for t in EVENT_TYPES)
+    return f"coalesce({normalised} IN ({types}), false)"
+
+
+def parse_price_sql(c: str) -> str:
+    return f"try_cast({c} AS DOUBLE)"
+
+
+def is_invalid_price_sql(p: str) -> str:
+    return f"({p} IS NULL OR isnan({p}))"
+
+
+def to_id_sql(c: str) -> str:
+    return f"try_cast({c} AS BIGINT)"
+
+
+def safe_rate_sql(num: str, den: str) -> str:
+    """SQL text of ``safe_rate`` (for ``selectExpr``/``stack`` projections)."""
+    return f"CASE WHEN ({den}) > 0 THEN ({num}) / ({den}) * 100.0 ELSE 0.0 END"
+
+
+def format_g_sql(col_sql: str) -> str:
+    """SQL text of ``format_g``."""
+    s = f"format_string('%.6g', CAST({col_sql} AS DOUBLE))"
+    s = f"regexp_replace({s}, '(\\\\.\\\\d*?)0+(e|$)', '$1$2')"
+    return f"regexp_replace({s}, '\\\\.(e|$)', '$1')"
 
 
+# ----------------------------------------------------------- Column forms
 def parse_event_time(c: str | Column, fmt: str | None = DEFAULT_TIME_FORMAT) -> Column:
     """Text -> UTC instant, null when it does not parse (needs session zone UTC).
 
     ``fmt=None`` accepts any spelling Spark's free-form parser accepts.
     """
-    if fmt is None:
-        return F.try_to_timestamp(_c(c))
-    return F.try_to_timestamp(_c(c), F.lit(fmt))
+    if isinstance(c, str):
+        return F.expr(parse_event_time_sql(ref(c), fmt))
+    return F.try_to_timestamp(c) if fmt is None else F.try_to_timestamp(c, F.lit(fmt))
 
 
 def normalise_event_type(c: str | Column) -> Column:
     """lower + strip of surrounding blanks (not only spaces)."""
-    return F.lower(F.btrim(_c(c), F.lit(BLANKS)))
+    if isinstance(c, str):
+        return F.expr(normalise_event_type_sql(ref(c)))
+    return F.lower(F.btrim(c, F.lit(BLANKS)))
 
 
-def event_type_is_valid(normalised: Column) -> Column:
+def event_type_is_valid(normalised: str | Column) -> Column:
     """True only for the four supported types; null input is not valid."""
+    if isinstance(normalised, str):
+        return F.expr(event_type_is_valid_sql(ref(normalised)))
     return F.coalesce(normalised.isin(*EVENT_TYPES), F.lit(False))
 
 
 def parse_price(c: str | Column) -> Column:
     """Text -> double, null when it is not a number (``try_cast``, ANSI-safe)."""
-    col = _c(c)
-    return col.try_cast("double")
+    if isinstance(c, str):
+        return F.expr(parse_price_sql(ref(c)))
+    return c.try_cast("double")
 
 
-def is_invalid_price(p: Column) -> Column:
+def is_invalid_price(p: str | Column) -> Column:
     """Missing or NaN (Spark orders NaN above every number, so test it apart)."""
+    if isinstance(p, str):
+        return F.expr(is_invalid_price_sql(ref(p)))
     return p.isNull() | F.isnan(p)
 
 
 def to_id(c: str | Column) -> Column:
     """Identifier text -> bigint; non-numeric text becomes null."""
-    return _c(c).try_cast("bigint")
+    if isinstance(c, str):
+        return F.expr(to_id_sql(ref(c)))
+    return c.try_cast("bigint")
 
 
 def safe_rate(num: Column, den: Column) -> Column:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.functions.columns import safe_rate
-from clickvault.operators.category import purchase_sum
+from clickvault.functions.columns import safe_rate_sql
+from clickvault.operators.category import purchase_sum, type_count
 
 
 
@@ -22,26 +22,22 @@ def session_category_flags(silver: DataFrame) -> DataFrame:
     """
     return (
         silver.groupBy("user_session", "category_code").agg(
-            F.count_if(F.col("event_type") == "view").alias("views"),
-            F.count_if(F.col("event_type") == "cart").alias("carts"),
-            F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-            F.count_if(F.col("event_type") == "remove_from_cart").alias("removes"),
+            type_count("view", "views"), type_count("cart", "carts"),
+            type_count("purchase", "purchases"), type_count("remove_from_cart", "removes"),
             purchase_sum().alias("revenue"),
         )
-        .withColumn("had_cart", F.col("carts") > 0)
-        .withColumn("had_purchase", F.col("purchases") > 0)
-        .withColumn("abandoned", F.col("had_cart") & ~F.col("had_purchase"))
+        .selectExpr("*", "carts > 0 AS had_cart", "purchases > 0 AS had_purchase",
+                    "carts > 0 AND purchases = 0 AS abandoned")
     )
 
 
 def cart_abandonment_from_pairs(pairs: DataFrame) -> DataFrame:
     agg = pairs.groupBy("category_code").agg(
-        F.count_if(F.col("had_cart")).alias("cart_sessions"),
-        F.count_if(F.col("abandoned")).alias("abandoned_sessions"),
-        F.sum("removes").alias("remove_from_cart_events"),
+        F.expr("count_if(had_cart) AS cart_sessions"),
+        F.expr("count_if(abandoned) AS abandoned_sessions"),
+        F.expr("sum(removes) AS remove_from_cart_events"),
     )
-    return agg.select("*", safe_rate(F.col("abandoned_sessions"), F.col("cart_sessions"))
-                      .alias("abandonment_rate_pct"))
+    return agg.selectExpr("*", f"{safe_rate_sql('abandoned_sessions', 'cart_sessions')} AS abandonment_rate_pct")
 
 
 def cart_abandonment(silver: DataFrame) -> DataFrame:

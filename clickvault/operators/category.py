@@ -5,18 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.functions.columns import safe_rate
+from clickvault.functions.columns import safe_rate_sql
 
 
 
+def type_count(event_type: str, name: str) -> F.Column:
+    """``count_if(event_type = t)``, aliased (one SQL expression)."""
+    return F.expr(f"count_if(event_type = '{event_type}') AS {name}")
+
+
 def type_counts(prefix_map: dict[str, str]) -> list:
-    """``count_if(event_type = t)`` per type, aliased."""
-    return [F.count_if(F.col("event_type") == t).alias(name) for t, name in prefix_map.items()]
+    return [type_count(t, name) for t, name in prefix_map.items()]
 
 
 def purchase_sum() -> F.Column:
     """sum(price) over purchase events, 0.0 when there are none."""
-    return F.sum(F.when(F.col("event_type") == "purchase", F.col("price")).otherwise(F.lit(0.0)))
+    return F.expr("sum(CASE WHEN event_type = 'purchase' THEN price ELSE 0.0 END)")
 
 
 CATEGORY_COUNTS = {"view": "views", "cart": "cart_additions", "purchase": "purchases",
@@ -34,10 +38,10 @@ def category_revenue(silver: DataFrame) -> DataFrame:
 
 
 def with_category_rates(df: DataFrame) -> DataFrame:
-    return df.select(
+    return df.selectExpr(
         "*",
-        safe_rate(F.col("cart_additions"), F.col("views")).alias("view_to_cart_rate_pct"),
-        safe_rate(F.col("purchases"), F.col("views")).alias("purchase_conversion_rate_pct"),
+        f"{safe_rate_sql('cart_additions', 'views')} AS view_to_cart_rate_pct",
+        f"{safe_rate_sql('purchases', 'views')} AS purchase_conversion_rate_pct",
     )
 
 

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.operators.category import purchase_sum
+from clickvault.operators.category import purchase_sum, type_count
 
 QUANTILES = (0.33, 0.67)
 # Fixed score weights: views x1, carts x3, purchases x5 (remove_from_cart x0).
@@ -31,19 +31,16 @@ def user_activity(silver: DataFrame) -> DataFrame:
     (user, session) then user, both combined map-side.
     """
     base = silver.groupBy("user_id").agg(
-        F.count_if(F.col("event_type") == "view").alias("views"),
-        F.count_if(F.col("event_type") == "cart").alias("carts"),
-        F.count_if(F.col("event_type") == "purchase").alias("purchases"),
-        F.count_if(F.col("event_type") == "remove_from_cart").alias("remove_from_cart"),
-        F.countDistinct("user_session").alias("sessions"),
+        type_count("view", "views"), type_count("cart", "carts"),
+        type_count("purchase", "purchases"), type_count("remove_from_cart", "remove_from_cart"),
+        F.expr("count(DISTINCT user_session) AS sessions"),
         purchase_sum().alias("purchase_value"),
     )
-    score = sum((F.col(c) * F.lit(w) for c, w in WEIGHTS.items()), F.lit(0))
-    return base.select(
+    score = " + ".join(f"{c} * {w}" for c, w in WEIGHTS.items())
+    return base.selectExpr(
         "*",
-        (F.col("views") + F.col("carts") + F.col("purchases") + F.col("remove_from_cart"))
-        .alias("total_interactions"),
-        score.cast("bigint").alias("engagement_score"),
+        "views + carts + purchases + remove_from_cart AS total_interactions",
+        f"CAST({score} AS BIGINT) AS engagement_score",
     )
 
 

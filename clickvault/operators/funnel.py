@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.functions.columns import safe_rate
+from clickvault.functions.columns import safe_rate_sql
 
 MODES = ("first_touch", "any_after")
 # Fixed stage labels of the funnel table.
@@ -25,19 +25,17 @@ def first_touch(silver: DataFrame) -> DataFrame:
     Built over all clean events, so its row count is the number of sessions.
     """
     return silver.groupBy("user_session").agg(
-        F.min(F.when(F.col("event_type") == "view", F.col("event_time"))).alias("first_view"),
-        F.min(F.when(F.col("event_type") == "cart", F.col("event_time"))).alias("first_cart"),
-        F.min(F.when(F.col("event_type") == "purchase", F.col("event_time"))).alias("first_purchase"),
-    )
+        *[F.expr(f"min(CASE WHEN event_type = '{t}' THEN event_time END) AS first_{t}")
+          for t in ("view", "cart", "purchase")])
 
 
 def funnel_flags(first: DataFrame) -> DataFrame:
-    fv, fc, fp = F.col("first_view"), F.col("first_cart"), F.col("first_purchase")
-    has_view = fv.isNotNull()
-    reached_cart = has_view & fc.isNotNull() & F.coalesce(fc >= fv, F.lit(False))
-    reached_purchase = reached_cart & fp.isNotNull() & F.coalesce(fp >= fc, F.lit(False))
-    return first.select("*", has_view.alias("has_view"), reached_cart.alias("reached_cart"),
-                        reached_purchase.alias("reached_purchase"))
+    reached_cart = "first_view IS NOT NULL AND first_cart IS NOT NULL AND first_cart >= first_view"
+    return first.selectExpr(
+        "*", "first_view IS NOT NULL AS has_view",
+        f"coalesce({reached_cart}, false) AS reached_cart",
+        f"coalesce({reached_cart} AND first_purchase IS NOT NULL AND first_purchase >= first_cart, false)"
+        " AS reached_purchase")
 
 
 def session_flags_any_after(silver: DataFrame) -> DataFrame:
@@ -73,30 +71,22 @@ def session_flags(silver: DataFrame, mode: str = "first_touch") -> DataFrame:
 
 def funnel_counts(flags: DataFrame) -> DataFrame:
     """One row: view_sessions, cart_sessions, purchase_sessions."""
-    return flags.agg(
-        F.count_if("has_view").alias("view_sessions"),
-        F.count_if("reached_cart").alias("cart_sessions"),
-        F.count_if("reached_purchase").alias("purchase_sessions"),
-    )
+    return flags.agg(F.expr("count_if(has_view) AS view_sessions"),
+                     F.expr("count_if(reached_cart) AS cart_sessions"),
+                     F.expr("count_if(reached_purchase) AS purchase_sessions"))
 
 
 def funnel_from_counts(counts: DataFrame) -> DataFrame:
-    """Three stage rows from the one-row counts; stays on the executors."""
-    v, c, p = F.col("view_sessions"), F.col("cart_sessions"), F.col("purchase_sessions")
-    stages = [
-        (1, STAGES[0], v, F.lit(100.0)),
-        (2, STAGES[1], c, safe_rate(c, v)),
-        (3, STAGES[2], p, safe_rate(p, c)),
-    ]
-    return counts.select(F.inline(F.array(*[
-        F.struct(
-            F.lit(order).alias("stage_order"),
-            F.lit(label).alias("stage"),
-            n.cast("bigint").alias("sessions"),
-            safe_rate(n, v).alias("percent_of_view_sessions"),
-            prev.alias("conversion_from_previous_stage_pct"),
-        ) for order, label, n, prev in stages
-    ])))
+    """Three stage rows from the one-row counts (``stack``); stays on the executors."""
+    v, c, p = "view_sessions", "cart_sessions", "purchase_sessions"
+    stages = [(1, STAGES[0], v, "100.0"), (2, STAGES[1], c, safe_rate_sql(c, v)),
+              (3, STAGES[2], p, safe_rate_sql(p, c))]
+    args = ", ".join(
+        f"{order}, '{label}', CAST({n} AS BIGINT), CAST({safe_rate_sql(n, v)} AS DOUBLE), CAST({prev} AS DOUBLE)"
+        for order, label, n, prev in stages)
+    return counts.selectExpr(
+        f"stack(3, {args}) AS (stage_order, stage, sessions, percent_of_view_sessions, "
+        "conversion_from_previous_stage_pct)")
 
 
 def conversion_funnel(silver: DataFrame, mode: str = "first_touch") -> DataFrame:

@@ -6,17 +6,16 @@ unpivoted and unioned, so nothing is joined and nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.functions.columns import format_g, safe_rate
+from clickvault.functions.columns import format_g_sql, safe_rate_sql
 
 
-def _long(one_row: DataFrame, items: list[tuple[int, str, Column]]) -> DataFrame:
-    return one_row.select(F.inline(F.array(*[
-        F.struct(F.lit(o).alias("_order"), F.lit(m).alias("metric"), v.cast("double").alias("value"))
-        for o, m, v in items
-    ])))
+def _stack(one_row: DataFrame, items: list[tuple[int, str, str]]) -> DataFrame:
+    """Unpivot a one-row frame with ``stack`` (one SQL expression)."""
+    args = ", ".join(f"{o}, '{m}', CAST({v} AS DOUBLE)" for o, m, v in items)
+    return one_row.selectExpr(f"stack({len(items)}, {args}) AS (_order, metric, value)")
 
 
 def kpi_summary(silver: DataFrame, users: DataFrame, first_touch_flags: DataFrame,
@@ -29,41 +28,35 @@ def kpi_summary(silver: DataFrame, users: DataFrame, first_touch_flags: DataFram
     one row (q33, q67). Distinct counts come from those tables, so no extra
     distinct aggregation runs.
     """
-    t = F.col("event_type")
     ev = silver.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(t == "view").alias("v"), F.count_if(t == "cart").alias("c"),
-        F.count_if(t == "purchase").alias("p"), F.count_if(t == "remove_from_cart").alias("r"),
-        F.coalesce(F.sum(F.when(t == "purchase", F.col("price"))), F.lit(0.0)).alias("rev"),
+        F.expr("count(1) AS n"),
+        F.expr("count_if(event_type = 'view') AS v"), F.expr("count_if(event_type = 'cart') AS c"),
+        F.expr("count_if(event_type = 'purchase') AS p"),
+        F.expr("count_if(event_type = 'remove_from_cart') AS r"),
+        F.expr("coalesce(sum(CASE WHEN event_type = 'purchase' THEN price END), 0.0) AS rev"),
     )
-    u = users.agg(F.count(F.lit(1)).alias("n"))
+    u = users.agg(F.expr("count(1) AS n"))
     s = first_touch_flags.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if("has_view").alias("v"), F.count_if("reached_cart").alias("c"),
-        F.count_if("reached_purchase").alias("p"),
-    )
-    a = abandonment.agg(F.sum("cart_sessions").alias("cs"), F.sum("abandoned_sessions").alias("ab"))
-    v, c, p = F.col("v"), F.col("c"), F.col("p")
+        F.expr("count(1) AS n"), F.expr("count_if(has_view) AS v"),
+        F.expr("count_if(reached_cart) AS c"), F.expr("count_if(reached_purchase) AS p"))
+    a = abandonment.agg(F.expr("coalesce(sum(cart_sessions), 0) AS cs"),
+                        F.expr("coalesce(sum(abandoned_sessions), 0) AS ab"))
     parts = [
-        _long(ev, [(1, "clean_events", F.col("n"))]),
-        _long(u, [(2, "unique_users", F.col("n"))]),
-        _long(s, [(3, "unique_sessions", F.col("n"))]),
-        _long(ev, [(4, "view_events", v), (5, "cart_events", c), (6, "purchase_events", p),
-                   (7, "remove_from_cart_events", F.col("r")),
-                   (8, "purchase_revenue", F.round(F.col("rev"), 2))]),
-        _long(s, [(9, "view_sessions", v), (10, "cart_sessions", c), (11, "purchase_sessions", p),
-                  (12, "view_to_cart_session_rate_pct", F.round(safe_rate(c, v), 4)),
-                  (13, "cart_to_purchase_session_rate_pct", F.round(safe_rate(p, c), 4)),
-                  (14, "overall_session_conversion_rate_pct", F.round(safe_rate(p, v), 4))]),
-        _long(a, [(15, "overall_cart_abandonment_rate_pct",
-                   F.round(safe_rate(F.coalesce(F.col("ab"), F.lit(0)),
-                                     F.coalesce(F.col("cs"), F.lit(0))), 4))]),
-        _long(thresholds, [(16, "engagement_q33_threshold", F.col("q33")),
-                           (17, "engagement_q67_threshold", F.col("q67"))]),
+        _stack(ev, [(1, "clean_events", "n")]),
+        _stack(u, [(2, "unique_users", "n")]),
+        _stack(s, [(3, "unique_sessions", "n")]),
+        _stack(ev, [(4, "view_events", "v"), (5, "cart_events", "c"), (6, "purchase_events", "p"),
+                    (7, "remove_from_cart_events", "r"), (8, "purchase_revenue", "round(rev, 2)")]),
+        _stack(s, [(9, "view_sessions", "v"), (10, "cart_sessions", "c"), (11, "purchase_sessions", "p"),
+                   (12, "view_to_cart_session_rate_pct", f"round({safe_rate_sql('c', 'v')}, 4)"),
+                   (13, "cart_to_purchase_session_rate_pct", f"round({safe_rate_sql('p', 'c')}, 4)"),
+                   (14, "overall_session_conversion_rate_pct", f"round({safe_rate_sql('p', 'v')}, 4)")]),
+        _stack(a, [(15, "overall_cart_abandonment_rate_pct", f"round({safe_rate_sql('ab', 'cs')}, 4)")]),
+        _stack(thresholds, [(16, "engagement_q33_threshold", "q33"), (17, "engagement_q67_threshold", "q67")]),
     ]
     out = parts[0]
     for df in parts[1:]:
-        out = out.unionByName(df)
+        out = out.union(df)
     return out.coalesce(1).sortWithinPartitions("_order").drop("_order")
 
 
@@ -84,26 +77,27 @@ DEFINITIONS = (
 )
 
 
-def _fill(template: str) -> Column:
-    """Template text -> concat of literals and formatted thresholds."""
-    pieces: list[Column] = []
-    rest = template
+def _fill_sql(template: str) -> str:
+    """Template text -> SQL concat of literals and ``:g``-formatted thresholds."""
+    parts, rest = [], template
     while rest:
-        i33, i67 = rest.find("{q33}"), rest.find("{q67}")
-        hits = [i for i in (i33, i67) if i >= 0]
+        hits = [(rest.find(k), k) for k in ("{q33}", "{q67}") if rest.find(k) >= 0]
         if not hits:
-            pieces.append(F.lit(rest))
+            parts.append(_sql_literal(rest))
             break
-        i = min(hits)
+        i, key = min(hits)
         if i:
-            pieces.append(F.lit(rest[:i]))
-        pieces.append(format_g(F.col("q33" if i == i33 else "q67")))
-        rest = rest[i + 5:]
-    return F.concat(*pieces) if len(pieces) > 1 else pieces[0]
+            parts.append(_sql_literal(rest[:i]))
+        parts.append(format_g_sql(key[1:-1]))
+        rest = rest[i + len(key):]
+    return f"concat({', '.join(parts)})" if len(parts) > 1 else parts[0]
+
+
+def _sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def metric_definitions(thresholds: DataFrame) -> DataFrame:
     """11 rows ``(metric, definition)`` from the one-row thresholds frame."""
-    return thresholds.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), _fill(d).alias("definition")) for m, d in DEFINITIONS
-    ])))
+    args = ", ".join(f"{_sql_literal(m)}, {_fill_sql(d)}" for m, d in DEFINITIONS)
+    return thresholds.selectExpr(f"stack({len(DEFINITIONS)}, {args}) AS (metric, definition)")

@@ -23,11 +23,14 @@ from pyspark.sql import functions as F
 
 from clickvault.functions.columns import (
     event_type_is_valid,
+    event_type_is_valid_sql,
     is_invalid_price,
+    is_invalid_price_sql,
     normalise_event_type,
     parse_event_time,
     parse_price,
     to_id,
+    to_id_sql,
 )
 from clickvault.plans.materialize import small_side
 from clickvault.schemas import DEFAULT_TIME_FORMAT, RAW_COLUMNS, REASONS, REPORT_REASON_ORDER
@@ -101,20 +104,24 @@ def with_parsed(raw: DataFrame, time_format: str | None = DEFAULT_TIME_FORMAT) -
     )
 
 
-def reason_expr(is_duplicate: Column) -> Column:
-    """First-match reason chain over the parsed helper columns."""
-    missing_id = (to_id("product_id").isNull() | to_id("user_id").isNull()
-                  | F.col("user_session").isNull())
+def reason_sql(is_duplicate: str = "_is_duplicate") -> str:
+    """First-match reason chain over the parsed helper columns (SQL text)."""
+    missing_id = (f"{to_id_sql('product_id')} IS NULL OR {to_id_sql('user_id')} IS NULL "
+                  "OR user_session IS NULL")
     return (
-        F.when(is_duplicate, F.lit(REASONS[0]))
-        .when(F.col("_t").isNull(), F.lit(REASONS[1]))
-        .when(~event_type_is_valid(F.col("_et")), F.lit(REASONS[2]))
-        .when(missing_id, F.lit(REASONS[3]))
-        .when(is_invalid_price(F.col("_p")), F.lit(REASONS[4]))
-        .when(F.col("_p") <= 0, F.lit(REASONS[5]))
+        f"CASE WHEN {is_duplicate} THEN '{REASONS[0]}' "
+        f"WHEN _t IS NULL THEN '{REASONS[1]}' "
+        f"WHEN NOT {event_type_is_valid_sql('_et')} THEN '{REASONS[2]}' "
+        f"WHEN {missing_id} THEN '{REASONS[3]}' "
+        f"WHEN {is_invalid_price_sql('_p')} THEN '{REASONS[4]}' "
+        f"WHEN _p <= 0 THEN '{REASONS[5]}' END"
     )
 
 
+def reason_expr(is_duplicate: str = "_is_duplicate") -> Column:
+    return F.expr(reason_sql(is_duplicate))
+
+
 def tag(raw: DataFrame, dedupe: str = "raw", time_format: str | None = DEFAULT_TIME_FORMAT,
         order_col: str = ROW) -> DataFrame:
     """Raw rows + helpers + ``rejection_reason``.
@@ -130,7 +137,7 @@ def tag(raw: DataFrame, dedupe: str = "raw", time_format: str | None = DEFAULT_T
     parsed = with_parsed(raw, time_format)
     keys = RAW_COLUMNS if dedupe == "raw" else _NORMALISED_KEYS
     flagged = mark_duplicates(parsed, keys, order_col)
-    return flagged.withColumn(REASON, reason_expr(F.col("_is_duplicate"))).drop("_is_duplicate")
+    return flagged.selectExpr("*", f"{reason_sql()} AS {REASON}").drop("_is_duplicate")
 
 
 def silver(tagged: DataFrame) -> DataFrame:
@@ -163,21 +170,17 @@ def quality_report(tagged: DataFrame) -> DataFrame:
     """``(metric, value)``: raw rows, six removal counts, clean rows, removed rows.
 
     One aggregate over the tagged frame (count_if per reason), then a
-    9-row unpivot; nothing leaves the executors but the final 9 rows.
+    9-row ``stack``; nothing leaves the executors but the final 9 rows.
     """
-    reason = F.col(REASON)
     counts = tagged.agg(
-        F.count(F.lit(1)).alias("raw_rows"),
-        *[F.count_if(reason == r).alias(r) for r in REASONS],
-        F.count_if(reason.isNull()).alias("clean_rows"),
+        F.expr("count(1) AS raw_rows"),
+        *[F.expr(f"count_if({REASON} = '{r}') AS {r}") for r in REASONS],
+        F.expr(f"count_if({REASON} IS NULL) AS clean_rows"),
     )
-    rows = [("raw_rows", F.col("raw_rows"))]
-    rows += [(metric, F.col(r)) for metric, r in REPORT_REASON_ORDER]
-    rows += [("clean_rows", F.col("clean_rows")),
-             ("removed_rows", F.col("raw_rows") - F.col("clean_rows"))]
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), v.cast("bigint").alias("value")) for m, v in rows
-    ])))
+    rows = [("raw_rows", "raw_rows")] + list(REPORT_REASON_ORDER)
+    rows += [("clean_rows", "clean_rows"), ("removed_rows", "raw_rows - clean_rows")]
+    args = ", ".join(f"'{m}', CAST({v} AS BIGINT)" for m, v in rows)
+    return counts.selectExpr(f"stack({len(rows)}, {args}) AS (metric, value)")
 
 
 def rejected_records(tagged: DataFrame, order_col: str = ROW) -> DataFrame:

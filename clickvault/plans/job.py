@@ -28,7 +28,7 @@ from clickvault.operators import kpi as KP
 from clickvault.operators import quality as Q
 from clickvault.schemas import REASONS, REPORT_REASON_ORDER, SILVER
 from clickvault.session import ensure_session
-from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_silver, write_table
+from clickvault.sinks.writers import run_concurrently, sink_gold, sink_perf_append, sink_silver, write_table
 from clickvault.sources.bronze import read_bronze_csv
 
 GOLD_TABLES = ("customer_engagement", "conversion_funnel", "cart_abandonment",
@@ -139,14 +139,17 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     tagged = Q.tag(raw, dedupe=params.dedupe)
     obs = Observation("quality")
     observed = tagged.observe(obs, *_reason_metrics())
-    sink_silver(Q.silver(observed), p["silver"], params.fmt, params.partition_silver_by_date)
+    run_concurrently([
+        lambda: sink_silver(Q.silver(observed), p["silver"], params.fmt, params.partition_silver_by_date),
+        lambda: write_table(Q.rejected_records(tagged), p["rejected"], params.fmt),
+    ])
     counts = obs.get
-    write_table(Q.rejected_records(tagged), p["rejected"], params.fmt)
     write_table(report_from_counts(spark, counts).coalesce(1), p["report"], params.fmt)
     silver = (spark.read.parquet(p["silver"]) if params.fmt == "parquet"
               else spark.read.option("header", True).schema(SILVER).csv(p["silver"]))
     cached: list[DataFrame] = []
     gold = gold_tables(silver, params.quantiles, params.funnel_mode, cached=cached)
+    run_concurrently([df.count for df in cached])  # fill the shared caches once
     sink_gold(gold, p["gold"], params.fmt)
     for df in cached:
         df.unpersist()

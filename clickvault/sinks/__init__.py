@@ -1,5 +1,6 @@
 from clickvault.sinks.writers import (
     ledger_overwrite,
+    run_concurrently,
     sink_gold,
     sink_perf_append,
     sink_quality,
@@ -7,4 +8,4 @@ from clickvault.sinks.writers import (
     write_table,
 )
 
-__all__ = ["ledger_overwrite", "sink_gold", "sink_perf_append", "sink_quality", "sink_silver", "write_table"]
+__all__ = ["ledger_overwrite", "run_concurrently", "sink_gold", "sink_perf_append", "sink_quality", "sink_silver", "write_table"]

@@ -7,6 +7,8 @@ Hadoop file-system URI.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 
 FORMATS = ("parquet", "csv")
@@ -40,12 +42,27 @@ def sink_quality(report: DataFrame, rejected: DataFrame, base: str, fmt: str = "
     return paths
 
 
-def sink_gold(tables: dict[str, DataFrame], base: str, fmt: str = "parquet") -> dict[str, str]:
-    """Overwrite each Gold table under ``base/<name>``."""
-    paths = {}
-    for name, df in tables.items():
-        paths[name] = f"{base}/{name}"
-        write_table(df, paths[name], fmt)
+def run_concurrently(actions: list, max_workers: int = 8) -> list:
+    """Run independent Spark actions as concurrent jobs (one driver thread
+    each); the scheduler interleaves their tasks. Re-raises the first error."""
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(actions))) as pool:
+        futures = [pool.submit(a) for a in actions]
+        return [f.result() for f in futures]
+
+
+def sink_gold(tables: dict[str, DataFrame], base: str, fmt: str = "parquet",
+              concurrent: bool = True) -> dict[str, str]:
+    """Overwrite each Gold table under ``base/<name>``; the independent writes
+    run as concurrent jobs."""
+    paths = {name: f"{base}/{name}" for name in tables}
+    actions = [(lambda n=name, df=df: write_table(df, paths[n], fmt)) for name, df in tables.items()]
+    if concurrent:
+        run_concurrently(actions)
+    else:
+        for a in actions:
+            a()
     return paths
 
 

@@ -534,3 +534,18 @@ def q_gate_runs(spark, sf):
         F.regexp_extract("evidence_path", r"/(run_[^/]+\.json)/", 1).alias("evidence_file"))
     return GT.gate_runs(_ledger(spark, sf), ev, _suite_targets(spark, sf))
 
+
+
+@register("landing_trigger")
+def q_landing_trigger(spark, sf):
+    """Structured Streaming landing trigger: the fixture lands as CSV, the
+    stream runs the job for it; returns the run's performance rows (rows only)."""
+    from clickvault.streaming import start_landing_trigger
+    landing = fresh_path(spark, "landing")
+    write_bronze_csv(_raw(spark, sf), f"{landing}/ecommerce_{_raw(spark, sf).count()}")
+    out = fresh_path(spark, "landing-runs")
+    q = start_landing_trigger(spark, landing, out, max_files_per_trigger=64)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+    return spark.read.parquet(f"{out}/*/gold/pipeline_performance")

@@ -112,3 +112,27 @@ def test_oracle_sf0001(spark, duck, name):
     assert sorted(sdf.columns) == sorted(dcols)
     srows = [tuple(r[c] for c in dcols) for r in sdf.collect()]
     assert _norm(srows) == _norm(drows)
+
+
+def test_one_scan_per_gold_table_and_pruned_schema(spark):
+    path = fresh_path(spark, "t-silver")
+    Q.silver(Q.tag(raw_events(spark, SF001))).write.parquet(path)
+    silver = spark.read.parquet(path)
+    for df in (CA.category_performance(silver), AB.cart_abandonment(silver), FU.conversion_funnel(silver)):
+        plan = _plan(df)
+        assert plan.count("FileScan parquet") == 1, plan
+    plan = _plan(CA.category_performance(silver))
+    assert "ReadSchema: struct<event_type:string,category_code:string,price:double>" in plan
+
+
+def test_serving_sql_equals_dataframe_form(spark):
+    from clickvault.operators import serving as SV
+    from clickvault.plans.catalog import register_gold_views
+    gold = register_gold_views(spark, Q.silver(Q.tag(raw_events(spark, SF001))))
+    pairs = [("sql_top_engagement", SV.top_engagement(gold["customer_engagement"])),
+             ("sql_top_abandonment", SV.top_abandonment(gold["cart_abandonment"])),
+             ("sql_top_revenue", SV.top_revenue(gold["category_performance"])),
+             ("sql_total_revenue", SV.total_revenue(gold["category_performance"])),
+             ("sql_top_conversion", SV.top_conversion(gold["category_performance"]))]
+    for name, df in pairs:
+        assert [tuple(r) for r in spark.sql(SV.SERVING_SQL[name]).collect()] == [tuple(r) for r in df.collect()], name

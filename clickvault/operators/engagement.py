@@ -85,3 +85,12 @@ def customer_engagement(silver: DataFrame, method: str = "exact") -> DataFrame:
     users = user_activity(silver)
     thr = engagement_thresholds(users, method).select(F.struct("users", "q33", "q67")).scalar()
     return users.select("*", level_expr(F.col("engagement_score"), thr).alias("engagement_level"))
+
+
+def join_fill_zero(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left join of per-key aggregates; keys absent on the right get 0.
+
+    (The Gold tables avoid it with one conditional aggregate; kept as the
+    general form for separately computed per-key tables.)"""
+    fill = {c: 0 for c in right.columns if c != key}
+    return left.join(right, key, "left").fillna(fill)

@@ -104,6 +104,33 @@ def large_workload_validation(spark: SparkSession, paths: dict[int, str], root:
                                        "total_seconds double, throughput_rows_per_sec double")
 
 
+def validation_from_runs(spark: SparkSession, root: str) -> DataFrame:
+    """The per-size validation table from already evidenced runs under ``root``:
+    evidence (size, seconds) joined with each run's quality report and KPIs,
+    read back with Spark — no job is re-run."""
+    from clickvault.operators.ledger import scan_run_evidence
+    ev = scan_run_evidence(spark, f"{root.rstrip('/')}/evidence/*").select(
+        F.col("summary.sample_size").alias("sample_size"),
+        F.col("pipeline.duration_in_ms").alias("ms"))
+    run = F.regexp_extract(F.col("_metadata.file_path"), r"/run_(\d+)/", 1).cast("bigint")
+    report = (spark.read.parquet(f"{root.rstrip('/')}/run_*/silver/data_quality_report")
+              .select(run.alias("sample_size"), "metric", "value")
+              .groupBy("sample_size").pivot("metric", ["raw_rows", "clean_rows", "removed_rows"])
+              .agg(F.first("value")))
+    kpi = (spark.read.parquet(f"{root.rstrip('/')}/run_*/gold/kpi_summary")
+           .select(run.alias("sample_size"), "metric", "value")
+           .groupBy("sample_size").pivot("metric", ["unique_users", "unique_sessions"])
+           .agg(F.first("value")))
+    sec = F.col("ms") / F.lit(1000.0)
+    return (ev.join(report, "sample_size").join(kpi, "sample_size")
+            .select(F.lit("LOCAL_SPARK_FULL_PIPELINE").alias("scope"), "sample_size", "raw_rows",
+                    "clean_rows", "removed_rows", F.col("unique_users").cast("bigint").alias("unique_users"),
+                    F.col("unique_sessions").cast("bigint").alias("unique_sessions"),
+                    sec.alias("total_seconds"),
+                    F.round(F.col("sample_size") / sec, 2).alias("throughput_rows_per_sec"))
+            .orderBy("sample_size"))
+
+
 def run_with_evidence(spark: SparkSession, size: int, input_path: str, root: str) -> str:
     """Run the job for one workload and write its evidence document (JSON)."""
     run_id = uuid.uuid4().hex

@@ -26,6 +26,7 @@ from clickvault.operators import kpi as KP
 from clickvault.operators import quality as Q
 from clickvault.operators import serving as SV
 from clickvault.plans import oracle as O
+from clickvault.plans.job import gold_tables
 from clickvault.schemas import RAW_COLUMNS
 from clickvault.sources.tables import raw_events
 
@@ -254,12 +255,6 @@ def q_user_purchase_value(spark, sf):
     return _silver(spark, sf).groupBy("user_id").agg(CA.purchase_sum().alias("purchase_value"))
 
 
-def join_fill_zero(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left join of per-key aggregates; absent keys get 0 in the right columns."""
-    fill = {c: 0 for c in right.columns if c != key}
-    return left.join(right, key, "left").fillna(fill)
-
-
 @register("join_fill_zero", _w(_UA, """SELECT u.user_id, u.views, u.carts, u.purchases, u.remove_from_cart,
   coalesce(p.purchase_value, 0.0) AS purchase_value
   FROM users u LEFT JOIN (SELECT user_id, sum(price) AS purchase_value FROM silver
@@ -270,7 +265,7 @@ def q_join_fill_zero(spark, sf):
     counts = EN.user_activity(s).select("user_id", "views", "carts", "purchases", "remove_from_cart")
     value = (s.filter(F.col("event_type") == "purchase").groupBy("user_id")
              .agg(F.sum("price").alias("purchase_value")))
-    return join_fill_zero(counts, value, "user_id")
+    return EN.join_fill_zero(counts, value, "user_id")
 
 
 @register("total_interactions", _w(_UA, "SELECT user_id, total_interactions FROM users"))
@@ -401,20 +396,8 @@ def q_category_performance_from_pairs(spark, sf):
 
 
 def gold_bundle(silver: DataFrame) -> dict[str, DataFrame]:
-    users = EN.user_activity(silver)
-    thr = EN.engagement_thresholds(users)
-    flags = FU.session_flags(silver)
-    pairs = AB.session_category_flags(silver)
-    abandonment = AB.cart_abandonment_from_pairs(pairs)
-    return {
-        "users": users, "thresholds": thr, "flags": flags, "pairs": pairs,
-        "customer_engagement": EN.customer_engagement(silver),
-        "conversion_funnel": FU.funnel_from_counts(FU.funnel_counts(flags)),
-        "cart_abandonment": abandonment,
-        "category_performance": CA.category_performance_from_pairs(pairs),
-        "kpi_summary": KP.kpi_summary(silver, users, flags, abandonment, thr),
-        "metric_definitions": KP.metric_definitions(thr),
-    }
+    """The six Gold tables (uncached: each registered query runs once)."""
+    return gold_tables(silver, share=False)
 
 
 @register("kpi_summary", _w(GOLD, O.kpi_cte(), "SELECT * FROM kpi_summary"), doubles=("value",))

@@ -353,8 +353,9 @@ def q_local_baseline(spark, sf):
 
 @register("large_workload_validation")
 def q_large_workload_validation(spark, sf):
-    """Full job per workload size joined with its report and KPIs (rows only)."""
-    return BM.large_workload_validation(spark, _suite_paths(spark, sf), fresh_path(spark, "large"))
+    """Full job per workload size joined with its report and KPIs (rows only);
+    read from the scaling suite's evidenced runs."""
+    return BM.validation_from_runs(spark, _suite(spark, sf))
 
 
 @register("perf_record")

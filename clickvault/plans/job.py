@@ -26,6 +26,7 @@ from clickvault.operators import engagement as EN
 from clickvault.operators import funnel as FU
 from clickvault.operators import kpi as KP
 from clickvault.operators import quality as Q
+from clickvault.plans.materialize import release_small_sides
 from clickvault.schemas import REASONS, REPORT_REASON_ORDER, SILVER
 from clickvault.session import ensure_session
 from clickvault.sinks.writers import run_concurrently, sink_gold, sink_perf_append, sink_silver, write_table
@@ -153,6 +154,7 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     sink_gold(gold, p["gold"], params.fmt)
     for df in cached:
         df.unpersist()
+    release_small_sides()
     elapsed = time.perf_counter() - start
     raw_rows, clean_rows = int(counts["raw_rows"]), int(counts["clean_rows"])
     record = {

@@ -11,6 +11,7 @@ read back) or a cache whose lineage starts at a written table.
 
 from __future__ import annotations
 
+import threading
 from typing import NamedTuple
 
 from pyspark import StorageLevel
@@ -20,6 +21,8 @@ from pyspark.sql import functions as F
 from clickvault.session import fresh_path
 
 _DEFAULT_LIMIT = 10 * 1024 * 1024
+_CACHED: list[DataFrame] = []
+_LOCK = threading.Lock()
 # per-row overhead of a broadcast hash relation entry (row header + hash slot)
 _ROW_OVERHEAD = 32
 
@@ -92,6 +95,8 @@ def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[Data
     staging folder instead (lineage cut) and joined with a shuffle join.
     """
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    with _LOCK:
+        _CACHED.append(cached)
     rows, size = measure(cached)
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit and size <= limit:
@@ -99,3 +104,13 @@ def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[Data
     written = materialize(cached, name)
     cached.unpersist()
     return written, rows
+
+
+def release_small_sides() -> int:
+    """Unpersist the small sides cached so far (call when the frames built
+    on them have been written). Returns how many were released."""
+    with _LOCK:
+        items, _CACHED[:] = list(_CACHED), []
+    for df in items:
+        df.unpersist()
+    return len(items)

@@ -43,10 +43,13 @@ _NORMALISED_KEYS = ("_t", "_et", "_p", "product_id", "category_id", "category_co
                     "brand", "user_id", "user_session")
 
 
-def _fingerprint(keys) -> tuple[Column, Column]:
+def _fingerprint(df: DataFrame, keys) -> tuple[Column, Column]:
     """96-bit fingerprint of a key (xxhash64 + murmur3). Collisions only add
-    candidates; the exact comparison below removes them."""
-    cols = [F.col(k) for k in keys]
+    candidates; the exact comparison below removes them. Floating keys get
+    ``+ 0.0`` so -0.0 hashes like 0.0 (they compare equal in the exact step;
+    NaN bit patterns are already canonical in the hash)."""
+    types = dict(df.dtypes)
+    cols = [F.col(k) + F.lit(0.0) if types.get(k) in ("double", "float") else F.col(k) for k in keys]
     return F.xxhash64(*cols), F.hash(*cols)
 
 
@@ -60,7 +63,7 @@ def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame | None
        same job, broadcast if the measured size allows (else a shuffle join);
     3. group only the candidate rows by the exact key.
     """
-    h1, h2 = _fingerprint(keys)
+    h1, h2 = _fingerprint(df, keys)
     hot = (df.select(h1.alias("_h1"), h2.alias("_h2"))
            .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > 1).select("_h1", "_h2"))

@@ -139,3 +139,11 @@ def test_fill_unknown_and_time_parts(spark):
                                     (1e6, "1e+06"), (0.0001, "0.0001"), (0.0, "0"), (1234567.0, "1.23457e+06")])
 def test_t20_format_g(spark, x, text):
     assert spark.range(1).select(format_g(F.lit(x)).alias("s")).first().s == text == format(x, "g")
+
+
+def test_normalised_dedupe_negative_zero_price(spark):
+    """-0.0 and 0.0 are equal prices: the copy is a duplicate under the normalised rule."""
+    rows = [ev(price="0.0"), ev(price="-0.0"), ev(price="-0")]
+    assert reasons(spark, rows, dedupe="normalised") == ["nonpositive_price", "duplicate_record",
+                                                         "duplicate_record"]
+    assert reasons(spark, rows) == ["nonpositive_price"] * 3

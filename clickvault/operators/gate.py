@@ -49,16 +49,27 @@ def gate_reject_rows(rejected: DataFrame, expected: int) -> DataFrame:
 
 def gate_tables_exist(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """Path probes through the Hadoop file system (works for any FS URI)."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     rows = []
     for name, p in paths.items():
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        exists = bool(hp.getFileSystem(conf).exists(hp))
+        exists = _exists(spark, p)
         rows.append((f"exists {name}", "true", str(exists).lower(), exists))
     return spark.createDataFrame(rows, CHECK_SCHEMA)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # remote session: probe by listing the path
+        try:
+            spark.read.format("binaryFile").load(path).select("path").limit(1).collect()
+            return True
+        except Exception:
+            return False
+    hp = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hp.getFileSystem(conf).exists(hp))
+
+
 def gate_workload_rows(workloads: DataFrame, targets) -> DataFrame:
     """``workloads``: one row per workload row with ``sample_size``; each
     target must be present with exactly ``sample_size`` rows."""

@@ -312,7 +312,7 @@ _SUITES: dict[tuple[str, str], str] = {}
 
 
 def _suite(spark, sf) -> str:
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.conf.get("spark.app.id", ""), sf)
     with _LOCK:
         if key not in _SUITES:
             _SUITES[key] = BM.scaling_suite(spark, _raw(spark, sf))

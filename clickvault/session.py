@@ -60,6 +60,14 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session (None for a remote session)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def staging_dir(spark: SparkSession, *parts: str) -> str:
     """A folder in the cluster's shared checkpoint location.
 
@@ -67,13 +75,16 @@ def staging_dir(spark: SparkSession, *parts: str) -> str:
     checkpoint dir); sets a private one only when neither is set.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
-    sc = spark.sparkContext
-    if not base:
+    sc = _context(spark)
+    if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="clickvault-ckpt-")
-        sc.setCheckpointDir(base)
-    elif not sc.getCheckpointDir():
+        try:
+            spark.conf.set("spark.checkpoint.dir", base)
+        except Exception:
+            pass
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(base)
     path = base.rstrip("/")
     for p in parts:

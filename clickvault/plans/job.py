@@ -1,10 +1,10 @@
 """End-to-end batch job: bronze -> audited Silver -> Gold, written once each.
 
 Layout under ``base`` (any Hadoop FS URI): ``bronze/events`` (raw text +
-row numbers, Parquet), ``silver/events``, ``silver/data_quality_report``,
+row positions, Parquet), ``silver/events``, ``silver/data_quality_report``,
 ``silver/data_quality_rejected_records``, ``gold/<table>``, ``gold/pipeline_performance``.
 
-Work sharing: the CSV is parsed into Bronze Parquet once; cleaning passes
+Work sharing: the CSV is parsed into Bronze Parquet once; row numbering and cleaning passes
 read it column-pruned; Gold reads the written Silver, and the per-user,
 per-session and per-(session, category) tables are each computed once
 (cached) and feed several Gold tables.
@@ -30,7 +30,7 @@ from clickvault.plans.materialize import release_small_sides
 from clickvault.schemas import REASONS, REPORT_REASON_ORDER, SILVER
 from clickvault.session import ensure_session
 from clickvault.sinks.writers import run_concurrently, sink_gold, sink_perf_append, sink_silver, write_table
-from clickvault.sources.bronze import read_bronze_csv
+from clickvault.sources.bronze import number_positions, read_bronze_csv
 
 GOLD_TABLES = ("customer_engagement", "conversion_funnel", "cart_abandonment",
                "category_performance", "kpi_summary", "metric_definitions")
@@ -124,9 +124,10 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     performance row). ``raw`` may replace the CSV input (a DataFrame with
     ``source_row_number`` + nine raw columns).
 
-    Passes: the CSV is parsed twice (row numbering, Bronze Parquet write);
-    everything after reads column-pruned Parquet. The report counts are
-    collected by the Silver write itself (``observe``).
+    Passes: the CSV is parsed once (Bronze Parquet write, keeping each row's
+    split position); row numbers and everything after read column-pruned
+    Parquet. The report counts are collected by the Silver write itself
+    (``observe``).
     """
     ensure_session(spark)
     p = params.paths()
@@ -134,9 +135,13 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     if raw is None:
         if not params.input_path:
             raise ValueError("input_path or raw is required")
-        raw = read_bronze_csv(spark, params.input_path)
-    write_table(raw, p["bronze"])
-    raw = spark.read.parquet(p["bronze"])
+        # one CSV parse: Bronze keeps each row's split position; row numbers
+        # come from the Parquet copy (a 3-column aggregate)
+        write_table(read_bronze_csv(spark, params.input_path, positions=True), p["bronze"])
+        raw = number_positions(spark.read.parquet(p["bronze"]))
+    else:
+        write_table(raw, p["bronze"])
+        raw = spark.read.parquet(p["bronze"])
     tagged = Q.tag(raw, dedupe=params.dedupe)
     obs = Observation("quality")
     observed = tagged.observe(obs, *_reason_metrics())

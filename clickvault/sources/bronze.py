@@ -60,31 +60,45 @@ def null_missing_tokens(df: DataFrame, tokens=PANDAS_NA_TOKENS, columns=RAW_COLU
         for c in df.columns])
 
 
-def with_source_row_number(scan: DataFrame, start: int = 2, name: str = "source_row_number") -> DataFrame:
-    """Number rows of a file scan in file order.
-
-    ``scan`` must come straight from a file source (``_metadata`` columns).
-    Per split (file, block start): the first local row index and the row
-    count; a running sum over splits ordered by (file name, block start)
-    gives each split's offset. The split table has one row per input split
-    (data size / split size), is written to the staging folder and joined
-    back — broadcast when its measured size allows.
+POSITION_COLUMNS = ("_file", "_block", "_local")
+
+
+def with_positions(scan: DataFrame) -> DataFrame:
+    """Add each row's position: file name, split start, index inside its task.
+
+    ``scan`` must come straight from a file source (``_metadata`` columns);
+    the index is fixed when the columns are computed on the scan.
     """
-    t = scan.select(
+    return scan.select(
         "*",
         F.col("_metadata.file_name").alias("_file"),
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)).alias("_local"),
     )
-    splits = t.groupBy("_file", "_block").agg(
+
+
+def number_positions(df: DataFrame, start: int = 2, name: str = "source_row_number") -> DataFrame:
+    """Positions -> contiguous row numbers in file order (position columns dropped).
+
+    Per split (file, block start): the first local index and the row count;
+    a running sum over splits ordered by (file name, block start) gives each
+    split's offset. The split table has one row per input split (data size /
+    split size); it is measured and joined back — broadcast when it fits.
+    """
+    splits = df.groupBy("_file", "_block").agg(
         F.min("_local").alias("_lo"), F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_file", "_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = splits.select("_file", "_block", "_lo",
                             F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     offsets, _ = small_side(offsets, "split-offsets")
     number = (F.col("_before") + F.col("_local") - F.col("_lo") + F.lit(start)).cast("bigint")
-    return (t.join(offsets, ["_file", "_block"])
-            .select(number.alias(name), *scan.columns))
+    keep = [c for c in df.columns if c not in POSITION_COLUMNS]
+    return df.join(offsets, ["_file", "_block"]).select(number.alias(name), *keep)
+
+
+def with_source_row_number(scan: DataFrame, start: int = 2, name: str = "source_row_number") -> DataFrame:
+    """Number rows of a file scan in file order (see ``number_positions``)."""
+    return number_positions(with_positions(scan), start, name)
 
 
 def _data_files(spark: SparkSession, path: str) -> list:
@@ -133,17 +147,21 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_bronze_csv(spark: SparkSession, path: str, missing_tokens=PANDAS_NA_TOKENS,
-                    row_numbers: bool = True) -> DataFrame:
+                    row_numbers: bool = True, positions: bool = False) -> DataFrame:
     """Read event CSV file(s) with a header into the nine raw text columns.
 
     The header is read on the driver and checked before any data job; the
-    scan then gets an explicit all-text schema in header order.
+    scan then gets an explicit all-text schema in header order. With
+    ``positions`` the row positions are kept instead of numbered (to number
+    them after a write, so the CSV is parsed once).
     """
     header = read_header(spark, path)
     require_columns(header)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
     scan = spark.read.schema(schema).option("header", True).csv(path).select(*RAW_COLUMNS)
-    if row_numbers:
+    if positions:
+        scan = with_positions(scan)
+    elif row_numbers:
         scan = with_source_row_number(scan)
     return null_missing_tokens(scan, missing_tokens)
 

@@ -136,3 +136,17 @@ def test_serving_sql_equals_dataframe_form(spark):
              ("sql_top_conversion", SV.top_conversion(gold["category_performance"]))]
     for name, df in pairs:
         assert [tuple(r) for r in spark.sql(SV.SERVING_SQL[name]).collect()] == [tuple(r) for r in df.collect()], name
+
+
+def test_job_from_csv_numbers_rows_like_the_reader(spark):
+    from clickvault.sources.bronze import read_bronze_csv, write_bronze_csv
+    csv = fresh_path(spark, "t-job-csv")
+    write_bronze_csv(raw_events(spark, SF001), csv)
+    base = fresh_path(spark, "t-job-from-csv")
+    rec = run_job(spark, JobParams(base=base, input_path=csv))
+    assert (rec["raw_rows"], rec["clean_rows"]) == (1010, 755)
+    p = JobParams(base=base).paths()
+    got = {(r.source_row_number, r.rejection_reason) for r in spark.read.parquet(p["rejected"]).collect()}
+    want = {(r.source_row_number, r.rejection_reason)
+            for r in Q.rejected_records(Q.tag(read_bronze_csv(spark, csv))).collect()}
+    assert got == want and len(got) == 255

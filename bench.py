@@ -22,7 +22,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -34,7 +33,7 @@ from clickvault.operators import funnel as FU  # noqa: E402
 from clickvault.operators import quality as Q  # noqa: E402
 from clickvault.operators.workload import build_workload  # noqa: E402
 from clickvault.plans.job import JobParams, gold_tables, run_job  # noqa: E402
-from clickvault.session import get_spark  # noqa: E402
+from clickvault.session import fresh_path, get_spark  # noqa: E402
 from clickvault.sources.bronze import read_bronze_csv, write_bronze_csv  # noqa: E402
 from clickvault.sources.tables import raw_events  # noqa: E402
 
@@ -43,12 +42,11 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     repeat = int(os.environ.get("BENCH_REPEAT", "5"))
-    scratch = tempfile.mkdtemp(prefix="clickvault-bench-")
     spark = get_spark(f"local[{cpus}]", app="clickvault-bench", shuffle_partitions=cpus,
                       extra={"spark.driver.memory": "16g",
-                             "spark.checkpoint.dir": f"{scratch}/checkpoints",
                              "spark.sql.files.maxPartitionBytes": str(32 * 1024 * 1024)})
     spark.sparkContext.setLogLevel("ERROR")
+    scratch = fresh_path(spark, "bench")  # under spark.checkpoint.dir (a private one only if unset)
 
     csv = f"{scratch}/bronze/events.csv"
     base = raw_events(spark, sf_dir)

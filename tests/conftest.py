@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -14,11 +13,10 @@ SF01 = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    from clickvault.session import get_spark
-    ckpt = tempfile.mkdtemp(prefix="clickvault-test-ckpt-")
-    s = get_spark("local[4]", app="clickvault-tests", shuffle_partitions=8,
-                  extra={"spark.checkpoint.dir": ckpt})
+    from clickvault.session import get_spark, staging_dir
+    s = get_spark("local[4]", app="clickvault-tests", shuffle_partitions=8)
     s.sparkContext.setLogLevel("ERROR")
+    staging_dir(s)  # the session's spark.checkpoint.dir; a private folder only if unset
     yield s
     s.stop()
 

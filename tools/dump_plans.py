@@ -12,7 +12,6 @@ import contextlib
 import io
 import os
 import sys
-import tempfile
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -23,7 +22,7 @@ from clickvault.operators import category as CA  # noqa: E402
 from clickvault.operators import engagement as EN  # noqa: E402
 from clickvault.operators import funnel as FU  # noqa: E402
 from clickvault.operators import quality as Q  # noqa: E402
-from clickvault.session import get_spark  # noqa: E402
+from clickvault.session import fresh_path, get_spark  # noqa: E402
 from clickvault.sources.tables import raw_events  # noqa: E402
 
 
@@ -41,9 +40,9 @@ def plan_text(df) -> str:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    scratch = tempfile.mkdtemp(prefix="clickvault-plans-")
-    spark = get_spark("local[8]", shuffle_partitions=8, extra={"spark.checkpoint.dir": f"{scratch}/ckpt"})
+    spark = get_spark("local[8]", shuffle_partitions=8)
     spark.sparkContext.setLogLevel("ERROR")
+    scratch = fresh_path(spark, "plans")
     bronze = f"{scratch}/bronze"
     raw_events(spark, sf).write.parquet(bronze)
     raw = spark.read.parquet(bronze)

@@ -41,24 +41,28 @@ def funnel_flags(first: DataFrame) -> DataFrame:
 def session_flags_any_after(silver: DataFrame) -> DataFrame:
     """Per session flags for ``any_after``.
 
-    Needs the first view before the carts can be judged, and the first
-    qualifying cart before the purchases: two per-session aggregates joined
-    back to the events on the session key (AQE splits a hot session), no
-    window over a whole session.
+    With fv = first view, the session reaches Cart iff its last cart is at
+    or after fv, and reaches Purchase iff some purchase is at or after the
+    first cart c* >= fv — which holds exactly when some cart lies in
+    [fv, last purchase] (then c* <= that cart <= last purchase; conversely
+    c* itself lies there). So: one per-session aggregate, and one pass of
+    the cart events joined to it on the session key (co-partitioned; AQE
+    splits a hot session); no window over a whole session.
     """
-    views = silver.filter(F.col("event_type") == "view").groupBy("user_session").agg(F.min(F.col("event_time")).alias("first_view"))
-    carts = (silver.filter(F.col("event_type") == "cart").select("user_session", F.col("event_time").alias("t"))
-             .join(views, "user_session")
-             .filter(F.col("t") >= F.col("first_view"))
-             .groupBy("user_session").agg(F.min("t").alias("first_cart")))
-    buys = (silver.filter(F.col("event_type") == "purchase").select("user_session", F.col("event_time").alias("t"))
-            .join(carts, "user_session")
-            .filter(F.col("t") >= F.col("first_cart"))
-            .groupBy("user_session").agg(F.min("t").alias("first_purchase")))
-    return (views.join(carts, "user_session", "left").join(buys, "user_session", "left")
-            .select("user_session", F.lit(True).alias("has_view"),
-                    F.col("first_cart").isNotNull().alias("reached_cart"),
-                    F.col("first_purchase").isNotNull().alias("reached_purchase")))
+    per_session = silver.groupBy("user_session").agg(
+        F.expr("min(CASE WHEN event_type = 'view' THEN event_time END) AS fv"),
+        F.expr("max(CASE WHEN event_type = 'cart' THEN event_time END) AS last_cart"),
+        F.expr("max(CASE WHEN event_type = 'purchase' THEN event_time END) AS last_purchase"),
+    ).filter("fv IS NOT NULL")
+    carts = silver.filter("event_type = 'cart'").selectExpr("user_session", "event_time AS t")
+    bought = (carts.join(per_session, "user_session")
+              .filter("t >= fv AND t <= last_purchase")
+              .select("user_session").distinct()
+              .withColumn("reached_purchase", F.lit(True)))
+    return (per_session.join(bought, "user_session", "left")
+            .selectExpr("user_session", "true AS has_view",
+                        "coalesce(last_cart >= fv, false) AS reached_cart",
+                        "coalesce(reached_purchase, false) AS reached_purchase"))
 
 
 def session_flags(silver: DataFrame, mode: str = "first_touch") -> DataFrame:

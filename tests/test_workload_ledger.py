@@ -113,3 +113,14 @@ def test_ledger_rules(spark):
     assert [(r.sample_size, r.adf_run_id) for r in latest] == [(100, "b"), (1000, "d")]
     assert [r.sample_size for r in LG.ledger_missing(ledger, (100, 500, 1000)).collect()] == [500]
     assert LG.ledger_table(ledger, (100, 500, 1000)).columns == list(LG.REPORT_COLUMNS)
+
+
+def test_gzip_csv_header_and_row_numbers(spark):
+    raw = make_raw(spark, [ev(sess=f"s{i}") for i in range(30)])
+    path = fresh_path(spark, "t-gz")
+    (raw.repartitionByRange(3, "source_row_number").sortWithinPartitions("source_row_number")
+     .select(*[c for c in raw.columns if c != "source_row_number"])
+     .write.option("header", True).option("compression", "gzip").csv(path))
+    back = read_bronze_csv(spark, path).orderBy("source_row_number").collect()
+    assert [r.source_row_number for r in back] == list(range(2, 32))
+    assert [r.user_session for r in back] == [f"s{i}" for i in range(30)]

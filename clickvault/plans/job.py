@@ -150,12 +150,13 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
         lambda: write_table(Q.rejected_records(tagged), p["rejected"], params.fmt),
     ])
     counts = obs.get
-    write_table(report_from_counts(spark, counts).coalesce(1), p["report"], params.fmt)
+    report = report_from_counts(spark, counts).coalesce(1)
     silver = (spark.read.parquet(p["silver"]) if params.fmt == "parquet"
               else spark.read.option("header", True).schema(SILVER).csv(p["silver"]))
     cached: list[DataFrame] = []
     gold = gold_tables(silver, params.quantiles, params.funnel_mode, cached=cached)
-    run_concurrently([df.count for df in cached])  # fill the shared caches once
+    # fill the shared caches once, while the report is written
+    run_concurrently([df.count for df in cached] + [lambda: write_table(report, p["report"], params.fmt)])
     sink_gold(gold, p["gold"], params.fmt)
     for df in cached:
         df.unpersist()

@@ -11,11 +11,11 @@ read back) or a cache whose lineage starts at a written table.
 
 from __future__ import annotations
 
+import re
 import threading
-from typing import NamedTuple
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clickvault.session import fresh_path
@@ -25,12 +25,8 @@ _CACHED: list[DataFrame] = []
 _LOCK = threading.Lock()
 # per-row overhead of a broadcast hash relation entry (row header + hash slot)
 _ROW_OVERHEAD = 32
-
-
-class Written(NamedTuple):
-    df: DataFrame
-    rows: int
-    bytes: int
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
 def _row_bytes(df: DataFrame):
@@ -44,41 +40,33 @@ def _row_bytes(df: DataFrame):
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the staging folder and read it back."""
-    return write_measured(df, name, measure=False).df
-
-
-def write_measured(df: DataFrame, name: str, measure: bool = True) -> Written:
-    """Write + read back; with ``measure`` the row count and payload bytes are
-    collected by the write job itself (no second job)."""
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    if measure:
-        obs = Observation(f"{name}-size")
-        df.observe(obs, F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")) \
-            .write.mode("overwrite").parquet(path)
-        got = obs.get
-        rows, size = int(got.get("rows") or 0), int(got.get("bytes") or 0)
-    else:
-        df.write.mode("overwrite").parquet(path)
-        rows = size = -1
-    return Written(spark.read.parquet(path), rows, size)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def parse_bytes(text: str) -> int:
+    """Spark byte-size strings: ``10485760``, ``10485760b``, ``20MB``, ``1g``."""
+    m = re.fullmatch(r"\s*(-?\d+)\s*([a-zA-Z]*)\s*", str(text))
+    if not m:
+        raise ValueError(f"not a byte size: {text!r}")
+    unit = m.group(2).lower() or "b"
+    if unit not in _UNITS:
+        raise ValueError(f"unknown byte unit in {text!r}")
+    return int(m.group(1)) * _UNITS[unit]
 
 
 def broadcast_limit(spark) -> int:
+    """The session's broadcast threshold in bytes (0 when broadcasts are off)."""
     raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", str(_DEFAULT_LIMIT))
     try:
-        value = int(str(raw).lower().rstrip("b"))
+        value = parse_bytes(raw)
     except ValueError:
         value = _DEFAULT_LIMIT
     return value if value > 0 else 0
 
 
-def broadcast_if_fits(w: Written, limit: int | None = None) -> DataFrame:
-    """Broadcast hint on a measured table when it fits ``limit``."""
-    limit = broadcast_limit(w.df.sparkSession) if limit is None else limit
-    return F.broadcast(w.df) if limit and 0 <= w.bytes <= limit else w.df
-
-
 def measure(df: DataFrame) -> tuple[int, int]:
     """Row count and payload bytes of ``df`` (one job)."""
     got = df.agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(df)).alias("bytes")).first()

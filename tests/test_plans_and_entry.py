@@ -150,3 +150,24 @@ def test_job_from_csv_numbers_rows_like_the_reader(spark):
     want = {(r.source_row_number, r.rejection_reason)
             for r in Q.rejected_records(Q.tag(read_bronze_csv(spark, csv))).collect()}
     assert got == want and len(got) == 255
+
+
+def test_audit_without_broadcasts_gives_same_numbers(spark):
+    """The path taken when repeated keys are too many to broadcast: written
+    sides and sort-merge joins (AQE), same report."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        tagged = Q.tag(raw_events(spark, SF001))
+        plan = _outside_cache(_plan(tagged))
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        r = {x.metric: x.value for x in Q.quality_report(tagged).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert (r["raw_rows"], r["duplicate_rows_removed"], r["clean_rows"]) == (1010, 5, 755)
+
+
+def test_parse_bytes():
+    from clickvault.plans.materialize import parse_bytes
+    assert parse_bytes("10485760b") == parse_bytes("10MB") == parse_bytes("10m") == 10 * 1024 * 1024
+    assert parse_bytes("-1") == -1 and parse_bytes("2g") == 2 << 30

@@ -53,23 +53,31 @@ def _fingerprint(df: DataFrame, keys) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.hash(*cols)
 
 
-def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame | None:
-    """Exact keys seen more than once, with the first ``order_col`` of each;
-    ``None`` when no key repeats.
-
-    1. group the narrow fingerprints (16 bytes a row instead of the whole
-       key; map-side combined, so a hot key ships one row per task);
-    2. keep fingerprints seen twice or more; written and measured in the
-       same job, broadcast if the measured size allows (else a shuffle join);
-    3. group only the candidate rows by the exact key.
-    """
+def repeated_fingerprints(df: DataFrame, keys) -> tuple[DataFrame, int]:
+    """Fingerprints seen twice or more (narrow rows, map-side combined, so a
+    hot key ships one row per task); measured, broadcast-hinted when they
+    fit. Needs only the key columns (no row order)."""
     h1, h2 = _fingerprint(df, keys)
     hot = (df.select(h1.alias("_h1"), h2.alias("_h2"))
            .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > 1).select("_h1", "_h2"))
-    hot, n_hot = small_side(hot, "dup-fingerprints")
+    return small_side(hot, "dup-fingerprints")
+
+
+def repeated_keys(df: DataFrame, keys, order_col: str = ROW,
+                  fingerprints: tuple[DataFrame, int] | None = None) -> DataFrame | None:
+    """Exact keys seen more than once, with the first ``order_col`` of each;
+    ``None`` when no key repeats.
+
+    1. fingerprints seen twice or more (``repeated_fingerprints``, or the
+       result of an earlier call on the same rows);
+    2. group only the candidate rows (joined to those fingerprints) by the
+       exact key.
+    """
+    hot, n_hot = fingerprints if fingerprints is not None else repeated_fingerprints(df, keys)
     if n_hot == 0:
         return None
+    h1, h2 = _fingerprint(df, keys)
     candidates = (df.select(*keys, order_col, h1.alias("_h1"), h2.alias("_h2"))
                   .join(hot, ["_h1", "_h2"], "left_semi"))
     return (candidates.groupBy(*keys)
@@ -78,7 +86,8 @@ def repeated_keys(df: DataFrame, keys, order_col: str = ROW) -> DataFrame | None
 
 
 def mark_duplicates(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str = ROW,
-                    flag: str = "_is_duplicate") -> DataFrame:
+                    flag: str = "_is_duplicate",
+                    fingerprints: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Add ``flag``: true for every row but the first (by ``order_col``) of its key.
 
     Nulls compare equal, as in pandas ``duplicated``. Runs one or two small
@@ -86,7 +95,7 @@ def mark_duplicates(df: DataFrame, keys: list[str] | tuple[str, ...], order_col:
     repeats); the returned frame is lazy and, when the repeated keys fit a
     broadcast, has no shuffle of the rows at all.
     """
-    firsts = repeated_keys(df, keys, order_col)
+    firsts = repeated_keys(df, keys, order_col, fingerprints)
     if firsts is None:
         return df.select("*", F.lit(False).alias(flag))
     firsts, _ = small_side(firsts, "dup-firsts")
@@ -125,12 +134,20 @@ def reason_expr(is_duplicate: str = "_is_duplicate") -> Column:
     return F.expr(reason_sql(is_duplicate))
 
 
+def dedupe_keys(dedupe: str = "raw") -> tuple[str, ...]:
+    if dedupe not in DEDUPE_MODES:
+        raise ValueError(f"dedupe must be one of {DEDUPE_MODES}, got {dedupe!r}")
+    return RAW_COLUMNS if dedupe == "raw" else _NORMALISED_KEYS
+
+
 def tag(raw: DataFrame, dedupe: str = "raw", time_format: str | None = DEFAULT_TIME_FORMAT,
-        order_col: str = ROW) -> DataFrame:
+        order_col: str = ROW, fingerprints: tuple[DataFrame, int] | None = None) -> DataFrame:
     """Raw rows + helpers + ``rejection_reason``.
 
     ``dedupe="raw"``: copies are equal raw text (before normalising);
     ``dedupe="normalised"``: equal after parsing time, type and price.
+    ``fingerprints``: ``repeated_fingerprints`` of the same rows (with the
+    parsed helpers), when computed beforehand.
     """
     if dedupe not in DEDUPE_MODES:
         raise ValueError(f"dedupe must be one of {DEDUPE_MODES}, got {dedupe!r}")
@@ -138,8 +155,7 @@ def tag(raw: DataFrame, dedupe: str = "raw", time_format: str | None = DEFAULT_T
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
     parsed = with_parsed(raw, time_format)
-    keys = RAW_COLUMNS if dedupe == "raw" else _NORMALISED_KEYS
-    flagged = mark_duplicates(parsed, keys, order_col)
+    flagged = mark_duplicates(parsed, dedupe_keys(dedupe), order_col, fingerprints=fingerprints)
     return flagged.selectExpr("*", f"{reason_sql()} AS {REASON}").drop("_is_duplicate")
 
 

@@ -138,11 +138,17 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
         # one CSV parse: Bronze keeps each row's split position; row numbers
         # come from the Parquet copy (a 3-column aggregate)
         write_table(read_bronze_csv(spark, params.input_path, positions=True), p["bronze"])
-        raw = number_positions(spark.read.parquet(p["bronze"]))
+        bronze = spark.read.parquet(p["bronze"])
+        # row numbering and the duplicate fingerprints are independent: run both jobs at once
+        keys = Q.dedupe_keys(params.dedupe)
+        raw, fingerprints = run_concurrently([
+            lambda: number_positions(bronze),
+            lambda: Q.repeated_fingerprints(Q.with_parsed(bronze), keys)])
     else:
         write_table(raw, p["bronze"])
         raw = spark.read.parquet(p["bronze"])
-    tagged = Q.tag(raw, dedupe=params.dedupe)
+        fingerprints = None
+    tagged = Q.tag(raw, dedupe=params.dedupe, fingerprints=fingerprints)
     obs = Observation("quality")
     observed = tagged.observe(obs, *_reason_metrics())
     run_concurrently([

@@ -171,3 +171,11 @@ def test_parse_bytes():
     from clickvault.plans.materialize import parse_bytes
     assert parse_bytes("10485760b") == parse_bytes("10MB") == parse_bytes("10m") == 10 * 1024 * 1024
     assert parse_bytes("-1") == -1 and parse_bytes("2g") == 2 << 30
+
+
+def test_job_from_csv_normalised_rule(spark):
+    from clickvault.sources.bronze import write_bronze_csv
+    csv = fresh_path(spark, "t-job-csv-n")
+    write_bronze_csv(raw_events(spark, SF001), csv)
+    rec = run_job(spark, JobParams(base=fresh_path(spark, "t-job-n"), input_path=csv, dedupe="normalised"))
+    assert (rec["raw_rows"], rec["clean_rows"]) == (1010, 752)

@@ -7,8 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickvault.llm.common import fresh_path
 from clickvault.llm.packing import pack
+from clickvault.llm.simhash import near_duplicates
 from clickvault.llm.tokens import default_tokenizer
+from clickvault.llm.warc import read_warc, write_warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -32,3 +35,25 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Harmonic packing of all documents into sequences of 2048 tokens."""
     return pack(table(spark, sf_dir, "documents"), default_tokenizer()).select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@register("op10_warc", """
+SELECT p.page_id, p.payload_bytes, p.payload_digest,
+       CASE WHEN m.target > p.page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN m.target > p.page_id THEN m.target END AS refers_to
+FROM (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes,
+             sha1(coalesce(html, '')) AS payload_digest FROM pages) p
+LEFT JOIN (SELECT html, max(page_id) AS target FROM pages WHERE strlen(html) >= 1000 GROUP BY html) m ON m.html = p.html
+""")
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC files and read back from them."""
+    out = fresh_path(spark, "warc")
+    write_warc(table(spark, sf_dir, "pages"), out)
+    return read_warc(spark, out).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register("op2_simhash_dedup")
+def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash components of all documents: 3-word shingles, 2 bits."""
+    return near_duplicates(table(spark, sf_dir, "documents")).select(
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")

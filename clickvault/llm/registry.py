@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path
 from clickvault.llm.packing import pack
+from clickvault.llm.repeats import remove_repeats
 from clickvault.llm.simhash import near_duplicates
 from clickvault.llm.tokens import default_tokenizer
 from clickvault.llm.warc import read_warc, write_warc
@@ -57,3 +58,10 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SimHash components of all documents: 3-word shingles, 2 bits."""
     return near_duplicates(table(spark, sf_dir, "documents")).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@register("op5_substring_dedup")
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the words of repeated 35-word windows."""
+    return remove_repeats(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -36,6 +36,17 @@ def _byte_letters() -> list[str]:
     return out
 
 
+class Pieces(dict):
+    """Ids of the pieces seen so far; a new piece is encoded when it is asked for."""
+
+    def __init__(self, encode):
+        self.encode = encode
+
+    def __missing__(self, piece: bytes) -> bytes:
+        ids = self[piece] = self.encode(piece)
+        return ids
+
+
 class Encoder:
     """Ids of one text at a time; ``dtype`` is the smallest that holds every id."""
 
@@ -57,7 +68,7 @@ class Encoder:
         self.plain = (self.pieces and model["type"] == "BPE" and not model.get("dropout")
                       and [x["type"] for x in pre["pretokenizers"]] == ["Split", "ByteLevel"])
         self.letters = _byte_letters()
-        self.most, self.known = most, {}
+        self.most, self.known = most, Pieces(self._piece)
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -79,14 +90,9 @@ class Encoder:
         """Ids of a text given in UTF-8, as bytes of ``dtype``."""
         if not self.pieces:
             return self._library(raw.decode("utf-8", "replace"))
-        words, known = raw.split(), self.known
-        if new := set(words).difference(known):
-            if len(known) + len(new) > self.most:
-                known.clear()
-                new = set(words)
-            for w in new:
-                known[w] = self._piece(w)
-        return b"".join([known[w] for w in words])
+        if len(self.known) > self.most:
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, raw.split()))
 
 
 @lru_cache(maxsize=2)

@@ -48,6 +48,14 @@ def alnum_words(text: Column) -> Column:
     return F.filter(parts, lambda w: w != "")
 
 
+def with_words(df: DataFrame, text: str, out: str) -> DataFrame:
+    """Replaces ``text`` by its ``ALNUM_WORDS``, computed once: a generator of
+    one row keeps the optimizer from writing the split into what is built on
+    it, where a lambda would run it again for every element."""
+    kept = [c for c in df.columns if c != text]
+    return df.select(*kept, F.explode_outer(F.array(alnum_words(F.col(text)))).alias(out))
+
+
 def batched(rows: Iterator[dict], schema: pa.Schema, most_rows: int = 4096,
             most_bytes: int = 16 << 20, weigh: str | None = None) -> Iterator[pa.RecordBatch]:
     """Arrow batches of bounded rows and bytes (``weigh``: the column that holds the bytes)."""

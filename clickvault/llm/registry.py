@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path
+from clickvault.llm.language import fit, held_out, identify, training_rows
+from clickvault.llm import leaks, licenses
 from clickvault.llm.packing import pack
+from clickvault.llm.quality import judge
 from clickvault.llm.repeats import remove_repeats
 from clickvault.llm.simhash import near_duplicates
 from clickvault.llm.tokens import default_tokenizer
@@ -65,3 +68,31 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the words of repeated 35-word windows."""
     return remove_repeats(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@register("op7_language_id")
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents, learned from those that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    return identify(docs, fit(training_rows(docs))).select(
+        "doc_id", held_out().alias("held_out"), "lang_pred", "score", "ambiguous")
+
+
+@register("op9_quality")
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed quality rules and robust outliers over all documents."""
+    return judge(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance")
+
+
+@register("op3_license_scan", licenses.oracle_sql())
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence phrases and notices in all documents."""
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@register("op6_decontamination", leaks.oracle_sql())
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents that stand in 10-word windows of benchmark items."""
+    return leaks.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")

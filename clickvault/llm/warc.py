@@ -19,13 +19,15 @@ readers see it as no bytes.
 Null html: an empty payload. Null url: ``urn:x-none``; control characters,
 spaces and code points from U+0080 in an address are percent-encoded. Null
 page ids come first and are never the response of another record. Rows with
-the same payload and the same largest id are responses each. An empty table
+the same payload and the same largest id are responses each; repeats of a
+whole row lie in one file. An empty table
 gives a manifest without files.
 """
 
 from __future__ import annotations
 
 import base64
+import bisect
 import hashlib
 import zlib
 from collections.abc import Iterator
@@ -42,8 +44,8 @@ from clickvault.plans.materialize import small_side
 
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000").decode("latin-1")
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-_RECORD = pa.schema([("page_id", pa.int64()), ("digest", pa.string()), ("uri", pa.string()), ("record", pa.binary()),
-                     ("size", pa.int64())])
+_SIZE = pa.schema([("page_id", pa.int64()), ("digest", pa.string()), ("uri", pa.string()), ("size", pa.int64())])
+_RECORD = pa.schema([("file_no", pa.int32()), ("page_id", pa.int64()), ("digest", pa.string()), ("uri", pa.string()), ("record", pa.binary())])
 READ = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, uri string, payload binary"
 _READ = pa.schema([("page_id", pa.int64()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()),
                    ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string()), ("payload", pa.binary())])
@@ -87,56 +89,96 @@ def with_targets(pages: DataFrame, least: int = 1000) -> DataFrame:
         F.when(F.col("target").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("target")), F.col("target")).alias("refers_to"))
 
 
-def write_warc(pages: DataFrame, out: str, roll_bytes: int = 32 << 20, least: int = 1000, level: int = 6,
-               date: str = "2000-01-01T00:00:00Z") -> list[dict]:
-    """Write ``pages`` (``page_id url html``) as ``out/pages-NNNNNNNN.warc.gz``
-    and ``out/manifest.json``; returns the manifest (one entry a file)."""
-    spark = pages.sparkSession
+def _member(row: tuple, level: int, date: str) -> tuple[str, bytes]:
+    """Address and gzip member of a row (page_id, url, html, digest, refers_to)."""
+    page, url, html, digest, target = row
+    uri, z = address(url), zlib.compressobj(level, zlib.DEFLATED, 31)
+    return uri, z.compress(build(page, uri, html.encode(), digest, target, date)) + z.flush()
 
-    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def rows():
-            for batch in batches:
-                cols = batch.to_pydict()
-                for page, url, html, digest, target in zip(*(cols[c] for c in ("page_id", "url", "html", "digest", "refers_to")), strict=True):
-                    uri = address(url)
-                    raw, z = build(page, uri, html.encode(), digest, target, date), zlib.compressobj(level, zlib.DEFLATED, 31)
-                    member = z.compress(raw) + z.flush()
-                    yield {"page_id": page, "digest": digest, "uri": uri, "record": member, "size": len(member) + len(EMPTY_MEMBER)}
 
-        yield from batched(rows(), _RECORD, weigh="record")
+def _key(page: int | None, digest: str, uri: str) -> tuple:
+    """Records are ordered by this, as Spark orders the three columns."""
+    return page is not None, page or 0, digest, uri
+
 
+def _rows(batch: pa.RecordBatch):
+    cols = batch.to_pydict()
+    return zip(*(cols[c] for c in ("page_id", "url", "html", "digest", "refers_to")), strict=True)
+
+
+def file_starts(sizes: DataFrame, roll_bytes: int) -> list[tuple]:
+    """The first key of each file, and the file's records and bytes.
+
+    ``sizes`` (``page_id digest uri size``) is sorted by ranges; each range's
+    running sum starts at the sum of the ranges before it.
+    """
     def running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         before = 0
         for batch in batches:
             size = batch.column("size").to_numpy(zero_copy_only=False).astype("int64")
-            at = before + np.cumsum(size) - size
+            yield batch.append_column("at", pa.array(before + np.cumsum(size) - size, pa.int64()))
             before += int(size.sum())
-            yield batch.append_column("at", pa.array(at, pa.int64()))
 
     order = ["page_id", "digest", "uri"]
-    kind = "page_id long, digest string, uri string, record binary, size long"
-    records = materialize(with_targets(pages, least).mapInArrow(encode, kind), "warc-records")
-    total = records.agg(F.sum("size")).first()[0] or 0
-    ranged = (records.repartitionByRange(max(1, -(-total // roll_bytes)), *order).sortWithinPartitions(*order)
+    total = sizes.agg(F.sum("size")).first()[0] or 0
+    ranged = (sizes.repartitionByRange(max(1, -(-total // roll_bytes)), *order).sortWithinPartitions(*order)
               .withColumn("part", F.spark_partition_id()))
-    ranged = materialize(ranged.mapInArrow(running, kind + ", part int, at long"), "warc-ranged")
-    # one row a range partition; the partitions are as many as the files
+    ranged = materialize(ranged.mapInArrow(running, "page_id long, digest string, uri string, size long, part int, at long"), "warc-ranged")
+    # one row a range; the ranges are as many as the files
     sums = ranged.groupBy("part").agg(F.sum("size").alias("bytes"))
     first = sums.select("part", (F.sum("bytes").over(Window.orderBy("part")) - F.col("bytes")).alias("first"))
     placed = ranged.join(first, "part").withColumn("at", F.col("first") + F.col("at"))
-    placed = placed.withColumn("file_no", F.floor(F.col("at") / roll_bytes))
-    temp = f"{out.rstrip('/')}/_temporary-{fresh_path(spark, 'w').rsplit('-', 1)[1]}"
-    write_blobs(placed.repartition("file_no").sortWithinPartitions("file_no", "at"), temp, "record", EMPTY_MEMBER, by="file_no")
-    files = {int(p.rsplit("file_no=", 1)[1].split("/")[0]): (p, n) for p, n in list_files(spark, temp)}
-    facts = {r["file_no"]: r for r in placed.groupBy("file_no").agg(F.count(F.lit(1)).alias("records"), F.min("page_id").alias("lo"),
-                                                                  F.max("page_id").alias("hi"), F.sum("size").alias("bytes")).collect()}
-    if files.keys() != facts.keys() or any(files[k][1] != facts[k]["bytes"] for k in facts):
-        raise OSError(f"the files under {temp} are not what was written")
-    names = {k: f"pages-{i:08d}.warc.gz" for i, k in enumerate(sorted(facts))}
-    manifest = [{"file": names[k], "records": facts[k]["records"], "bytes": facts[k]["bytes"],
-                 "first_page_id": facts[k]["lo"], "last_page_id": facts[k]["hi"]} for k in sorted(facts)]
+    # repeats of a row have one key, and stay together
+    keys = placed.groupBy(*order).agg(F.min("at").alias("at"), F.sum("size").alias("size"), F.count(F.lit(1)).alias("n"))
+    files = keys.groupBy(F.floor(F.col("at") / roll_bytes).alias("file")).agg(
+        F.min(F.struct("at", *order)).alias("k"), F.sum("n").alias("records"), F.sum("size").alias("bytes"), F.max("page_id").alias("last"))
+    return [(_key(*r["k"][1:]), r["k"]["page_id"], r["last"], r["records"], r["bytes"]) for r in files.orderBy("file").collect()]
+
+
+def write_warc(pages: DataFrame, out: str, roll_bytes: int = 32 << 20, least: int = 1000, level: int = 6,
+               date: str = "2000-01-01T00:00:00Z") -> list[dict]:
+    """Write ``pages`` (``page_id url html``) as ``out/pages-NNNNNNNN.warc.gz``
+    and ``out/manifest.json``; returns the manifest (one entry a file).
+
+    Records are made twice: once for their sizes, which place the files'
+    borders, and once to be written, so only finished members are shuffled,
+    and once.
+    """
+    spark = pages.sparkSession
+    rows = with_targets(pages, least)
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def sized():
+            for batch in batches:
+                for row in _rows(batch):
+                    uri, member = _member(row, level, date)
+                    yield {"page_id": row[0], "digest": row[3], "uri": uri, "size": len(member) + len(EMPTY_MEMBER)}
+
+        yield from batched(sized(), _SIZE)
+
+    starts = file_starts(materialize(rows.mapInArrow(measure, "page_id long, digest string, uri string, size long"), "warc-sizes"), roll_bytes)
+    borders = [s[0] for s in starts]
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def records():
+            for batch in batches:
+                for row in _rows(batch):
+                    uri, member = _member(row, level, date)
+                    key = _key(row[0], row[3], uri)
+                    yield {"file_no": bisect.bisect_right(borders, key) - 1, "page_id": row[0], "digest": row[3], "uri": uri, "record": member}
+
+        yield from batched(records(), _RECORD, weigh="record")
+
+    records = rows.mapInArrow(encode, "file_no int, page_id long, digest string, uri string, record binary")
     base = out.rstrip("/")
-    commit_files(spark, [(files[k][0], f"{base}/{names[k]}") for k in sorted(facts)], f"{base}/manifest.json", manifest)
+    temp = f"{base}/_temporary-{fresh_path(spark, 'w').rsplit('-', 1)[1]}"
+    write_blobs(records.repartition("file_no").sortWithinPartitions("file_no", "page_id", "digest", "uri"), temp, "record", EMPTY_MEMBER, by="file_no")
+    files = {int(p.rsplit("file_no=", 1)[1].split("/")[0]): (p, n) for p, n in list_files(spark, temp)}
+    if [files[i][1] for i in sorted(files)] != [s[4] for s in starts]:
+        raise OSError(f"the files under {temp} are not as long as their records")
+    manifest = [{"file": f"pages-{i:08d}.warc.gz", "first_page_id": lo, "last_page_id": hi, "records": n, "bytes": size}
+                for i, (_, lo, hi, n, size) in enumerate(starts)]
+    commit_files(spark, [(files[i][0], f"{base}/{m['file']}") for i, m in enumerate(manifest)], f"{base}/manifest.json", manifest)
     return manifest
 
 

@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 from clickvault.llm.common import columns_of, pick
 from clickvault.plans.materialize import small_side
@@ -244,18 +245,25 @@ def fit(labelled: DataFrame, per_lang: int = 400, n_gram: int = 4, bits: int = 1
 
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, lang_pred, score, ambiguous`` of every row; only the text is looked at."""
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("ambiguous", pa.bool_())])
+    return label(pick(docs, id_col, text_col).toDF("doc_id", "text"), model).drop("text")
+
+
+def label(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[str, ...] = ("lang_pred", "score", "ambiguous")) -> DataFrame:
+    """All columns of ``docs`` and the prediction under ``names``, in one pass."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # a few MB: 2^bits rows of log odds
+    kinds = ((0, pa.string()), (1, pa.float64()), (2, pa.bool_()))
+    schema = StructType([*docs.schema.fields, *(StructField(n, t) for n, t in zip(names, (StringType(), DoubleType(), BooleanType()), strict=True))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                ids, texts = columns_of(batch.slice(at, 256), id_col, text_col)
-                got = shared.value.predict(texts) if shared.value.langs else [("und", 0.0, False)] * len(ids)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *(pa.array([g[i] for g in got], t) for i, t in
-                                                  ((0, pa.string()), (1, pa.float64()), (2, pa.bool_())))], schema=schema)
-
-    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, lang_pred string, score double, ambiguous boolean")
+        for whole in batches:
+            for at in range(0, whole.num_rows, 256):
+                batch = whole.slice(at, 256)
+                (texts,) = columns_of(batch, text_col)
+                got = shared.value.predict(texts) if shared.value.langs else [("und", 0.0, False)] * len(texts)
+                cols = [*batch.columns, *(pa.array([g[i] for g in got], t) for i, t in kinds)]
+                yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *names])
+
+    return docs.mapInArrow(run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

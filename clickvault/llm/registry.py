@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path
 from clickvault.llm.language import fit, held_out, identify, training_rows
-from clickvault.llm import leaks, licenses
+from clickvault.llm import leaks, licenses, personal
 from clickvault.llm.packing import pack
 from clickvault.llm.quality import judge
 from clickvault.llm.repeats import remove_repeats
 from clickvault.llm.simhash import near_duplicates
+from clickvault.llm.tokenfile import read_tokens, write_tokens
 from clickvault.llm.tokens import default_tokenizer
 from clickvault.llm.warc import read_warc, write_warc
 
@@ -96,3 +97,19 @@ def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents that stand in 10-word windows of benchmark items."""
     return leaks.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@register("op8_personal_data")
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all documents: fixed kinds, and identifiers found by context."""
+    found = personal.find(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_email", "n_ip", "n_card", "n_phone", F.sha2(personal.listed("base"), 256).alias("base_sha256"),
+                        personal.listed("spans").alias("spans"))
+
+
+@register("op1_token_files")
+def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents written as coded blocks and read back from the files."""
+    out = fresh_path(spark, "tokens")
+    write_tokens(table(spark, sf_dir, "documents"), out, default_tokenizer())
+    return read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

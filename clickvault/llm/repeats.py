@@ -13,17 +13,14 @@ level needs and packed as differences, to the bucket of each key, with the
 keys that already repeat inside the part marked. So a window that occurs in a
 third of all documents arrives once a part, not once an occurrence. A bucket
 answers each group with those of its keys that occur elsewhere too. Groups
-meet the answers where their texts already are (one exchange of the texts,
-used by both sides). The last level compares 128 bits of two independent
-hashes; the levels before may let a few candidates through that do not
-repeat, which the last one rejects.
+meet the answers where their texts already are: the texts are exchanged once,
+and that exchange serves every level. The last level compares 128 bits of two
+independent hashes; the levels before may let a few candidates through that
+do not repeat, which the last one rejects.
 
 A row's group follows from its id and text, so copies of a text spread over
 the groups; only exact repeats of a whole row share one.
 
-Documents without candidates are finished at the first level; only the
-others are carried on.
-
 Null text: no words. Texts shorter than the window are kept whole. Repeated
 rows count as occurrences of their own. Empty table: no rows.
 """
@@ -37,14 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import batched, materialize, pick
+from clickvault.llm.common import batched, pick
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _PART = pa.schema([("bucket", pa.int32()), ("grp", pa.int32()), ("twice", pa.bool_()), ("keys", pa.binary())])
-_ANSWER = pa.schema([("grp", pa.int32()), ("keys", pa.binary())])
-_STATE = pa.schema([("grp", pa.int32()), ("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()),
-                    ("n_removed", pa.int64()), ("candidates", pa.binary())])
-STATE = "grp int, doc_id long, text string, n_words long, n_removed long, candidates binary"
+_ANSWER = pa.schema([("grp", pa.int32()), ("bucket", pa.int32()), ("keys", pa.binary())])
+_OUT = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64())])
+PART, ANSWER, OUT = "bucket int, grp int, twice boolean, keys binary", "grp int, bucket int, keys binary", "doc_id long, text string, n_words long, n_removed long"
 
 
 def ladder(window: int, first: int) -> list[int]:
@@ -90,19 +86,11 @@ def windows(lane: np.ndarray, n: int) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def eligible(candidates: np.ndarray | None, n_words: int, length: int, before: int) -> np.ndarray:
-    """Starts whose first and last part of ``before`` words both repeat (all, at the first level)."""
-    n = max(0, n_words - length + 1)
-    if candidates is None:
-        return np.ones(n, bool)
-    return candidates[:n] & candidates[length - before:length - before + n]
-
-
 class Level:
     """How keys of one level are cut, bucketed and packed."""
 
-    def __init__(self, length: int, before: int, last: bool, buckets: int, bits: int):
-        self.length, self.before, self.last, self.buckets = length, before, last, buckets
+    def __init__(self, length: int, last: bool, buckets: int, bits: int):
+        self.length, self.last, self.buckets = length, last, buckets
         self.shift = np.uint64(0 if last else max(0, 64 - bits))
 
     def keys(self, words: list[bytes]) -> np.ndarray:
@@ -163,45 +151,74 @@ def among(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
     return hit
 
 
-def _bitmap(data: bytes | None) -> np.ndarray | None:
-    return None if data is None else np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool)
+class Sets:
+    """Window keys of some groups, gathered and handed on as packed sets."""
+
+    def __init__(self, level: Level, most: int):
+        self.level, self.most, self.size, self.held = level, most, 0, {}
+
+    def add(self, grp: int, keys: np.ndarray) -> Iterator[dict]:
+        if len(keys):
+            self.held.setdefault(grp, []).append(keys)
+            self.size += len(keys)
+            if self.size >= self.most:
+                yield from self.flush()
+
+    def flush(self) -> Iterator[dict]:
+        for grp, parts in self.held.items():
+            keys, twice = repeated_rows(sort_rows(np.concatenate(parts)))
+            where = self.level.bucket(keys) * 2 + twice
+            order = np.argsort(where, kind="stable")
+            ids, starts = np.unique(where[order], return_index=True)
+            for x, own in zip(ids.tolist(), np.split(keys[order], starts[1:]), strict=True):
+                yield {"bucket": x // 2, "grp": grp, "twice": bool(x % 2), "keys": self.level.pack(own)}
+        self.held, self.size = {}, 0
+
+
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode().split()
 
 
-def _send(level: Level, most_words: int):
-    """Groups' rows (``grp text candidates``) to their packed key sets."""
+def _first(level: Level, most: int):
+    """Documents (``grp doc_id text``) to the key sets of all their windows."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[np.ndarray]] = {}
-        size = 0
-
-        def flush():
-            for grp, parts in held.items():
-                keys, twice = repeated_rows(sort_rows(np.concatenate(parts)))
-                bucket = level.bucket(keys)
-                order = np.argsort(bucket * 2 + twice, kind="stable")
-                ids, starts = np.unique((bucket * 2 + twice)[order], return_index=True)
-                for x, own in zip(ids.tolist(), np.split(keys[order], starts[1:]), strict=True) if len(keys) else ():
-                    yield {"bucket": x // 2, "grp": grp, "twice": bool(x % 2), "keys": level.pack(own)}
-            held.clear()
+        sets = Sets(level, most)
 
         def rows():
-            nonlocal size
             for batch in batches:
-                for row in batch.to_pylist():
-                    words = (row["text"] or "").encode().split()
-                    ok = eligible(_bitmap(row["candidates"]), len(words), level.length, level.before)
-                    if ok.any():
-                        held.setdefault(row["grp"], []).append(level.keys(words)[ok])
-                        size += int(ok.sum())
-                        if size >= most_words:
-                            yield from flush()
-                            size = 0
-            yield from flush()
+                for grp, text in zip(batch.column("grp").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    yield from sets.add(grp, level.keys(_words(text)))
+            yield from sets.flush()
 
         yield from batched(rows(), _PART, weigh="keys")
 
     return run
 
 
+def _known(level: Level, answers: pa.Table) -> np.ndarray:
+    """All repeated keys that a group's answers hold, sorted."""
+    got = [level.unpack(k, b) for k, b in zip(answers.column("keys").to_pylist(), answers.column("bucket").to_pylist(), strict=True)]
+    return sort_rows(np.concatenate(got)) if got else np.zeros((0, 2 if level.last else 1), np.uint64)
+
+
+def _longer(before: Level, level: Level, most: int):
+    """A group's documents and answers to the key sets of the windows whose first and last part both repeat."""
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        sets, known, rows = Sets(level, most), _known(before, answers), []
+        for grp, text in zip(docs.column("grp").to_pylist(), docs.column("text").to_pylist(), strict=True) if len(known) else ():
+            words = _words(text)
+            n = len(words) - level.length + 1
+            if n > 0:
+                ok = among(before.keys(words), known)
+                ok = ok[:n] & ok[level.length - before.length:][:n]
+                if ok.any():
+                    rows += sets.add(grp, level.keys(words)[ok])
+        rows += sets.flush()
+        return pa.Table.from_pylist(rows, schema=_PART)
+
+    return run
+
+
 def _count(level: Level):
     """A bucket's parts to answers: for each group those of its keys that occur more than once in all."""
     def run(table: pa.Table) -> pa.Table:
@@ -216,39 +233,26 @@ def _count(level: Level):
             hit = p[among(p, found)]
             if len(hit):
                 by.setdefault(grp, []).append(hit)
-        out = {g: repeated_rows(sort_rows(np.concatenate(hits)))[0] for g, hits in by.items()}
-        return pa.table({"grp": pa.array(list(out), pa.int32()), "keys": pa.array([k.tobytes() for k in out.values()], pa.binary())},
-                        schema=_ANSWER)
+        rows = [{"grp": g, "bucket": bucket, "keys": level.pack(repeated_rows(sort_rows(np.concatenate(hits)))[0])} for g, hits in by.items()]
+        return pa.Table.from_pylist(rows, schema=_ANSWER)
 
     return run
 
 
-def _mark(level: Level, window: int):
-    """A group's documents and answers to the documents' next state."""
+def _finish(level: Level):
+    """A group's documents and the last answers to what is kept of each."""
     def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
-        found = [np.frombuffer(k, "<u8").reshape(-1, 2 if level.last else 1) for k in answers.column("keys").to_pylist()]
-        found = sort_rows(np.concatenate(found)) if found else np.zeros((0, 2 if level.last else 1), np.uint64)
-        rows = []
-        for row in docs.to_pylist():
-            words = (row["text"] or "").encode().split()
-            n = len(words)
-            ok = eligible(_bitmap(row["candidates"]), n, level.length, level.before)
-            if ok.any():
-                at = np.flatnonzero(ok)
-                ok[at] = among(level.keys(words)[at], found)
-            if level.last:
-                cover = np.zeros(n + 1, np.int64)
-                np.add.at(cover, np.flatnonzero(ok), 1)
-                np.add.at(cover, np.flatnonzero(ok) + window, -1)
-                gone = np.cumsum(cover[:n]) > 0
-                kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g]
-                row |= {"text": b" ".join(kept).decode(), "n_words": n, "n_removed": int(gone.sum()), "candidates": None}
-            elif len(ok) and ok.any():
-                row |= {"n_words": n, "n_removed": None, "candidates": np.packbits(ok).tobytes()}
-            else:
-                row |= {"text": b" ".join(words).decode(), "n_words": n, "n_removed": 0, "candidates": None}
-            rows.append({k: row[k] for k in _STATE.names})
-        return pa.Table.from_pylist(rows, schema=_STATE)
+        known, rows = _known(level, answers), []
+        for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True):
+            words = _words(text)
+            starts = np.flatnonzero(among(level.keys(words), known)) if len(known) and len(words) >= level.length else np.zeros(0, np.int64)
+            gone = np.zeros(len(words) + 1, np.int64)
+            np.add.at(gone, starts, 1)
+            np.add.at(gone, starts + level.length, -1)
+            gone = np.cumsum(gone[:len(words)]) > 0
+            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if len(starts) else words
+            rows.append({"doc_id": doc, "text": b" ".join(kept).decode(), "n_words": len(words), "n_removed": len(words) - len(kept)})
+        return pa.Table.from_pylist(rows, schema=_OUT)
 
     return run
 
@@ -266,20 +270,16 @@ def remove_repeats(docs: DataFrame, window: int = 35, first: int = 18, group_byt
     words = max(1, size // 4)  # an upper figure for the numbers of groups, buckets and bits only
     groups, buckets = max(1, -(-size // group_bytes)), max(1, -(-words // bucket_windows))
     bits = min(64, max(24, words.bit_length() + 7))  # under one false candidate in a hundred windows
-    state = (pick(docs, id_col, text_col).toDF("doc_id", "text")
+    texts = (pick(docs, id_col, text_col).toDF("doc_id", "text")
              .withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(groups)).cast("int"))
-             .withColumn("candidates", F.lit(None).cast("binary")).select("grp", "doc_id", "text", "candidates").repartition("grp"))
-    done, before = None, 0
-    lengths = ladder(window, first)
-    for length in lengths:
-        level = Level(length, before, length == window, buckets, bits)
-        parts = state.mapInArrow(_send(level, part_windows), "bucket int, grp int, twice boolean, keys binary")
-        answers = parts.groupBy("bucket").applyInArrow(_count(level), "grp int, keys binary")
-        marked = state.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(_mark(level, window), STATE)
-        if not level.last:
-            marked = materialize(marked, f"repeats-{length}")
-        ended = marked.filter("candidates IS NULL").select("doc_id", "text", "n_words", "n_removed")
-        done = ended if done is None else done.unionByName(ended)
-        state = marked.filter("candidates IS NOT NULL").select("grp", "doc_id", "text", "candidates").repartition("grp")
-        before = length
-    return done
+             .select("grp", "doc_id", "text").repartition("grp"))
+    by_group, before, answers = texts.groupBy("grp"), None, None
+    for length in ladder(window, first):
+        level = Level(length, length == window, buckets, bits)
+        if before is None:
+            parts = texts.mapInArrow(_first(level, part_windows), PART)
+        else:
+            parts = by_group.cogroup(answers.groupBy("grp")).applyInArrow(_longer(before, level, part_windows), PART)
+        answers = parts.groupBy("bucket").applyInArrow(_count(level), ANSWER)
+        before = level
+    return by_group.cogroup(answers.groupBy("grp")).applyInArrow(_finish(level), OUT)

@@ -46,7 +46,7 @@ def test_window_keys(words, n):
 @pytest.mark.parametrize("last", [False, True])
 def test_pack_and_sets(last):
     rng = np.random.default_rng(1)
-    level = Level(5, 0, last, 7, 40)
+    level = Level(5, last, 7, 40)
     keys = rng.integers(0, 1 << 40, (500, 2 if last else 1), dtype=np.uint64)
     keys = np.concatenate([keys, keys[:50]])
     own, twice = repeated_rows(sort_rows(keys))

@@ -49,8 +49,14 @@ def event_type_is_valid_sql(normalised: str) -> str:
     return f"coalesce({normalised} IN ({types}), false)"
 
 
+# Decimal spellings of numbers; a JVM cast alone also takes 3.5f, 1d and 0x1p3.
+NUMBER = r"^\s*[+-]?((\d+\.?\d*|\.\d+)([eE][+-]?\d+)?|(?i:inf|infinity|nan))\s*$"
+# Whole numbers, also as a float column spells them (5201.0).
+WHOLE = r"^\s*([+-]?\d+)(\.0*)?\s*$"
+
+
 def parse_price_sql(c: str) -> str:
-    return f"try_cast({c} AS DOUBLE)"
+    return f"CASE WHEN {c} RLIKE {sql_string(NUMBER)} THEN try_cast({c} AS DOUBLE) END"
 
 
 def is_invalid_price_sql(p: str) -> str:
@@ -58,7 +64,8 @@ def is_invalid_price_sql(p: str) -> str:
 
 
 def to_id_sql(c: str) -> str:
-    return f"try_cast({c} AS BIGINT)"
+    # the fraction is cut as text, so ids beyond 2^53 stay exact
+    return f"try_cast(nullif(regexp_extract({c}, {sql_string(WHOLE)}, 1), '') AS BIGINT)"
 
 
 def safe_rate_sql(num: str, den: str) -> str:
@@ -99,10 +106,11 @@ def event_type_is_valid(normalised: str | Column) -> Column:
 
 
 def parse_price(c: str | Column) -> Column:
-    """Text -> double, null when it is not a number (``try_cast``, ANSI-safe)."""
+    """Text -> double, null when it is not a decimal number."""
     if isinstance(c, str):
         return F.expr(parse_price_sql(ref(c)))
-    return c.try_cast("double")
+    text = c.cast("string")
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def is_invalid_price(p: str | Column) -> Column:
@@ -113,10 +121,21 @@ def is_invalid_price(p: str | Column) -> Column:
 
 
 def to_id(c: str | Column) -> Column:
-    """Identifier text -> bigint; non-numeric text becomes null."""
+    """Identifier text -> bigint, exactly (``5201.0`` is 5201); other text becomes null."""
     if isinstance(c, str):
         return F.expr(to_id_sql(ref(c)))
-    return c.try_cast("bigint")
+    return F.nullif(F.regexp_extract(c, WHOLE, 1), F.lit("")).try_cast("bigint")
+
+
+def seconds_between(start: str | Column, end: str | Column) -> Column:
+    """``end - start`` in seconds, with fractions; null when either is."""
+    micros = [F.unix_micros(F.col(c) if isinstance(c, str) else c) for c in (start, end)]
+    return (micros[1] - micros[0]) / F.lit(1e6)
+
+
+def iso_text(c: str | Column) -> Column:
+    """ISO 8601 text of an instant in UTC, to the second (``2019-10-01T10:00:00Z``)."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
 
 
 def safe_rate(num: Column, den: Column) -> Column:

@@ -54,15 +54,15 @@ def engagement_thresholds(users: DataFrame, method: str = "exact") -> DataFrame:
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     s = F.col("engagement_score")
-    probs = F.array(*[F.lit(q) for q in QUANTILES])
-    if method == "exact":
-        qs = F.percentile(s, probs)
-    else:
-        qs = F.percentile_approx(s, probs, APPROX_ACCURACY).cast("array<double>")
-    agg = users.agg(F.count(F.lit(1)).alias("users"), qs.alias("_qs"),
-                    F.median(s).alias("_median"))
+    if method == "exact":  # one map of counts per distinct score serves the median too
+        qs = F.percentile(s, F.array(*[F.lit(q) for q in (*QUANTILES, 0.5)]))
+        median = F.col("_qs")[2]
+    else:  # fewer than three users: their median is the mean of the smallest and the largest
+        qs = F.percentile_approx(s, F.array(*[F.lit(q) for q in QUANTILES]), APPROX_ACCURACY).cast("array<double>")
+        median = (F.col("_min") + F.col("_max")) / 2
+    agg = users.agg(F.count(F.lit(1)).alias("users"), qs.alias("_qs"), F.min(s).alias("_min"), F.max(s).alias("_max"))
     small = F.col("users") < 3
-    fallback = F.coalesce(F.col("_median").cast("double"), F.lit(0.0))
+    fallback = F.coalesce(median.cast("double"), F.lit(0.0))
     return agg.select(
         "users",
         F.when(small, fallback).otherwise(F.col("_qs")[0]).alias("q33"),

@@ -10,8 +10,9 @@ group of copies may hold a large share of all rows. See ``repeated_keys``:
 a narrow fingerprint aggregate finds the few repeated keys, the exact
 first row is computed over those candidates only, and the result is
 joined back to the rows — broadcast when its measured size allows, so the
-rows themselves are never shuffled; otherwise a sort-merge join whose
-skewed partitions AQE splits.
+rows themselves are never shuffled. Beyond that one sort-merge join on the
+fingerprint (AQE splits its skewed partitions) flags the rows, they are
+written once, and the exact comparison touches the flagged ones only.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from clickvault.functions.columns import (
     to_id,
     to_id_sql,
 )
-from clickvault.plans.materialize import small_side
+from clickvault.plans.materialize import materialize, measured_side, small_side
 from clickvault.schemas import DEFAULT_TIME_FORMAT, RAW_COLUMNS, REASONS, REPORT_REASON_ORDER
 
 ROW = "source_row_number"
@@ -53,7 +54,7 @@ def _fingerprint(df: DataFrame, keys) -> tuple[Column, Column]:
     return F.xxhash64(*cols), F.hash(*cols)
 
 
-def repeated_fingerprints(df: DataFrame, keys) -> tuple[DataFrame, int]:
+def repeated_fingerprints(df: DataFrame, keys) -> tuple[DataFrame, int, bool]:
     """Fingerprints seen twice or more (narrow rows, map-side combined, so a
     hot key ships one row per task); measured, broadcast-hinted when they
     fit. Needs only the key columns (no row order)."""
@@ -61,11 +62,18 @@ def repeated_fingerprints(df: DataFrame, keys) -> tuple[DataFrame, int]:
     hot = (df.select(h1.alias("_h1"), h2.alias("_h2"))
            .groupBy("_h1", "_h2").agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > 1).select("_h1", "_h2"))
-    return small_side(hot, "dup-fingerprints")
+    return measured_side(hot, "dup-fingerprints")
+
+
+def _first_rows(candidates: DataFrame, keys, order_col: str) -> DataFrame:
+    """Exact keys seen more than once, with the first ``order_col`` of each."""
+    return (candidates.groupBy(*keys)
+            .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
+            .filter(F.col("_copies") > 1).drop("_copies"))
 
 
 def repeated_keys(df: DataFrame, keys, order_col: str = ROW,
-                  fingerprints: tuple[DataFrame, int] | None = None) -> DataFrame | None:
+                  fingerprints: tuple[DataFrame, int, bool] | None = None) -> DataFrame | None:
     """Exact keys seen more than once, with the first ``order_col`` of each;
     ``None`` when no key repeats.
 
@@ -74,36 +82,47 @@ def repeated_keys(df: DataFrame, keys, order_col: str = ROW,
     2. group only the candidate rows (joined to those fingerprints) by the
        exact key.
     """
-    hot, n_hot = fingerprints if fingerprints is not None else repeated_fingerprints(df, keys)
+    hot, n_hot, _ = fingerprints if fingerprints is not None else repeated_fingerprints(df, keys)
     if n_hot == 0:
         return None
     h1, h2 = _fingerprint(df, keys)
     candidates = (df.select(*keys, order_col, h1.alias("_h1"), h2.alias("_h2"))
                   .join(hot, ["_h1", "_h2"], "left_semi"))
-    return (candidates.groupBy(*keys)
-            .agg(F.min(order_col).alias("_first_row"), F.count(F.lit(1)).alias("_copies"))
-            .filter(F.col("_copies") > 1).drop("_copies"))
+    return _first_rows(candidates, keys, order_col)
+
+
+def _with_flag(df: DataFrame, firsts: DataFrame, keys, order_col: str, flag: str) -> DataFrame:
+    left, right = df.alias("_l"), firsts.alias("_r")
+    cond = reduce(lambda a, b: a & b,
+                  [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
+    is_dup = F.col("_r._first_row").isNotNull() & (F.col(f"_l.{order_col}") > F.col("_r._first_row"))
+    return left.join(right, cond, "left").select("_l.*", is_dup.alias(flag))
 
 
 def mark_duplicates(df: DataFrame, keys: list[str] | tuple[str, ...], order_col: str = ROW,
                     flag: str = "_is_duplicate",
-                    fingerprints: tuple[DataFrame, int] | None = None) -> DataFrame:
+                    fingerprints: tuple[DataFrame, int, bool] | None = None) -> DataFrame:
     """Add ``flag``: true for every row but the first (by ``order_col``) of its key.
 
     Nulls compare equal, as in pandas ``duplicated``. Runs one or two small
     jobs eagerly (fingerprints; candidates only when some fingerprint
     repeats); the returned frame is lazy and, when the repeated keys fit a
-    broadcast, has no shuffle of the rows at all.
+    broadcast, has no shuffle of the rows at all. When they do not, one join
+    on the fingerprint moves the rows; those of single fingerprints then pass
+    straight through.
     """
-    firsts = repeated_keys(df, keys, order_col, fingerprints)
-    if firsts is None:
+    hot, n_hot, fits = fingerprints if fingerprints is not None else repeated_fingerprints(df, keys)
+    if n_hot == 0:
         return df.select("*", F.lit(False).alias(flag))
-    firsts, _ = small_side(firsts, "dup-firsts")
-    left, right = df.alias("_l"), firsts.alias("_r")
-    cond = reduce(lambda a, b: a & b,
-                  [F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}")) for k in keys])
-    is_dup = F.col("_r._first_row").isNotNull() & (F.col(f"_l.{order_col}") > F.col("_r._first_row"))
-    return left.join(right, cond, "left").select("_l.*", is_dup.alias(flag))
+    if fits:
+        firsts, _ = small_side(repeated_keys(df, keys, order_col, (hot, n_hot, fits)), "dup-firsts")
+        return _with_flag(df, firsts, keys, order_col, flag)
+    h1, h2 = _fingerprint(df, keys)
+    flagged = materialize(df.select("*", h1.alias("_h1"), h2.alias("_h2"))
+                          .join(hot.withColumn("_hot", F.lit(True)), ["_h1", "_h2"], "left").drop("_h1", "_h2"), "dup-flagged")
+    single = flagged.filter("_hot IS NULL").drop("_hot").select(*df.columns, F.lit(False).alias(flag))
+    several = flagged.filter("_hot").select(*df.columns)
+    return single.unionByName(_with_flag(several, _first_rows(several, keys, order_col), keys, order_col, flag))
 
 
 def with_parsed(raw: DataFrame, time_format: str | None = DEFAULT_TIME_FORMAT) -> DataFrame:

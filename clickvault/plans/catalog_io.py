@@ -26,6 +26,7 @@ from clickvault.plans.catalog import (
 from clickvault.plans.job import JobParams, perf_record, run_job, run_result_json
 from clickvault.schemas import RAW_COLUMNS
 from clickvault.session import fresh_path
+from clickvault.sources import fixture as FIX
 from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_quality, sink_silver, write_table
 from clickvault.sources.bronze import (
     PANDAS_NA_TOKENS, missing_columns, read_bronze_csv, sample_sizes, write_bronze_csv,
@@ -418,38 +419,70 @@ def q_fig_scaling(spark, sf):
 
 
 # ================================================================== §2.8 gate
-# Expected audit numbers of the fixture (FIXTURES.md §C), keyed
-# by the row count of ``events`` (100,000 x scale factor).
-EXPECTED = {
-    1_000: dict(raw_rows=1_010, clean_rows=755, removed_rows=255, duplicate_rows_removed=5,
-                unsupported_event_type_rows_removed=198, invalid_event_time_rows_removed=12,
-                missing_required_identifier_rows_removed=19, invalid_price_rows_removed=11,
-                nonpositive_price_rows_removed=10),
-    10_000: dict(raw_rows=10_093, clean_rows=7_505, removed_rows=2_588, duplicate_rows_removed=48,
-                 unsupported_event_type_rows_removed=1_999, invalid_event_time_rows_removed=121,
-                 missing_required_identifier_rows_removed=199, invalid_price_rows_removed=138,
-                 nonpositive_price_rows_removed=83),
-    100_000: dict(raw_rows=100_923, clean_rows=75_407, removed_rows=25_516, duplicate_rows_removed=474,
-                  unsupported_event_type_rows_removed=19_653, invalid_event_time_rows_removed=1_210,
-                  missing_required_identifier_rows_removed=1_873, invalid_price_rows_removed=1_511,
-                  nonpositive_price_rows_removed=795),
-}
 _REASON_METRICS = ("duplicate_rows_removed", "unsupported_event_type_rows_removed",
                    "invalid_event_time_rows_removed", "missing_required_identifier_rows_removed",
                    "invalid_price_rows_removed", "nonpositive_price_rows_removed")
 
 
 def _expected(spark, sf) -> dict:
-    n = table(spark, sf, "events").count()
-    return EXPECTED.get(n, {k: -1 for k in EXPECTED[1_000]})
-
-
-def _expected_sql() -> str:
-    cols = list(EXPECTED[1_000])
-    rows = ", ".join("(" + ", ".join(str(v) for v in [k, *[EXPECTED[k][c] for c in cols]]) + ")"
-                     for k in EXPECTED)
-    return (f"expected_all AS (SELECT * FROM (VALUES {rows}) v(events_rows, {', '.join(cols)}))",
-            "expected AS (SELECT * FROM expected_all WHERE events_rows = (SELECT count(*) FROM events))")
+    """The audit numbers that the fixture's defects must lead to, at any size:
+    counted over ``events`` from the residues that inject them (FIXTURES.md
+    §B), without the cleaning operators.
+
+    Of an event's copies the exact one is a duplicate, and the upper-case one
+    has every other defect of its event. A defect counts when no earlier
+    reason of the fixed order does.
+    """
+    hit = lambda mod, rem: (F.col("event_id") % mod) == rem
+    ev = table(spark, sf, "events").select("event_id", "event_type", "user_id", "value",
+                                           F.get_json_object("props", "$.k").cast("bigint").alias("k"))
+    keys = table(spark, sf, "part").select(F.col("p_partkey").alias("k"))
+    ev = ev.join(keys.join(ev.select("k").distinct(), "k", "left_semi"), "k")
+    exact = hit(FIX.EXACT_COPY_MOD, FIX.EXACT_COPY_REM).cast("int")
+    rows = 1 + hit(FIX.UPPER_COPY_MOD, FIX.UPPER_COPY_REM).cast("int")
+    checks = [
+        ~F.col("event_type").isin("click", "signup", "view", "purchase"),
+        hit(FIX.NO_PRODUCT_MOD, FIX.NO_PRODUCT_REM) | hit(FIX.NO_SESSION_MOD, FIX.NO_SESSION_REM) | F.col("user_id").isNull(),
+        hit(FIX.TEXT_PRICE_MOD, FIX.TEXT_PRICE_REM) | hit(FIX.NAN_PRICE_MOD, FIX.NAN_PRICE_REM) | F.col("value").isNull(),
+        hit(FIX.NEGATIVE_PRICE_MOD, FIX.NEGATIVE_PRICE_REM) & (F.col("value") >= 0) | (F.col("value") <= 0)]
+    bad_time = hit(FIX.BAD_TIME_MOD, FIX.BAD_TIME_REM)
+    order = [bad_time, *checks]
+    names = ["invalid_event_time_rows_removed", "unsupported_event_type_rows_removed",
+             "missing_required_identifier_rows_removed", "invalid_price_rows_removed", "nonpositive_price_rows_removed"]
+    first = F.lit("clean")
+    for name, check in reversed(list(zip(names, order))):
+        first = F.when(F.coalesce(check, F.lit(False)), F.lit(name)).otherwise(first)
+    got = ev.agg(F.sum(rows + exact).alias("raw_rows"), F.sum(exact).alias("duplicate_rows_removed"),
+                 *[F.sum(F.when(first == n, rows).otherwise(0)).alias(n) for n in names]).first().asDict()
+    got = {k: int(v or 0) for k, v in got.items()}
+    got["removed_rows"] = sum(got[m] for m in _REASON_METRICS)
+    got["clean_rows"] = got["raw_rows"] - got["removed_rows"]
+    return got
+
+
+_EXPECTED_SQL = f"""expected AS (
+  SELECT *, duplicate_rows_removed + unsupported_event_type_rows_removed + invalid_event_time_rows_removed
+    + missing_required_identifier_rows_removed + invalid_price_rows_removed + nonpositive_price_rows_removed AS removed_rows,
+    raw_rows - (duplicate_rows_removed + unsupported_event_type_rows_removed + invalid_event_time_rows_removed
+    + missing_required_identifier_rows_removed + invalid_price_rows_removed + nonpositive_price_rows_removed) AS clean_rows
+  FROM (SELECT
+    sum(n + x)::BIGINT AS raw_rows, sum(x)::BIGINT AS duplicate_rows_removed,
+    sum(CASE WHEN t THEN n ELSE 0 END)::BIGINT AS invalid_event_time_rows_removed,
+    sum(CASE WHEN NOT t AND e THEN n ELSE 0 END)::BIGINT AS unsupported_event_type_rows_removed,
+    sum(CASE WHEN NOT t AND NOT e AND i THEN n ELSE 0 END)::BIGINT AS missing_required_identifier_rows_removed,
+    sum(CASE WHEN NOT t AND NOT e AND NOT i AND p THEN n ELSE 0 END)::BIGINT AS invalid_price_rows_removed,
+    sum(CASE WHEN NOT t AND NOT e AND NOT i AND NOT p AND z THEN n ELSE 0 END)::BIGINT AS nonpositive_price_rows_removed
+  FROM (SELECT 1 + (event_id % {FIX.UPPER_COPY_MOD} = {FIX.UPPER_COPY_REM})::INT AS n,
+      (event_id % {FIX.EXACT_COPY_MOD} = {FIX.EXACT_COPY_REM})::INT AS x, event_id % {FIX.BAD_TIME_MOD} = {FIX.BAD_TIME_REM} AS t,
+      event_type NOT IN ('click', 'signup', 'view', 'purchase') AS e,
+      event_id % {FIX.NO_PRODUCT_MOD} = {FIX.NO_PRODUCT_REM} OR event_id % {FIX.NO_SESSION_MOD} = {FIX.NO_SESSION_REM} OR user_id IS NULL AS i,
+      event_id % {FIX.TEXT_PRICE_MOD} = {FIX.TEXT_PRICE_REM} OR event_id % {FIX.NAN_PRICE_MOD} = {FIX.NAN_PRICE_REM} OR value IS NULL AS p,
+      (event_id % {FIX.NEGATIVE_PRICE_MOD} = {FIX.NEGATIVE_PRICE_REM} AND value >= 0) OR value <= 0 AS z
+    FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) IN (SELECT p_partkey FROM part))))"""
+
+
+def _expected_sql() -> tuple[str]:
+    return (_EXPECTED_SQL,)
 
 
 def _check_sql(name: str, exp: str, act: str) -> str:

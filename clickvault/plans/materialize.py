@@ -73,8 +73,9 @@ def measure(df: DataFrame) -> tuple[int, int]:
     return int(got["rows"] or 0), int(got["bytes"] or 0)
 
 
-def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[DataFrame, int]:
-    """Prepare a (usually) small join side: returns the frame to join and its rows.
+def measured_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[DataFrame, int, bool]:
+    """Prepare a (usually) small join side: the frame to join, its rows, and
+    whether it is broadcast.
 
     The side is cached (memory, spilling to disk) and measured in one job.
     When it fits the broadcast limit it is hinted for broadcast — the
@@ -88,10 +89,15 @@ def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[Data
     rows, size = measure(cached)
     limit = broadcast_limit(df.sparkSession) if limit is None else limit
     if limit and size <= limit:
-        return F.broadcast(cached), rows
+        return F.broadcast(cached), rows, True
     written = materialize(cached, name)
     cached.unpersist()
-    return written, rows
+    return written, rows, False
+
+
+def small_side(df: DataFrame, name: str, limit: int | None = None) -> tuple[DataFrame, int]:
+    """``measured_side`` without the last part."""
+    return measured_side(df, name, limit)[:2]
 
 
 def release_small_sides() -> int:

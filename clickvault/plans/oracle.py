@@ -38,7 +38,7 @@ def fixture_ctes() -> list[str]:
   FROM fx_copies
 )""",
         """raw AS (
-  SELECT CAST(2 + event_id + 1000000000 * dup AS BIGINT) AS source_row_number,
+  SELECT CAST(2 + event_id + 1000000000000000 * dup AS BIGINT) AS source_row_number,
     CASE WHEN event_id % 83 = 5 THEN 'not-a-date' ELSE strftime(ts, '%Y-%m-%d %H:%M:%S UTC') END AS event_time,
     CASE WHEN dup = 2 THEN upper(base_type) WHEN event_id % 103 = 21 THEN base_type || chr(9)
          ELSE base_type END AS event_type,

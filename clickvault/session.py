@@ -55,8 +55,9 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     for k, v in _SESSION_CONF.items():
         try:
             spark.conf.set(k, v)
-        except Exception:  # static or locked conf on a managed cluster
-            pass
+        except Exception as e:  # static or locked conf on a managed cluster
+            if k == "spark.sql.session.timeZone" and spark.conf.get(k, None) != v:
+                raise RuntimeError(f"{k} must be {v}: dates and hours are defined in it") from e
     return spark
 
 
@@ -72,13 +73,17 @@ def staging_dir(spark: SparkSession, *parts: str) -> str:
     """A folder in the cluster's shared checkpoint location.
 
     Reads ``spark.checkpoint.dir`` from the session (or the context's
-    checkpoint dir); sets a private one only when neither is set.
+    checkpoint dir); sets a private one only when neither is set and the
+    master is local: on a cluster every machine would see another folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     sc = _context(spark)
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the whole cluster shares")
         base = tempfile.mkdtemp(prefix="clickvault-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", base)

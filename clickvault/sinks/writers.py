@@ -22,7 +22,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if partition_by:
         w = w.partitionBy(*partition_by)
     if fmt == "csv":
-        w.option("header", True).csv(path)
+        w.option("header", True).option("escape", '"').csv(path)
     else:
         w.parquet(path)
 
@@ -30,7 +30,11 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
 def sink_silver(silver: DataFrame, path: str, fmt: str = "parquet",
                 partition_by_date: bool = False) -> None:
     """Overwrite the run's Silver table; optional ``event_date`` partitions
-    give static and dynamic partition pruning to date-filtered readers."""
+    give static and dynamic partition pruning to date-filtered readers. The
+    rows are rebalanced by date first (a date's rows meet in few tasks, a hot
+    date is split), so the files follow the data and not tasks times dates."""
+    if partition_by_date:
+        silver = silver.hint("rebalance", "event_date")
     write_table(silver, path, fmt, partition_by=("event_date",) if partition_by_date else None)
 
 

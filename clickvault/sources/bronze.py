@@ -1,12 +1,16 @@
 """Bronze event CSV reader.
 
+* quoting is standard CSV: a quote inside a quoted field is doubled (fields
+  with line breaks need ``multi_line``, which makes files unsplittable);
+* every file must have the columns of the first one in the same order; a
+  file that has not makes the read fail instead of shifting its values;
 * column names come from the header, read on the driver (no inference
   job; every column is text, the cleaning step parses); the nine required
   columns are checked before any data job, extra columns are ignored;
 * the missing-value spellings pandas' CSV reader treats as NA become null
   (Spark's CSV reader only nulls empty fields);
 * ``source_row_number`` counts data rows in file order from 2 (row 1 is the
-  header), across files in file-name order, without a global sort: each
+  header), across files in path order, without a global sort: each
   input split's rows are numbered locally and shifted by the rows of all
   earlier splits (one small row per split).
 """
@@ -64,14 +68,14 @@ POSITION_COLUMNS = ("_file", "_block", "_local")
 
 
 def with_positions(scan: DataFrame) -> DataFrame:
-    """Add each row's position: file name, split start, index inside its task.
+    """Add each row's position: file path, split start, index inside its task.
 
     ``scan`` must come straight from a file source (``_metadata`` columns);
     the index is fixed when the columns are computed on the scan.
     """
     return scan.select(
         "*",
-        F.col("_metadata.file_name").alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),  # the name alone repeats across folders
         F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().bitwiseAND(F.lit(_LOCAL_BITS)).alias("_local"),
     )
@@ -81,7 +85,7 @@ def number_positions(df: DataFrame, start: int = 2, name: str = "source_row_numb
     """Positions -> contiguous row numbers in file order (position columns dropped).
 
     Per split (file, block start): the first local index and the row count;
-    a running sum over splits ordered by (file name, block start) gives each
+    a running sum over splits ordered by (file path, block start) gives each
     split's offset. The split table has one row per input split (data size /
     split size); it is measured and joined back — broadcast when it fits.
     """
@@ -147,18 +151,20 @@ def read_header(spark: SparkSession, path: str) -> list[str]:
 
 
 def read_bronze_csv(spark: SparkSession, path: str, missing_tokens=PANDAS_NA_TOKENS,
-                    row_numbers: bool = True, positions: bool = False) -> DataFrame:
+                    row_numbers: bool = True, positions: bool = False, multi_line: bool = False) -> DataFrame:
     """Read event CSV file(s) with a header into the nine raw text columns.
 
     The header is read on the driver and checked before any data job; the
     scan then gets an explicit all-text schema in header order. With
     ``positions`` the row positions are kept instead of numbered (to number
-    them after a write, so the CSV is parsed once).
+    them after a write, so the CSV is parsed once). ``multi_line`` accepts
+    line breaks inside quoted fields.
     """
     header = read_header(spark, path)
     require_columns(header)
     schema = T.StructType([T.StructField(c, T.StringType(), True) for c in header])
-    scan = spark.read.schema(schema).option("header", True).csv(path).select(*RAW_COLUMNS)
+    scan = (spark.read.schema(schema).option("header", True).option("escape", '"').option("multiLine", multi_line)
+            .option("enforceSchema", False).csv(path).select(*RAW_COLUMNS))
     if positions:
         scan = with_positions(scan)
     elif row_numbers:
@@ -177,14 +183,17 @@ def write_bronze_csv(df: DataFrame, path: str, order_col: str | None = "source_r
         out = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
     (out.select(*RAW_COLUMNS).write.mode("overwrite")
      .option("header", True)
+     .option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False)
      .csv(path))
 
 
 def sample_sizes(spark: SparkSession, pattern: str) -> DataFrame:
-    """Discover ``ecommerce_<n>.csv`` inputs: ``(sample_size, file)`` in numeric order."""
+    """Discover ``ecommerce_<n>.csv`` inputs, files or folders of part files:
+    one row ``(sample_size, path)`` per workload, in numeric order."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(pattern).select("path")
     size = F.regexp_extract(F.col("path"), r"ecommerce_(\d+)(\.csv)?(/|$)", 1)
-    return (files.select(size.cast("bigint").alias("sample_size"), F.col("path").alias("file"))
-            .filter(F.col("sample_size").isNotNull()).orderBy("sample_size", "file"))
+    root = F.regexp_extract(F.col("path"), r"^(.*ecommerce_\d+(?:\.csv)?)(?:/|$)", 1)
+    return (files.select(size.cast("bigint").alias("sample_size"), root.alias("file"))
+            .filter(F.col("sample_size").isNotNull()).distinct().orderBy("sample_size", "file"))

@@ -6,9 +6,10 @@ with defects injected on fixed residues of ``event_id``. Every column is
 text, as a CSV reader would deliver it. The rules below are fixed values:
 the expected numbers in FIXTURES.md depend on them.
 
-Scale: one pass over ``events``; the join to ``part`` is left to the
-planner (broadcast only when part's measured size is under the threshold,
-sort-merge otherwise). Copies are made with a generator, not a join.
+Scale: one pass over ``events``. ``part`` is first reduced to the keys that
+occur in ``events`` (a handful, combined map-side), so the join side is small
+whatever the size of ``part``; it is measured, and broadcast when it fits.
+Copies are made with a generator, not a join.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clickvault.plans.materialize import small_side
+
 # Fixed values of the fixture (FIXTURES.md §B).
 EXACT_COPY_MOD, EXACT_COPY_REM = 211, 17
 UPPER_COPY_MOD, UPPER_COPY_REM = 223, 29
-ROW_NUMBER_COPY_STRIDE = 1_000_000_000
+ROW_NUMBER_COPY_STRIDE = 1_000_000_000_000_000  # copies come after all events, whatever their number
 BAD_TIME_MOD, BAD_TIME_REM = 83, 5
 SPACED_VIEW_MOD = 4
 TAB_TYPE_MOD, TAB_TYPE_REM = 103, 21
@@ -45,7 +48,8 @@ def clickstream(events: DataFrame, part: DataFrame) -> DataFrame:
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
     )
     dims = part.select(F.col("p_partkey").alias("k"), "p_type", "p_brand")
-    base = ev.join(dims, "k")
+    used = dims.join(ev.select("k").distinct(), "k", "left_semi")
+    base = ev.join(small_side(used, "fixture-parts")[0], "k")
 
     copies = F.filter(
         F.array(F.lit(0), F.lit(1), F.lit(2)),

@@ -130,5 +130,5 @@ def fig15_event_mix(category: DataFrame) -> DataFrame:
 
 def fig_scaling(ledger: DataFrame) -> DataFrame:
     """Size, pipeline seconds and (if any present) activity seconds, by size."""
-    return (ledger.select("sample_size", "adf_pipeline_seconds", "databricks_activity_seconds")
+    return (ledger.select("sample_size", "pipeline_seconds", "activity_seconds")
             .orderBy("sample_size"))

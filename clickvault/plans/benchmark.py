@@ -141,14 +141,14 @@ def run_with_evidence(spark: SparkSession, size: int, input_path: str, root: str
     ms = int(round((t1 - t0) * 1000))
     evidence_file = f"run_{size}_{run_id}.json"
     summary = {
-        "sample_size": size, "source_file": input_path, "adls_remote_path": input_path,
-        "adf_run_id": run_id, "status": "Succeeded", "run_start_utc": _iso(t0), "run_end_utc": _iso(t1),
-        "adf_pipeline_seconds": ms / 1000.0,
-        "adf_throughput_rows_per_sec": round(size / (ms / 1000.0), 2) if ms else None,
-        "databricks_activity_seconds": rec["processing_seconds"],
-        "databricks_activity_throughput_rows_per_sec":
+        "sample_size": size, "source_file": input_path, "remote_path": input_path,
+        "run_id": run_id, "status": "Succeeded", "run_start_utc": _iso(t0), "run_end_utc": _iso(t1),
+        "pipeline_seconds": ms / 1000.0,
+        "pipeline_rows_per_sec": round(size / (ms / 1000.0), 2) if ms else None,
+        "activity_seconds": rec["processing_seconds"],
+        "activity_rows_per_sec":
             round(size / rec["processing_seconds"], 2) if rec["processing_seconds"] else None,
-        "databricks_run_output": json.dumps(rec), "evidence_file": evidence_file,
+        "run_output": json.dumps(rec), "evidence_file": evidence_file,
     }
     doc = {
         "scope": "LOCAL_SPARK_RUN", "captured_at_utc": _iso(time.time()),

@@ -21,7 +21,7 @@ from clickvault.operators.workload import build_workload, replicate_blocks, dens
 from clickvault.plans import benchmark as BM
 from clickvault.plans import oracle as O
 from clickvault.plans.catalog import (
-    FX, GOLD, SL, TG, _CP_D, _raw, _silver, _tagged, _w, gold_bundle, register,
+    FX, GOLD, SL, TG, _CP_D, _raw, _silver, _tagged, _w, gold_bundle, register, sql_rounded,
 )
 from clickvault.plans.job import JobParams, perf_record, run_job, run_result_json
 from clickvault.schemas import RAW_COLUMNS
@@ -334,6 +334,60 @@ def _ledger(spark, sf) -> DataFrame:
     return LG.ledger_row(LG.scan_run_evidence(spark, f"{_suite(spark, sf)}/evidence/*"))
 
 
+# Run records derived from ``events``: a run per user, an activity per event.
+_RUN_TARGETS = [1, 2, 3, 4, 5, 6, 7]
+
+
+def _event_evidence(spark, sf) -> DataFrame:
+    """Evidence documents with every case the ledger rules know: hits by type
+    and by name, runs without one, failed runs, absent and zero durations."""
+    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+    null = lambda t: F.lit(None).cast(t)
+    et = F.col("event_type")
+    act = F.struct("event_id", et.alias("activity_name"),
+                   F.when(et == "purchase", "DatabricksSparkJob").when(et == "signup", null("string")).otherwise("Copy").alias("activity_type"),
+                   F.floor(F.col("value") * 1000).cast("bigint").alias("duration_ms"))
+    act = act.withField("activity_name", F.when(et == "signup", F.lit("Run Notebook")).otherwise(et))
+    runs = table(spark, sf, "events").groupBy("user_id").agg(
+        F.sort_array(F.collect_list(act)).alias("acts"), F.min("ts").alias("lo"), F.max("ts").alias("hi"), F.count(F.lit(1)).alias("n"))
+    uid = F.col("user_id").cast("bigint")
+    ledger = {f.name: null(f.dataType) for f in LG.LEDGER.fields}
+    ledger |= {"sample_size": (uid % 6 + 1).cast("bigint"), "source_file": F.concat(F.lit("f"), uid.cast("string")),
+               "evidence_file": F.concat(F.lit("run_"), uid.cast("string"), F.lit(".json"))}
+    activity = [f.name for f in LG.RUN_EVIDENCE["activities"].dataType.elementType.fields]
+    kinds = {f.name: f.dataType for f in LG.RUN_EVIDENCE["activities"].dataType.elementType.fields}
+    acts = F.transform("acts", lambda a: F.struct(*[
+        (a[c] if c in ("activity_name", "activity_type", "duration_ms") else null(kinds[c])).cast(kinds[c]).alias(c) for c in activity]))
+    return runs.select(
+        F.struct(F.concat(F.lit("/in/"), uid.cast("string")).alias("remote_path")).alias("upload"),
+        F.struct(F.concat(F.lit("run-"), uid.cast("string")).alias("run_id"),
+                 F.when(uid % 3 == 0, "Succeeded").when(uid % 3 == 1, "SUCCEEDED").otherwise("Failed").alias("status"),
+                 text("lo").alias("run_start"), text("hi").alias("run_end"),
+                 F.when(uid % 11 == 0, null("bigint")).when(uid % 7 == 0, F.lit(0)).otherwise(F.col("n") * 250).cast("bigint").alias("duration_in_ms")).alias("pipeline"),
+        F.when(uid % 13 == 0, null(LG.RUN_EVIDENCE["activities"].dataType)).otherwise(acts).alias("activities"),
+        F.struct(*[v.alias(k) for k, v in ledger.items()]).alias("summary"))
+
+
+def _event_ledger(spark, sf) -> DataFrame:
+    return LG.ledger_row(_event_evidence(spark, sf))
+
+
+_RUNS_SQL = ["""runs AS (SELECT user_id::BIGINT AS u, count(*) AS n, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS lo,
+  strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS hi FROM events GROUP BY user_id)""",
+             """hits AS (SELECT user_id::BIGINT AS u, arg_min(CASE WHEN event_type = 'signup' THEN 'Run Notebook' ELSE event_type END, event_id) AS activity_name,
+  arg_min(floor(value * 1000)::BIGINT, event_id) AS ms FROM events WHERE event_type IN ('purchase', 'signup') AND user_id % 13 <> 0 GROUP BY user_id)""",
+             """ledger AS (SELECT (u % 6 + 1)::BIGINT AS sample_size, 'f' || u AS source_file, '/in/' || u AS remote_path, 'run-' || u AS run_id,
+  CASE u % 3 WHEN 0 THEN 'Succeeded' WHEN 1 THEN 'SUCCEEDED' ELSE 'Failed' END AS status, lo AS run_start_utc, hi AS run_end_utc,
+  p AS pipeline_seconds, CASE WHEN p <> 0 THEN round((u % 6 + 1) / p, 2) END AS pipeline_rows_per_sec,
+  a AS activity_seconds, CASE WHEN a <> 0 THEN round((u % 6 + 1) / a, 2) END AS activity_rows_per_sec,
+  NULL::VARCHAR AS run_output, 'run_' || u || '.json' AS evidence_file
+  FROM (SELECT *, CASE WHEN u % 11 = 0 THEN NULL WHEN u % 7 = 0 THEN 0 ELSE n * 250 END / 1000.0::DOUBLE AS p, ms / 1000.0::DOUBLE AS a
+        FROM runs LEFT JOIN hits USING (u)))""",
+             """good AS (SELECT *, row_number() OVER (PARTITION BY sample_size ORDER BY run_end_utc DESC, run_id DESC) AS rn
+  FROM ledger WHERE lower(status) = 'succeeded')"""]
+_LEDGER_DOUBLES = ("pipeline_seconds", "pipeline_rows_per_sec", "activity_seconds", "activity_rows_per_sec")
+
+
 @register("workload_manifest")
 def q_workload_manifest(spark, sf):
     """Rows, bytes and SHA-256 per written workload file (rows only)."""
@@ -370,52 +424,56 @@ def q_scan_run_evidence(spark, sf):
     return LG.scan_run_evidence(spark, f"{_suite(spark, sf)}/evidence/*")
 
 
-@register("pick_activity")
+@register("pick_activity", _w(_RUNS_SQL, "SELECT 'run-' || u AS run_id, activity_name FROM runs LEFT JOIN hits USING (u)"))
 def q_pick_activity(spark, sf):
-    ev = LG.pick_activity(LG.scan_run_evidence(spark, f"{_suite(spark, sf)}/evidence/*"))
+    ev = LG.pick_activity(_event_evidence(spark, sf))
     return ev.select(F.col("pipeline.run_id").alias("run_id"), F.col("activity.activity_name").alias("activity_name"))
 
 
-@register("ledger_row")
+@register("ledger_row", sql_rounded(_w(_RUNS_SQL, "SELECT * FROM ledger"), _LEDGER_DOUBLES))
 def q_ledger_row(spark, sf):
-    return _ledger(spark, sf)
+    return _event_ledger(spark, sf)
 
 
-@register("scan_ledger")
+@register("scan_ledger", sql_rounded(_w(_RUNS_SQL, "SELECT * FROM ledger"), _LEDGER_DOUBLES))
 def q_scan_ledger(spark, sf):
     path = fresh_path(spark, "ledger")
-    write_table(_ledger(spark, sf).coalesce(1), path, "csv")
+    write_table(_event_ledger(spark, sf), path, "csv")
     return LG.scan_ledger(spark, path)
 
 
-@register("ledger_overwrite")
+@register("ledger_overwrite", sql_rounded(_w(_RUNS_SQL, "SELECT * FROM ledger"), _LEDGER_DOUBLES))
 def q_ledger_overwrite(spark, sf):
     from clickvault.sinks.writers import ledger_overwrite
     path = fresh_path(spark, "ledger")
-    ledger_overwrite(_ledger(spark, sf), path)
-    ledger_overwrite(_ledger(spark, sf), path)
+    ledger_overwrite(_event_ledger(spark, sf).limit(1), path)  # an older run's file, to be replaced
+    ledger_overwrite(_event_ledger(spark, sf), path)
     return LG.scan_ledger(spark, path)
 
 
-@register("ledger_latest")
+@register("ledger_latest", sql_rounded(_w(_RUNS_SQL, "SELECT * EXCLUDE (rn) FROM good WHERE rn = 1"), _LEDGER_DOUBLES))
 def q_ledger_latest(spark, sf):
-    return LG.ledger_latest(_ledger(spark, sf), _suite_targets(spark, sf))
+    return LG.ledger_latest(_event_ledger(spark, sf), _RUN_TARGETS)
 
 
-@register("ledger_missing")
+@register("ledger_missing", _w(_RUNS_SQL, f"""SELECT t::BIGINT AS sample_size FROM (VALUES {', '.join(f'({t})' for t in _RUN_TARGETS)}) v(t)
+  WHERE t NOT IN (SELECT sample_size FROM good)"""))
 def q_ledger_missing(spark, sf):
-    targets = _suite_targets(spark, sf) + [1_000_000_007]
-    return LG.ledger_missing(_ledger(spark, sf), targets)
+    return LG.ledger_missing(_event_ledger(spark, sf), _RUN_TARGETS)
+
+
+_TABLE_SQL = "SELECT sample_size, pipeline_seconds, pipeline_rows_per_sec, activity_seconds, activity_rows_per_sec, run_id FROM good WHERE rn = 1"
 
 
-@register("ledger_table")
+@register("ledger_table", sql_rounded(_w(_RUNS_SQL, _TABLE_SQL), _LEDGER_DOUBLES))
 def q_ledger_table(spark, sf):
-    return LG.ledger_table(_ledger(spark, sf), _suite_targets(spark, sf))
+    return LG.ledger_table(_event_ledger(spark, sf), _RUN_TARGETS)
 
 
-@register("fig_scaling")
+@register("fig_scaling", sql_rounded(_w(_RUNS_SQL, "SELECT sample_size, pipeline_seconds, activity_seconds FROM good WHERE rn = 1"),
+                                     ("pipeline_seconds", "activity_seconds")))
 def q_fig_scaling(spark, sf):
-    return FG.fig_scaling(LG.ledger_latest(_ledger(spark, sf), _suite_targets(spark, sf)))
+    return FG.fig_scaling(LG.ledger_latest(_event_ledger(spark, sf), _RUN_TARGETS))
 
 
 # ================================================================== §2.8 gate

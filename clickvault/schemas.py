@@ -102,16 +102,16 @@ MANIFEST = T.StructType([
 LEDGER = T.StructType([
     T.StructField("sample_size", T.LongType()),
     T.StructField("source_file", T.StringType()),
-    T.StructField("adls_remote_path", T.StringType()),
-    T.StructField("adf_run_id", T.StringType()),
+    T.StructField("remote_path", T.StringType()),
+    T.StructField("run_id", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("run_start_utc", T.StringType()),
     T.StructField("run_end_utc", T.StringType()),
-    T.StructField("adf_pipeline_seconds", T.DoubleType()),
-    T.StructField("adf_throughput_rows_per_sec", T.DoubleType()),
-    T.StructField("databricks_activity_seconds", T.DoubleType()),
-    T.StructField("databricks_activity_throughput_rows_per_sec", T.DoubleType()),
-    T.StructField("databricks_run_output", T.StringType()),
+    T.StructField("pipeline_seconds", T.DoubleType()),
+    T.StructField("pipeline_rows_per_sec", T.DoubleType()),
+    T.StructField("activity_seconds", T.DoubleType()),
+    T.StructField("activity_rows_per_sec", T.DoubleType()),
+    T.StructField("run_output", T.StringType()),
     T.StructField("evidence_file", T.StringType()),
 ])
 

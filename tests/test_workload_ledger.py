@@ -106,11 +106,11 @@ def test_ledger_rules(spark):
         _doc(1000, "e", ms=None, end="2025-01-01T00:00:00+00:00"),
     ])
     ledger = LG.ledger_row(ev_)
-    rows = {r.adf_run_id: r for r in ledger.collect()}
-    assert rows["a"].databricks_activity_seconds == 1.5 and rows["a"].adf_throughput_rows_per_sec == 50.0
-    assert rows["d"].adf_throughput_rows_per_sec is None and rows["e"].adf_pipeline_seconds is None
+    rows = {r.run_id: r for r in ledger.collect()}
+    assert rows["a"].activity_seconds == 1.5 and rows["a"].pipeline_rows_per_sec == 50.0
+    assert rows["d"].pipeline_rows_per_sec is None and rows["e"].pipeline_seconds is None
     latest = LG.ledger_latest(ledger, (100, 500, 1000)).collect()
-    assert [(r.sample_size, r.adf_run_id) for r in latest] == [(100, "b"), (1000, "d")]
+    assert [(r.sample_size, r.run_id) for r in latest] == [(100, "b"), (1000, "d")]
     assert [r.sample_size for r in LG.ledger_missing(ledger, (100, 500, 1000)).collect()] == [500]
     assert LG.ledger_table(ledger, (100, 500, 1000)).columns == list(LG.REPORT_COLUMNS)
 

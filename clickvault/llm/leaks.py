@@ -1,7 +1,7 @@
 """Benchmark decontamination by winnowing.
 
-Of every ``WINDOW - K + 1`` consecutive ``K``-word hashes the smallest is kept
-as a fingerprint (all of equal ones), on both sides by the same rule. A span
+Of every ``WINDOW - K + 1`` consecutive ``K``-word hashes the first smallest is kept
+as a fingerprint, on both sides by the same rule. A span
 of ``WINDOW`` words that an item and a document share holds that many hashes,
 so it keeps the same smallest on both sides: no shared span is missed.
 Fingerprints are joined and every hit is extended word by word in both
@@ -48,29 +48,36 @@ def hashes(words: str) -> Column:
     return F.when(F.size(words) >= K, F.transform(F.sequence(F.lit(0), F.size(words) - K), lambda i: gram_hash(words, i, K)))
 
 
-def kept(h: str, at: Column) -> Column:
-    """Whether the hash at ``at`` is a smallest one of some ``WINDOW - K + 1`` in a row."""
-    span = WINDOW - K
-    mine = F.get(h, at)
-    reach = []
-    for step in (-1, 1):
-        ok, total = None, F.lit(0)
-        for i in range(1, span + 1):
-            here = F.coalesce(F.get(h, at + step * i) >= mine, F.lit(False))
-            ok = here if ok is None else ok & here
-            total = total + ok.cast("int")
-        reach.append(total)
-    return reach[0] + reach[1] >= span
+def smallest(h: str, start: Column, n: int) -> Column:
+    """The smallest of ``n`` hashes from ``start`` on."""
+    return F.least(*[F.get(h, start + i) for i in range(n)])
 
 
 def fingerprints(words: DataFrame, own_row: bool = False) -> DataFrame:
-    """``words`` (array ``w`` and other columns) exploded at its fingerprints: ``at``
-    and ``hash``; with ``own_row`` also once at -1 with hash 0."""
+    """``words`` (array ``w`` and other columns) exploded at the windows that bring
+    a fingerprint: ``s`` (the window's first hash) and ``hash``, its smallest; with
+    ``own_row`` also once at -1 with hash 0. The hashes stay in ``h``.
+
+    A window repeats the fingerprint of the window before it unless that one's
+    first hash was among the smallest or its own last hash is smaller than all
+    before; only then it is kept. So every window's first smallest hash is kept
+    once, whatever repeats.
+    """
+    span = WINDOW - K  # a window has span + 1 hashes
     h = words.withColumn("h", F.when(F.size("w") >= WINDOW, hashes("w")).otherwise(F.array().cast("array<bigint>")))
     # outer: a filter inferred from the generator would compute the hashes twice
-    at = h.select("*", F.explode_outer(F.sequence(F.lit(-1), F.size("h") - 1)).alias("at"))
-    at = at.filter((F.col("at") < 0 if own_row else F.lit(False)) | kept("h", F.col("at")))
-    return at.withColumn("hash", F.when(F.col("at") >= 0, F.get("h", F.col("at"))).otherwise(F.lit(0)))
+    last = F.greatest(F.size("h") - span - 1, F.lit(-1))
+    at = h.select("*", F.explode_outer(F.sequence(F.lit(-1), last)).alias("s"))
+    inner = smallest("h", F.col("s"), span)
+    fresh = (F.col("s") == 0) | (F.get("h", F.col("s") - 1) <= inner) | (F.get("h", F.col("s") + span) < inner)
+    at = at.filter((F.col("s") >= 0) & fresh | (F.col("s") < 0) & F.lit(own_row))
+    return at.withColumn("hash", F.when(F.col("s") >= 0, smallest("h", F.col("s"), span + 1)).otherwise(F.lit(0)))
+
+
+def first_place(found: DataFrame) -> DataFrame:
+    """Adds ``at``, the first position of a window's smallest hash."""
+    same = F.filter(F.sequence(F.lit(0), F.lit(WINDOW - K)), lambda i: F.get("h", F.col("s") + i) == F.col("hash"))
+    return found.withColumn("at", F.col("s") + F.get(same, F.lit(0)))
 
 
 def around(words: str, at: Column, by: int) -> list[Column]:
@@ -106,7 +113,7 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     given = pick(items, item_col, item_text_col).toDF("item", "text").withColumn("item", F.coalesce(F.col("item").cast("string"), F.lit("null")))
     item_words = materialize(with_words(given, "text", "w").filter(F.size("w") > 0), "leak-items")
     steps = range(1, span + 1)
-    item_fp = materialize(fingerprints(item_words).select(
+    item_fp = materialize(first_place(fingerprints(item_words)).select(
         "hash", "item", F.array(*[F.get("w", F.col("at") + i) for i in range(K)]).alias("gram"),
         F.array(*[around("w", F.col("at"), -i) for i in steps]).alias("before"),
         F.array(*[around("w", F.col("at"), K - 1 + i) for i in steps]).alias("after")).distinct(), "leak-fingerprints")
@@ -115,24 +122,30 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     blocks = _blocks(item_fp)
     if len(blocks) + len(lengths) > 1:  # several passes must find a row under the same number
         words = materialize(words, "leak-words")
-    found = []
-    at = F.col("at")
+    hits = []
     for i, b in enumerate(blocks):
         # at -1 a document meets one row of its own, so its row comes out of the same pass
         own = docs.sparkSession.createDataFrame([(0, None, None, None, None)], b.schema)
         hit = fingerprints(words, own_row=i == 0).join(F.broadcast(b.unionByName(own) if i == 0 else b), "hash")
-        same = reduce(Column.__and__, [F.get("w", at + j) == F.get("gram", F.lit(j)) for j in range(K)])
-        hit = hit.filter(F.when(at >= 0, F.coalesce(same, F.lit(False))).otherwise(F.col("item").isNull()))
-        left, right = equal_run([around("w", at, -j) for j in steps], [around("w", at, K - 1 + j) for j in steps],
-                                [F.get("before", F.lit(j - 1)) for j in steps], [F.get("after", F.lit(j - 1)) for j in steps])
-        run = hit.select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"), "item",
-                         F.when(at >= 0, at - left).alias("lo"), F.when(at >= 0, at + K + right).alias("hi"))
-        found.append(run.filter(F.col("item").isNull() | (F.col("hi") - F.col("lo") >= WINDOW)))
+        # a hit takes the words around its window with it; all else is worked out on hits alone,
+        # so the loop over all positions stays small enough to be compiled
+        hit = hit.filter((F.col("s") >= 0) == F.col("item").isNotNull()).withColumn("base", F.greatest(F.col("s") - span, F.lit(0)))
+        hits.append(hit.select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"), "item", "s", "base",
+                               F.slice("w", F.col("base") + 1, F.lit(3 * span + K)).alias("near"), "gram", "before", "after"))
+    hits = materialize(reduce(DataFrame.unionByName, hits), "leak-hits")
+    places = F.filter(F.sequence(F.col("s") - F.col("base"), F.col("s") - F.col("base") + span), lambda i: F.slice("near", i + 1, F.lit(K)) == F.col("gram"))
+    hits = hits.withColumn("i", F.when(F.col("item").isNotNull(), F.get(places, F.lit(0)))).filter("item IS NULL OR i IS NOT NULL")
+    i, at = F.col("i"), F.col("base") + F.col("i")
+    left, right = equal_run([around("near", i, -j) for j in steps], [around("near", i, K - 1 + j) for j in steps],
+                            [F.get("before", F.lit(j - 1)) for j in steps], [F.get("after", F.lit(j - 1)) for j in steps])
+    run = hits.select("rid", "doc_id", "n_words", "item", F.when(i.isNotNull(), at - left).alias("lo"), F.when(i.isNotNull(), at + K + right).alias("hi"))
+    found = [run.filter(F.col("item").isNull() | (F.col("hi") - F.col("lo") >= WINDOW))]
+    at = F.col("at")
     for n in lengths:
         for b in _blocks(materialize(short.filter(F.col("n") == n).select(gram_hash("w", F.lit(0), n).alias("hash"), "item", F.col("w").alias("gram")), "leak-short")):
-            place = words.filter(F.col("n_words") >= n).select("*", F.explode_outer(F.sequence(F.lit(0), F.col("n_words") - n)).alias("at"))
-            hit = place.withColumn("hash", gram_hash("w", at, n)).join(F.broadcast(b), "hash")
-            hit = hit.filter(reduce(Column.__and__, [F.get("w", at + i) == F.get("gram", F.lit(i)) for i in range(n)]))
+            spot = words.filter(F.col("n_words") >= n).select("*", F.explode_outer(F.sequence(F.lit(0), F.col("n_words") - n)).alias("at"))
+            hit = spot.withColumn("hash", gram_hash("w", at, n)).join(F.broadcast(b), "hash")
+            hit = hit.filter(F.slice("w", at + 1, F.lit(n)) == F.col("gram"))
             found.append(hit.select("rid", "doc_id", F.col("n_words").cast("long").alias("n_words"), "item", at.alias("lo"), (at + n).alias("hi")))
     return reduce(DataFrame.unionByName, found)
 

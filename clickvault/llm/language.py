@@ -23,9 +23,9 @@ never learned from.
 from __future__ import annotations
 
 import itertools
-import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -36,43 +36,39 @@ from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField,
 from clickvault.llm.common import columns_of, pick
 from clickvault.plans.materialize import small_side
 
-EDGE = 1  # stands for a word's edge among its code points
-_LETTERS = re.compile(r"[^\W\d_]+")
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def hashed_grams(words: list[str], n_gram: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The hashed n-grams of all words one after another, and how many each word has."""
-    line = chr(EDGE).join(["", *words, ""])
-    code = np.frombuffer(line.encode("utf-32-le"), "<u4").astype(np.uint64)
-    edge = code == EDGE
-    owner = np.cumsum(edge) - 1  # the word a position belongs to; an edge belongs to the word after it
-    grams, owners = [], []
-    h = np.zeros(len(code), np.uint64)
-    for n in range(1, n_gram + 1):
-        if len(code) < n:
-            break
-        h = (h[:len(code) - n + 1] if n > 1 else h) * np.uint64(1_000_003) + code[n - 1:]
-        ok = np.ones(len(h), bool)
-        for i in range(1, n - 1):  # an edge may only be the first or the last of an n-gram
-            ok &= ~edge[i:i + len(h)]
-        if n == 1:
-            ok &= ~edge
-        if n == 2:
-            ok &= ~(edge[:-1] & edge[1:])
-        at = np.flatnonzero(ok)
-        grams.append(((h[at] + np.uint64(n)) * _MIX) >> np.uint64(64 - bits))
-        owners.append(owner[at])
-    if not words:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    own = np.concatenate(owners)
-    order = np.argsort(own, kind="stable")
-    return np.concatenate(grams)[order].astype(np.int64), np.bincount(own, minlength=len(words))[:len(words)]
-
-
-def letters(piece: bytes) -> list[str]:
-    """The runs of letters of a piece of text, lower-cased."""
-    return _LETTERS.findall(piece.decode("utf-8", "replace").lower())
+EDGE = 1  # stands for all that is no letter
+STEP = 1 << 20  # code points looked at together; bounds the memory of a long text
+
+
+@lru_cache(maxsize=1)
+def _letter() -> np.ndarray:
+    """Whether a code point is a letter."""
+    return np.fromiter((chr(i).isalpha() for i in range(0x110000)), bool, 0x110000)
+
+
+def hashed_grams(text: bytes, n_gram: int, bits: int) -> Iterator[np.ndarray]:
+    """The hashed n-grams of a text's lower-cased words, word edges included, in parts."""
+    code = np.frombuffer(text.decode("utf-8", "replace").lower().encode("utf-32-le", "surrogatepass"), "<u4")
+    code = np.where(_letter()[code], code, np.uint32(EDGE))
+    code = np.concatenate([[np.uint32(EDGE)], code, [np.uint32(EDGE)]])
+    for at in range(0, len(code), STEP):
+        part = code[at:at + STEP + n_gram - 1]
+        edge, grams, h = part == EDGE, [], np.zeros(len(part), np.uint32)
+        inner = np.ones(len(part), bool)
+        for n in range(1, n_gram + 1):
+            if len(part) < n:
+                break
+            h = h[:len(part) - n + 1] * np.uint32(1_000_003) + part[n - 1:]
+            if n == 1:
+                ok = ~edge
+            elif n == 2:
+                ok = ~(edge[:-1] & edge[1:])
+            else:  # an edge may only be the first or the last of an n-gram
+                inner = inner[:len(h)] & ~edge[n - 2:n - 2 + len(h)]
+                ok = inner
+            starts = np.flatnonzero(ok[:STEP])
+            grams.append(((h[starts] + np.uint32(n)) * np.uint32(0x9E3779B1)) >> np.uint32(32 - bits))
+        yield np.concatenate(grams).astype(np.int64)
 
 
 def codebook(n: int, seed: int = 7) -> np.ndarray:
@@ -107,45 +103,15 @@ class Model:
     n_gram: int
     bits: int
     least_gap: float
-    most: int = 400_000
-    known: dict = field(default_factory=dict, repr=False)
-    table: np.ndarray | None = field(default=None, repr=False)
-
-    def __getstate__(self):
-        return self.__dict__ | {"known": {}, "table": None}
-
-    def _learn(self, pieces: list[bytes]) -> None:
-        """Add the summed odds and n-gram counts of new pieces to what is remembered."""
-        runs = [letters(p) for p in pieces]
-        grams, sizes = hashed_grams([w for r in runs for w in r], self.n_gram, self.bits)
-        of_run = np.repeat(np.arange(len(runs)), [len(r) for r in runs])
-        of_gram = np.repeat(of_run, sizes) if len(of_run) else np.zeros(0, np.int64)
-        rows = np.zeros((len(pieces), self.odds.shape[1] + 1))
-        for b in range(self.odds.shape[1]):
-            rows[:, b] = np.bincount(of_gram, self.odds[grams, b], len(pieces))
-        rows[:, -1] = np.bincount(of_gram, minlength=len(pieces))
-        base = len(self.known)
-        if not base:
-            self.table = np.zeros((1 << 12, rows.shape[1]))
-        while base + len(rows) > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
-        self.table[base:base + len(rows)] = rows
-        self.known.update(zip(pieces, range(base, base + len(rows)), strict=True))
 
     def margins(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(texts, code bits) mean log odds, and each text's number of n-grams."""
-        split = [t.split() for t in texts]
-        new = {p for s in split for p in s}.difference(self.known)
-        if len(self.known) + len(new) > self.most:
-            self.known = {}
-            new = {p for s in split for p in s}
-        if new:
-            self._learn(sorted(new))
-        out = np.zeros((len(texts), self.odds.shape[1] + 1))
-        for i, s in enumerate(split):
-            if s:
-                out[i] = self.table[list(map(self.known.__getitem__, s))].sum(axis=0)
-        return out[:, :-1] / np.maximum(out[:, -1:], 1), out[:, -1]
+        total, n = np.zeros((len(texts), self.odds.shape[1])), np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            for grams in hashed_grams(text, self.n_gram, self.bits):
+                total[i] += np.bincount(grams, minlength=len(self.odds)).astype(np.float32) @ self.odds
+                n[i] += len(grams)
+        return total / np.maximum(n, 1)[:, None], n
 
     def losses(self, margins: np.ndarray) -> np.ndarray:
         """(texts, langs): weighted logistic loss of the margins against each codeword."""
@@ -178,9 +144,9 @@ def _counts(texts: DataFrame, n_gram: int, bits: int) -> dict[tuple[str, int], n
         for batch in batches:
             langs, folds, (raw,) = batch.column("lang").to_pylist(), batch.column("fold").to_pylist(), columns_of(batch, "text")
             for lang, fold, text in zip(langs, folds, raw, strict=True):
-                grams, _ = hashed_grams(letters(text), n_gram, bits)
+                own = sum(np.bincount(g, minlength=1 << bits) for g in hashed_grams(text, n_gram, bits))
                 # a text counts once whatever its length, so long texts do not drown the others
-                own = np.bincount(grams, minlength=1 << bits) * (1000 / max(1, len(grams)))
+                own = own * (1000 / max(1, own.sum()))
                 key = (lang, fold)
                 held[key] = held.get(key, 0) + own
         for (lang, fold), c in held.items():
@@ -199,7 +165,7 @@ def _odds(per_lang: np.ndarray, code: np.ndarray) -> np.ndarray:
     for b in range(code.shape[1]):
         one, zero = share[code[:, b] > 0], share[code[:, b] < 0]
         cols.append(np.log(one.mean(axis=0)) - np.log(zero.mean(axis=0)) if len(one) and len(zero) else np.zeros(share.shape[1]))
-    return np.stack(cols, axis=1)
+    return np.stack(cols, axis=1).astype(np.float32)
 
 
 def sample(labelled: DataFrame, per_lang: int) -> DataFrame:
@@ -225,7 +191,7 @@ def fit(labelled: DataFrame, per_lang: int = 400, n_gram: int = 4, bits: int = 1
         return np.array([sum((c for (g, f), c in counts.items() if g == lang and f != skip), zero) for lang in langs]).reshape(len(langs), 1 << bits)
 
     def model(skip: int | None, weight: np.ndarray, scale: float) -> Model:
-        return Model(langs, code, _odds(summed(skip), code) if langs else np.zeros((1 << bits, code.shape[1])), weight, scale, n_gram, bits, least_gap)
+        return Model(langs, code, _odds(summed(skip), code) if langs else np.zeros((1 << bits, code.shape[1]), np.float32), weight, scale, n_gram, bits, least_gap)
 
     even = np.full(code.shape, 1 / max(1, code.shape[1]))
     # margins of texts by a model that was fitted without their fold (fold 0), for weights and scale

@@ -6,6 +6,7 @@ import pytest
 from hypothesis import given
 from hypothesis import strategies as st
 
+from clickvault.llm import language
 from clickvault.llm.language import codebook, fit, hashed_grams, identify, sample, training_rows
 from clickvault.llm.registry import QUERIES
 
@@ -14,16 +15,23 @@ from .helpers import ODD, docs_of, empty
 SF = "/root/testdata/sf0.01"
 
 
-@given(st.lists(st.text("abcé", min_size=1, max_size=6), max_size=6))
-def test_grams_stay_inside_words(words):
-    grams, sizes = hashed_grams(words, 3, 20)
-    alone = [hashed_grams([w], 3, 20)[0] for w in words]
-    assert sizes.tolist() == [len(a) for a in alone]
-    for got, want in zip(np.split(grams, np.cumsum(sizes)[:-1]) if words else [], alone):
-        assert sorted(got.tolist()) == sorted(want.tolist())
-    if words:  # letters, and with the edges len + 1 pairs and len triples
-        n = len(words[0])
-        assert sizes[0] == n + (n + 1) + n
+def grams_of(text):
+    return np.sort(np.concatenate([*hashed_grams(text.encode(), 3, 20), np.zeros(0, np.int64)])).tolist()
+
+
+@given(st.lists(st.text("abcé", min_size=1, max_size=6), max_size=6), st.sampled_from([" ", "  ", "7", " ,\n"]))
+def test_grams_stay_inside_words(words, between):
+    assert grams_of(between.join(words)) == sorted(x for w in words for x in grams_of(w))
+    assert grams_of("ABC é") == grams_of("abc É")
+    for w in words:  # letters, and with the edges one pair more than letters, and as many triples
+        assert len(grams_of(w)) == 3 * len(w) + 1
+
+
+def test_long_texts_in_parts(monkeypatch):
+    text = "some words of some length and more" * 5
+    whole = grams_of(text)
+    monkeypatch.setattr(language, "STEP", 7)
+    assert grams_of(text) == whole
 
 
 @pytest.mark.parametrize("n", [2, 3, 4, 5, 6, 30])

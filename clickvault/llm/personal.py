@@ -5,16 +5,30 @@ leftmost and not overlapping within a kind; matches that fail their check
 (parts above 255, Luhn, digit counts) are dropped, not retried.
 
 The method is bootstrapped contextual extraction. Base spans are the seeds.
-The words before a span (one, and two) with the coarse form of its text are
-its lexical patterns. Patterns and identifiers make a graph, scored in rounds:
-a pattern's confidence is the known share of the distinct identifiers that it
-stands with; an identifier's score is one minus the product of its confident
-patterns' doubts. Identifiers above the threshold are known in the next round,
-and all their places become spans of the pattern's kind.
-
-Native: texts are cut by the patterns themselves, so a match's place is the
-sum of the lengths before it; each document leaves the scan as one row and a
-row a match, never as text. The graph is grouped by pattern and by
+The words before a span (one, and two) are its lexical patterns, whatever the
+span looks like. What stands in a pattern's slot and overlaps no base span is
+a candidate: any token, be it letters, digits or both. Patterns and
+identifiers make a graph, scored in rounds: a pattern's confidence is the
+known share of the distinct identifiers that it stands with; an identifier's
+score is one minus the product of its confident patterns' doubts. A token
+without a digit or '@' may be a word of the language, so its score is
+multiplied by the share of its places that are confident slots. Identifiers
+above the threshold are known in the next round, and all their places become
+spans of the pattern's kind.
+
+A token starts at a word (``ALNUM_WORDS``) before which the text starts or a
+separator stands (white space, controls, ``,;:="<>[]{}|``), and goes up to the
+last word before the next separator; of longer ones the first ``LONGEST``
+words are the token.
+
+Native: base matches are cut out by the patterns themselves, so a match's
+place is the sum of the lengths before it; each document leaves that scan as
+one row and a row a match, never as text. The texts are staged once for the
+token scans, which explode positions inside one generated loop and let out
+only those whose context or first word is looked for (hashes, broadcast in
+blocks of ``BLOCK``). A pattern's slots are let out only when it can be
+confident: the distinct first words of a sixteenth of its slots are a lower
+bound of what it stands with. The graph is grouped by pattern and by
 identifier over distinct pairs with map-side combine, so an identifier or a
 context that fills a third of the corpus is one pair a task.
 
@@ -32,21 +46,24 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import materialize, pick
+from clickvault.llm.common import alnum_words, materialize, pick
 
 KINDS = ["email", "ip", "card", "phone"]
 TOKEN = len(KINDS)
+LONGEST, BLOCK, SAMPLE = 64, 1_000_000, 16
 _E = "A-Za-z0-9._%+-"
-_T = "A-Za-z0-9_.+@-"
+_SEPARATOR = r'[\x00-\x20\x7F,;:="<>\[\]{}|]'
+_ALNUM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+_START = rf"(?<=[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F])(?={_ALNUM})"
+_BODY = rf"^(?:[!#-+\-./?@\\^_`~]*+{_ALNUM}++)++"
 #: A run of 16 to 19 digits that is not part of a longer one; equal to dropping the others after matching whole runs.
 REGEX = [
     rf"(?:\G|(?<![{_E}]))[{_E}]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}",
     r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     r"\+[0-9][\x20().0-9-]+[0-9]",
-    rf"(?<![{_T}])[A-Za-z_.+-]*+[0-9](?:[{_T}]*[A-Za-z0-9])?",
 ]
-MARK = ["@", ".", None, "+", None]  # a text without it has no match
+MARK = ["@", ".", None, "+"]  # a text without it has no match
 
 
 def _digits(c: Column) -> Column:
@@ -64,12 +81,11 @@ def luhn(value: Column) -> Column:
 
 
 def passes() -> Column:
-    """The check of a match of ``kind``; a token is six characters with four digits at least."""
+    """The check of a match of ``kind``."""
     v, n = F.col("value"), F.length(_digits(F.col("value")))
     small = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
     return (F.when(F.col("kind") == 0, True).when(F.col("kind") == 1, v.rlike(rf"^{small}(?:\.{small}){{3}}$"))
-            .when(F.col("kind") == 2, luhn(v)).when(F.col("kind") == 3, n.between(8, 15))
-            .otherwise((F.length(v) >= 6) & (n >= 4)))
+            .when(F.col("kind") == 2, luhn(v)).otherwise(n.between(8, 15)))
 
 
 def _cut(kind: int, found: str) -> Column:
@@ -85,10 +101,14 @@ def _cut(kind: int, found: str) -> Column:
 _ROWS = "array<struct<kind:int,no:int,gap:int,value:string,before:array<string>>>"
 
 
-def places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``rid doc_id kind start end value before``: all base spans and tokens, and a row a document whose ``kind`` is null."""
-    rows = (pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
-            .withColumn("text", F.coalesce("text", F.lit(""))))
+def numbered(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``rid doc_id text``, staged: several scans must find a row under the same number."""
+    rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
+    return materialize(rows.withColumn("rid", F.monotonically_increasing_id()), "personal-texts")
+
+
+def places(rows: DataFrame) -> DataFrame:
+    """``rid doc_id kind start end value before``: all base spans, and a row a document whose ``kind`` is null."""
     found = {}
     for k in range(len(REGEX)):
         may = F.col("text").contains(MARK[k]) if MARK[k] else F.col("text").rlike("[0-9]")
@@ -104,26 +124,108 @@ def places(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def free_tokens(found: DataFrame) -> DataFrame:
-    """Base spans, and the tokens that overlap none of them."""
+    """The tokens that overlap no base span."""
     one = Window.partitionBy("rid").orderBy("start", "end")
     base = F.col("kind") < TOKEN
-    found = found.filter("kind IS NOT NULL")
     ends = F.max(F.when(base, F.col("end"))).over(one.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.min(F.when(base, F.col("start"))).over(one.rowsBetween(1, Window.unboundedFollowing))
     near = found.withColumns({"_e": ends, "_s": starts})
     free = F.coalesce(F.col("_e") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("_s") >= F.col("end"), F.lit(True))
-    return near.filter(base | free).drop("_e", "_s")
+    return near.filter(~base & free).drop("_e", "_s")
 
 
 def edges(spans: DataFrame) -> DataFrame:
     """``pattern value kind``, each pair once; the kind is null for tokens."""
-    form = F.when(F.col("value").contains("@"), "@").when(F.col("value").rlike("[A-Za-z]"), "mixed").otherwise("digits")
     left = F.col("before")
-    patterns = F.array(F.concat_ws(" ", form, F.get(left, F.lit(0)), F.get(left, F.lit(1))), F.concat_ws(" ", form, F.lit("*"), F.get(left, F.lit(1))))
+    patterns = F.array(F.concat_ws(" ", F.get(left, F.lit(0)), F.get(left, F.lit(1))), F.concat_ws(" ", F.lit("*"), F.get(left, F.lit(1))))
     kind = F.when(F.col("kind") < TOKEN, F.col("kind"))
     return spans.select(F.explode(patterns).alias("pattern"), "value", kind.alias("kind")).groupBy("pattern", "value").agg(F.min("kind").alias("kind"))
 
 
+def positions(rows: DataFrame) -> DataFrame:
+    """Every word's position ``i`` with ``a``, ``b``: the two words before; ``p``, ``w``: the text cut before each word, and its words."""
+    # one generated row each, as in with_words
+    cut = F.struct(F.split("text", _START, -1).alias("p"), alnum_words(F.col("text")).alias("w"))
+    words = rows.select("rid", F.explode(F.array(cut)).alias("c")).select("rid", "c.p", "c.w").filter(F.size("w") > 0)
+    at = words.select("rid", "p", "w", (F.size("p") - F.size("w")).alias("lead"), F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
+    word = lambda n: F.coalesce(F.get("w", F.col("i") - n), F.lit("^"))
+    return at.withColumns({"a": word(2), "b": word(1)})
+
+
+def starts_token() -> Column:
+    return (F.col("i") == 0) | F.get("p", F.col("lead") + F.col("i") - 1).rlike(_SEPARATOR)
+
+
+def as_places(at: DataFrame) -> DataFrame:
+    """``rid kind start end value before`` of the tokens at ``positions``."""
+    n = F.col("lead") + F.col("i")
+    value = F.regexp_extract(F.array_join(F.slice("p", n + 1, F.lit(LONGEST)), ""), _BODY, 0)
+    start = F.length(F.array_join(F.slice("p", F.lit(1), n), "")).cast("long")
+    return at.filter(starts_token()).select("rid", F.lit(TOKEN).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
+                                            value.alias("value"), F.array("a", "b").alias("before"))
+
+
+def _pattern_hash() -> Column:
+    return F.xxhash64(F.substring_index("pattern", " ", 1), F.substring_index("pattern", " ", -1))
+
+
+def _near(at: DataFrame, patterns: DataFrame) -> DataFrame:
+    """The positions that stand in a slot of ``patterns``, with ``h``: the hashes of those they stand in."""
+    hashes = materialize(patterns.select(_pattern_hash().alias("h")).distinct(), "personal-hashes")
+    blocks = -(-hashes.count() // BLOCK) or 1
+    keyed = at.withColumns({"two": F.xxhash64("a", "b"), "one": F.xxhash64(F.lit("*"), F.col("b"))})
+    out = []
+    for k in range(blocks):  # at most BLOCK hashes each
+        side = hashes.filter(F.pmod("h", F.lit(blocks)) == k)
+        met = (keyed.join(F.broadcast(side.select(F.col("h").alias("two"), F.lit(True).alias("y2"))), "two", "left")
+               .join(F.broadcast(side.select(F.col("h").alias("one"), F.lit(True).alias("y1"))), "one", "left").filter("y1 OR y2"))
+        out.append(met.withColumn("h", F.array_compact(F.array(F.when(F.col("y2"), F.col("two")), F.when(F.col("y1"), F.col("one"))))).drop("two", "one", "y1", "y2"))
+    return reduce(DataFrame.unionByName, out)
+
+
+def least_totals(rows: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``pattern least``: a lower bound of the distinct values in each pattern's
+    slots: the distinct first words of them whose hash falls in a sixteenth."""
+    first = F.xxhash64(F.get("w", F.col("i")))
+    at = _near(positions(rows).filter(F.pmod(first, F.lit(SAMPLE)) == 0), patterns).filter(starts_token())
+    pairs = at.select(F.explode("h").alias("h"), first.alias("f")).distinct()
+    return (patterns.select("pattern", _pattern_hash().alias("h")).join(pairs.groupBy("h").agg(F.count(F.lit(1)).alias("least")), "h", "left")
+            .select("pattern", F.coalesce("least", F.lit(0)).alias("least")))
+
+
+def at_values(rows: DataFrame, values: DataFrame) -> DataFrame:
+    """``positions`` where a token starts with the first word of one of ``values``."""
+    word = F.xxhash64(F.get(alnum_words(F.col("value")), F.lit(0)))
+    firsts = materialize(values.select(word.alias("f")).distinct(), "personal-firsts")
+    blocks = -(-firsts.count() // BLOCK) or 1
+    at = positions(rows).withColumn("f", F.xxhash64(F.get("w", F.col("i"))))
+    return reduce(DataFrame.unionByName, [at.join(F.broadcast(firsts.filter(F.pmod("f", F.lit(blocks)) == k)), "f", "left_semi") for k in range(blocks)])
+
+
+def scored(pairs: DataFrame, known: DataFrame | None) -> DataFrame:
+    """``pairs`` with kinds and scores of seeds and known identifiers."""
+    if known is None:
+        return pairs.withColumn("score", F.when(F.col("kind").isNotNull(), F.lit(1.0)))
+    return (pairs.join(known, "value", "left").select("pattern", "value", F.coalesce("kind", "found").alias("kind"),
+            F.when(F.col("kind").isNotNull(), F.lit(1.0)).otherwise(F.col("known_score")).alias("score")))
+
+
+def confident(pairs: DataFrame, known: DataFrame | None, least_support: int, least_conf: float) -> DataFrame:
+    """``pattern as_kind conf`` of the patterns that are confident of a kind."""
+    by_kind = scored(pairs, known).groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("mass"), F.count("score").alias("support"))
+    total = F.sum("n").over(Window.partitionBy("pattern"))  # at most one row a kind
+    return (by_kind.withColumn("conf", F.col("mass") / (total + 0.5)).filter("kind IS NOT NULL")
+            .filter((F.col("support") >= least_support) & (F.col("conf") >= least_conf)).select("pattern", F.col("kind").alias("as_kind"), "conf"))
+
+
+def propose(pairs: DataFrame, conf: DataFrame, least_conf: float) -> DataFrame:
+    """``value found known_score`` of the identifiers that ``conf`` finds."""
+    new = pairs.filter("kind IS NULL").join(conf, "pattern").groupBy("value", "as_kind").agg(
+        (1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999999)))))).alias("s"))
+    best = new.groupBy("value").agg(F.max(F.struct("s", (-F.col("as_kind")).alias("k"))).alias("b"))
+    return best.filter(F.col("b.s") >= least_conf).select("value", (-F.col("b.k")).alias("found"), F.round("b.s", 9).alias("known_score"))
+
+
 def discover(pairs: DataFrame, rounds: int = 3, least_support: int = 3, least_conf: float = 0.8) -> DataFrame:
     """``value kind``: identifiers that confident patterns find beside the seeds.
 
@@ -133,34 +235,84 @@ def discover(pairs: DataFrame, rounds: int = 3, least_support: int = 3, least_co
     """
     known = None
     for _ in range(rounds):
-        state = pairs.withColumn("score", F.when(F.col("kind").isNotNull(), F.lit(1.0)))
-        if known is not None:
-            state = (pairs.join(known, "value", "left").select("pattern", "value", F.coalesce("kind", "found").alias("kind"),
-                     F.when(F.col("kind").isNotNull(), F.lit(1.0)).otherwise(F.col("known_score")).alias("score")))
-        by_kind = state.groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"), F.sum("score").alias("mass"), F.count("score").alias("support"))
-        total = F.sum("n").over(Window.partitionBy("pattern"))  # at most one row a kind
-        conf = (by_kind.withColumn("conf", F.col("mass") / (total + 0.5)).filter("kind IS NOT NULL")
-                .filter((F.col("support") >= least_support) & (F.col("conf") >= least_conf)).select("pattern", F.col("kind").alias("as_kind"), "conf"))
-        new = pairs.filter("kind IS NULL").join(conf, "pattern").groupBy("value", "as_kind").agg(
-            (1 - F.exp(F.sum(F.log(1 - F.least("conf", F.lit(0.999999)))))).alias("s"))
-        best = new.groupBy("value").agg(F.max(F.struct("s", (-F.col("as_kind")).alias("k"))).alias("b"))
-        known = materialize(best.filter(F.col("b.s") >= least_conf).select(
-            "value", (-F.col("b.k")).alias("found"), F.round("b.s", 9).alias("known_score")), "personal-known")
+        known = materialize(propose(pairs, confident(pairs, known, least_support, least_conf), least_conf), "personal-known")
     return known.select("value", F.col("found").alias("kind"))
 
 
+def _wordlike() -> Column:
+    return ~F.col("value").rlike("[0-9@]")
+
+
+def _judged(rows: DataFrame, found: DataFrame, conf: DataFrame, least_conf: float) -> DataFrame:
+    """``found`` with the scores of word-like tokens multiplied by the share of their places that are confident slots."""
+    words = materialize(found.filter(_wordlike()), "personal-words")
+    if words.limit(1).count() == 0:
+        return found
+    at = as_places(at_values(rows, words)).join(words.select("value"), "value", "left_semi")
+    # one row a value, context and task: a word of the language is not let out place by place
+    by = materialize(at.groupBy("value", "before").agg(F.count(F.lit(1)).alias("n")), "personal-word-contexts")
+    slot = by.select("value", "before", "n", F.explode(F.array(F.concat_ws(" ", "before"), F.concat_ws(" ", F.lit("*"), F.get("before", F.lit(1))))).alias("pattern"))
+    slot = slot.join(conf.select("pattern", "as_kind"), "pattern").select("value", "before", "n", F.col("as_kind").alias("found")).distinct()
+    inside = slot.groupBy("value", "found").agg(F.sum("n").alias("inside"))
+    share = by.groupBy("value").agg(F.sum("n").alias("all")).join(inside, "value")
+    words = words.join(share, ["value", "found"]).select("value", "found", F.round(F.col("known_score") * F.col("inside") / F.col("all"), 9).alias("known_score"))
+    return found.filter(~_wordlike()).unionByName(words.filter(F.col("known_score") >= least_conf))
+
+
+def bootstrap(rows: DataFrame, base: DataFrame, rounds: int, least_support: int, least_conf: float) -> tuple[DataFrame, DataFrame | None]:
+    """Known identifiers (``value found known_score``) and the free tokens found
+    on the way, which hold all their places (none: null).
+
+    As ``discover`` over the pairs of all tokens of the corpus, of which only
+    those are read that can count: the slots of patterns that may be
+    confident, and the places of the identifiers that were found."""
+    spark = rows.sparkSession
+    pairs, spots, known = materialize(edges(base), "personal-edges"), None, None
+    totals = spark.createDataFrame([], "pattern string, least long")
+    listed, located = spark.createDataFrame([], "pattern string"), spark.createDataFrame([], "value string")
+
+    def add(at: DataFrame) -> None:
+        nonlocal pairs, spots
+        both = at.unionByName(base.select(at.columns))
+        free = free_tokens(both)
+        spots = materialize((free if spots is None else free.unionByName(spots)).dropDuplicates(["rid", "start"]), "personal-spots")
+        pairs = materialize(edges(spots.unionByName(base.select(spots.columns))), "personal-edges")
+
+    for _ in range(rounds):
+        ready = scored(pairs, known).filter("score IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
+        ready = ready.filter(F.col("n") >= least_support).groupBy("pattern").agg(F.max("n").alias("n")).join(listed, "pattern", "left_anti")
+        ready = materialize(ready, "personal-ready")
+        new = ready.join(totals, "pattern", "left_anti").select("pattern")
+        if new.limit(1).count():
+            totals = materialize(totals.unionByName(least_totals(rows, new)), "personal-totals")
+        may = materialize(ready.join(totals, "pattern").filter(F.col("n") >= least_conf * (F.col("least") + 0.5)).select("pattern"), "personal-may")
+        if may.limit(1).count():
+            add(as_places(_near(positions(rows), may)))
+            listed = materialize(listed.unionByName(may), "personal-listed")
+        whole = pairs.join(listed, "pattern", "left_semi")
+        conf = materialize(confident(whole, known, least_support, least_conf), "personal-confident")
+        known = materialize(_judged(rows, materialize(propose(whole, conf, least_conf), "personal-found"), conf, least_conf), "personal-known")
+        away = materialize(known.select("value").join(located, "value", "left_anti"), "personal-away")
+        if away.limit(1).count():
+            add(as_places(at_values(rows, away)).join(away, "value", "left_semi"))
+            located = materialize(located.unionByName(away), "personal-located")
+    return known, spots
+
+
 def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, least_support: int = 3,
          least_conf: float = 0.8) -> DataFrame:
     """Per document: ``doc_id n_email n_ip n_card n_phone base spans``; ``base``
     and ``spans`` are arrays of (kind number, start, end) in code points."""
-    found = materialize(places(docs, id_col, text_col), "personal-places")
-    spans = materialize(free_tokens(found), "personal-spans")
-    pairs = materialize(edges(spans), "personal-edges")
-    known = discover(pairs, rounds, least_support, least_conf)
-    added = spans.filter(F.col("kind") == TOKEN).drop("kind").join(known, "value").select("rid", "kind", "start", "end", F.lit(False).alias("is_base"))
-    base = spans.filter(F.col("kind") < TOKEN).select("rid", "kind", "start", "end", F.lit(True).alias("is_base"))
+    rows = numbered(docs, id_col, text_col)
+    found = materialize(places(rows), "personal-places")
+    spans = found.filter("kind IS NOT NULL")
+    known, spots = bootstrap(rows, spans, rounds, least_support, least_conf)
+    all_spans = spans.select("rid", "kind", "start", "end", F.lit(True).alias("is_base"))
+    if spots is not None:
+        added = spots.drop("kind").join(known, "value").select("rid", F.col("found").alias("kind"), "start", "end", F.lit(False).alias("is_base"))
+        all_spans = all_spans.unionByName(added)
     at = F.struct(F.col("kind"), F.col("start"), F.col("end"))
-    by = base.unionByName(added).groupBy("rid").agg(
+    by = all_spans.groupBy("rid").agg(
         *[F.count(F.when(F.col("is_base") & (F.col("kind") == k), 1)).alias(f"n_{name}") for k, name in enumerate(KINDS)],
         F.sort_array(F.collect_list(F.when(F.col("is_base"), at))).alias("base"), F.sort_array(F.collect_list(at)).alias("spans"))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")

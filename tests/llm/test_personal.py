@@ -128,3 +128,19 @@ def test_regexes_take_linear_time(spark):
     assert find(docs_of(spark, ["a" * 300_000, "1 " * 150_000, "a@a" * 90_000, "+" + "1 " * 100_000])).count() == 4
     assert time.time() - t < 90
     assert personal.REGEX
+
+
+def test_any_token_of_a_confident_slot_is_a_candidate(spark):
+    rng = random.Random(8)
+    texts = [f"{prose(rng, 6)} my card number {card(rng)} thanks" for _ in range(30)] + [f"{prose(rng, 6)} write to {prose(rng, 1)}{i}@host.example soon" for i in range(30)]
+    unseen = [("my card number {} thanks", "AB123456", 2), ("write to {}, soon", "user@localhost", 0), ("please write to ({})", "john.doe(at)host", 0), ("my card number: {}", "77", 2)]
+    texts += [p.format(v) for p, v, _ in unseen]
+    # letters alone: an identifier stands in such slots only, a word of the language elsewhere too
+    texts += ["my card number qwertz now", "my card number is", *[f"{prose(rng, 2)} this is {prose(rng, 3)}" for _ in range(9)]]
+    got = {r.doc_id: r for r in find(docs_of(spark, texts)).collect()}
+    for i, (_, v, kind) in enumerate(unseen, 60):
+        at = texts[i].index(v)
+        assert [tuple(s) for s in got[i].spans] == [(kind, at, at + len(v))] and not got[i].base, v
+    assert [tuple(s) for s in got[64].spans] == [(2, 15, 21)]
+    assert all(not got[i].spans for i in range(65, len(texts)))
+    assert all(got[i].spans == got[i].base for i in range(60))

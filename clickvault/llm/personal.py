@@ -14,7 +14,8 @@ score is one minus the product of its confident patterns' doubts. A token
 without a digit or '@' may be a word of the language, so its score is
 multiplied by the share of its places that are confident slots. Identifiers
 above the threshold are known in the next round, and all their places become
-spans of the pattern's kind.
+spans of the pattern's kind. Rounds go on until neither the known identifiers
+nor their scores (to four digits) change.
 
 A token starts at a word (``ALNUM_WORDS``) before which the text starts or a
 separator stands (white space, controls, ``,;:="<>[]{}|``), and goes up to the
@@ -50,7 +51,7 @@ from clickvault.llm.common import alnum_words, materialize, pick
 
 KINDS = ["email", "ip", "card", "phone"]
 TOKEN = len(KINDS)
-LONGEST, BLOCK, SAMPLE = 64, 1_000_000, 16
+LONGEST, BLOCK, SAMPLE, NEAR, MOST_ROUNDS = 64, 1_000_000, 16, 256, 60
 _E = "A-Za-z0-9._%+-"
 _SEPARATOR = r'[\x00-\x20\x7F,;:="<>\[\]{}|]'
 _ALNUM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
@@ -88,13 +89,23 @@ def passes() -> Column:
             .when(F.col("kind") == 2, luhn(v)).otherwise(n.between(8, 15)))
 
 
-def _cut(kind: int, found: str) -> Column:
-    """The matches of a kind with the length of the text since the match before, and the two words before."""
-    gaps = F.when(F.size(found) > 0, F.split("text", REGEX[kind], -1))
-    pairs = F.when(F.size(found) > 0, F.arrays_zip(F.col(found).alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap")))
-    words = lambda x: F.regexp_extract_all(F.lower(F.right(x["gap"], F.lit(64))), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"), F.lit(0))
+def _pairs(kind: int, found: str) -> Column:
+    """The matches of a kind with the text since the match before."""
+    gaps = F.split("text", REGEX[kind], -1)
+    zipped = F.arrays_zip(F.col(found).alias("value"), F.slice(gaps, 1, F.size(found)).alias("gap"))
+    return F.coalesce(F.when(F.size(found) > 0, zipped), F.array().cast("array<struct<value:string,gap:string>>"))
+
+
+def _cut(kind: int, pairs: str) -> Column:
+    """The matches of a kind with the length of the text since the match before, and the two words before.
+
+    The words are looked for in the ``NEAR`` characters before the match,
+    whatever other matches lie there."""
+    tail = lambda c: F.right(c, F.lit(NEAR))
+    back = lambda i, n, part: F.coalesce(tail(F.get(pairs, i - n)[part]), F.lit(""))
+    text = lambda i: tail(F.concat(*[back(i, n, part) for n in (3, 2, 1) for part in ("gap", "value")], back(i, 0, "gap")))
     one = lambda x, i: F.struct(F.lit(kind).alias("kind"), i.alias("no"), F.length(x["gap"]).alias("gap"), x["value"].alias("value"),
-                                F.slice(F.concat(F.array(F.lit("^"), F.lit("^")), words(x)), -2, 2).alias("before"))
+                                F.slice(F.concat(F.array(F.lit("^"), F.lit("^")), alnum_words(text(i))), -2, 2).alias("before"))
     return F.coalesce(F.transform(pairs, one), F.array().cast(_ROWS))
 
 
@@ -114,8 +125,11 @@ def places(rows: DataFrame) -> DataFrame:
         may = F.col("text").contains(MARK[k]) if MARK[k] else F.col("text").rlike("[0-9]")
         found[f"f{k}"] = F.when(may, F.regexp_extract_all("text", F.lit(REGEX[k]), F.lit(0))).otherwise(F.array().cast("array<string>"))
     rows = rows.select("rid", "doc_id", "text", *[c.alias(n) for n, c in found.items()])
-    # one generated row each; outer, so documents without a match stay
-    cut = rows.select("rid", "doc_id", F.explode_outer(F.concat(*[_cut(k, f"f{k}") for k in range(len(REGEX))], F.array(
+    # one generated row each, as in with_words: the texts are split once, not for every match
+    once = F.array(F.struct(*[_pairs(k, f"f{k}").alias(f"m{k}") for k in range(len(REGEX))]))
+    rows = rows.select("rid", "doc_id", F.explode(once).alias("c")).select("rid", "doc_id", "c.*")
+    # outer, so documents without a match stay
+    cut = rows.select("rid", "doc_id", F.explode_outer(F.concat(*[_cut(k, f"m{k}") for k in range(len(REGEX))], F.array(
         F.lit(None).cast(_ROWS[6:-1])))).alias("m")).select("rid", "doc_id", "m.*")
     order = Window.partitionBy("rid", "kind").orderBy("no").rowsBetween(Window.unboundedPreceding, 0)
     end = F.sum(F.col("gap") + F.length("value")).over(order)
@@ -226,16 +240,28 @@ def propose(pairs: DataFrame, conf: DataFrame, least_conf: float) -> DataFrame:
     return best.filter(F.col("b.s") >= least_conf).select("value", (-F.col("b.k")).alias("found"), F.round("b.s", 9).alias("known_score"))
 
 
-def discover(pairs: DataFrame, rounds: int = 3, least_support: int = 3, least_conf: float = 0.8) -> DataFrame:
+def _mark(known: DataFrame) -> tuple:
+    """Tells whether the known identifiers or their scores (to four digits) changed."""
+    state = F.xxhash64("value", "found", F.round("known_score", 4)).cast("decimal(38,0)")
+    return tuple(known.agg(F.count(F.lit(1)), F.coalesce(F.sum(state), F.lit(0))).first())
+
+
+def discover(pairs: DataFrame, rounds: int | None = None, least_support: int = 3, least_conf: float = 0.8) -> DataFrame:
     """``value kind``: identifiers that confident patterns find beside the seeds.
 
     ``least_support``: distinct known identifiers that a pattern must stand
     with; ``least_conf``: the least confidence of a pattern, and the least
-    score of a new identifier.
+    score of a new identifier; ``rounds``: stop after so many, else when
+    nothing changes any more.
     """
-    known = None
-    for _ in range(rounds):
+    known, seen = None, (0, 0)
+    for _ in range(rounds or MOST_ROUNDS):
         known = materialize(propose(pairs, confident(pairs, known, least_support, least_conf), least_conf), "personal-known")
+        if seen == (seen := _mark(known)):
+            break
+    else:
+        if rounds is None:
+            raise RuntimeError(f"identifiers did not settle in {MOST_ROUNDS} rounds")
     return known.select("value", F.col("found").alias("kind"))
 
 
@@ -259,7 +285,7 @@ def _judged(rows: DataFrame, found: DataFrame, conf: DataFrame, least_conf: floa
     return found.filter(~_wordlike()).unionByName(words.filter(F.col("known_score") >= least_conf))
 
 
-def bootstrap(rows: DataFrame, base: DataFrame, rounds: int, least_support: int, least_conf: float) -> tuple[DataFrame, DataFrame | None]:
+def bootstrap(rows: DataFrame, base: DataFrame, rounds: int | None, least_support: int, least_conf: float) -> tuple[DataFrame, DataFrame | None]:
     """Known identifiers (``value found known_score``) and the free tokens found
     on the way, which hold all their places (none: null).
 
@@ -278,7 +304,8 @@ def bootstrap(rows: DataFrame, base: DataFrame, rounds: int, least_support: int,
         spots = materialize((free if spots is None else free.unionByName(spots)).dropDuplicates(["rid", "start"]), "personal-spots")
         pairs = materialize(edges(spots.unionByName(base.select(spots.columns))), "personal-edges")
 
-    for _ in range(rounds):
+    seen = (0, 0)
+    for _ in range(rounds or MOST_ROUNDS):
         ready = scored(pairs, known).filter("score IS NOT NULL").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("n"))
         ready = ready.filter(F.col("n") >= least_support).groupBy("pattern").agg(F.max("n").alias("n")).join(listed, "pattern", "left_anti")
         ready = materialize(ready, "personal-ready")
@@ -293,13 +320,19 @@ def bootstrap(rows: DataFrame, base: DataFrame, rounds: int, least_support: int,
         conf = materialize(confident(whole, known, least_support, least_conf), "personal-confident")
         known = materialize(_judged(rows, materialize(propose(whole, conf, least_conf), "personal-found"), conf, least_conf), "personal-known")
         away = materialize(known.select("value").join(located, "value", "left_anti"), "personal-away")
-        if away.limit(1).count():
+        new = away.limit(1).count()
+        if new:
             add(as_places(at_values(rows, away)).join(away, "value", "left_semi"))
             located = materialize(located.unionByName(away), "personal-located")
+        if seen == (seen := _mark(known)) and not new:
+            break
+    else:
+        if rounds is None:
+            raise RuntimeError(f"identifiers did not settle in {MOST_ROUNDS} rounds")
     return known, spots
 
 
-def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int = 3, least_support: int = 3,
+def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rounds: int | None = None, least_support: int = 3,
          least_conf: float = 0.8) -> DataFrame:
     """Per document: ``doc_id n_email n_ip n_card n_phone base spans``; ``base``
     and ``spans`` are arrays of (kind number, start, end) in code points."""

@@ -144,3 +144,15 @@ def test_any_token_of_a_confident_slot_is_a_candidate(spark):
     assert [tuple(s) for s in got[64].spans] == [(2, 15, 21)]
     assert all(not got[i].spans for i in range(65, len(texts)))
     assert all(got[i].spans == got[i].base for i in range(60))
+
+
+def test_chains_and_contexts_of_all_kinds(spark):
+    # each identifier teaches the next context: more than three rounds
+    pairs = [("p0", f"s{i}", 2) for i in range(256)]
+    pairs += [(f"p{step + x}", f"t{step}.{i}", None) for step, n in enumerate((64, 16, 4, 1)) for i in range(n) for x in (0, 1)]
+    df = spark.createDataFrame(pairs, "pattern string, value string, kind int")
+    assert {r.value: r.kind for r in discover(df, None, 2, 0.3).collect()} == plain_discover(pairs, 50, 2, 0.3) != plain_discover(pairs, 3, 2, 0.3)
+    texts = ["tel 12 +1 555 000 1234 or +1 555 000 1235", "at 10.0.0.1 and 10.0.0.2, 10.0.0.3 x@y.zz"]
+    got = {(r.rid, r.kind, r.start): r.before for r in personal.places(personal.numbered(docs_of(spark, texts).coalesce(1))).filter("kind IS NOT NULL").collect()}
+    assert sorted((k, s, b) for (_, k, s), b in got.items()) == [
+        (0, 35, ["0", "3"]), (1, 3, ["^", "at"]), (1, 16, ["1", "and"]), (1, 26, ["0", "2"]), (3, 7, ["tel", "12"]), (3, 26, ["1234", "or"])]

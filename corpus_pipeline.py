@@ -42,11 +42,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each SimHash component, once. Rows
-    without an id stay, once for each text."""
-    ids = near_duplicates(docs.filter("doc_id IS NOT NULL")).filter("doc_id = component_id").select("doc_id").distinct()
-    stay, _ = small_side(ids, "pipeline-stay", SMALL)
-    kept = docs.join(stay, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The document of smallest id of each SimHash component, once; texts that
+    share an id count each. Rows without an id stay, once for each text."""
+    rows = keyed(docs.filter("doc_id IS NOT NULL"))
+    found = near_duplicates(rows, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id").distinct()
+    first = F.min(F.struct("doc_id", KEY))[KEY].alias(KEY)
+    keys = rows.select("doc_id", KEY).distinct().join(found, KEY).groupBy("component_id").agg(first).select(KEY)
+    stay, _ = small_side(keys, "pipeline-stay", SMALL)
+    kept = rows.join(stay, KEY, "left_semi").dropDuplicates([KEY]).select(docs.columns)
     return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"])).select(docs.columns)
 
 

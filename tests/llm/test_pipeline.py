@@ -89,3 +89,12 @@ def test_odd_rows(spark, stage):
     if stage == "personal_data":
         assert len(rows) == whole.count() and sum("<EMAIL>" in (r.text or "") for r in rows) == 2 and not any("@" in (r.text or "") for r in rows)
     fn(spark, empty(spark), SF).collect()
+
+
+def test_rows_that_share_an_id_are_told_apart(spark):
+    import random
+    rng = random.Random(4)
+    a, b, c = (prose(rng, 60) for _ in range(3))
+    df = docs_of(spark, [a, b, c, a], extra=False).withColumn("doc_id", F.when(F.col("doc_id") == 1, 0).otherwise(F.col("doc_id")))
+    out = P.near_duplicate(spark, df.unionByName(df), SF).collect()  # ids 0 0 2 3; 3 is a copy of the first
+    assert sorted((r.doc_id, r.text) for r in out) == sorted([(0, a), (0, b), (2, c)])

@@ -16,8 +16,11 @@ scan. The template table is small by construction: it is cut into blocks of
 at most ``BLOCK`` rows, each broadcast on its own, however many templates
 are given.
 
+Templates and phrases shorter than ``K`` words are looked up by their whole
+length, in a pass of its own for each such length; one without a word raises.
+
 Null text: no words, no label, score 0. Texts shorter than ``K`` words have
-no hits. Repeated rows are rows of their own. An empty table gives no rows.
+no hits but those of shorter phrases. Repeated rows are rows of their own. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -55,17 +58,22 @@ def template_grams(spark: SparkSession, templates: list[tuple[str, str]], phrase
     rows = [(i, label, text, i >= len(templates)) for i, (text, label) in
             enumerate([(t, x) for x, t in templates] + list(phrases))]
     words = spark.createDataFrame(rows, "template int, label string, text string, phrase boolean").withColumn("w", alnum_words(F.col("text")))
-    at = words.withColumn("m", F.size("w")).filter(F.col("m") >= K).select("*", F.explode(F.sequence(F.lit(0), F.col("m") - K)).alias("t"))
-    gram = [F.get("w", F.col("t") + i) for i in range(K)]
+    words = words.withColumn("m", F.size("w"))
+    if words.filter("m = 0").count():
+        raise ValueError("a template or phrase has no word")
+    at = words.select("*", F.explode(F.sequence(F.lit(0), F.greatest(F.col("m") - K, F.lit(0)))).alias("t"))
+    gram = [F.get("w", F.col("t") + i) for i in range(K)]  # beyond a short one's end: null, which neither of the two below counts
     return at.select("template", "label", "phrase", "m", "t", F.xxhash64(*gram).alias("hash"), F.concat_ws(" ", *gram).alias("gram"))
 
 
 def hits(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """One row per document (``pos`` null) and per position where a template's words stand."""
+    short = [n for n in range(1, K) if grams.filter(F.col("m") == n).limit(1).count()]
+    shorter, grams = grams.filter(F.col("m") < K), grams.filter(F.col("m") >= K)
     blocks = -(-grams.count() // BLOCK) or 1
     rows = pick(docs, id_col, text_col).toDF("doc_id", "text").withColumn("rid", F.monotonically_increasing_id())
     # several blocks read the rows several times, and must find them under the same number
-    words = with_words(rows if blocks == 1 else materialize(rows, "license-rows"), "text", "w").withColumn("n_words", F.size("w"))
+    words = with_words(rows if blocks == 1 and not short else materialize(rows, "license-rows"), "text", "w").withColumn("n_words", F.size("w"))
     # position -1 stands for the document itself and meets one row of its own
     at = words.select("*", F.explode_outer(F.sequence(F.lit(-1), F.greatest(F.col("n_words") - K, F.lit(-1)))).alias("pos"))
     word = [F.get("w", F.col("pos") + i) for i in range(K)]
@@ -82,6 +90,15 @@ def hits(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str) -> DataF
         same = F.when(F.col("pos") >= 0, F.concat_ws(" ", *word).eqNullSafe(F.col("gram"))).otherwise(F.col("template").isNull())
         found.append(keyed.join(F.broadcast(side), "hash").filter(same)
                      .select("rid", "doc_id", "n_words", "template", "label", "phrase", "m", "t", F.when(F.col("pos") >= 0, F.col("pos")).alias("pos")))
+    for n in short:
+        few = shorter.filter(F.col("m") == n)
+        blocks = -(-few.count() // BLOCK) or 1
+        some = [F.get("w", F.col("pos") + i) for i in range(n)]
+        at = words.filter(F.col("n_words") >= n).select("*", F.explode(F.sequence(F.lit(0), F.col("n_words") - n)).alias("pos"))
+        for b in range(blocks):
+            found.append(at.withColumn("hash", F.xxhash64(*some)).join(F.broadcast(few.filter(F.pmod("hash", F.lit(blocks)) == b)), "hash")
+                         .filter(F.concat_ws(" ", *some) == F.col("gram"))
+                         .select("rid", "doc_id", "n_words", "template", "label", "phrase", "m", "t", "pos"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -95,15 +112,15 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases:
     votes = rows.filter("template IS NOT NULL").withColumn("diagonal", F.col("pos") - F.col("t"))
     by_diagonal = votes.groupBy("rid", "template", "label", "phrase", "m", "diagonal").agg(
         F.count(F.lit(1)).alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"), F.collect_set("t").alias("ts"))
-    base = (by_diagonal.filter(F.col("phrase") & (F.col("votes") == F.col("m") - K + 1))
+    base = (by_diagonal.filter(F.col("phrase") & (F.col("votes") == F.greatest(F.col("m") - K + 1, F.lit(1))))
             .groupBy("rid").agg(F.count(F.lit(1)).alias("n_base"), F.min("diagonal").cast("long").alias("first_word"),
                                 F.max("diagonal").cast("long").alias("last_word"), F.collect_set("label").alias("base")))
     one = Window.partitionBy("rid", "template").orderBy("diagonal")
     merged = by_diagonal.filter("NOT phrase").withColumn(
         "new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(one) > gap, F.lit(True)).cast("int"))
     merged = merged.withColumn("span", F.sum("new").over(one)).groupBy("rid", "template", "label", "m", "span").agg(
-        F.min("lo").alias("lo"), (F.max("hi") + K).alias("hi"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"))
-    covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + K - 1)))))
+        F.min("lo").alias("lo"), (F.max("hi") + F.least("m", F.lit(K))).alias("hi"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"))
+    covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + F.least("m", F.lit(K)) - 1)))))
     verified = (merged.withColumn("covered", F.round(covered / F.col("m"), 6)).filter(F.col("covered") >= share)
                 .groupBy("rid").agg(F.collect_set("label").alias("own"), F.max("covered").alias("best"),
                                     F.sort_array(F.collect_list(F.struct("lo", "hi", "label", "covered"))).alias("spans")))

@@ -94,3 +94,14 @@ def test_licenses(spark, monkeypatch, block):
         assert scan(empty(spark)).count() == 0 and scan(df.unionByName(df)).count() == 2 * n
         assert scan(df, templates=[], phrases=[]).filter("labels <> ''").count() == 0
         assert scan(df.withColumn("doc_id", F.lit(None).cast("long"))).count() == n
+
+
+def test_phrases_shorter_than_a_gram(spark):
+    from clickvault.llm.licenses import scan as license_scan
+    texts = ["this is GPL v3 code, gpl-v3!", "gpl v2", "zlib", None, "v3", "under the MIT license"]
+    got = {r.doc_id: r for r in license_scan(docs_of(spark, texts), templates=[("isc", "ISC notice")],
+                                             phrases=[("gpl v3", "gpl-3"), ("zlib", "zlib"), ("under the mit license", "mit")]).collect()}
+    assert [(got[i].n_base, got[i].first_word, got[i].last_word, got[i].base_labels) for i in range(6)] == [
+        (2, 2, 5, "gpl-3"), (0, None, None, ""), (1, 0, 0, "zlib"), (0, None, None, ""), (0, None, None, ""), (1, 0, 0, "mit")]
+    (own,) = license_scan(docs_of(spark, ["the isc notice here"]), templates=[("isc", "ISC notice")], phrases=[]).collect()
+    assert own.labels == "isc" and [tuple(s) for s in own.spans] == [(1, 3, "isc", 1.0)]

@@ -29,7 +29,7 @@ from clickvault.session import fresh_path
 from clickvault.sources import fixture as FIX
 from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_quality, sink_silver, write_table
 from clickvault.sources.bronze import (
-    PANDAS_NA_TOKENS, missing_columns, read_bronze_csv, sample_sizes, write_bronze_csv,
+    PANDAS_NA_TOKENS, missing_columns, read_bronze_csv, sample_sizes, write_bronze_csv, written_workloads,
 )
 from clickvault.sources.tables import metric_lookup, scan_gold, scan_silver, table
 
@@ -602,8 +602,10 @@ def q_gate_workload_rows(spark, sf):
     raw = _raw(spark, sf)
     n = raw.count()
     t = _target(n)
-    wl = build_workload(raw, t, n=n).select(F.lit(t).cast("bigint").alias("sample_size"))
-    return GT.gate_workload_rows(wl, [t])
+    root = fresh_path(spark, "gate-workloads")
+    for size in (n, t):  # the gate looks at one of several that were written
+        write_bronze_csv(build_workload(raw, size, n=n), f"{root}/ecommerce_{size}.csv")
+    return GT.gate_workload_rows(written_workloads(spark, root), [t])
 
 
 @register("gate_tables_exist")

@@ -197,3 +197,13 @@ def sample_sizes(spark: SparkSession, pattern: str) -> DataFrame:
     root = F.regexp_extract(F.col("path"), r"^(.*ecommerce_\d+(?:\.csv)?)(?:/|$)", 1)
     return (files.select(size.cast("bigint").alias("sample_size"), root.alias("file"))
             .filter(F.col("sample_size").isNotNull()).distinct().orderBy("sample_size", "file"))
+
+
+def written_workloads(spark: SparkSession, root: str) -> DataFrame:
+    """``sample_size`` once for every row of the workloads written under
+    ``root`` (``ecommerce_<n>.csv``, files or folders), the size as discovered."""
+    sizes = [(r["sample_size"], r["file"]) for r in sample_sizes(spark, f"{root.rstrip('/')}/*.csv").collect()]  # one row a workload
+    out = spark.createDataFrame([], "sample_size bigint")
+    for size, path in sizes:
+        out = out.unionByName(read_bronze_csv(spark, path, row_numbers=False).select(F.lit(size).cast("bigint").alias("sample_size")))
+    return out

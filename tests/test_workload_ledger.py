@@ -124,3 +124,15 @@ def test_gzip_csv_header_and_row_numbers(spark):
     back = read_bronze_csv(spark, path).orderBy("source_row_number").collect()
     assert [r.source_row_number for r in back] == list(range(2, 32))
     assert [r.user_session for r in back] == [f"s{i}" for i in range(30)]
+
+
+def test_gate_counts_written_workloads(spark):
+    from clickvault.operators import gate as GT
+    from clickvault.session import fresh_path
+    from clickvault.sources.bronze import write_bronze_csv, written_workloads
+    raw = make_raw(spark, [ev(uid=str(i)) for i in range(4)])
+    root = fresh_path(spark, "t-workloads")
+    for size, name in ((4, 4), (10, 10), (7, 9)):  # the last one lies under a wrong size
+        write_bronze_csv(build_workload(raw, size, n=4), f"{root}/ecommerce_{name}.csv")
+    got = {r.check: (r.actual, r.ok) for r in GT.gate_workload_rows(written_workloads(spark, root), [4, 10, 9, 12]).collect()}
+    assert got == {"workload 4": ("4", True), "workload 10": ("10", True), "workload 9": ("7", False), "workload 12": ("missing", False)}

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path
 from clickvault.llm.language import fit, held_out, identify, training_rows
-from clickvault.llm import leaks, licenses, personal
+from clickvault.llm import leaks, licenses, personal, vectors
 from clickvault.llm.packing import pack
 from clickvault.llm.quality import judge
 from clickvault.llm.repeats import remove_repeats
@@ -113,3 +113,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = fresh_path(spark, "tokens")
     write_tokens(table(spark, sf_dir, "documents"), out, default_tokenizer())
     return read_tokens(spark, out).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@register("op11_vector_codes", vectors.oracle_sql())
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Product codes of all embeddings: 4 parts, 256 entries, 4 rounds, equal-average search."""
+    return vectors.encode(table(spark, sf_dir, "embeddings")).drop("label")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path
 from clickvault.llm.language import fit, held_out, identify, training_rows
+from clickvault.llm.mixing import mix
 from clickvault.llm import leaks, licenses, personal, vectors
 from clickvault.llm.packing import pack
 from clickvault.llm.quality import judge
@@ -119,3 +120,9 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Product codes of all embeddings: 4 parts, 256 entries, 4 rounds, equal-average search."""
     return vectors.encode(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+@register("op13_source_mix")
+def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents mixed to source weights 5, 2, 1 in turn, at 150 % of all words."""
+    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "probability")

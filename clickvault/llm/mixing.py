@@ -20,8 +20,8 @@ So a source misses its target by at most half the length of one document.
 
 At scale nothing is sorted: ranks are mapped to (0, 1) and counted in
 ``BINS`` bins a source, then the bin in which the target is met is counted in
-``BINS`` finer ones, and only documents of that last one (about ``BINS**-2``
-of a source) are put in order. Texts are read once; all else works on a few
+``BINS`` finer ones, ``LEVELS`` times, and only documents of that last one
+(about ``BINS ** -LEVELS`` of a source) are put in order. Texts are read once; all else works on a few
 numbers a document. One row a source is the only table that meets in one task
 (the sources' order is global). Built-in functions only.
 
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import NOT_SPACE, materialize, pick
 from clickvault.plans.materialize import small_side
 
-BINS = 1 << 12
+BINS, LEVELS = 1 << 8, 3
 RUN = 1 << 16  # repeated rows made by one task at a time
 _ALL = (Window.unboundedPreceding, Window.unboundedFollowing)
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -90,12 +90,12 @@ def _bin(z: Column, level: int) -> Column:
     return F.least(at, F.lit(BINS ** level - 1)) % BINS
 
 
-def _met(counted: DataFrame, bin_col: str, before: Column) -> DataFrame:
-    """Each source's bin in which the words (those ``before`` included) reach ``room``, and the words before it."""
+def _met(counted: DataFrame, bin_col: str) -> DataFrame:
+    """Each source's bin in which the words (with those of ``start``) reach ``room``, and the words before it."""
     order = Window.partitionBy("source").orderBy(bin_col)
-    start = before + F.coalesce(F.sum("words").over(order.rowsBetween(*_BEFORE)), F.lit(0))
-    reached = counted.withColumn("start", start).filter(F.col("start") + F.col("words") >= F.col("room"))
-    return reached.groupBy("source").agg(F.min_by(F.struct(bin_col, "start"), bin_col).alias("met"))
+    at = F.col("start") + F.coalesce(F.sum("words").over(order.rowsBetween(*_BEFORE)), F.lit(0))
+    reached = counted.withColumn("at", at).filter(F.col("at") + F.col("words") >= F.col("room"))
+    return reached.groupBy("source").agg(F.min_by(F.struct(bin_col, "at"), bin_col).alias("met"))
 
 
 def _with(rows: DataFrame, side: DataFrame, name: str, how: str = "inner") -> DataFrame:
@@ -122,32 +122,30 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5, 2, 1), share: float =
     u = (F.pmod(F.col("h"), F.lit(1 << 52)) + F.lit(0.5)) / F.lit(float(1 << 52))
     against, for_ = u * (1 - F.col("p")), (1 - u) * F.col("p")  # their quotient is the Pareto rank
     rows = rows.withColumn("z", F.when(F.col("p") > 0, against / (against + for_))).drop("expected", "factor")
-    rows = rows.withColumn("b1", _bin(F.col("z"), 1)).withColumn("b2", _bin(F.col("z"), 2))
+    for level in range(1, LEVELS + 1):
+        rows = rows.withColumn(f"b{level}", _bin(F.col("z"), level))
     ranked = materialize(rows, "mix-ranked")
 
-    room = ranked.groupBy("source").agg(F.sum(F.col("certain") * F.col("size")).alias("sure"), F.first("target").alias("target"))
-    room = room.select("source", (F.col("target") - F.col("sure")).alias("room"))
-    drawn = ranked.filter("z IS NOT NULL")
-    first = _with(drawn.groupBy("source", "b1").agg(F.sum("size").alias("words")), room, "mix-room")
-    first = _met(first, "b1", F.lit(0)).select("source", F.col("met.b1").alias("m1"), F.col("met.start").alias("s1"))
-    first = _with(first, room, "mix-room1")
-    inner = _with(drawn, first, "mix-first").filter("b1 = m1")
-    second = inner.groupBy("source", "m1", "s1", "room", "b2").agg(F.sum("size").alias("words"))
-    found = _met(second, "b2", F.col("s1")).select("source", F.col("met.b2").alias("m2"), F.col("met.start").alias("s2"))
-    found = _with(first, found, "mix-second", "left")
-    cut = materialize(found.select("source", "m1", "m2", "s2", "room"), "mix-cuts")
+    cut = ranked.groupBy("source").agg(F.sum(F.col("certain") * F.col("size")).alias("sure"), F.first("target").alias("target"))
+    cut = cut.select("source", (F.col("target") - F.col("sure")).alias("room"), F.lit(0).cast("long").alias("start"))
+    drawn, inside = ranked.filter("z IS NOT NULL"), F.lit(True)
+    for level in range(1, LEVELS + 1):
+        inner = _with(drawn, cut, f"mix-cut{level}").filter(inside)
+        met = _met(inner.groupBy("source", "room", "start", f"b{level}").agg(F.sum("size").alias("words")), f"b{level}")
+        met = met.select("source", F.col(f"met.b{level}").alias(f"m{level}"), F.col("met.at").alias("at"))
+        cut = materialize(_with(cut, met, f"mix-met{level}", "left").withColumn("start", F.col("at")).drop("at"), "mix-cuts")
+        inside = inside & (F.col(f"b{level}") == F.col(f"m{level}"))
 
     out = ["doc_id", "source", "size", "source_size", "target", "certain", "p"]
-    rows = _with(ranked, cut, "mix-cut", "left")
-    last = (F.col("z").isNotNull() & (F.col("b1") == F.col("m1")) & (F.col("b2") == F.col("m2")))
-    rows = rows.withColumn("last", F.coalesce(last, F.lit(False)))
-    under = F.col("m1").isNull() | (F.col("b1") < F.col("m1")) | ((F.col("b1") == F.col("m1")) & (F.col("b2") < F.col("m2")))
+    rows = _with(ranked, cut, "mix-cut", "left").withColumn("last", F.coalesce(F.col("z").isNotNull() & inside, F.lit(False)))
+    bins, met = (F.array(*[F.col(f"{c}{i}") for i in range(1, LEVELS + 1)]) for c in "bm")
+    under = F.col("m1").isNull() | (bins < met)
     plain = rows.filter(~F.col("last")).select(*out, F.when(F.col("z").isNotNull() & under, 1).otherwise(0).alias("drawn"))
 
     # the last bin: equal rows counted, then put in order; the one at the border only if that comes nearer
-    units = rows.filter("last").groupBy(*out, "z", "h", "s2", "room").agg(F.count(F.lit(1)).alias("n"))
+    units = rows.filter("last").groupBy(*out, "z", "h", "start", "room").agg(F.count(F.lit(1)).alias("n"))
     order = Window.partitionBy("source").orderBy("z", "h", F.asc_nulls_first("doc_id"), "size").rowsBetween(*_BEFORE)
-    start = F.col("s2") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(order), F.lit(0))
+    start = F.col("start") + F.coalesce(F.sum(F.col("n") * F.col("size")).over(order), F.lit(0))
     units = units.withColumn("fit", F.floor((F.col("room") - start) / F.col("size") + 0.5))
     runs = units.withColumn("at", F.explode(F.expr(f"sequence(0L, n - 1, {RUN}L)"))).repartition("h", "at")
     each = runs.withColumn("i", F.explode(F.expr(f"sequence(at, least(at + {RUN - 1}, n - 1))")))

@@ -94,7 +94,7 @@ def corpus(seed, n=300):
 
 
 @pytest.mark.parametrize("seed", [1, 2])
-@pytest.mark.parametrize("bins", [2, 1 << 12])
+@pytest.mark.parametrize("bins", [2, 1 << 8])
 def test_equals_a_plain_sort(spark, monkeypatch, seed, bins):
     monkeypatch.setattr(mixing, "BINS", bins)
     texts, sources = corpus(seed)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import fresh_path
 from clickvault.llm.language import fit, held_out, identify, training_rows
 from clickvault.llm.mixing import mix
-from clickvault.llm import leaks, licenses, personal, vectors
+from clickvault.llm import leaks, licenses, personal, phrases, vectors
 from clickvault.llm.packing import pack
 from clickvault.llm.quality import judge
 from clickvault.llm.repeats import remove_repeats
@@ -126,3 +126,9 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to source weights 5, 2, 1 in turn, at 150 % of all words."""
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source", "copies", "probability")
+
+
+@register("op12_collocations", phrases.oracle_sql())
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of each language of all documents."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))

@@ -22,9 +22,10 @@ Words and phrases are 64-bit hashes while they are counted (numpy over whole
 batches: no Python per word); a phrase's key is the pair (hash of all but the
 last word, hash of the last word), 128 bits, and texts are put together at the
 end from the words. Words of equal hash would show in the word table: then
-another seed is taken. The known phrases travel as a bit table of ``bits``
-bits, filled on executors in pieces; it may let in others, which costs a count
-and changes nothing, so its size is fixed whatever the corpus holds.
+another seed is taken. The known phrases travel as a bit table of at most
+``2 ** bits`` bits (16 MB), filled on executors in pieces; it may let in
+others, which costs a count and changes nothing, so its size is bounded
+whatever the corpus holds.
 
 At scale: a pass reads texts once, counts within batches before anything is
 shuffled, and sends one row per distinct phrase of a batch; every pass ends in
@@ -52,6 +53,7 @@ from clickvault.plans.materialize import small_side
 WINDOW = 1 << 20  # bytes looked at together; a longer word widens it
 FLUSH = 1 << 18  # words whose phrases are counted together
 SALTS = 64
+SPARSE = 64  # bits of the table for a known phrase
 CHUNK_BITS = 18  # bits of the table that one executor row holds
 _SPREAD, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _CLASS = np.zeros(256, np.uint8)  # 0 word, 1 between words, 2 between pieces
@@ -248,23 +250,23 @@ def close(texts: DataFrame, known: DataFrame, least: int, longest: int, seed: in
     """All phrases of ``texts`` with at least ``least`` places: passes that
     count what has both parts known and one of them new, until a pass finds
     no frequent phrase that was not known. ``known``: hashes ``h`` taken for
-    frequent at the start, words included."""
+    frequent at the start, words included. The bit tables have ``SPARSE`` bits
+    a known hash, ``2 ** bits`` at most."""
     spark = texts.sparkSession
-    table = bit_table(known, bits)
-    new, found = table, None
+    new, found = known, None
     for _ in range(2 * longest + 60):
-        shared = spark.sparkContext.broadcast(table), spark.sparkContext.broadcast(new)
-        counted = (texts.mapInArrow(_count_phrases(seed, longest, bits, *shared), "head long, last long, words byte, n long")
+        size = min(bits, max(3, (known.count() * SPARSE).bit_length()))
+        shared = [spark.sparkContext.broadcast(bit_table(part, size)) for part in (known, new)]
+        counted = (texts.mapInArrow(_count_phrases(seed, longest, size, *shared), "head long, last long, words byte, n long")
                    .groupBy("head", "last", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
         counted = materialize(_keyed(counted), name)
         for s in shared:
-            s.unpersist()
+            s.destroy()
         found = counted if found is None else found.unionByName(counted).dropDuplicates(["head", "last", "words"])
-        fresh = materialize(counted.join(known, "h", "left_anti").select("h"), f"{name}-fresh")
-        if fresh.isEmpty():
+        new = materialize(counted.join(known, "h", "left_anti").select("h"), f"{name}-fresh")
+        if new.isEmpty():
             return found
-        known, new = known.unionByName(fresh), bit_table(fresh, bits)
-        table = table | new
+        known = known.unionByName(new)
     raise RuntimeError(f"phrases did not close: {name}")
 
 

@@ -7,24 +7,23 @@ least ``least`` places.
 
 1. One pass counts all words exactly; the frequent ones are the seed.
 2. A sample of the documents (``fraction``, by a hash of id and text) is mined
-   level by level at a lowered bound; what it finds is the proposal. The
+   at a lowered bound; what it finds is the proposal. The
    sample only steers: nothing of its counts is reported.
 3. One full pass counts proposal and negative border together: every phrase
    of the corpus whose two parts (all but the last word, all but the first)
    are both proposed or frequent words. A border phrase that does not occur
    needs no count, so the border is met in the texts, never listed.
 4. A border phrase that turns out frequent may have frequent phrases above it
-   that were not counted: another full pass counts those with such a part, and
-   so on until a pass finds none. Then all frequent phrases are known, exactly,
-   whatever the sample held.
+   that were not counted: an expansion pass counts all phrases that hold one.
+   Then all frequent phrases are known, exactly, whatever the sample held
+   (:func:`close` says why one such pass closes).
 
 Words and phrases are 64-bit hashes while they are counted (numpy over whole
 batches: no Python per word); a phrase's key is the pair (hash of all but the
 last word, hash of the last word), 128 bits, and texts are put together at the
 end from the words. Words of equal hash would show in the word table: then
 another seed is taken. The known phrases travel as a bit table of at most
-``2 ** bits`` bits (16 MB), filled on executors in pieces; it may let in
-others, which costs a count and changes nothing, so its size is bounded
+``2 ** bits`` bits (16 MB), put together on executors; it may let in others, which costs a count and changes nothing, so its size is bounded
 whatever the corpus holds.
 
 At scale: a pass reads texts once, counts within batches before anything is
@@ -53,8 +52,7 @@ from clickvault.plans.materialize import small_side
 WINDOW = 1 << 20  # bytes looked at together; a longer word widens it
 FLUSH = 1 << 18  # words whose phrases are counted together
 SALTS = 64
-SPARSE = 64  # bits of the table for a known phrase
-CHUNK_BITS = 18  # bits of the table that one executor row holds
+SPARSE = 256  # bits of the table for a hash known at the start
 _SPREAD, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _CLASS = np.zeros(256, np.uint8)  # 0 word, 1 between words, 2 between pieces
 _CLASS[[0x20, 0x09]] = 1
@@ -158,39 +156,54 @@ def _in(table: np.ndarray, h: np.ndarray, bits: int) -> np.ndarray:
     return (table[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1) > 0
 
 
-def phrases_in(h: np.ndarray, piece: np.ndarray, starts: int, known, new, bits: int, longest: int) -> Iterator[tuple]:
+def phrases_in(h: np.ndarray, piece: np.ndarray, starts: int, known, new, bits: int, longest: int, deep: bool) -> Iterator[tuple]:
     """``(words, heads, lasts)`` of the phrases that begin at the first
-    ``starts`` words, have both parts known and at least one of them new."""
+    ``starts`` words and have both parts known or, ``deep``, of those that
+    have all pairs of neighbouring words known and hold a new phrase."""
     whole = h  # hash of the phrase of n - 1 words that begins here
-    ok = np.ones(len(h), bool)
+    ok, held = np.ones(len(h), bool), np.zeros(len(h), bool)
     for n in range(2, longest + 1):
         if len(h) < n:
             return
-        inside, fresh = _in(known, whole, bits) & ok, _in(new, whole, bits)
-        here = inside[:-1] & inside[1:] & (piece[:-(n - 1)] == piece[n - 1:])
-        want = here & (fresh[:-1] | fresh[1:])
-        at = np.flatnonzero(want[:starts])
+        if deep and n > 2:
+            held = held | _in(new, whole, bits)
+        if not deep or n <= 3:
+            ok = ok & _in(known, whole, bits)
+        ok = ok[:-1] & ok[1:] & (piece[:-(n - 1)] == piece[n - 1:])
+        held = held[:-1] | held[1:]
+        at = np.flatnonzero((ok & held if deep else ok)[:starts])
         if len(at):
             yield n, whole[at], h[at + n - 1]
-        whole, ok = joined(whole[:-1], h[n - 1:]), here
-        if not here.any():
+        if not ok.any():
             return
+        whole = joined(whole[:-1], h[n - 1:])
 
 
-def _count_phrases(seed: int, longest: int, bits: int, known, new):
-    schema = pa.schema([("head", pa.int64()), ("last", pa.int64()), ("words", pa.int8()), ("n", pa.int64())])
+def _count_phrases(seed: int, longest: int, bits: int, known, new=None, wanted=None, coarse: bool = False):
+    """Task function: counts of the phrases that :func:`phrases_in` names;
+    ``wanted``: only those whose bit is set there; ``coarse``: counted by the
+    first 48 bits of their hash alone."""
+    key_schema = [] if coarse else [("head", pa.int64()), ("last", pa.int64()), ("words", pa.int8())]
+    schema = pa.schema([("bucket", pa.int64()), ("n", pa.int32())] if coarse else [*key_schema, ("n", pa.int64())])
 
     def counted(h, piece, starts):
-        found = list(phrases_in(h, piece, starts, known.value, new.value, bits, longest))
+        found = list(phrases_in(h, piece, starts, known.value, new and new.value, bits, longest, new is not None))
         if not found:
             return
         heads, lasts = (np.concatenate([f[i] for f in found]) for i in (1, 2))
-        words = np.concatenate([np.full(len(f[1]), f[0], np.int8) for f in found])
         key = joined(heads, lasts)
+        if coarse:
+            bucket, n = np.unique(key >> np.uint64(16), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(bucket.view(np.int64)), pa.array(n.astype(np.int32))], schema=schema)
+            return
+        words = np.concatenate([np.full(len(f[1]), f[0], np.int8) for f in found])
+        if wanted is not None:
+            keep = np.flatnonzero(_in(wanted.value, key, bits))
+            key, heads, lasts, words = key[keep], heads[keep], lasts[keep], words[keep]
         order = np.argsort(key, kind="stable")
         key, heads, lasts, words = key[order], heads[order], lasts[order], words[order]
         # runs of equal phrases: the whole key (head and last) decides
-        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (heads[1:] != heads[:-1]) | (lasts[1:] != lasts[:-1])]))
+        edge = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (heads[1:] != heads[:-1]) | (lasts[1:] != lasts[:-1])])[:len(key)])
         n = np.diff(np.concatenate([edge, [len(key)]]))
         yield pa.RecordBatch.from_arrays([pa.array(heads[edge].view(np.int64)), pa.array(lasts[edge].view(np.int64)),
                                           pa.array(words[edge]), pa.array(n)], schema=schema)
@@ -213,61 +226,76 @@ def _count_phrases(seed: int, longest: int, bits: int, known, new):
     return run
 
 
-def _keyed(rows: DataFrame) -> DataFrame:
-    """Adds ``h``, the phrase's own hash, from ``head`` and ``last``."""
-    schema = pa.schema([("head", pa.int64()), ("last", pa.int64()), ("words", pa.int8()), ("n", pa.int64()), ("h", pa.int64())])
+def _keyed(rows: DataFrame, table, bits: int) -> DataFrame:
+    """Adds ``h``, the phrase's own hash, and ``fresh``: its bit is not set."""
+    schema = pa.schema([("head", pa.int64()), ("last", pa.int64()), ("words", pa.int8()), ("n", pa.int64()), ("h", pa.int64()), ("fresh", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             head, last = (np.asarray(batch.column(i)).view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined(head, last).view(np.int64))], schema=schema)
+            h = joined(head, last)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h.view(np.int64)), pa.array(~_in(table.value, h, bits))], schema=schema)
 
-    return rows.select("head", "last", "words", "n").mapInArrow(run, "head long, last long, words byte, n long, h long")
+    return rows.select("head", "last", "words", "n").mapInArrow(run, "head long, last long, words byte, n long, h long, fresh boolean")
 
 
 def bit_table(hashes: DataFrame, bits: int) -> np.ndarray:
-    """A table of ``2 ** bits`` bits with the first ``bits`` bits of each ``h``
-    set. Pieces of it are made on executors; what the driver gets has the size
-    of the table at most, whatever the number of rows."""
-    low = min(CHUNK_BITS, bits)
+    """A table of ``2 ** bits`` bits with that of the first ``bits`` bits of
+    each ``h`` set. Executors put 64 bits together, so the driver gets the
+    table's size at most, whatever the number of rows."""
     at = F.shiftrightunsigned("h", 64 - bits)
-    rows = hashes.select(F.shiftright(at, low).alias("chunk"), at.bitwiseAND((1 << low) - 1).cast("int").alias("bit")).distinct()
-    schema = pa.schema([("chunk", pa.int64()), ("bits", pa.binary())])
-
-    def fill(group: pa.Table) -> pa.Table:
-        piece = np.zeros(1 << low, np.uint8)
-        piece[np.asarray(group.column("bit"))] = 1
-        return pa.table([group.column("chunk").slice(0, 1), pa.array([np.packbits(piece, bitorder="little").tobytes()], pa.binary())], schema=schema)
-
-    table = np.zeros(max(1 << bits >> 3, 1), np.uint8)
-    for r in rows.groupBy("chunk").applyInArrow(fill, "chunk long, bits binary").toLocalIterator():
-        size = len(r["bits"])
-        table[r["chunk"] * size:(r["chunk"] + 1) * size] |= np.frombuffer(r["bits"], np.uint8)
-    return table
-
-
-def close(texts: DataFrame, known: DataFrame, least: int, longest: int, seed: int, bits: int, name: str) -> DataFrame:
-    """All phrases of ``texts`` with at least ``least`` places: passes that
-    count what has both parts known and one of them new, until a pass finds
-    no frequent phrase that was not known. ``known``: hashes ``h`` taken for
-    frequent at the start, words included. The bit tables have ``SPARSE`` bits
-    a known hash, ``2 ** bits`` at most."""
+    mask = F.expr("shiftleft(1L, CAST(at & 63 AS INT))")
+    rows = hashes.select(at.alias("at")).select(F.shiftright("at", 6).alias("word"), mask.alias("mask"))
+    got = rows.groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
+    table = np.zeros(max((1 << bits) // 64, 1), np.int64)
+    table[np.asarray(got.column("word"), np.int64)] = np.asarray(got.column("mask"), np.int64)
+    return table.view(np.uint8)
+
+
+def close(texts: DataFrame, known: DataFrame, least: int, longest: int, seed: int, bits: int, name: str, sieve: bool = False) -> DataFrame:
+    """All phrases of ``texts`` with at least ``least`` places. ``known``:
+    hashes ``h`` taken for frequent at the start, words included.
+
+    The first pass counts all phrases with both parts known: the known ones
+    and their border. If a frequent one was not known, a second pass counts
+    the phrases that hold such a one and whose pairs of neighbouring words
+    are all known. That closes: of a frequent phrase not counted at first take
+    the shortest frequent part that was not known; its own parts were, so it
+    was counted and is new, and all pairs of frequent words were counted.
+
+    Known is what has its bit set in a table of ``SPARSE`` bits a hash,
+    ``2 ** bits`` at most; whatever a set bit lets in besides is counted too,
+    so the end is the same with any table. ``sieve``: the first pass, which
+    meets most distinct phrases, first counts by 48 bits alone (fewer bytes
+    to shuffle) and then exactly those whose bits came to ``least``.
+    """
     spark = texts.sparkSession
-    new, found = known, None
-    for _ in range(2 * longest + 60):
-        size = min(bits, max(3, (known.count() * SPARSE).bit_length()))
-        shared = [spark.sparkContext.broadcast(bit_table(part, size)) for part in (known, new)]
-        counted = (texts.mapInArrow(_count_phrases(seed, longest, size, *shared), "head long, last long, words byte, n long")
-                   .groupBy("head", "last", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least))
-        counted = materialize(_keyed(counted), name)
-        for s in shared:
-            s.destroy()
-        found = counted if found is None else found.unionByName(counted).dropDuplicates(["head", "last", "words"])
-        new = materialize(counted.join(known, "h", "left_anti").select("h"), f"{name}-fresh")
-        if new.isEmpty():
-            return found
-        known = known.unionByName(new)
-    raise RuntimeError(f"phrases did not close: {name}")
+    size = min(bits, max(6, (known.count() * SPARSE).bit_length()))
+    table = bit_table(known, size)
+
+    def share(bits_set):
+        return spark.sparkContext.broadcast(bits_set)
+
+    def count(**how):
+        rows = texts.mapInArrow(_count_phrases(seed, longest, size, **how), "head long, last long, words byte, n long")
+        rows = rows.groupBy("head", "last", "words").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        return materialize(_keyed(rows, how["known"], size), name)
+
+    shared = {"known": share(table)}
+    if sieve:
+        rough = texts.mapInArrow(_count_phrases(seed, longest, size, **shared, coarse=True), "bucket long, n int")
+        rough = rough.groupBy("bucket").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        rough = materialize(rough.select(F.shiftleft("bucket", 16).alias("h")), f"{name}-rough")
+        shared["wanted"] = share(bit_table(rough, size))
+    found = count(**shared)
+    new = bit_table(found.filter("fresh"), size)
+    if new.any():
+        more = {"known": share(table | new), "new": share(new)}
+        found = found.unionByName(count(**more)).drop("fresh").dropDuplicates(["head", "last", "words"])
+        shared |= {f"{k}-2": v for k, v in more.items()}
+    for s in shared.values():
+        s.destroy()
+    return found
 
 
 def _spelled(found: DataFrame, words: DataFrame, longest: int) -> DataFrame:
@@ -333,9 +361,9 @@ def collocations(docs: DataFrame, least: int = 100, longest: int = 5, top: int =
     totals = materialize(counts.groupBy("lang").agg(F.sum("n").alias("n")), "phrase-totals")
     words, sampled = frequent.select("h"), F.pmod(F.xxhash64(F.lit(seed), "doc_id", "text"), F.lit(1 << 20)) < int(fraction * (1 << 20))
     lowered = max(2, int(least * fraction / 3))
-    sample = docs.filter(sampled).select("text", F.xxhash64(lang).alias("lang_hash"), lang.alias("lang"))
+    sample = materialize(docs.filter(sampled).select("text", F.xxhash64(lang).alias("lang_hash"), lang.alias("lang")), "phrase-sampled")
     proposal = close(sample, words, lowered, longest, seed, bits, "phrase-sample")
-    found = close(texts, materialize(words.unionByName(proposal.select("h")), "phrase-known"), least, longest, seed, bits, "phrase-full")
+    found = close(texts, materialize(words.unionByName(proposal.select("h")), "phrase-known"), least, longest, seed, bits, "phrase-full", sieve=True)
     phrases = materialize(_spelled(found, frequent, longest), "phrase-texts")
     kept = score(phrases, frequent, totals, share)
     order = [F.desc("score"), F.desc("a"), F.asc("phrase")]

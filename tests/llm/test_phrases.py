@@ -81,12 +81,12 @@ def test_equals_counters_whatever_the_sample_holds(spark, fraction):
 def test_a_small_bit_table_only_costs_work(spark):
     texts, langs = corpus(2, 80)
     want = brute([(t, langs[i] or "und") for i, t in enumerate(texts)], least=5)
-    got = collocations(docs_of(spark, texts, langs=langs), least=5, bits=3, fraction=0.2).collect()
+    got = collocations(docs_of(spark, texts, langs=langs), least=5, bits=6, fraction=0.2).collect()
     assert sorted(tuple(r) for r in got) == want
 
 
 def test_border_failures_are_followed_to_the_end(spark):
-    """An empty proposal: every level is a failure of the border, one pass each."""
+    """An empty proposal: every pair is a failure of the border."""
     texts = ["p q r s t"] * 10
     df = docs_of(spark, texts)
     rows = [(r.phrase, r.a) for r in collocations(df, least=10, bits=12, fraction=0.0).collect()]
@@ -123,9 +123,9 @@ def test_windows_and_flushes_change_nothing(texts, window, flush):
             for r in got.to_pylist():
                 words[r["word"].decode()] += r["n"]
         assert words == Counter(w for t in texts for p in pieces(t) for w in p)
-        everything = SimpleNamespace(value=np.full(1, 255, np.uint8))
+        everything = SimpleNamespace(value=np.full(8, 255, np.uint8))
         counts = Counter()
-        for got in phrases._count_phrases(3, 4, 3, everything, everything)(iter([batch_of(texts[:5]), batch_of(texts[5:])])):
+        for got in phrases._count_phrases(3, 4, 6, everything)(iter([batch_of(texts[:5]), batch_of(texts[5:])])):
             for r in got.to_pylist():
                 counts[r["words"], r["head"], r["last"]] += r["n"]
         want = Counter(tuple(p[i:i + n]) for t in texts for p in pieces(t) for n in (2, 3, 4) for i in range(len(p) - n + 1))

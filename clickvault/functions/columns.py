@@ -134,8 +134,9 @@ def seconds_between(start: str | Column, end: str | Column) -> Column:
 
 
 def iso_text(c: str | Column) -> Column:
-    """ISO 8601 text of an instant in UTC, to the second (``2019-10-01T10:00:00Z``)."""
-    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    """ISO 8601 text of an instant, to the second, with the session's offset
+    (``2019-10-01T10:00:00+00:00``; sessions run in UTC)."""
+    return F.date_format(F.col(c) if isinstance(c, str) else c, "yyyy-MM-dd'T'HH:mm:ssxxx")
 
 
 def safe_rate(num: Column, den: Column) -> Column:

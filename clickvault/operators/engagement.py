@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickvault.operators.category import purchase_sum, type_count
+from clickvault.operators.ranks import exact_quantiles, rank_error
 
 QUANTILES = (0.33, 0.67)
 # Fixed score weights: views x1, carts x3, purchases x5 (remove_from_cart x0).
@@ -47,20 +48,21 @@ def user_activity(silver: DataFrame) -> DataFrame:
 def engagement_thresholds(users: DataFrame, method: str = "exact") -> DataFrame:
     """One row: ``users``, ``q33``, ``q67`` with the small-population rule.
 
-    ``exact``: linear interpolation between ranks (pandas/`quantile_cont`);
-    keeps one count per distinct score, and scores are small integers.
+    ``exact``: linear interpolation between ranks (pandas/`quantile_cont`),
+    the ranks selected over range-partitioned score counts (``ranks.py``; the
+    counts are written when this is called).
     ``approx``: Greenwald-Khanna sketch (``percentile_approx``), lazy.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}, got {method!r}")
     s = F.col("engagement_score")
-    if method == "exact":  # one map of counts per distinct score serves the median too
-        qs = F.percentile(s, F.array(*[F.lit(q) for q in (*QUANTILES, 0.5)]))
+    if method == "exact":
+        agg = exact_quantiles(users, "engagement_score", (*QUANTILES, 0.5)).toDF("users", "_qs")
         median = F.col("_qs")[2]
     else:  # fewer than three users: their median is the mean of the smallest and the largest
         qs = F.percentile_approx(s, F.array(*[F.lit(q) for q in QUANTILES]), APPROX_ACCURACY).cast("array<double>")
         median = (F.col("_min") + F.col("_max")) / 2
-    agg = users.agg(F.count(F.lit(1)).alias("users"), qs.alias("_qs"), F.min(s).alias("_min"), F.max(s).alias("_max"))
+        agg = users.agg(F.count(F.lit(1)).alias("users"), qs.alias("_qs"), F.min(s).alias("_min"), F.max(s).alias("_max"))
     small = F.col("users") < 3
     fallback = F.coalesce(median.cast("double"), F.lit(0.0))
     return agg.select(
@@ -70,6 +72,18 @@ def engagement_thresholds(users: DataFrame, method: str = "exact") -> DataFrame:
     )
 
 
+def approx_threshold_errors(users: DataFrame) -> DataFrame:
+    """``quantile, rank_error, within`` of each approximate threshold: how far
+    its true rank share lies from the quantile, and whether that is within the
+    sketch's promise of ``1 / APPROX_ACCURACY``."""
+    thr = engagement_thresholds(users, "approx").select(F.struct("users", "q33", "q67")).scalar()
+    errors = users.agg(F.count(F.lit(1)).alias("n"), *[
+        rank_error(users, "engagement_score", thr[c], q, F.count(F.lit(1))).alias(c) for q, c in zip(QUANTILES, ("q33", "q67"), strict=True)])
+    rows = errors.select(F.inline(F.array(*[F.struct(F.lit(q).alias("quantile"), F.coalesce(F.col(c), F.lit(0.0)).alias("rank_error"))
+                                            for q, c in zip(QUANTILES, ("q33", "q67"), strict=True)])))
+    return rows.withColumn("within", F.col("rank_error") <= F.lit(1.0 / APPROX_ACCURACY))
+
+
 def level_expr(score: Column, thresholds: Column) -> Column:
     """``thresholds`` is a struct(users, q33, q67) column."""
     return (

@@ -86,13 +86,16 @@ def gate_workload_rows(workloads: DataFrame, targets) -> DataFrame:
 
 
 def gate_runs(ledger: DataFrame, evidence_files: DataFrame, targets) -> DataFrame:
-    """Each target has a succeeded run whose evidence file exists.
+    """Each target's run has succeeded and its evidence file exists.
 
-    ``evidence_files``: one row per evidence document with ``evidence_file``
-    (file name)."""
+    The run of a target is its latest succeeded one, the same that
+    ``ledger_latest`` reports: evidence of an earlier run does not stand in
+    for it. ``evidence_files``: one row per evidence document with
+    ``evidence_file`` (file name)."""
     spark = ledger.sparkSession
+    order = F.struct("run_end_utc", "run_id")  # nulls sort first, as in the ledger's rule
     ok = (ledger.filter(F.lower(F.col("status")) == "succeeded")
-          .select("sample_size", "evidence_file"))
+          .groupBy("sample_size").agg(F.max_by("evidence_file", order).alias("evidence_file")))
     have = evidence_files.select("evidence_file").distinct().withColumn("_has", F.lit(True))
     runs = (ok.join(have, "evidence_file", "left")
             .groupBy("sample_size").agg(F.max(F.coalesce("_has", F.lit(False))).alias("_ev")))

@@ -14,7 +14,7 @@ import time
 import uuid
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickvault.operators import category as CA
@@ -22,44 +22,52 @@ from clickvault.operators import quality as Q
 from clickvault.operators.workload import build_workload
 from clickvault.plans.job import JobParams, run_job
 from clickvault.session import fresh_path
-from clickvault.sources.bronze import read_bronze_csv, write_bronze_csv
+from clickvault.schemas import RAW_COLUMNS
+from clickvault.sources.bronze import read_bronze_csv, workload_rows, workload_size, write_bronze_csv
 
-PROVENANCE = "controlled benchmark workload derived deterministically from the base event table"
+PROVENANCE = "event rows repeated in blocks with shifted times, ids and sessions, for scaling runs"
 
 
 def write_workloads(base: DataFrame, targets, root: str, order_col: str = "source_row_number",
-                    first_row: int | None = None) -> dict[int, str]:
-    """Build and write ``root/ecommerce_<n>.csv`` (a CSV folder) per target."""
+                    first_row: int | None = None, max_records: int = 0) -> dict[int, str]:
+    """Build and write ``root/ecommerce_<n>.csv`` (a CSV folder) per target;
+    ``max_records`` bounds the rows of a file."""
     n = base.count()
     out = {}
     for t in targets:
         path = f"{root.rstrip('/')}/ecommerce_{int(t)}.csv"
-        write_bronze_csv(build_workload(base, int(t), order_col, first_row=first_row, n=n), path)
+        write_bronze_csv(build_workload(base, int(t), order_col, first_row=first_row, n=n), path, max_records=max_records)
         out[int(t)] = path
     return out
 
 
-def workload_manifest(spark: SparkSession, paths: dict[int, str]) -> DataFrame:
-    """Per written part file: sample_size, file, rows, bytes, sha256, provenance.
-
-    Bytes and SHA-256 come from the ``binaryFile`` source (one task per file);
-    rows from a count per input file of the CSV read.
-    """
-    parts = []
-    for size, path in paths.items():
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-                 .select(F.col("path").alias("file"), F.col("length").alias("bytes"),
-                         F.sha2(F.col("content"), 256).alias("sha256")))
-        rows = (spark.read.option("header", True).csv(path)
-                .groupBy(F.col("_metadata.file_path").alias("file")).agg(F.count(F.lit(1)).alias("rows")))
-        parts.append(files.join(rows, "file", "left").select(
-            F.lit(int(size)).cast("bigint").alias("sample_size"), "file",
-            F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "bytes", "sha256",
-            F.lit(PROVENANCE).alias("provenance")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def row_digest(columns) -> Column:
+    """Mergeable content digest of a group of rows: the exact sum of the first
+    60 bits of each row's SHA-256 (values tab-joined, ``\\N`` for null). Sums of
+    parts add up, so files, ranges and whole workloads are compared alike,
+    whatever way the rows are spread over files."""
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("\\N")) for c in columns])
+    return F.sum(F.conv(F.substring(F.sha2(line, 256), 1, 15), 16, 10).cast("decimal(38,0)"))
+
+
+def workload_manifest(spark: SparkSession, root: str) -> DataFrame:
+    """Per written part file of all workloads under ``root``: ``sample_size
+    file rows bytes row_digest provenance``. Rows are streamed through the
+    CSV scan (a large file is read in splits, nothing is held whole); lengths
+    come from the listing, so files without rows are listed too."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(f"{root.rstrip('/')}/*.csv")
+             .select(F.col("path").alias("file"), F.col("length").alias("bytes")))
+    rows = workload_rows(spark, root).groupBy("file").agg(F.count(F.lit(1)).alias("rows"), row_digest(RAW_COLUMNS).alias("row_digest"))
+    return files.join(rows, "file", "left").select(
+        workload_size(F.col("file")).alias("sample_size"), "file", F.coalesce("rows", F.lit(0)).cast("bigint").alias("rows"), "bytes",
+        F.coalesce("row_digest", F.lit(0)).cast("string").alias("row_digest"), F.lit(PROVENANCE).alias("provenance"))
+
+
+def manifest_by_size(manifest: DataFrame) -> DataFrame:
+    """The manifest merged to one row a workload: ``sample_size files rows bytes row_digest``."""
+    return manifest.groupBy("sample_size").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("rows").alias("rows"), F.sum("bytes").alias("bytes"),
+        F.sum(F.col("row_digest").cast("decimal(38,0)")).cast("string").alias("row_digest"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
@@ -86,31 +94,15 @@ def _iso(t: float) -> str:
     return datetime.fromtimestamp(t, timezone.utc).isoformat()
 
 
-def large_workload_validation(spark: SparkSession, paths: dict[int, str], root: str) -> DataFrame:
-    """Full job (Silver + Gold written) per size; report and KPI joined into one row each."""
-    rows = []
-    for size in sorted(paths):
-        base = f"{root.rstrip('/')}/run_{size}"
-        rec = run_job(spark, JobParams(base=base, input_path=paths[size], sample_size=size))
-        kpi = {r["metric"]: r["value"] for r in
-               spark.read.parquet(f"{base}/gold/kpi_summary")
-               .filter(F.col("metric").isin("unique_users", "unique_sessions")).collect()}
-        sec = rec["processing_seconds"]
-        rows.append(("LOCAL_SPARK_FULL_PIPELINE", size, rec["raw_rows"], rec["clean_rows"], rec["removed_rows"],
-                     int(kpi["unique_users"]), int(kpi["unique_sessions"]), sec,
-                     round(size / sec, 2) if sec else None))
-    return spark.createDataFrame(rows, "scope string, sample_size bigint, raw_rows bigint, clean_rows bigint, "
-                                       "removed_rows bigint, unique_users bigint, unique_sessions bigint, "
-                                       "total_seconds double, throughput_rows_per_sec double")
-
-
 def validation_from_runs(spark: SparkSession, root: str) -> DataFrame:
     """The per-size validation table from already evidenced runs under ``root``:
-    evidence (size, seconds) joined with each run's quality report and KPIs,
+    evidence (size, seconds, the seconds until Silver was committed and those of
+    Gold after it) joined with each run's quality report and KPIs,
     read back with Spark — no job is re-run."""
-    from clickvault.operators.ledger import scan_run_evidence
-    ev = scan_run_evidence(spark, f"{root.rstrip('/')}/evidence/*").select(
-        F.col("summary.sample_size").alias("sample_size"),
+    from clickvault.operators.ledger import readable, scan_run_evidence
+    phases = F.from_json("summary.run_output", "etl_seconds double, gold_seconds double")
+    ev = readable(scan_run_evidence(spark, f"{root.rstrip('/')}/evidence/*/part-*")).select(
+        F.col("summary.sample_size").alias("sample_size"), phases.alias("phases"),
         F.col("pipeline.duration_in_ms").alias("ms"))
     run = F.regexp_extract(F.col("_metadata.file_path"), r"/run_(\d+)/", 1).cast("bigint")
     report = (spark.read.parquet(f"{root.rstrip('/')}/run_*/silver/data_quality_report")
@@ -126,6 +118,7 @@ def validation_from_runs(spark: SparkSession, root: str) -> DataFrame:
             .select(F.lit("LOCAL_SPARK_FULL_PIPELINE").alias("scope"), "sample_size", "raw_rows",
                     "clean_rows", "removed_rows", F.col("unique_users").cast("bigint").alias("unique_users"),
                     F.col("unique_sessions").cast("bigint").alias("unique_sessions"),
+                    F.col("phases.etl_seconds").alias("etl_seconds"), F.col("phases.gold_seconds").alias("gold_seconds"),
                     sec.alias("total_seconds"),
                     F.round(F.col("sample_size") / sec, 2).alias("throughput_rows_per_sec"))
             .orderBy("sample_size"))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickvault.functions.columns import event_type_is_valid, is_invalid_price, safe_rate, to_id
+from clickvault.functions.columns import event_type_is_valid, is_invalid_price, iso_text, safe_rate, seconds_between, to_id
 from clickvault.operators import abandonment as AB
 from clickvault.operators import category as CA
 from clickvault.operators import engagement as EN
@@ -289,6 +289,22 @@ def q_engagement_thresholds_approx(spark, sf):
     return EN.engagement_thresholds(EN.user_activity(_silver(spark, sf)), "approx")
 
 
+@register("approx_threshold_error", """SELECT unnest([0.33, 0.67])::DOUBLE AS quantile, true AS within""", doubles=("quantile",))
+def q_approx_threshold_error(spark, sf):
+    """The approximate thresholds' true ranks lie within the sketch's error."""
+    return EN.approx_threshold_errors(EN.user_activity(_silver(spark, sf))).select("quantile", "within")
+
+
+@register("event_time_iso", _w(SL, """SELECT user_session, strftime(min(event_time), '%Y-%m-%dT%H:%M:%S+00:00') AS first_event,
+  strftime(max(event_time), '%Y-%m-%dT%H:%M:%S+00:00') AS last_event,
+  CAST(epoch_us(max(event_time)) - epoch_us(min(event_time)) AS DOUBLE) / 1e6 AS seconds FROM silver GROUP BY user_session"""), doubles=("seconds",))
+def q_event_time_iso(spark, sf):
+    """First and last event of each session as ISO text, and the seconds between them."""
+    spans = _silver(spark, sf).groupBy("user_session").agg(F.min("event_time").alias("lo"), F.max("event_time").alias("hi"))
+    return spans.select("user_session", iso_text("lo").alias("first_event"), iso_text("hi").alias("last_event"),
+                        seconds_between("lo", "hi").alias("seconds"))
+
+
 @register("engagement_level", _w(_UA, "SELECT user_id, engagement_level FROM customer_engagement"))
 def q_engagement_level(spark, sf):
     return EN.customer_engagement(_silver(spark, sf)).select("user_id", "engagement_level")

@@ -12,9 +12,9 @@ per-session and per-(session, category) tables are each computed once
 
 from __future__ import annotations
 
-import json
 import time
-from dataclasses import asdict, dataclass
+import uuid
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -47,6 +47,7 @@ class JobParams:
     funnel_mode: str = "first_touch"
     fmt: str = "parquet"
     partition_silver_by_date: bool = False
+    run_id: str | None = None      # keys the performance row; the same id replaces it
 
     def paths(self) -> dict[str, str]:
         b = self.base.rstrip("/")
@@ -56,22 +57,6 @@ class JobParams:
                 "performance": f"{b}/gold/pipeline_performance"}
 
 
-def report_from_outputs(silver: DataFrame, rejected: DataFrame) -> DataFrame:
-    """Quality report from the written Silver and reject tables (no rescan of bronze)."""
-    clean = silver.agg(F.count(F.lit(1)).alias("clean_rows"))
-    r = F.col(Q.REASON)
-    rej = rejected.agg(F.count(F.lit(1)).alias("removed_rows"),
-                       *[F.count_if(r == x).alias(x) for x in REASONS])
-    counts = rej.unionByName(clean, allowMissingColumns=True).agg(
-        *[F.sum(c).alias(c) for c in ("removed_rows", "clean_rows", *REASONS)])
-    rows = [("raw_rows", F.col("removed_rows") + F.col("clean_rows"))]
-    rows += [(m, F.col(x)) for m, x in REPORT_REASON_ORDER]
-    rows += [("clean_rows", F.col("clean_rows")), ("removed_rows", F.col("removed_rows"))]
-    return counts.select(F.inline(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.coalesce(v, F.lit(0)).cast("bigint").alias("value"))
-        for m, v in rows])))
-
-
 def _reason_metrics() -> list:
     r = F.col(Q.REASON)
     return [F.count(F.lit(1)).alias("raw_rows"), F.count_if(r.isNull()).alias("clean_rows"),
@@ -131,6 +116,7 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     """
     ensure_session(spark)
     p = params.paths()
+    run_id = params.run_id or uuid.uuid4().hex
     start = time.perf_counter()
     if raw is None:
         if not params.input_path:
@@ -159,6 +145,7 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
     report = report_from_counts(spark, counts).coalesce(1)
     silver = (spark.read.parquet(p["silver"]) if params.fmt == "parquet"
               else spark.read.option("header", True).schema(SILVER).csv(p["silver"]))
+    etl = time.perf_counter() - start
     cached: list[DataFrame] = []
     gold = gold_tables(silver, params.quantiles, params.funnel_mode, cached=cached)
     # fill the shared caches once, while the report is written
@@ -178,10 +165,13 @@ def run_job(spark: SparkSession, params: JobParams, raw: DataFrame | None = None
         "removed_rows": raw_rows - clean_rows,
         "processing_seconds": round(elapsed, 4),
         "throughput_rows_per_sec": round(clean_rows / elapsed, 2) if elapsed else 0.0,
+        "etl_seconds": round(etl, 4),
+        "gold_seconds": round(elapsed - etl, 4),
+        "run_id": run_id,
         "silver_path": p["silver"],
         "gold_path": p["gold"],
     }
-    sink_perf_append(perf_record(spark, record), p["performance"])
+    sink_perf_append(perf_record(spark, record), p["performance"], run_id)
     return record
 
 
@@ -205,5 +195,41 @@ def run_result_json(spark: SparkSession, record: dict) -> DataFrame:
     return df.select(F.to_json(F.struct(*fields)).alias("result"))
 
 
-def params_json(params: JobParams) -> str:
-    return json.dumps(asdict(params))
+#: Keys of a run's parameter document (fixed values).
+PARAM_DOC = "sampleSize string, storageAccount string, fileSystem string, inputFile string"
+DEFAULT_SIZE, DEFAULT_FILE_SYSTEM = 100_000, "ecommerce"
+
+
+def resolve_params(documents: DataFrame, column: str = "parameters", base: str | None = None) -> DataFrame:
+    """Decode parameter documents (JSON text) and resolve each run's paths:
+    adds ``sample_size input_path silver_path gold_path problem``.
+
+    A document may name size, account, file system and input file; what is
+    absent or blank has its default (size 100000, file system ``ecommerce``,
+    input ``bronze/ecommerce_<size>.csv``). With an account the root is that
+    account's file system, else ``base``. A relative input file lies below the
+    root, one with a scheme is taken as it is. Documents that are no JSON
+    object, sizes that are no positive whole number and runs without a root
+    get null paths and say why in ``problem``."""
+    doc = F.from_json(F.col(column), PARAM_DOC + ", _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    given = lambda name: F.nullif(F.trim(F.col(f"_doc.{name}")), F.lit(""))
+    rows = documents.withColumn("_doc", doc)
+    size = F.coalesce(given("sampleSize"), F.lit(str(DEFAULT_SIZE)))
+    size = F.when(size.rlike(r"\A[0-9]+\z"), size.try_cast("bigint"))
+    account = given("storageAccount")
+    root = F.when(account.isNotNull(), F.concat(F.lit("abfss://"), F.coalesce(given("fileSystem"), F.lit(DEFAULT_FILE_SYSTEM)),
+                                                F.lit("@"), account, F.lit(".dfs.core.windows.net")))
+    root = F.coalesce(root, F.lit(base.rstrip("/") if base else None).cast("string"))
+    rows = rows.withColumn("sample_size", size).withColumn("_root", root).withColumn("_input", given("inputFile"))
+    broken = F.col(column).isNull() | F.col("_doc._broken").isNotNull() | ~F.coalesce(F.trim(column).startswith("{"), F.lit(False))
+    problem = (F.when(broken, "not a parameter document")
+               .when(F.coalesce(F.col("sample_size"), F.lit(0)) <= 0, "sample size is not a positive whole number")
+               .when(F.col("_root").isNull(), "no storage account and no base"))
+    rows = rows.withColumn("problem", problem)
+    ok = F.col("problem").isNull()
+    n = F.col("sample_size").cast("string")
+    file = F.coalesce(F.col("_input"), F.concat(F.lit("bronze/ecommerce_"), n, F.lit(".csv")))
+    file = F.when(file.rlike(r"\A[a-zA-Z][a-zA-Z0-9+.-]*://"), file).otherwise(F.concat_ws("/", "_root", F.ltrim(file, F.lit("/"))))
+    under = lambda folder: F.when(ok, F.concat(F.col("_root"), F.lit(folder), n))
+    return rows.select(*documents.columns, F.when(ok, F.col("sample_size")).alias("sample_size"), F.when(ok, file).alias("input_path"),
+                       under("/silver/events_").alias("silver_path"), under("/gold/run_").alias("gold_path"), "problem")

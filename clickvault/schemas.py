@@ -95,7 +95,7 @@ MANIFEST = T.StructType([
     T.StructField("file", T.StringType()),
     T.StructField("rows", T.LongType()),
     T.StructField("bytes", T.LongType()),
-    T.StructField("sha256", T.StringType()),
+    T.StructField("row_digest", T.StringType()),
     T.StructField("provenance", T.StringType()),
 ])
 

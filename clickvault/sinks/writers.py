@@ -8,6 +8,7 @@ Hadoop file-system URI.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame
 
@@ -70,9 +71,11 @@ def sink_gold(tables: dict[str, DataFrame], base: str, fmt: str = "parquet",
     return paths
 
 
-def sink_perf_append(perf: DataFrame, path: str) -> None:
-    """Append one performance row to the run log."""
-    write_table(perf.coalesce(1), path, "parquet", mode="append")
+def sink_perf_append(perf: DataFrame, path: str, run_id: str) -> None:
+    """Add a run's performance row to the run log. The log is partitioned by
+    run: a run that is replayed (a crash came before its input was marked as
+    done) replaces its own row instead of adding another."""
+    write_table(perf.coalesce(1), f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}", "parquet")
 
 
 def ledger_overwrite(ledger: DataFrame, path: str, fmt: str = "csv") -> None:

@@ -172,8 +172,9 @@ def read_bronze_csv(spark: SparkSession, path: str, missing_tokens=PANDAS_NA_TOK
     return null_missing_tokens(scan, missing_tokens)
 
 
-def write_bronze_csv(df: DataFrame, path: str, order_col: str | None = "source_row_number") -> None:
-    """Write raw rows as CSV with a header, keeping blanks around values.
+def write_bronze_csv(df: DataFrame, path: str, order_col: str | None = "source_row_number", max_records: int = 0) -> None:
+    """Write raw rows as CSV with a header, keeping blanks around values;
+    ``max_records`` (if any) bounds the rows of a file.
 
     With ``order_col`` the rows are range-partitioned and sorted, so part
     files in name order hold the rows in order.
@@ -182,6 +183,7 @@ def write_bronze_csv(df: DataFrame, path: str, order_col: str | None = "source_r
     if order_col and order_col in df.columns:
         out = df.repartitionByRange(order_col).sortWithinPartitions(order_col)
     (out.select(*RAW_COLUMNS).write.mode("overwrite")
+     .option("maxRecordsPerFile", max_records)
      .option("header", True)
      .option("escape", '"')
      .option("ignoreLeadingWhiteSpace", False)
@@ -199,11 +201,22 @@ def sample_sizes(spark: SparkSession, pattern: str) -> DataFrame:
             .filter(F.col("sample_size").isNotNull()).distinct().orderBy("sample_size", "file"))
 
 
+def workload_size(path: Column) -> Column:
+    """The ``<n>`` of ``ecommerce_<n>`` (file or folder) in a file's path."""
+    return F.regexp_extract(path, r"ecommerce_(\d+)(\.csv)?(/|$)", 1).try_cast("bigint")
+
+
+def workload_rows(spark: SparkSession, root: str) -> DataFrame:
+    """All rows of the workloads written under ``root`` (``ecommerce_<n>.csv``,
+    files or folders) in one scan: ``sample_size file`` and the raw columns."""
+    schema = T.StructType([T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS])
+    scan = (spark.read.schema(schema).option("header", True).option("escape", '"').option("enforceSchema", False)
+            .csv(f"{root.rstrip('/')}/*.csv"))
+    file = F.col("_metadata.file_path")
+    return scan.select(workload_size(file).alias("sample_size"), file.alias("file"), *RAW_COLUMNS)
+
+
 def written_workloads(spark: SparkSession, root: str) -> DataFrame:
     """``sample_size`` once for every row of the workloads written under
-    ``root`` (``ecommerce_<n>.csv``, files or folders), the size as discovered."""
-    sizes = [(r["sample_size"], r["file"]) for r in sample_sizes(spark, f"{root.rstrip('/')}/*.csv").collect()]  # one row a workload
-    out = spark.createDataFrame([], "sample_size bigint")
-    for size, path in sizes:
-        out = out.unionByName(read_bronze_csv(spark, path, row_numbers=False).select(F.lit(size).cast("bigint").alias("sample_size")))
-    return out
+    ``root``, the size as discovered."""
+    return workload_rows(spark, root).select("sample_size")

@@ -21,6 +21,7 @@ and the file names of its data sets reach the driver.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import time
@@ -120,7 +121,8 @@ def start_landing_trigger(spark: SparkSession, landing_dir: str, output_root: st
             base = f"{output_root.rstrip('/')}/{output_key(spark, landing_dir, path)}"
             inputs = _inputs(spark, path, wait_s)
             if _read_before(spark, f"{base}/_inputs") != inputs:
-                run_job(spark, JobParams(base=base, input_path=path, dedupe=dedupe))
+                run_id = hashlib.sha256(json.dumps([path, inputs]).encode()).hexdigest()[:32]  # a replay has the same
+                run_job(spark, JobParams(base=base, input_path=path, dedupe=dedupe, run_id=run_id))
                 _write_marker(spark, f"{base}/_inputs", inputs)
 
     writer = (landing_files(spark, landing_dir, max_files_per_trigger=max_files_per_trigger)

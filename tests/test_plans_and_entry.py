@@ -9,7 +9,7 @@ from clickvault.operators import abandonment as AB
 from clickvault.operators import category as CA
 from clickvault.operators import funnel as FU
 from clickvault.operators import quality as Q
-from clickvault.plans.job import JobParams, report_from_outputs, run_job
+from clickvault.plans.job import JobParams, run_job
 from clickvault.session import fresh_path
 from clickvault.sources.tables import raw_events
 from conftest import SF001
@@ -72,7 +72,7 @@ def test_job_end_to_end(spark):
     kpi = {x.metric: x.value for x in spark.read.parquet(f"{p['gold']}/kpi_summary").collect()}
     assert kpi["unique_users"] == 15 and kpi["unique_sessions"] == 361
     assert kpi["cart_sessions"] == 24 and kpi["overall_cart_abandonment_rate_pct"] == 93.0481
-    rep = report_from_outputs(spark.read.parquet(p["silver"]), spark.read.parquet(p["rejected"]))
+    rep = spark.read.parquet(p["report"])
     assert {x.metric: x.value for x in rep.collect()}["duplicate_rows_removed"] == 5
     assert spark.read.parquet(p["performance"]).count() == 1
 

@@ -29,7 +29,8 @@ token scans, which explode positions inside one generated loop and let out
 only those whose context or first word is looked for (hashes, broadcast in
 blocks of ``BLOCK``). A pattern's slots are let out only when it can be
 confident: the distinct first words of a sixteenth of its slots are a lower
-bound of what it stands with. The graph is grouped by pattern and by
+bound of what it stands with. A long text is scanned in runs of ``RUN`` words,
+so a row that is let out holds a run, whatever the length of its text. The graph is grouped by pattern and by
 identifier over distinct pairs with map-side combine, so an identifier or a
 context that fills a third of the corpus is one pair a task.
 
@@ -51,7 +52,7 @@ from clickvault.llm.common import alnum_words, materialize, pick
 
 KINDS = ["email", "ip", "card", "phone"]
 TOKEN = len(KINDS)
-LONGEST, BLOCK, SAMPLE, NEAR, MOST_ROUNDS = 64, 1_000_000, 16, 256, 60
+LONGEST, RUN, BLOCK, SAMPLE, NEAR, MOST_ROUNDS = 64, 256, 1_000_000, 16, 256, 60
 _E = "A-Za-z0-9._%+-"
 _SEPARATOR = r'[\x00-\x20\x7F,;:="<>\[\]{}|]'
 _ALNUM = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
@@ -139,10 +140,11 @@ def places(rows: DataFrame) -> DataFrame:
 
 def free_tokens(found: DataFrame) -> DataFrame:
     """The tokens that overlap no base span."""
-    one = Window.partitionBy("rid").orderBy("start", "end")
+    # the second order is the first one turned round, so both frames only grow
+    keys, before = ("start", "end", "kind"), (Window.unboundedPreceding, -1)
     base = F.col("kind") < TOKEN
-    ends = F.max(F.when(base, F.col("end"))).over(one.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.min(F.when(base, F.col("start"))).over(one.rowsBetween(1, Window.unboundedFollowing))
+    ends = F.max(F.when(base, F.col("end"))).over(Window.partitionBy("rid").orderBy(*keys).rowsBetween(*before))
+    starts = F.min(F.when(base, F.col("start"))).over(Window.partitionBy("rid").orderBy(*[F.desc(k) for k in keys]).rowsBetween(*before))
     near = found.withColumns({"_e": ends, "_s": starts})
     free = F.coalesce(F.col("_e") <= F.col("start"), F.lit(True)) & F.coalesce(F.col("_s") >= F.col("end"), F.lit(True))
     return near.filter(~base & free).drop("_e", "_s")
@@ -157,24 +159,46 @@ def edges(spans: DataFrame) -> DataFrame:
 
 
 def positions(rows: DataFrame) -> DataFrame:
-    """Every word's position ``i`` with ``a``, ``b``: the two words before; ``p``, ``w``: the text cut before each word, and its words."""
+    """Every word's position ``i`` with ``a``, ``b``: the two words before,
+    and ``word`` itself.
+
+    A text is cut into runs of ``RUN`` words first, so a row carries a run
+    and never its whole text: ``p``, the text cut before each word, from
+    ``j`` on at the word; ``back``: whether an element before the run is there;
+    ``off``: code points before the run."""
     # one generated row each, as in with_words
     cut = F.struct(F.split("text", _START, -1).alias("p"), alnum_words(F.col("text")).alias("w"))
     words = rows.select("rid", F.explode(F.array(cut)).alias("c")).select("rid", "c.p", "c.w").filter(F.size("w") > 0)
-    at = words.select("rid", "p", "w", (F.size("p") - F.size("w")).alias("lead"), F.explode(F.sequence(F.lit(0), F.size("w") - 1)).alias("i"))
-    word = lambda n: F.coalesce(F.get("w", F.col("i") - n), F.lit("^"))
-    return at.withColumns({"a": word(2), "b": word(1)})
+    words = words.withColumn("lead", F.size("p") - F.size("w"))
+    runs = F.sequence(F.lit(0), F.floor((F.size("w") - 1) / RUN).cast("int"))
+    joined = lambda first, n: F.length(F.array_join(F.slice("p", first, n), "")).cast("long")
+    lengths = F.transform(runs, lambda c: joined(F.col("lead") + c * RUN + 1, F.lit(RUN)))
+    before = F.when(F.col("lead") > 0, joined(F.lit(1), F.col("lead"))).otherwise(F.lit(0).cast("long"))
+    words = words.select("rid", "p", "w", "lead", F.explode(F.array(F.struct(lengths.alias("lens"), before.alias("before")))).alias("l"))
+
+    def run(c: Column) -> Column:
+        back = F.when(F.col("lead") + c > 0, 1).otherwise(0)
+        off = F.aggregate(F.slice(F.col("l.lens"), F.lit(1), c), F.col("l.before"), lambda x, y: x + y)
+        return F.struct(c.alias("c"), back.alias("back"), off.alias("off"),
+                        F.slice("p", F.col("lead") + c * RUN + 1 - back, F.lit(RUN + LONGEST) + back).alias("p"),
+                        F.slice("w", F.greatest(c * RUN - 2, F.lit(0)) + 1, F.lit(RUN) + F.least(c * RUN, F.lit(2))).alias("w"))
+
+    parts = words.select("rid", F.explode(F.transform(runs, run)).alias("r")).select("rid", "r.*")
+    held = F.least(F.col("c") * RUN, F.lit(2))  # words of the run before
+    at = parts.select("rid", "c", "back", "off", "p", "w", F.explode(F.sequence(F.lit(0), F.size("w") - held - 1)).alias("j"))
+    word = lambda n: F.coalesce(F.get("w", F.col("j") + F.least(F.col("c") * RUN, F.lit(2)) - n), F.lit("^"))
+    return at.select("rid", (F.col("c") * RUN + F.col("j")).alias("i"), "j", "back", "off", "p", word(2).alias("a"), word(1).alias("b"), word(0).alias("word"))
 
 
 def starts_token() -> Column:
-    return (F.col("i") == 0) | F.get("p", F.col("lead") + F.col("i") - 1).rlike(_SEPARATOR)
+    return (F.col("i") == 0) | F.get("p", F.col("j") + F.col("back") - 1).rlike(_SEPARATOR)
 
 
 def as_places(at: DataFrame) -> DataFrame:
     """``rid kind start end value before`` of the tokens at ``positions``."""
-    n = F.col("lead") + F.col("i")
+    n = F.col("j") + F.col("back")
     value = F.regexp_extract(F.array_join(F.slice("p", n + 1, F.lit(LONGEST)), ""), _BODY, 0)
-    start = F.length(F.array_join(F.slice("p", F.lit(1), n), "")).cast("long")
+    start = F.col("off") + F.length(F.array_join(F.slice("p", F.col("back") + 1, F.col("j")), ""))
     return at.filter(starts_token()).select("rid", F.lit(TOKEN).alias("kind"), start.alias("start"), (start + F.length(value)).alias("end"),
                                             value.alias("value"), F.array("a", "b").alias("before"))
 
@@ -200,7 +224,7 @@ def _near(at: DataFrame, patterns: DataFrame) -> DataFrame:
 def least_totals(rows: DataFrame, patterns: DataFrame) -> DataFrame:
     """``pattern least``: a lower bound of the distinct values in each pattern's
     slots: the distinct first words of them whose hash falls in a sixteenth."""
-    first = F.xxhash64(F.get("w", F.col("i")))
+    first = F.xxhash64("word")
     at = _near(positions(rows).filter(F.pmod(first, F.lit(SAMPLE)) == 0), patterns).filter(starts_token())
     pairs = at.select(F.explode("h").alias("h"), first.alias("f")).distinct()
     return (patterns.select("pattern", _pattern_hash().alias("h")).join(pairs.groupBy("h").agg(F.count(F.lit(1)).alias("least")), "h", "left")
@@ -212,7 +236,7 @@ def at_values(rows: DataFrame, values: DataFrame) -> DataFrame:
     word = F.xxhash64(F.get(alnum_words(F.col("value")), F.lit(0)))
     firsts = materialize(values.select(word.alias("f")).distinct(), "personal-firsts")
     blocks = -(-firsts.count() // BLOCK) or 1
-    at = positions(rows).withColumn("f", F.xxhash64(F.get("w", F.col("i"))))
+    at = positions(rows).withColumn("f", F.xxhash64("word"))
     return reduce(DataFrame.unionByName, [at.join(F.broadcast(firsts.filter(F.pmod("f", F.lit(blocks)) == k)), "f", "left_semi") for k in range(blocks)])
 
 

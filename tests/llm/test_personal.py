@@ -1,6 +1,7 @@
 import random
 import re
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -156,3 +157,32 @@ def test_chains_and_contexts_of_all_kinds(spark):
     got = {(r.rid, r.kind, r.start): r.before for r in personal.places(personal.numbered(docs_of(spark, texts).coalesce(1))).filter("kind IS NOT NULL").collect()}
     assert sorted((k, s, b) for (_, k, s), b in got.items()) == [
         (0, 35, ["0", "3"]), (1, 3, ["^", "at"]), (1, 16, ["1", "and"]), (1, 26, ["0", "2"]), (3, 7, ["tel", "12"]), (3, 26, ["1234", "or"])]
+
+
+def test_a_long_text_of_many_identifiers(spark):
+    """1 MB, 20,000 addresses and 20,000 tokens in one context: rows hold runs of the text, not the text."""
+    words = "".join(f"mail user{i}@host{i}.example.com or call desk KX{i:06d}Q now. " for i in range(20_000))
+    texts = [words, "or call desk ZZ-9-TOP now", "nothing here", "desk QQ1 only"]
+    got = {r.doc_id: r for r in personal.find(docs_of(spark, texts, extra=False)).collect()}
+    text = words
+    emails = [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    assert got[0].n_email == 20_000 and [(s.start, s.end) for s in got[0].base] == emails
+    assert not got[2].spans
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 255, 256, 257, 511, 512, 513, 700])
+def test_positions_of_runs_equal_the_whole_text(spark, n):
+    rng = random.Random(n)
+    text = rng.choice(["", "- ", ">>"]) + "".join(rng.choice(["ab", "é1", "x-y", "Z.9"]) + rng.choice([" ", "  ", ", ", "-", "\n"]) for _ in range(n))
+    rows = personal.numbered(docs_of(spark, [text], extra=False))
+    got = sorted((r.start, r.value, tuple(r.before)) for r in personal.as_places(personal.positions(rows)).collect())
+    words = [(m.start(), m.group().lower()) for m in re.finditer(r"[0-9A-Za-z\u0080-\U0010FFFF]+", text)]
+    lower = ["^", "^"] + [w for _, w in words]
+    want = []
+    for i, (at, _) in enumerate(words):
+        if at == 0 or i == 0 or re.search(r'[\x00-\x20\x7F,;:="<>\[\]{}|]', text[words[i - 1][0]:at][len(words[i - 1][1]):] if i else " "):
+            body = re.match(r"(?:[!#-+\-./?@\\^_`~]*[0-9A-Za-z\u0080-\U0010FFFF]+)+", text[at:]).group()
+            want.append((at, body, (lower[i], lower[i + 1])))
+    assert [g[0] for g in got] == [w[0] for w in want]
+    assert [g[2] for g in got] == [w[2] for w in want]
+    assert all(w[1].startswith(g[1]) for g, w in zip(got, want, strict=True))

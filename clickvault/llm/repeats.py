@@ -52,12 +52,14 @@ def ladder(window: int, first: int) -> list[int]:
 
 
 class Words(dict):
-    """128-bit hashes of words, remembered (bounded) per Python worker."""
+    """128-bit hashes of words, remembered per Python worker: so many, of up to 64 bytes."""
 
     def __missing__(self, word: bytes) -> bytes:
         from xxhash import xxh3_128_digest
 
-        digest = self[word] = xxh3_128_digest(word)
+        digest = xxh3_128_digest(word)
+        if len(word) <= 64:
+            self[word] = digest
         return digest
 
     def hashes(self, words: list[bytes], most: int = 400_000) -> np.ndarray:

@@ -3,8 +3,8 @@
 The tokenizer is a file given by path (a parameter); it is used, never
 trained. For a tokenizer that drops white space before it splits (checked on
 its own configuration) a text's ids are the ids of its white-space-separated
-pieces one after another, so pieces are encoded once and remembered; the
-memory is bounded and only saves time. Any other tokenizer encodes whole
+pieces one after another, so pieces are encoded once and remembered: the last
+250,000 to 500,000 of up to ``LONG`` bytes, which only saves time. Any other tokenizer encodes whole
 texts.
 """
 
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from clickvault.llm.common import batched, columns_of, pick
 
 END_ID = 1
+LONG = 64
 #: Letters whose lower case and normal form are one code point each.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]*)([.,;:!?]*)")
 
@@ -37,20 +38,26 @@ def _byte_letters() -> list[str]:
 
 
 class Pieces(dict):
-    """Ids of the pieces seen so far; a new piece is encoded when it is asked for."""
+    """Ids of the pieces seen lately; a new piece is encoded when it is asked
+    for. Pieces longer than ``LONG`` bytes are not remembered, so the memory
+    is bounded in bytes; ``before``: what was remembered up to the last turn."""
 
-    def __init__(self, encode):
-        self.encode = encode
+    def __init__(self, encode, before: dict):
+        self.encode, self.before = encode, before
 
     def __missing__(self, piece: bytes) -> bytes:
-        ids = self[piece] = self.encode(piece)
+        ids = self.before.get(piece)
+        if ids is None:
+            ids = self.encode(piece)
+        if len(piece) <= LONG:
+            self[piece] = ids
         return ids
 
 
 class Encoder:
     """Ids of one text at a time; ``dtype`` is the smallest that holds every id."""
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 250_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -68,7 +75,7 @@ class Encoder:
         self.plain = (self.pieces and model["type"] == "BPE" and not model.get("dropout")
                       and [x["type"] for x in pre["pretokenizers"]] == ["Split", "ByteLevel"])
         self.letters = _byte_letters()
-        self.most, self.known = most, Pieces(self._piece)
+        self.most, self.known = most, Pieces(self._piece, {})
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -90,8 +97,8 @@ class Encoder:
         """Ids of a text given in UTF-8, as bytes of ``dtype``."""
         if not self.pieces:
             return self._library(raw.decode("utf-8", "replace"))
-        if len(self.known) > self.most:
-            self.known.clear()
+        if len(self.known) > self.most:  # pieces that are asked for again move on to the new turn
+            self.known = Pieces(self._piece, dict(self.known))
         return b"".join(map(self.known.__getitem__, raw.split()))
 
 

@@ -29,48 +29,64 @@ SMALL = 32 << 20
 KEY = "_row_key"
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(KEY, F.xxhash64("doc_id", "text"))
+def free(docs: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``docs`` has it."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def keyed(docs: DataFrame, key: str) -> DataFrame:
+    return docs.withColumn(key, F.xxhash64("doc_id", "text"))
+
+
+def same(docs: DataFrame) -> list:
+    """All columns of ``docs``, whatever characters their names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is found; those without a letter, and those
     whose two best languages are about as near, go."""
-    names = ("_lang_pred", "_lang_score", "_lang_ambiguous")
+    names = tuple(free(docs, n) for n in ("_lang_pred", "_lang_score", "_lang_ambiguous"))
     found = label(docs, fit(training_rows(docs)), names=names)
-    return found.filter("_lang_pred <> 'und' AND NOT _lang_ambiguous").select(docs.columns)
+    return found.filter((F.col(names[0]) != "und") & ~F.col(names[2])).select(same(docs))
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each SimHash component, once; texts that
     share an id count each. Rows without an id stay, once for each text."""
-    rows = keyed(docs.filter("doc_id IS NOT NULL"))
-    found = near_duplicates(rows, id_col=KEY).select(F.col("doc_id").alias(KEY), "component_id").distinct()
-    first = F.min(F.struct("doc_id", KEY))[KEY].alias(KEY)
-    keys = rows.select("doc_id", KEY).distinct().join(found, KEY).groupBy("component_id").agg(first).select(KEY)
+    key = free(docs, KEY)
+    rows = keyed(docs.filter("doc_id IS NOT NULL"), key)
+    found = near_duplicates(rows, id_col=key).select(F.col("doc_id").alias(key), "component_id").distinct()
+    first = F.min(F.struct("doc_id", key))[key].alias(key)
+    keys = rows.select("doc_id", key).distinct().join(found, key).groupBy("component_id").agg(first).select(key)
     stay, _ = small_side(keys, "pipeline-stay", SMALL)
-    kept = rows.join(stay, KEY, "left_semi").dropDuplicates([KEY]).select(docs.columns)
-    return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"])).select(docs.columns)
+    kept = rows.join(stay, key, "left_semi").dropDuplicates([key]).select(same(docs))
+    return kept.unionByName(docs.filter("doc_id IS NULL").dropDuplicates(["text"]))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window stands."""
     items = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    hit = decontaminate(keyed(docs), items, id_col=KEY).filter("contaminated").select(F.col("doc_id").alias(KEY)).distinct()
+    key = free(docs, KEY)
+    hit = decontaminate(keyed(docs, key), items, id_col=key).filter("contaminated").select(F.col("doc_id").alias(key)).distinct()
     gone, _ = small_side(hit, "pipeline-leaks", SMALL)
-    return keyed(docs).join(gone, KEY, "left_anti").select(docs.columns)
+    return keyed(docs, key).join(gone, key, "left_anti").select(same(docs))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, spans of personal data replaced by their kind; ``n_chars`` follows the text."""
-    found = personal.find(keyed(docs), id_col=KEY).filter(F.size("spans") > 0)
-    found = found.select(F.col("doc_id").alias(KEY), F.col("spans").alias("_spans")).dropDuplicates([KEY])
+    key, at = free(docs, KEY), free(docs, "_spans")
+    found = personal.find(keyed(docs, key), id_col=key).filter(F.size("spans") > 0)
+    found = found.select(F.col("doc_id").alias(key), F.col("spans").alias(at)).dropDuplicates([key])
     spans, _ = small_side(found, "pipeline-spans", SMALL)
-    out = keyed(docs).join(spans, KEY, "left")
-    out = out.withColumn("text", personal.masked(F.col("text"), F.col("_spans")))
+    out = keyed(docs, key).join(spans, key, "left")
+    out = out.withColumn("text", personal.masked(F.col("text"), F.col(at)))
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("_spans").isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+        out = out.withColumn("n_chars", F.when(F.col(at).isNotNull(), F.length("text")).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
+    return out.select(same(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

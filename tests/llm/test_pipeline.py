@@ -69,7 +69,7 @@ def test_odd_rows(spark, stage):
     texts = [*ODD, *[prose(rng, 30) for _ in range(20)], "mail a@b.cd now"]
     df = docs_of(spark, texts, {1: None})
     nulls = df.withColumn("doc_id", F.lit(None).cast("long"))
-    for c in ("_k", "lang_pred", "score", "spans", "rid", "w"):
+    for c in ("_k", "lang_pred", "score", "spans", "rid", "w", "_row_key", "__ROW_KEY", "_spans", "_lang_pred", "_lang_score", "_lang_ambiguous"):
         df, nulls = df.withColumn(c, F.lit("clash")), nulls.withColumn(c, F.lit("clash"))
     whole = df.unionByName(df.limit(5)).unionByName(nulls)
     path = fresh_path(spark, "t-docs")
@@ -79,6 +79,7 @@ def test_odd_rows(spark, stage):
     rows = out.collect()
     if stage != "packing":
         assert out.columns == whole.columns
+        assert all(r[c] == "clash" for r in rows for c in ("_row_key", "__ROW_KEY", "_spans", "_lang_pred", "_lang_ambiguous"))
     if stage == "language":
         assert all(r.text and re.search(r"[^\W\d_]", r.text) for r in rows)
     if stage == "near_duplicates":

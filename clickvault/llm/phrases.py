@@ -49,8 +49,8 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import materialize, pick
 from clickvault.plans.materialize import small_side
 
-WINDOW = 1 << 20  # bytes looked at together; a longer word widens it
-FLUSH = 1 << 18  # words whose phrases are counted together
+WINDOW = 1 << 18  # bytes looked at together; a longer word widens it
+FLUSH = 1 << 17  # words whose phrases are counted together
 SALTS = 64
 SPARSE = 256  # bits of the table for a hash known at the start
 _SPREAD, _FOLD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
@@ -99,8 +99,11 @@ class Hasher:
 
 def _texts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Bytes of all texts end to end, each text's start (and the end of the last), each text's language hash."""
-    col = batch.column(0).cast(pa.large_binary()).fill_null(b"")
-    offsets = np.frombuffer(col.buffers()[1], np.int64)[col.offset:col.offset + len(col) + 1]
+    col = batch.column(0)
+    wide = pa.types.is_large_string(col.type)
+    col = col.cast(pa.large_binary() if wide else pa.binary())  # the bytes themselves, no copy
+    col = col.fill_null(b"") if col.null_count else col
+    offsets = np.frombuffer(col.buffers()[1], np.int64 if wide else np.int32)[col.offset:col.offset + len(col) + 1].astype(np.int64)
     held = col.buffers()[2]
     data = np.frombuffer(held, np.uint8) if held is not None else np.zeros(0, np.uint8)
     data = data[offsets[0]:offsets[-1]] if len(offsets) else data[:0]

@@ -181,8 +181,7 @@ def q_sink_perf_append(spark, sf):
     rec = run_job(spark, JobParams(base=fresh_path(spark, "job")), raw=_raw(spark, sf))
     for run in ("run-a", "run/b", "run/b"):
         sink_perf_append(perf_record(spark, rec), path, run)
-    log = spark.read.option("basePath", path).parquet(path)
-    return log.select("run_id", "sample_size", "raw_rows", "clean_rows", (F.col("processing_seconds") > 0).alias("timed"))
+    return spark.read.parquet(path).select("run_id", "sample_size", "raw_rows", "clean_rows", (F.col("processing_seconds") > 0).alias("timed"))
 
 
 _SERVING_CE = """SELECT user_id, CAST(views AS INTEGER) AS views, CAST(carts AS INTEGER) AS carts,

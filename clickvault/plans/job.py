@@ -47,7 +47,7 @@ class JobParams:
     funnel_mode: str = "first_touch"
     fmt: str = "parquet"
     partition_silver_by_date: bool = False
-    run_id: str | None = None      # keys the performance row; the same id replaces it
+    run_id: str | None = None      # keys the performance row: a replay of a run adds no second one
 
     def paths(self) -> dict[str, str]:
         b = self.base.rstrip("/")

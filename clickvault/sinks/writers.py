@@ -8,9 +8,10 @@ Hadoop file-system URI.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
-from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 FORMATS = ("parquet", "csv")
 
@@ -71,11 +72,23 @@ def sink_gold(tables: dict[str, DataFrame], base: str, fmt: str = "parquet",
     return paths
 
 
-def sink_perf_append(perf: DataFrame, path: str, run_id: str) -> None:
-    """Add a run's performance row to the run log. The log is partitioned by
-    run: a run that is replayed (a crash came before its input was marked as
-    done) replaces its own row instead of adding another."""
-    write_table(perf.coalesce(1), f"{path.rstrip('/')}/run_id={quote(run_id, safe='')}", "parquet")
+def sink_perf_append(perf: DataFrame, path: str, run_id: str) -> bool:
+    """Append a run's performance row, with its ``run_id``, to the run log,
+    unless the log has that run already: a run that is replayed (a crash came
+    before its input was marked as done) adds no second row. Returns whether
+    the row was added. The append is one commit; the look-up reads one column
+    of the log with the id pushed down to the scan."""
+    spark = perf.sparkSession
+    try:
+        log = spark.read.option("mergeSchema", True).parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):  # no log yet, or one without a row
+            raise
+        log = None
+    if log is not None and "run_id" in log.columns and not log.filter(F.col("run_id") == run_id).select("run_id").isEmpty():
+        return False
+    write_table(perf.withColumn("run_id", F.lit(run_id)).coalesce(1), path, "parquet", mode="append")
+    return True
 
 
 def ledger_overwrite(ledger: DataFrame, path: str, fmt: str = "csv") -> None:

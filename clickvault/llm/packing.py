@@ -10,10 +10,12 @@ more than ``slack`` of a bin of its class empty gives up a piece of exactly
 ``capacity`` tokens that fits its class well stays whole.
 
 Bins a worker could not fill (fewer than ``k`` pieces of a class) are dealt
-again by class over all workers; what is still left is at most ``k - 1``
-pieces a class (a constant, whatever the corpus) and is laid end to end and
-cut at the capacity, its end at powers of two, so the last sequence needs no
-padding either.
+again by class and group of ``FAN`` workers, then by class and group of
+groups, until one group is left: no task meets more than ``FAN`` times ``k -
+1`` pieces of one class and group, however many workers there were. What is
+still left is at most ``k - 1`` pieces a class (a constant, whatever the
+corpus) and is laid end to end and cut at the capacity, its end at powers of
+two, so the last sequence needs no padding either.
 
 Null text: the end id alone. Repeated rows are packed each on its own; a null
 ``doc_id`` is kept. An empty table gives no rows.
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +36,7 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import batched, columns_of, materialize, pick
 from clickvault.llm.tokens import END_ID, encoder
 
+FAN = 16
 COLUMNS = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                      ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -78,11 +81,11 @@ class Bins:
         return held
 
     def rest(self) -> list[dict]:
-        return [p | {"sequence_id": None, "offset": None} for held in self.open.values() for p in held]
+        return [p for held in self.open.values() for p in held]
 
 
 def _ids(round_no: int) -> int:
-    """The first of 2^32 sequence ids of this task; rounds have their own range."""
+    """The first of 2^32 sequence ids of this task; the eight rounds there can be have their own range."""
     return (round_no << 60) | (TaskContext.get().partitionId() << 32)
 
 
@@ -93,7 +96,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
 
     One pass tokenizes, cuts and fills bins and is written to the shared
     staging folder; only leftover pieces (at most ``k - 1`` of each class and
-    task) are shuffled.
+    task) are shuffled, in rounds of ``FAN`` to one (16 million tasks take six).
     """
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, bins = encoder(tokenizer), Bins(capacity, _ids(0))
@@ -108,24 +111,29 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
                         yield from bins.add({"doc_id": doc, "start": at, "length": length, "doc_tokens": n,
                                              "ids": ids[at:at + length].tobytes()})
                         at += length
-            yield from bins.rest()
+            # a piece that is left carries its worker in place of an offset
+            worker = TaskContext.get().partitionId()
+            yield from (p | {"sequence_id": None, "offset": worker} for p in bins.rest())
 
         yield from batched(rows(), _SCHEMA, weigh="ids")
 
-    def second(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bins = Bins(capacity, _ids(1))
+    def again(round_no: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bins = Bins(capacity, _ids(round_no))
 
-        def rows():
-            for batch in batches:
-                for p in batch.to_pylist():
-                    yield from bins.add(p)
-            yield from bins.rest()
+            def rows():
+                for batch in batches:
+                    for p in batch.to_pylist():
+                        yield from bins.add(p | {"group": p["offset"] // FAN})
+                yield from (p | {"sequence_id": None, "offset": p["group"]} for p in bins.rest())
 
-        yield from batched(rows(), _SCHEMA, weigh="ids")
+            yield from batched(rows(), _SCHEMA, weigh="ids")
+
+        return run
 
     def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = [p for batch in batches for p in batch.to_pylist()]
-        total, seq, at = sum(p["length"] for p in pieces), _ids(2), 0
+        total, seq, at = sum(p["length"] for p in pieces), _ids(7), 0
         sizes = [capacity] * (total // capacity) + [1 << b for b in reversed(range(capacity.bit_length()))
                                                     if total % capacity >> b & 1]
         size = iter(sizes)
@@ -146,10 +154,15 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
         yield from batched(rows(), _SCHEMA, weigh="ids")
 
     packed = materialize(pick(docs, id_col, text_col).mapInArrow(first, COLUMNS), "packing-bins")
-    left = packed.filter("sequence_id IS NULL")
     order = ["doc_id", "start", "length", "ids"]  # the same rows meet in the same order when a task runs again
-    shared = materialize(left.repartition(F.floor(F.lit(capacity) / F.col("length"))).sortWithinPartitions("length", *order)
-                         .mapInArrow(second, COLUMNS), "packing-shared")
+    done, now, round_no = [packed], packed, 0
+    groups = (packed.filter("sequence_id IS NULL").agg(F.max("offset")).first()[0] or 0) + 1
+    while round_no == 0 or groups > 1:
+        round_no, groups = round_no + 1, -(-groups // FAN)
+        left = now.filter("sequence_id IS NULL")
+        dealt = left.repartition(F.floor(F.lit(capacity) / F.col("length")), F.floor(F.col("offset") / FAN))
+        now = materialize(dealt.sortWithinPartitions("length", *order).mapInArrow(again(round_no), COLUMNS), "packing-shared")
+        done.append(now)
     # fewer than k pieces of each class: bounded by the capacity, not by the corpus
-    rest = shared.filter("sequence_id IS NULL").repartition(1).sortWithinPartitions("length", *order).mapInArrow(last, COLUMNS)
-    return packed.filter("sequence_id IS NOT NULL").unionByName(shared.filter("sequence_id IS NOT NULL")).unionByName(rest)
+    rest = now.filter("sequence_id IS NULL").repartition(1).sortWithinPartitions("length", *order).mapInArrow(last, COLUMNS)
+    return reduce(DataFrame.unionByName, [*[d.filter("sequence_id IS NOT NULL") for d in done], rest])

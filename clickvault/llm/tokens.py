@@ -12,6 +12,8 @@ from __future__ import annotations
 
 import json
 import re
+import sys
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -23,8 +25,9 @@ from clickvault.llm.common import batched, columns_of, pick
 
 END_ID = 1
 LONG = 64
-#: Letters whose lower case and normal form are one code point each.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]*)([.,;:!?]*)")
+#: Letters whose lower case and normal form are one code point each, then marks
+#: that stay one run (no apostrophe; no '<', with which the added tokens begin).
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]*)([!-&(-/:;=-@\[-`{-~]*)")
 
 
 def _byte_letters() -> list[str]:
@@ -73,8 +76,9 @@ class Encoder:
                        and not any(re.search(r"\s", a["content"]) or a["lstrip"] or a["rstrip"]
                                    for a in conf.get("added_tokens", [])))
         self.plain = (self.pieces and model["type"] == "BPE" and not model.get("dropout")
-                      and [x["type"] for x in pre["pretokenizers"]] == ["Split", "ByteLevel"])
-        self.letters = _byte_letters()
+                      and [x["type"] for x in pre["pretokenizers"]] == ["Split", "ByteLevel"] and sys.byteorder == "little"
+                      and all(a["content"][:1] == "<" for a in conf.get("added_tokens", [])))
+        self.letters, self.code = _byte_letters(), "H" if self.dtype.itemsize == 2 else "I"
         self.most, self.known = most, Pieces(self._piece, {})
 
     def _library(self, text: str) -> bytes:
@@ -91,7 +95,7 @@ class Encoder:
                 if not part.isascii():
                     part = "".join([self.letters[b] for b in part.encode()])
                 ids += [t.id for t in model.tokenize(part)]
-        return np.asarray(ids, self.dtype).tobytes()
+        return array(self.code, ids).tobytes()
 
     def encode(self, raw: bytes) -> bytes:
         """Ids of a text given in UTF-8, as bytes of ``dtype``."""

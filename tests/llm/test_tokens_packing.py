@@ -26,6 +26,12 @@ def test_pieces_equal_whole_text(text):
     assert np.frombuffer(ENC.encode(text.encode()), ENC.dtype).tolist() == library(text)
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=[chr(c) for c in range(32, 127)] + ["é", "Ö", "ß"], max_size=20))
+def test_marks_equal_whole_text(text):
+    assert np.frombuffer(ENC.encode(text.encode()), ENC.dtype).tolist() == library(text)
+
+
 @given(st.integers(1, 2047))
 def test_cuts_cover_and_fit(n):
     parts = cuts(n, 2048, 1 / 64)
@@ -68,6 +74,18 @@ def test_pack_odd_rows(spark):
     assert pad < 0.02 * total
 
 
+def test_pack_hot_class_over_many_workers(spark):
+    texts = ["one"] * 700 + ["", "one two three"]  # nearly all pieces are of one class, a few for each worker
+    df = docs_of(spark, texts).repartition(300, "doc_id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = pack(df, default_tokenizer(), capacity=64).collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    pad, total = check_pack(rows, dict(enumerate(texts)), 64)
+    assert pad <= 0.02 * total and len({r.sequence_id >> 60 for r in rows}) >= 2
+
+
 def test_pack_empty_and_repeats(spark):
     assert pack(empty(spark), default_tokenizer()).count() == 0
     df = docs_of(spark, ["one two three"])

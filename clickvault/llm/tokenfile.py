@@ -4,14 +4,16 @@ A block holds up to ``BLOCK`` ids and starts from nothing: its models, its
 coder state and its checksum are its own, so any block can be decoded, or
 found to be damaged, by itself.
 
-Model of one id, after the two ids before it: the order-2 context predicts
-the id that followed it last, and so does the order-1 context. Which of the
-two (or neither) is right is coded under frequencies learned for how often
-each of the two contexts has been right lately and whether they agree: the
-mixing weights. An id that neither predicts is coded by order 0, four bits at
-a time, each group under frequencies learned for the bits before it. All
-frequencies adapt after every id. A 64-bit range coder turns the intervals
-into bytes.
+Model of one id, coded four bits at a time: three predictions of each group of
+bits are mixed. Order 0 gives adaptive frequencies for the bits before the
+group; the id that followed the last id, and the one that followed the last
+two, each vote for their own bits as long as the bits before were theirs. The
+mix is the weighted sum of the three distributions. Weights are kept for how
+often each order has been right lately, and move towards the share that each
+prediction had in what came (its weight times the probability it gave). All
+frequencies and weights adapt after every group, in whole numbers only, so
+every machine decodes the same. A 64-bit range coder turns the intervals into
+bytes.
 
 Blocks do not depend on each other, so many are coded side by side: each
 numpy operation below does the same step of up to ``LANES`` blocks.
@@ -31,18 +33,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import batched, columns_of, commit_files, fresh_path, list_files, materialize, read_blobs, write_blobs
+from clickvault.llm.common import batched, columns_of, commit_files, fresh_path, materialize, read_blobs, write_blobs
 from clickvault.llm.tokens import encode_texts, id_type
 
 BLOCK, LANES, CONTEXTS = 4096, 2048, 1 << 12
 MAGIC, TRAILER, HEAD, ENTRY = b"TKB1", "TKBE", struct.Struct("<4sIIII"), np.dtype([("id", "<i8"), ("n", "<u4"), ("flags", "u1")])
 U = np.uint64
-TOP, LOW, S16, S48, PREC = U(1 << 48), U((1 << 32) - 1), U(16), U(48), U(14)
+TOP, LOW, S16, S48, PREC = U(1 << 48), U((1 << 32) - 1), U(16), U(48), U(16)
 FULL, LEAST = 1 << 14, 24
+#: Weights are out of ONE, and order 0 keeps FLOOR: with LEAST that leaves every group of bits a width of one in 65536.
+ONE, FLOOR, SPEED = 1 << 12, 64, 5
 
 
 class Coder:
@@ -98,7 +101,7 @@ class Coder:
         self._narrow(lanes, lo, width, False)
 
     def target(self, lanes: np.ndarray) -> np.ndarray:
-        return np.minimum((self.code[lanes] - self.low[lanes]) // (self.range[lanes] >> PREC), U(FULL - 1)).astype(np.int16)
+        return np.minimum((self.code[lanes] - self.low[lanes]) // (self.range[lanes] >> PREC), U((1 << 16) - 1)).astype(np.int64)
 
     def decode(self, lanes, lo, width) -> None:
         self._narrow(lanes, lo, width, True)
@@ -113,48 +116,68 @@ class Coder:
 
 
 class Tables:
-    """Adaptive frequencies: for each lane and context the upper borders of ``n``
-    symbols (4 or 16), out of ``FULL``.
+    """Adaptive frequencies: for each lane and context the upper borders of 16 symbols, out of ``FULL``.
 
     A symbol moves the borders a part of the way to a distribution in which
     every other symbol still has ``LEAST``, so no width ever reaches zero.
     """
 
-    def __init__(self, lanes: int, contexts: int, n: int, rate: int):
-        self.n, self.rate, self.contexts = n, rate, contexts
-        start = (np.arange(1, n + 1) * FULL // n).astype(np.int16)
-        self.borders = np.tile(start, (lanes * contexts, 1))
+    def __init__(self, lanes: int, contexts: int, rate: int):
+        self.rate, self.contexts, n = rate, contexts, 16
+        self.borders = np.tile((np.arange(1, n + 1) * FULL // n).astype(np.int16), (lanes * contexts, 1))
         step = np.arange(n)
         self.goals = np.where(step[None, :] >= step[:, None], FULL - (n - 1 - step) * LEAST, (step + 1) * LEAST).astype(np.int16)
 
-    def code(self, coder: Coder, lanes: np.ndarray, context: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
-        """Encode ``symbol``, or decode and return it; then adapt."""
-        at = lanes * self.contexts + context
-        rows = self.borders.take(at, axis=0)
-        each = np.arange(len(lanes)) * self.n
-        reading = symbol is None
-        if reading:
-            below = rows <= coder.target(lanes)[:, None]
-            symbol = np.bitwise_count(below.view(np.uint32 if self.n == 4 else np.uint64)).sum(axis=1, dtype=np.int64)
-        flat = rows.reshape(-1)
-        hi, lo = flat.take(each + symbol), np.where(symbol > 0, flat.take(each + symbol - 1, mode="clip"), 0)
-        (coder.decode if reading else coder.encode)(lanes, lo, hi - lo)
+    def move(self, at: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> None:
         change = self.goals.take(symbol, axis=0)
         change -= rows
         change >>= self.rate
         rows += change
         self.borders[at] = rows
-        return symbol
 
 
 class Predictor:
-    """The order-1 and order-2 contexts of many blocks: the id that came last, and how often it was right."""
+    """The three orders of many blocks and the weights that mix them."""
 
     def __init__(self, lanes: int):
         # for each order, lane and context: the last id times four, and how far it is trusted
         self.seen = [np.zeros(lanes * CONTEXTS, np.int32) for _ in range(2)]
-        self.choice = Tables(lanes, 32, 4, 4)
-        self.bits = [Tables(lanes, c, 16, 3) for c in (1, 16, 256, 256)]
+        self.bits = [Tables(lanes, c, rate) for c, rate in ((1, 5), (16, 5), (256, 4), (256, 4))]
+        # weights of orders 1 and 2 for each trust in them (4: its bits were wrong already), first group and later ones
+        start = np.array([250, 1100, 1700, 2000, 0], np.int32)
+        one, two = np.tile(start[:, None], (1, 5)).reshape(-1), np.tile(start[None, :], (5, 1)).reshape(-1)
+        self.weights = [np.tile(np.concatenate([w, w]), lanes) for w in (one, two)]
+
+    def group(self, coder: Coder, lanes: np.ndarray, i: int, context: np.ndarray, state: list, votes: list, symbol: np.ndarray | None) -> np.ndarray:
+        """Code the ``i``-th four bits of one id of each lane under the mix; returns them."""
+        table = self.bits[i]
+        at = lanes * table.contexts + context
+        rows = table.borders.take(at, axis=0)
+        slot = lanes * 50 + (25 if i else 0) + state[0] * 5 + state[1]
+        held = [w.take(slot) for w in self.weights]
+        two = np.where(state[1] < 4, np.minimum(held[1], ONE - FLOOR), 0).astype(np.int64)
+        one = np.where(state[0] < 4, np.minimum(held[0], ONE - FLOOR - two), 0).astype(np.int64)
+        zero = ONE - one - two
+        reading = symbol is None
+        if reading:
+            target, each = coder.target(lanes)[:, None], np.arange(16)
+            mixed = zero[:, None] * rows >> 10
+            mixed += np.where(each >= votes[0][:, None], one[:, None] << 4, 0)
+            mixed += np.where(each >= votes[1][:, None], two[:, None] << 4, 0)
+            symbol = np.minimum((mixed <= target).sum(axis=1), 15)
+        flat, each = rows.reshape(-1), np.arange(len(lanes)) * 16
+        hi, lo = flat.take(each + symbol).astype(np.int64), np.where(symbol > 0, flat.take(each + symbol - 1, mode="clip"), 0).astype(np.int64)
+        right = [votes[0] == symbol, votes[1] == symbol]
+        low = (zero * lo >> 10) + (one << 4) * (votes[0] < symbol) + (two << 4) * (votes[1] < symbol)
+        high = (zero * hi >> 10) + (one << 4) * (votes[0] <= symbol) + (two << 4) * (votes[1] <= symbol)
+        (coder.decode if reading else coder.encode)(lanes, low, high - low)
+        # the share of each order in the probability of what came
+        own = [one * right[0] << 14, two * right[1] << 14]
+        total = zero * (hi - lo) + own[0] + own[1]
+        for o in (0, 1):
+            self.weights[o][slot] = held[o] + (((own[o] << 12) // total - held[o]) >> SPEED)
+        table.move(at, rows, symbol)
+        return symbol
 
     def step(self, coder: Coder, lanes: np.ndarray, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         """Code one id of each lane after ``two``, ``one``; returns the ids."""
@@ -163,22 +186,16 @@ class Predictor:
         keys = (base + (mixed >> 7 & (CONTEXTS - 1)), base + ((mixed + two * 2654469599) >> 9 & (CONTEXTS - 1)))
         seen = [self.seen[o].take(keys[o]) for o in (0, 1)]
         guess, trust = [x >> 2 for x in seen], [x & 3 for x in seen]
-        context = (trust[1] * 4 + trust[0]) * 2 + (guess[0] == guess[1])
-        kind = None if ids is None else np.where(ids == guess[1], 0, np.where(ids == guess[0], 1, 2))
-        kind = self.choice.code(coder, lanes, context, kind)
-        out = np.where(kind == 0, guess[1], guess[0]).astype(np.int64) if ids is None else ids
-        at = np.flatnonzero(kind == 2)
-        if len(at):
-            sub, known, value = lanes[at], None if ids is None else ids[at], np.zeros(len(at), np.int64)
-            for i, table in enumerate(self.bits):
-                context = value if i < 3 else value * 2654435761 >> 10 & 255
-                part = None if known is None else known >> (12 - 4 * i) & 15
-                value = value * 16 + table.code(coder, sub, context, part)
-            out[at] = value
+        state, value = list(trust), np.zeros(len(lanes), np.int64)
+        for i in range(4):
+            context = value if i < 3 else value * 2654435761 >> 10 & 255
+            votes = [g >> (12 - 4 * i) & 15 for g in guess]
+            part = self.group(coder, lanes, i, context, state, votes, None if ids is None else ids >> (12 - 4 * i) & 15)
+            value = value * 16 + part
+            state = [np.where(votes[o] == part, state[o], 4) for o in (0, 1)]
         for o in (0, 1):
-            right = out == guess[o]
-            self.seen[o][keys[o]] = out * 4 + np.where(right, np.minimum(trust[o] + 1, 3), trust[o] >> 1)
-        return out
+            self.seen[o][keys[o]] = value * 4 + np.where(value == guess[o], np.minimum(trust[o] + 1, 3), trust[o] >> 1)
+        return value
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -235,13 +252,12 @@ def blocks_of(data: bytes) -> Iterator[tuple[int, int, np.ndarray, bytes]]:
         at = end
 
 
-_BLOB = pa.schema([("part", pa.int32()), ("n_tokens", pa.int64()), ("n_docs", pa.int64()), ("block", pa.binary())])
+_BLOB = pa.schema([("block", pa.binary())])
 
 
 def _write(dtype: np.dtype):
     """Sorted documents (``doc_id ids``) to blocks, coded ``LANES`` at a time."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
         full: list[tuple[np.ndarray, list]] = []
         parts: list[np.ndarray] = []
         index: list[tuple] = []
@@ -255,8 +271,7 @@ def _write(dtype: np.dtype):
 
         def flush():
             for (ids, entries), payload in zip(full, encode_blocks([b for b, _ in full]) if full else [], strict=True):
-                yield {"part": part, "n_tokens": len(ids), "n_docs": sum(1 for e in entries if e[2] & 2),
-                       "block": assemble(ids, np.array(entries, ENTRY), payload)}
+                yield {"block": assemble(ids, np.array(entries, ENTRY), payload)}
             full.clear()
 
         def rows():
@@ -281,31 +296,43 @@ def _write(dtype: np.dtype):
     return run
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Ids and documents of each file, from its blocks' heads and indexes."""
+    schema = pa.schema([("path", pa.string()), ("tokens", pa.int64()), ("documents", pa.int64())])
+    for batch in batches:
+        for path, data in zip(batch.column("path").to_pylist(), batch.column("content").to_pylist(), strict=True):
+            blocks = [(n, int((index["flags"] & 2).astype(bool).sum())) for n, _, index, _ in blocks_of(data)]
+            yield pa.RecordBatch.from_pylist([{"path": path, "tokens": sum(b[0] for b in blocks), "documents": sum(b[1] for b in blocks)}], schema)
+
+
 def write_tokens(docs: DataFrame, out: str, tokenizer: str, file_ids: int = 8 << 20, id_col: str = "doc_id", text_col: str = "text") -> list[dict]:
     """Encode all texts and write ``out/tokens-NNNNNNNN.tkb`` in ascending id
     order, and ``out/manifest.json``; returns the manifest.
 
-    Texts are encoded once, where they are read; only their ids are sorted,
-    by ranges. ``file_ids``: about as many ids go into a file. Null ids come
-    first; rows of the same id are ordered by their tokens.
+    Texts are encoded once, where they are read; their ids are sorted, by
+    ranges, in one shuffle, and each range is coded and written where it
+    arrives, as one file. ``file_ids``: about as many ids go into a file. Null
+    ids come first; rows of the same id are ordered by a hash of their tokens,
+    and equal rows can lie in several files.
     """
     spark, dtype = docs.sparkSession, id_type(tokenizer)
     if dtype.itemsize > 2:
         raise ValueError("the coder takes vocabularies of up to 65536 ids")
     staged = materialize(encode_texts(docs, tokenizer, id_col, text_col), "token-ids")
     total = (staged.agg(F.sum(F.length("ids"))).first()[0] or 0) // dtype.itemsize
-    ranged = staged.repartitionByRange(max(1, -(-total // file_ids)), "doc_id", "ids").sortWithinPartitions("doc_id", "ids")
-    blocks = materialize(ranged.mapInArrow(_write(dtype), "part int, n_tokens long, n_docs long, block binary").withColumn("no", F.monotonically_increasing_id()), "token-blocks")
-    facts = {r["part"]: r for r in blocks.groupBy("part").agg(F.sum("n_tokens").alias("n"), F.sum("n_docs").alias("d")).collect()}
+    keyed = staged.select("doc_id", F.xxhash64("ids").alias("hash"), F.monotonically_increasing_id().alias("no"), "ids")
+    key = ["doc_id", "hash", "no"]  # short: the ranges are found from a sample of it on the driver
+    ranged = keyed.repartitionByRange(max(1, -(-total // file_ids)), *key).sortWithinPartitions(*key).select("doc_id", "ids")
     base = out.rstrip("/")
     temp = f"{base}/_temporary-{fresh_path(spark, 't').rsplit('-', 1)[1]}"
-    write_blobs(blocks.repartition("part").sortWithinPartitions("part", "no"), temp, "block", TRAILER, by="part")
-    files = {int(p.rsplit("part=", 1)[1].split("/")[0]): p for p, _ in list_files(spark, temp)}
+    write_blobs(ranged.mapInArrow(_write(dtype), "block binary"), temp, "block", TRAILER)
+    # files are named by range; one row each comes back
+    facts = sorted(tuple(r) for r in read_blobs(spark, temp, "part-*").mapInArrow(_count, "path string, tokens long, documents long").filter("tokens > 0").collect())
     manifest, first = [], 0
-    for i, part in enumerate(sorted(facts)):
-        manifest.append({"file": f"tokens-{i:08d}.tkb", "first": first, "tokens": facts[part]["n"], "documents": facts[part]["d"]})
-        first += facts[part]["n"]
-    commit_files(spark, [(files[p], f"{base}/{m['file']}") for p, m in zip(sorted(facts), manifest, strict=True)], f"{base}/manifest.json", manifest)
+    for i, (_, tokens, documents) in enumerate(facts):
+        manifest.append({"file": f"tokens-{i:08d}.tkb", "first": first, "tokens": tokens, "documents": documents})
+        first += tokens
+    commit_files(spark, [(f[0], f"{base}/{m['file']}") for f, m in zip(facts, manifest, strict=True)], f"{base}/manifest.json", manifest)
     return manifest
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from clickvault.llm.common import fresh_path, list_files
 from clickvault.llm.registry import QUERIES
-from clickvault.llm.tokenfile import blocks_of, decode_blocks, documents_of, encode_blocks, read_tokens, write_tokens
+from clickvault.llm.tokenfile import Predictor, blocks_of, decode_blocks, documents_of, encode_blocks, read_tokens, write_tokens
 from clickvault.llm.tokens import Encoder, default_tokenizer
 
 from .helpers import ODD, docs_of, empty, prose
@@ -35,6 +35,23 @@ def test_worst_and_best_inputs():
     assert (alone == blocks[2]).all()
 
 
+def test_mixing_beats_fewer_orders_on_documents(spark, monkeypatch):
+    enc = Encoder(default_tokenizer())
+    texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]
+    ids = np.frombuffer(b"".join(enc.encode(t.encode()) for t in texts), enc.dtype).astype(np.int64)
+    blocks = [ids[i:i + 4096] for i in range(0, len(ids) - 4095, 4096)][:12]
+    start, sizes = Predictor.__init__, {}
+    for orders in ((0,), (0, 1), (0, 2), (0, 1, 2)):
+        def without(self, lanes, orders=orders):
+            start(self, lanes)
+            for o in (0, 1):
+                self.weights[o] *= o + 1 in orders  # a weight of nothing stays nothing
+
+        monkeypatch.setattr(Predictor, "__init__", without)
+        sizes[orders] = sum(map(len, encode_blocks(blocks)))
+    assert len(blocks) > 3 and all(sizes[0, 1, 2] < n for o, n in sizes.items() if len(o) < 3), sizes
+
+
 def check_files(rows, texts):
     enc, start = Encoder(default_tokenizer()), 0
     by = sorted(rows, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.start))

@@ -1,5 +1,6 @@
 import random
 from collections import Counter
+from itertools import combinations
 
 import numpy as np
 from hypothesis import given
@@ -89,6 +90,30 @@ def test_outliers_go_and_the_rest_stays(spark):
     assert all(got[i].distance is None or abs(again[i] - got[i].distance) < 1e-5 for i in again)
 
 
+def exhaustive(x, share=0.75):
+    """The least determinant over all subsets of the share of the rows."""
+    h, floors = int(np.ceil(share * len(x))), np.diag(np.square(quality.FLOORS))
+    return min(np.linalg.det(np.cov(x[list(c)].T, bias=True) * consistency(share) + floors) for c in combinations(range(len(x)), h))
+
+
+def test_estimate_against_exhaustive_search(spark):
+    rng, rows, data = np.random.default_rng(4), [], {}
+    for g in range(4):
+        n = 12 + g
+        x = rng.normal(0, 0.3, (n, 4)) + (np.arange(n) < n // 4)[:, None] * 6.0
+        data[f"g{g}"] = x
+    # two clusters: the larger one is the estimate
+    data["two"] = np.concatenate([rng.normal(0, 0.2, (5, 4)), rng.normal(4, 0.2, (11, 4)) * [1, -1, 1, 0.5]])
+    for g, x in data.items():
+        rows += [(g, *map(float, v)) for v in x]
+    got = {r.grp: r for r in quality.estimate(spark.createDataFrame(rows, "grp string, x1 double, x2 double, x3 double, x4 double").repartition(3)).collect()}
+    for g, x in data.items():
+        # a step cuts at a bin of distance, so it can keep a row more than the share
+        assert got[g].det <= 2.5 * exhaustive(x), (g, got[g].det, exhaustive(x))
+        assert got[g].n == len(x)
+    assert got["two"].m0 > 3 and all(abs(got[f"g{g}"].m0) < 0.5 for g in range(4))
+
+
 def test_odd_rows(spark):
     texts = [*ODD, "w " * 60, prose(random.Random(1), 80)]
     df = docs_of(spark, texts, {0: None}, {1: None})
@@ -97,7 +122,7 @@ def test_odd_rows(spark):
         n, *rest = plain_stats(t)
         assert (got[i].n_words, got[i].word_chars, got[i].n_symbols, got[i].n_lines, got[i].n_dup_lines, got[i].n_repeat_words) == (n, *rest)
         assert got[i].base_failed == (n < 50 or 100 * rest[-1] > 50 * n)
-    assert got[len(texts) - 1].kept and got[len(texts) - 1].distance is None and not got[len(texts) - 2].kept
+    assert got[len(texts) - 1].kept and got[len(texts) - 1].distance < 1e-6 and not got[len(texts) - 2].kept
     assert judge(empty(spark)).count() == 0 and judge(df.unionByName(df)).count() == 2 * len(texts)
 
 

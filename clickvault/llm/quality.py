@@ -223,15 +223,15 @@ def estimate(used: DataFrame, share: float = 0.75) -> DataFrame:
     """``PARAMS`` of each ``grp`` of the rows (``grp`` and ``X``): the least determinant that the starts lead to."""
     best = lambda df, *by: (df.withColumn("r", F.struct("det", *[c for c in df.columns if c not in ("det", *by)]))
                             .groupBy(*by).agg(F.min("r").alias("r")).select(*by, "r.*"))
-    params, _ = small_side(_start(used), "quality-params")
+    params = materialize(_start(used), "quality-params")  # written: a step's plan never holds the steps before it
     for _ in range(2):  # a start is no covariance of rows: its determinant is not compared
-        params, _ = small_side(_step(used, params, share), "quality-params")
-    params, _ = small_side(best(params, "grp"), "quality-params")
+        params = materialize(_step(used, params, share), "quality-params")
+    params = materialize(best(params, "grp"), "quality-params")
     while True:
         nxt = _step(used, params, share).select("grp", F.struct("det", *[c for c in params.columns if c not in ("grp", "det")]).alias("new"))
         both = params.select("grp", F.struct("det", *[c for c in params.columns if c not in ("grp", "det")]).alias("old")).join(nxt, "grp")
         falls = F.col("new.det") < 0.999 * F.col("old.det")
-        both, _ = small_side(both.select("grp", falls.alias("falls"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("r")), "quality-params")
+        both = materialize(both.select("grp", falls.alias("falls"), F.when(falls, F.col("new")).otherwise(F.col("old")).alias("r")), "quality-params")
         params = both.select("grp", "r.*")
         if both.filter("falls").limit(1).count() == 0:
             return params

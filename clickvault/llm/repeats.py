@@ -28,6 +28,7 @@ rows count as occurrences of their own. Empty table: no rows.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -95,9 +96,8 @@ class Level:
         self.length, self.last, self.buckets = length, last, buckets
         self.shift = np.uint64(0 if last else max(0, 64 - bits))
 
-    def keys(self, words: list[bytes]) -> np.ndarray:
-        """(n, 1) cut keys, or (n, 2) whole ones at the last level."""
-        hashes = _WORDS.hashes(words)
+    def keys(self, hashes: np.ndarray) -> np.ndarray:
+        """Of a text's word hashes: (n, 1) cut keys, or (n, 2) whole ones at the last level."""
         top = windows(hashes[:, 0].copy(), self.length) >> self.shift
         return np.stack([top, windows(hashes[:, 1].copy(), self.length)], 1) if self.last else top[:, None]
 
@@ -125,7 +125,13 @@ class Level:
 
 
 def sort_rows(keys: np.ndarray) -> np.ndarray:
-    return keys[np.lexsort(keys.T[::-1])] if keys.shape[1] > 1 else np.sort(keys, axis=0)
+    if keys.shape[1] == 1:
+        return np.sort(keys, axis=0)
+    out = keys[np.argsort(keys[:, 0])]
+    same = out[1:, 0] == out[:-1, 0]
+    if (out[1:, 1] != out[:-1, 1])[same].any():  # equal first halves with other second halves: almost never
+        return keys[np.lexsort(keys.T[::-1])]
+    return out
 
 
 def repeated_rows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -137,6 +143,31 @@ def repeated_rows(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return keys[at], np.diff(np.append(at, len(keys))) > 1
 
 
+class Known:
+    """Sorted keys to look others up in. A table over 22 mixed bits lets most
+    others go without a search; what it lets through is searched for."""
+
+    def __init__(self, found: np.ndarray):
+        self.found, self.table = found, np.zeros(1 << 22, bool)
+        self.table[self._slots(found)] = True
+
+    def __len__(self) -> int:
+        return len(self.found)
+
+    @staticmethod
+    def _slots(keys: np.ndarray) -> np.ndarray:
+        return (keys[:, 0] * _ODD) >> np.uint64(42)
+
+    def among(self, keys: np.ndarray) -> np.ndarray:
+        """Which rows of ``keys`` are known."""
+        if not len(self.found) or not len(keys):
+            return np.zeros(len(keys), bool)
+        hit = self.table[self._slots(keys)]
+        at = np.flatnonzero(hit)
+        hit[at] = among(keys[at], self.found)
+        return hit
+
+
 def among(keys: np.ndarray, found: np.ndarray) -> np.ndarray:
     """Which rows of ``keys`` are rows of ``found`` (sorted)."""
     if not len(found) or not len(keys):
@@ -189,7 +220,7 @@ def _first(level: Level, most: int):
         def rows():
             for batch in batches:
                 for grp, text in zip(batch.column("grp").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                    yield from sets.add(grp, level.keys(_words(text)))
+                    yield from sets.add(grp, level.keys(_WORDS.hashes(_words(text))))
             yield from sets.flush()
 
         yield from batched(rows(), _PART, weigh="keys")
@@ -197,10 +228,10 @@ def _first(level: Level, most: int):
     return run
 
 
-def _known(level: Level, answers: pa.Table) -> np.ndarray:
-    """All repeated keys that a group's answers hold, sorted."""
+def _known(level: Level, answers: pa.Table) -> Known:
+    """All repeated keys that a group's answers hold."""
     got = [level.unpack(k, b) for k, b in zip(answers.column("keys").to_pylist(), answers.column("bucket").to_pylist(), strict=True)]
-    return sort_rows(np.concatenate(got)) if got else np.zeros((0, 2 if level.last else 1), np.uint64)
+    return Known(sort_rows(np.concatenate(got)) if got else np.zeros((0, 2 if level.last else 1), np.uint64))
 
 
 def _longer(before: Level, level: Level, most: int):
@@ -211,10 +242,11 @@ def _longer(before: Level, level: Level, most: int):
             words = _words(text)
             n = len(words) - level.length + 1
             if n > 0:
-                ok = among(before.keys(words), known)
+                hashes = _WORDS.hashes(words)
+                ok = known.among(before.keys(hashes))
                 ok = ok[:n] & ok[level.length - before.length:][:n]
                 if ok.any():
-                    rows += sets.add(grp, level.keys(words)[ok])
+                    rows += sets.add(grp, level.keys(hashes)[ok])
         rows += sets.flush()
         return pa.Table.from_pylist(rows, schema=_PART)
 
@@ -247,12 +279,13 @@ def _finish(level: Level):
         known, rows = _known(level, answers), []
         for doc, text in zip(docs.column("doc_id").to_pylist(), docs.column("text").to_pylist(), strict=True):
             words = _words(text)
-            starts = np.flatnonzero(among(level.keys(words), known)) if len(known) and len(words) >= level.length else np.zeros(0, np.int64)
-            gone = np.zeros(len(words) + 1, np.int64)
-            np.add.at(gone, starts, 1)
-            np.add.at(gone, starts + level.length, -1)
-            gone = np.cumsum(gone[:len(words)]) > 0
-            kept = [w for w, g in zip(words, gone.tolist(), strict=True) if not g] if len(starts) else words
+            starts = np.flatnonzero(known.among(level.keys(_WORDS.hashes(words)))) if len(known) and len(words) >= level.length else ()
+            kept = words
+            if len(starts):
+                gone = np.zeros(len(words) + 1, np.int64)
+                gone[starts] += 1  # starts are distinct, and so are ends
+                gone[starts + level.length] -= 1
+                kept = list(compress(words, (np.cumsum(gone[:-1]) == 0).tolist()))
             rows.append({"doc_id": doc, "text": b" ".join(kept).decode(), "n_words": len(words), "n_removed": len(words) - len(kept)})
         return pa.Table.from_pylist(rows, schema=_OUT)
 

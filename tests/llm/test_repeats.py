@@ -85,3 +85,15 @@ def test_op5_whole_table(spark):
     want = {r.doc_id: (n, m, hashlib.sha256(k.encode()).hexdigest()) for r, (n, m, k) in zip(rows, brute([r.text for r in rows], 35))}
     got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in QUERIES["op5_substring_dedup"](spark, SF).collect()}
     assert got == want and sum(m for _, m, _ in want.values()) > 0
+
+
+def test_known_keys_and_equal_first_halves():
+    from clickvault.llm.repeats import Known
+    rng = np.random.default_rng(4)
+    for width in (1, 2):
+        keys = rng.integers(0, 1 << 63, (50_000, width), np.uint64)
+        found = sort_rows(keys[:9000])
+        assert np.array_equal(Known(found).among(keys), among(keys, found)) and Known(found).among(keys)[:9000].all()
+    assert not Known(np.zeros((0, 2), np.uint64)).among(keys).any() and len(Known(found).among(keys[:0])) == 0
+    few = rng.integers(0, 30, (4000, 2), np.uint64)
+    assert np.array_equal(sort_rows(few), few[np.lexsort(few.T[::-1])])

@@ -13,7 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clickvault.operators import abandonment as AB
 from clickvault.operators import figures as FG
+from clickvault.operators import funnel as FU
 from clickvault.operators import gate as GT
 from clickvault.operators import ledger as LG
 from clickvault.operators import quality as Q
@@ -22,18 +24,18 @@ from clickvault.operators.workload import build_workload, replicate_blocks, dens
 from clickvault.plans import benchmark as BM
 from clickvault.plans import oracle as O
 from clickvault.plans.catalog import (
-    FX, GOLD, SL, TG, _CP_D, _raw, _silver, _tagged, _w, gold_bundle, register, sql_rounded,
+    FX, GOLD, ORACLE as ORACLE_TEXT, SL, TG, _CP_D, _raw, _silver, _tagged, _w, gold_bundle, register, sql_rounded,
 )
 from clickvault.plans.job import JobParams, perf_record, resolve_params, run_job, run_result_json
 from clickvault.schemas import RAW_COLUMNS
 from clickvault.session import fresh_path
 from clickvault.sinks import serving_store as SS
 from clickvault.sources import fixture as FIX
-from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_quality, sink_silver, write_table
+from clickvault.sinks.writers import sink_gold, sink_perf_append, sink_quality, sink_silver, sink_silver_by_session, write_table
 from clickvault.sources.bronze import (
     PANDAS_NA_TOKENS, missing_columns, read_bronze_csv, sample_sizes, write_bronze_csv, written_workloads,
 )
-from clickvault.sources.tables import metric_lookup, scan_gold, scan_silver, table
+from clickvault.sources.tables import metric_lookup, scan_gold, scan_silver, scan_silver_by_session, table
 
 ROW = "source_row_number"
 _TOKENS_SQL = ", ".join("'" + t.replace("'", "''") + "'" for t in PANDAS_NA_TOKENS)
@@ -85,6 +87,32 @@ def q_scan_silver(spark, sf):
     return scan_silver(spark, path).filter(F.col("event_type") == "purchase").select("event_date", "user_id", "price")
 
 
+def _silver_by_session(spark, sf) -> DataFrame:
+    path = fresh_path(spark, "silver-by-session")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    sink_silver_by_session(_silver(spark, sf), name, path, buckets=16)
+    return scan_silver_by_session(spark, name, path)
+
+
+@register("silver_by_session", _w(SL, "SELECT * FROM silver"), doubles=("price",))
+def q_silver_by_session(spark, sf):
+    """Silver written bucketed by session and read back whole."""
+    return _silver_by_session(spark, sf)
+
+
+@register("funnel_by_session", ORACLE_TEXT["conversion_funnel_any_after"])
+def q_funnel_by_session(spark, sf):
+    """The any-after funnel over bucketed Silver: no Exchange on the session."""
+    return FU.conversion_funnel(_silver_by_session(spark, sf), "any_after")
+
+
+@register("session_category_by_session", ORACLE_TEXT["session_category_flags"])
+def q_session_category_by_session(spark, sf):
+    """Session x category flags over bucketed Silver: no Exchange."""
+    return AB.session_category_flags(_silver_by_session(spark, sf)).select(
+        "user_session", "category_code", "carts", "purchases", "removes", "had_cart", "had_purchase", "abandoned")
+
+
 @register("scan_gold", _w(GOLD, "SELECT * FROM customer_engagement"), doubles=("purchase_value",))
 def q_scan_gold(spark, sf):
     path = fresh_path(spark, "gold")

@@ -40,6 +40,18 @@ def sink_silver(silver: DataFrame, path: str, fmt: str = "parquet",
     write_table(silver, path, fmt, partition_by=("event_date",) if partition_by_date else None)
 
 
+def sink_silver_by_session(silver: DataFrame, table: str, path: str, buckets: int) -> None:
+    """Overwrite a Silver table bucketed and sorted by ``user_session`` (an
+    external Parquet table at ``path``): per-session readers then need no
+    shuffle. Rows are rebalanced by the bucket's own hash first, so a bucket is
+    one file, small buckets share a task and a hot session is written by
+    several tasks into several files of its bucket."""
+    if buckets < 1:
+        raise ValueError(f"buckets must be positive, got {buckets}")
+    (silver.hint("rebalance", buckets, "user_session").write.mode("overwrite").format("parquet")
+     .bucketBy(buckets, "user_session").sortBy("user_session").option("path", path).saveAsTable(table))
+
+
 def sink_quality(report: DataFrame, rejected: DataFrame, base: str, fmt: str = "parquet") -> dict[str, str]:
     paths = {"data_quality_report": f"{base}/data_quality_report",
              "data_quality_rejected_records": f"{base}/data_quality_rejected_records"}

@@ -24,6 +24,28 @@ def scan_silver(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def bucket_spread(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``largest`` and ``mean`` bytes of the written buckets of a
+    bucketed table, from its file listing (no file is opened)."""
+    files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.regexp_extract("path", r"_(\d+)\.c\d+[^/]*$", 1).alias("bucket"), "length"))
+    return files.groupBy("bucket").agg(F.sum("length").alias("bytes")).agg(F.max("bytes").alias("largest"), F.avg("bytes").alias("mean"))
+
+
+def scan_silver_by_session(spark: SparkSession, table: str, path: str, skew: float = 4.0, least: int = 1 << 30) -> DataFrame:
+    """Silver bucketed by ``user_session``: aggregates and joins on the session
+    read it without an Exchange, one task a bucket.
+
+    A session with many of the rows would make its bucket one long task: if
+    the largest bucket holds over ``least`` bytes and over ``skew`` times the
+    mean, the same files are read as plain Parquet, split by size, and the
+    session is shuffled after map-side aggregation (AQE splits its joins)."""
+    spread = bucket_spread(spark, path).first()
+    if spread["largest"] is not None and spread["largest"] > max(least, skew * spread["mean"]):
+        return spark.read.parquet(path)
+    return spark.table(table)
+
+
 def scan_gold(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{path.rstrip('/')}/{name}")
 

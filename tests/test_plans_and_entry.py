@@ -85,6 +85,7 @@ def test_entry_and_contract(spark):
 
 ORACLE_SUBSET = ["quality_report", "silver_events", "customer_engagement", "conversion_funnel",
                  "conversion_funnel_any_after", "cart_abandonment", "category_performance", "kpi_summary",
+                 "silver_by_session", "funnel_by_session", "session_category_by_session",
                  "metric_definitions", "build_workload", "gate_report", "row_number_src", "serving_load"]
 
 
@@ -125,6 +126,36 @@ def test_one_scan_per_gold_table_and_pruned_schema(spark):
     assert "ReadSchema: struct<event_type:string,category_code:string,price:double>" in plan
 
 
+def test_silver_by_session_needs_no_exchange(spark):
+    from clickvault.sinks.writers import sink_silver_by_session
+    from clickvault.sources.tables import bucket_spread, scan_silver_by_session
+    silver = Q.silver(Q.tag(raw_events(spark, SF001)))
+    path = fresh_path(spark, "t-by-session")
+    sink_silver_by_session(silver, "t_by_session", path, buckets=6)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        by = scan_silver_by_session(spark, "t_by_session", path)
+        for df in (FU.session_flags(by), FU.session_flags_any_after(by), AB.session_category_flags(by)):
+            plan = _plan(df)
+            assert "Exchange" not in plan and "Bucketed: true" in plan, plan
+        for mode in FU.MODES:
+            assert sorted(map(tuple, FU.conversion_funnel(by, mode).collect())) == sorted(map(tuple, FU.conversion_funnel(silver, mode).collect()))
+        # a bucket that is too large for one task: plain files, with an Exchange, same rows
+        plain = scan_silver_by_session(spark, "t_by_session", path, skew=0.5, least=1)
+        assert "Exchange" in _plan(FU.session_flags(plain)) and "Bucketed: true" not in _plan(plain)
+        assert plain.exceptAll(by).count() == 0 and by.count() == plain.count() == 755
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    files = {f.rsplit("_", 1)[1] for f in by.inputFiles()}
+    spread = bucket_spread(spark, path).first()
+    assert len(by.inputFiles()) == len(files) <= 6 and spread["largest"] >= spread["mean"] > 0
+    sink_silver_by_session(silver.limit(0), "t_by_session", path, buckets=6)
+    assert scan_silver_by_session(spark, "t_by_session", path).count() == 0
+    with pytest.raises(ValueError):
+        sink_silver_by_session(silver, "t_by_session", path, buckets=0)
+
+
 def test_serving_sql_equals_dataframe_form(spark):
     from clickvault.operators import serving as SV
     from clickvault.plans.catalog import register_gold_views

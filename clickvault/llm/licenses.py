@@ -6,7 +6,10 @@ A template that stands in a text puts its hits on one diagonal, document
 position minus template position; missing or extra words move the rest of it
 to a neighbouring one. So hits are counted by diagonal, diagonals at most
 ``gap`` apart are merged, and a merged span is a licence if the template words
-it verifies are at least ``share`` of the template.
+it verifies are at least ``share`` of the template. A licence may lack up to
+the rest of its words in one place (a dropped clause), so for long templates
+the gap is that rest; in turn a diagonal of a long template counts from a
+twentieth of its words on, lest its own repeated wording tie copies together.
 
 Phrases are templates that count only whole, on one diagonal (the base rule).
 
@@ -31,13 +34,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickvault.llm.common import alnum_words, materialize, pick, with_words
+from clickvault.llm.license_texts import WHOLE
 
 K = 3
 BLOCK = 200_000
 #: fixed values: base phrases and their labels
 PHRASES = [("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc")]
-#: licence notices as their publishers word them
+#: one-line notices and whole texts
 TEMPLATES = [
+    *WHOLE,
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
     ("mit", "Released under the MIT License"),
     ("apache-2", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License"),
@@ -102,6 +107,11 @@ def hits(docs: DataFrame, grams: DataFrame, id_col: str, text_col: str) -> DataF
     return reduce(DataFrame.unionByName, found)
 
 
+def _slack(share: float) -> int:
+    """Per cent of a template that may be missing."""
+    return round(100 * (1 - share))
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES,
          gap: int = 2, share: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: ``doc_id n_words n_base first_word last_word base_labels
@@ -116,8 +126,9 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases:
             .groupBy("rid").agg(F.count(F.lit(1)).alias("n_base"), F.min("diagonal").cast("long").alias("first_word"),
                                 F.max("diagonal").cast("long").alias("last_word"), F.collect_set("label").alias("base")))
     one = Window.partitionBy("rid", "template").orderBy("diagonal")
-    merged = by_diagonal.filter("NOT phrase").withColumn(
-        "new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(one) > gap, F.lit(True)).cast("int"))
+    apart = F.greatest(F.lit(gap), F.expr(f"m * {_slack(share)} div 100"))
+    merged = by_diagonal.filter("NOT phrase AND votes >= greatest(1, m div 20)").withColumn(
+        "new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(one) > apart, F.lit(True)).cast("int"))
     merged = merged.withColumn("span", F.sum("new").over(one)).groupBy("rid", "template", "label", "m", "span").agg(
         F.min("lo").alias("lo"), (F.max("hi") + F.least("m", F.lit(K))).alias("hi"), F.array_distinct(F.flatten(F.collect_list("ts"))).alias("ts"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("ts", lambda t: F.sequence(t, t + F.least("m", F.lit(K)) - 1)))))
@@ -138,7 +149,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, phrases:
 def oracle_sql(templates: list[tuple[str, str]] = TEMPLATES, phrases: list[tuple[str, str]] = PHRASES, gap: int = 2, share: float = 0.8) -> str:
     """The same in DuckDB's SQL, grams compared as text."""
     given = [(t, x, "false") for x, t in templates] + [(t, x, "true") for t, x in phrases]
-    values = ", ".join(f"({i}, '{label}', '{text}', {phrase})" for i, (text, label, phrase) in enumerate(given))
+    quoted = lambda x: "'" + x.replace("'", "''") + "'"
+    values = ", ".join(f"({i}, {quoted(label)}, {quoted(text)}, {phrase})" for i, (text, label, phrase) in enumerate(given))
     words = lambda c: (f"list_filter(string_split_regex(translate(coalesce({c}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
                        r"'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '')")
     grams = lambda t, keys, n: f"""SELECT {keys}, {n}, a || ' ' || b || ' ' || c AS gram FROM (
@@ -155,7 +167,8 @@ diag AS (SELECT doc_id, template, label, phrase, m, diagonal, count(*) AS votes,
          FROM vote GROUP BY ALL),
 base AS (SELECT doc_id, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word, list(DISTINCT label) AS base
          FROM diag WHERE phrase AND votes = m - 2 GROUP BY doc_id),
-marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= {gap} THEN 0 ELSE 1 END AS fresh FROM diag WHERE NOT phrase
+marked AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER o <= greatest({gap}, m * {_slack(share)} // 100) THEN 0 ELSE 1 END AS fresh
+           FROM diag WHERE NOT phrase AND votes >= greatest(1, m // 20)
            WINDOW o AS (PARTITION BY doc_id, template ORDER BY diagonal)),
 spans AS (SELECT *, sum(fresh) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span FROM marked),
 merged AS (SELECT doc_id, template, label, m, span, round(len(list_distinct(flatten(list(list_concat(ts, list_transform(ts, lambda x: x + 1),

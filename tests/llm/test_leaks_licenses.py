@@ -69,7 +69,7 @@ def brute_base(text):
     return len(w), len(at), min(at, default=None), max(at, default=None), ",".join(sorted({x for _, x in found}))
 
 
-@pytest.mark.parametrize("block", [200_000, 30])
+@pytest.mark.parametrize("block", [200_000, 500])
 def test_licenses(spark, monkeypatch, block):
     monkeypatch.setattr(licenses, "BLOCK", block)
     rng = random.Random(6)
@@ -105,3 +105,35 @@ def test_phrases_shorter_than_a_gram(spark):
         (2, 2, 5, "gpl-3"), (0, None, None, ""), (1, 0, 0, "zlib"), (0, None, None, ""), (0, None, None, ""), (1, 0, 0, "mit")]
     (own,) = license_scan(docs_of(spark, ["the isc notice here"]), templates=[("isc", "ISC notice")], phrases=[]).collect()
     assert own.labels == "isc" and [tuple(s) for s in own.spans] == [(1, 3, "isc", 1.0)]
+
+
+def test_whole_licences_with_edits(spark):
+    from clickvault.llm import license_texts as T
+    rng = random.Random(11)
+    around = lambda t: prose(rng, 30) + "\n" + t + "\n" + prose(rng, 30)
+    edited = [(label, around(t)) for label, t in T.WHOLE]
+    edited.append(("mit", around(T.MIT.replace("AUTHORS OR COPYRIGHT HOLDERS", "ACME CORPORATION OF SPRINGFIELD"))))
+    edited.append(("mit", around(T.MIT.replace("and to permit persons to\nwhom the Software is furnished to do so, ", ""))))  # a dropped clause
+    edited.append(("bsd", around(T.BSD_3.replace("the copyright holder nor", "Acme Corporation Limited nor"))))
+    edited.append(("bsd", around(T.BSD_3.replace(T._BSD_THIRD, ""))))
+    edited.append(("zlib", around(T.ZLIB.replace(" If you use\nthis software in a product, an acknowledgment in the product documentation would be appreciated but is not required.", ""))))
+    edited.append(("isc", around(T.ISC.replace("\n", "\n * ").lower())))
+    few = lambda t, share: " ".join(t.split()[:int(len(t.split()) * share)])
+    edited.append(("", around(few(T.ISC, 0.6))))
+    edited.append(("", around(few(T.UNLICENSE, 0.6))))
+    twice = T.MIT + "\n" + T.MIT
+    texts = [t for _, t in edited] + [twice]
+    got = {r.doc_id: r for r in scan(docs_of(spark, texts)).collect()}
+    for i, (label, text) in enumerate(edited):
+        # the opening lines are templates of their own, under the same labels
+        assert got[i].labels == label, (text, got[i].labels)
+    whole = [s for s in got[len(texts) - 1].spans if s.hi - s.lo > 100]
+    n = len(words_of(T.MIT))
+    assert [(s.lo, s.hi, s.label, s.covered) for s in whole] == [(0, n, "mit", 1.0), (n, 2 * n, "mit", 1.0)]
+    import duckdb
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate([*texts, None, "mit"])))
+    names = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"]
+    twin = con.execute(f"SELECT {', '.join(names)} FROM ({licenses.oracle_sql()}) WHERE doc_id < {len(texts)} ORDER BY doc_id").fetchall()
+    assert twin == [tuple(got[i][c] for c in names) for i in range(len(texts))]

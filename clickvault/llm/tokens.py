@@ -4,8 +4,9 @@ The tokenizer is a file given by path (a parameter); it is used, never
 trained. For a tokenizer that drops white space before it splits (checked on
 its own configuration) a text's ids are the ids of its white-space-separated
 pieces one after another, so pieces are encoded once and remembered: the last
-250,000 to 500,000 of up to ``LONG`` bytes, which only saves time. Any other tokenizer encodes whole
-texts.
+250,000 to 500,000 of up to ``LONG`` bytes, which only saves time. A new piece
+of letters and marks takes the ids of its remembered lower-case word. Any other
+tokenizer encodes whole texts.
 """
 
 from __future__ import annotations
@@ -25,6 +26,7 @@ from clickvault.llm.common import batched, columns_of, pick
 
 END_ID = 1
 LONG = 64
+FEW_MARKS = 1000  # runs of marks that are remembered
 #: Letters whose lower case and normal form are one code point each, then marks
 #: that stay one run (no apostrophe; no '<', with which the added tokens begin).
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-įĲ-ňŊ-ž]*)([!-&(-/:;=-@\[-`{-~]*)")
@@ -79,7 +81,7 @@ class Encoder:
                       and [x["type"] for x in pre["pretokenizers"]] == ["Split", "ByteLevel"] and sys.byteorder == "little"
                       and all(a["content"][:1] == "<" for a in conf.get("added_tokens", [])))
         self.letters, self.code = _byte_letters(), "H" if self.dtype.itemsize == 2 else "I"
-        self.most, self.known = most, Pieces(self._piece, {})
+        self.most, self.known, self.marks = most, Pieces(self._piece, {}), {}
 
     def _library(self, text: str) -> bytes:
         return np.asarray(self.tok.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -89,13 +91,26 @@ class Encoder:
         m = _PLAIN.fullmatch(text) if self.plain else None
         if not m:
             return self._library(text)
-        model, ids = self.tok.model, []
-        for part in (m[1].lower(), m[2]):
-            if part:
-                if not part.isascii():
-                    part = "".join([self.letters[b] for b in part.encode()])
-                ids += [t.id for t in model.tokenize(part)]
-        return array(self.code, ids).tobytes()
+        word, marks = m[1].lower(), m[2]
+        bare = word.encode()
+        ids = None if bare == raw else self.known.get(bare) or self.known.before.get(bare)
+        if ids is None:
+            ids = self._word(word) if word else b""
+        return ids + self._marks(marks) if marks else ids
+
+    def _word(self, part: str) -> bytes:
+        """Ids of a run of letters, or of marks."""
+        if not part.isascii():
+            part = "".join([self.letters[b] for b in part.encode()])
+        return array(self.code, [t.id for t in self.tok.model.tokenize(part)]).tobytes()
+
+    def _marks(self, marks: str) -> bytes:
+        ids = self.marks.get(marks)
+        if ids is None:
+            ids = self._word(marks)
+            if len(marks) <= LONG and len(self.marks) < FEW_MARKS:
+                self.marks[marks] = ids
+        return ids
 
     def encode(self, raw: bytes) -> bytes:
         """Ids of a text given in UTF-8, as bytes of ``dtype``."""

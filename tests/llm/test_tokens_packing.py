@@ -100,3 +100,22 @@ def test_op4_whole_table(spark):
     assert sum(r.length for r in got) == sum(map(len, tokens.values()))
     for r in got:
         assert r.ids_crc32 == zlib.crc32(tokens[r.doc_id][r.start:r.start + r.length].tobytes())
+
+
+class Asked:
+    """A tokenizer whose model notes what it is asked for."""
+
+    def __init__(self, tok):
+        self.tok, self.model, self.parts = tok, self, []
+
+    def tokenize(self, part):
+        self.parts.append(part)
+        return self.tok.model.tokenize(part)
+
+
+def test_words_and_marks_asked_for_once():
+    text = "been been, Been. BEEN! been. been! Was, was."
+    enc = Encoder(default_tokenizer())
+    enc.tok = Asked(enc.tok)
+    assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == library(text)
+    assert sorted(enc.tok.parts) == ["!", ",", ".", "been", "was", "was"]  # "was" first came with a mark

@@ -7,14 +7,17 @@ from pyspark.sql import functions as F
 
 from clickvault.operators import gate as GT
 from clickvault.operators import ledger as LG
+from clickvault.operators import workload as WL
 from clickvault.operators.engagement import approx_threshold_errors, engagement_thresholds
 from clickvault.operators.ranks import exact_quantiles, rank_error, running_counts
+from clickvault.operators.workload import dense_index
 from clickvault.plans import benchmark as BM
 from clickvault.plans.job import JobParams, resolve_params, run_job
 from clickvault.schemas import LEDGER, RAW_COLUMNS
 from clickvault.session import fresh_path
 from clickvault.sinks import serving_store as SS
 from clickvault.sinks.writers import sink_perf_append
+from clickvault.sources.bronze import read_bronze_csv
 from clickvault.sources.tables import raw_events
 from conftest import SF001, ev, make_raw
 
@@ -192,3 +195,20 @@ def test_parameter_documents(spark):
     assert all("whole number" in got[d].problem and got[d].input_path is None for d in docs[3:5])
     assert all(got[d].problem == "not a parameter document" for d in ("", None, "[]", docs[8]))
     assert resolve_params(df).filter("parameters = '{}'").first().problem == "no storage account and no base"
+
+
+def test_workloads_order_their_base_once(spark, monkeypatch):
+    raw = make_raw(spark, [ev(sess=f"s{i}") for i in range(7)]).withColumn("source_row_number", F.col("source_row_number") * 5)
+    calls = []
+
+    def counted(*args):
+        calls.append(args)
+        return dense_index(*args)
+
+    monkeypatch.setattr(WL, "dense_index", counted)
+    monkeypatch.setattr(BM, "dense_index", counted, raising=False)
+    paths = BM.write_workloads(raw, [3, 7, 17], fresh_path(spark, "once"))
+    assert len(calls) == 1
+    for n, path in paths.items():
+        rows = read_bronze_csv(spark, path).orderBy("source_row_number").select("user_session").collect()
+        assert [r.user_session for r in rows] == [f"s{i % 7}-b{i // 7:04d}" for i in range(n)]

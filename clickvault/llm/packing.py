@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import batched, columns_of, materialize, pick
+from clickvault.llm.common import batched, materialize, pick
 from clickvault.llm.tokens import END_ID, encoder
 
 FAN = 16
@@ -104,8 +104,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
 
         def rows():
             for batch in batches:
-                for doc, text in zip(*columns_of(batch, id_col, text_col), strict=True):
-                    ids = np.concatenate([np.frombuffer(enc.encode(text or b""), enc.dtype).astype("<u4"), end])
+                ids_of, texts = (batch.column(batch.schema.get_field_index(c)) for c in (id_col, text_col))
+                for doc, own in zip(ids_of.to_pylist(), enc.each(texts), strict=True):
+                    ids = np.concatenate([own, end], dtype="<u4")
                     n, at = len(ids), 0
                     for length in (*[capacity] * (n // capacity), *cuts(n % capacity, capacity, slack)):
                         yield from bins.add({"doc_id": doc, "start": at, "length": length, "doc_tokens": n,

@@ -1,11 +1,14 @@
 import random
 import zlib
 from collections import defaultdict
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from clickvault.llm import tokens
 from clickvault.llm.packing import cuts, pack
 from clickvault.llm.registry import QUERIES
 from clickvault.llm.tokens import Encoder, default_tokenizer
@@ -119,3 +122,29 @@ def test_words_and_marks_asked_for_once():
     enc.tok = Asked(enc.tok)
     assert np.frombuffer(enc.encode(text.encode()), enc.dtype).tolist() == library(text)
     assert sorted(enc.tok.parts) == ["!", ",", ".", "been", "was", "was"]  # "was" first came with a mark
+
+
+ANY = st.text(alphabet="abzAZ '’.,!?\t\n\x1c\x1f\x85\xa0éÉßİıŉſΣςσ́Åẞ09<|endoftext|>日本 \x00's", max_size=30)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | ANY, max_size=8), st.integers(0, 3), st.sampled_from([pa.string(), pa.large_string()]))
+def test_texts_together_equal_whole_texts(texts, skip, kind):
+    with mock.patch.object(tokens, "PART", 40):  # some texts share a part, some are longer than one
+        got = [x.tolist() for x in ENC.each(pa.array(texts, kind).slice(skip))]
+    assert got == [library(t) for t in texts[skip:]]
+
+
+def test_bytes_that_are_no_utf8():
+    raw = [b"caf\xc3 Was \xff, was", b"\xe2\x82 end."]
+    texts = pa.array(raw, pa.binary())
+    got = [x.tolist() for x in ENC.each(pa.Array.from_buffers(pa.string(), 2, texts.buffers()))]
+    assert got == [np.frombuffer(ENC.encode(r), ENC.dtype).tolist() for r in raw]
+
+
+def test_a_word_of_many_texts_asked_for_once():
+    texts = ["Was, was.", "WAS! been", None, "Been, was"]
+    enc = Encoder(default_tokenizer())
+    enc.tok = Asked(enc.tok)
+    assert [x.tolist() for x in enc.each(pa.array(texts))] == [library(t) for t in texts]
+    assert sorted(enc.tok.parts) == ["!", ",", ".", "been", "was"]

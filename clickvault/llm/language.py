@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from clickvault.llm.common import columns_of, pick
+from clickvault.llm.common import columns_of, map_texts, pick
 from clickvault.plans.materialize import small_side
 
 EDGE = 1  # stands for all that is no letter
@@ -153,7 +153,7 @@ def _counts(texts: DataFrame, n_gram: int, bits: int) -> dict[tuple[str, int], n
             yield pa.RecordBatch.from_pylist([{"lang": lang, "fold": fold, "counts": c.astype("<f8").tobytes()}], schema)
 
     out: dict[tuple[str, int], np.ndarray] = {}
-    for r in texts.select("lang", "fold", "text").mapInArrow(run, "lang string, fold int, counts binary").toLocalIterator():
+    for r in map_texts(texts.select("lang", "fold", "text"), run, "lang string, fold int, counts binary").toLocalIterator():
         out[r["lang"], r["fold"]] = out.get((r["lang"], r["fold"]), 0) + np.frombuffer(r["counts"], "<f8")
     return out
 
@@ -229,7 +229,7 @@ def label(docs: DataFrame, model: Model, text_col: str = "text", names: tuple[st
                 cols = [*batch.columns, *(pa.array([g[i] for g in got], t) for i, t in kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, *names])
 
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
 
 
 def held_out(id_col: str = "doc_id"):

@@ -125,7 +125,8 @@ def find(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: st
     hits = []
     for i, b in enumerate(blocks):
         # at -1 a document meets one row of its own, so its row comes out of the same pass
-        own = docs.sparkSession.createDataFrame([(0, None, None, None, None)], b.schema)
+        # (made by the JVM: rows given as Python objects start workers of their own, which stay)
+        own = docs.sparkSession.range(0, 1, 1, 1).select(*[F.lit(0 if c.name == b.columns[0] else None).cast(c.dataType).alias(c.name) for c in b.schema])
         hit = fingerprints(words, own_row=i == 0).join(F.broadcast(b.unionByName(own) if i == 0 else b), "hash")
         # a hit takes the words around its window with it; all else is worked out on hits alone,
         # so the loop over all positions stays small enough to be compiled

@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import batched, materialize, pick
+from clickvault.llm.common import batched, map_texts, materialize, pick
 from clickvault.llm.tokens import END_ID, encoder
 
 FAN = 16
@@ -154,7 +154,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
 
         yield from batched(rows(), _SCHEMA, weigh="ids")
 
-    packed = materialize(pick(docs, id_col, text_col).mapInArrow(first, COLUMNS), "packing-bins")
+    packed = materialize(map_texts(pick(docs, id_col, text_col), first, COLUMNS), "packing-bins")
     order = ["doc_id", "start", "length", "ids"]  # the same rows meet in the same order when a task runs again
     done, now, round_no = [packed], packed, 0
     groups = (packed.filter("sequence_id IS NULL").agg(F.max("offset")).first()[0] or 0) + 1

@@ -318,8 +318,9 @@ def bootstrap(rows: DataFrame, base: DataFrame, rounds: int | None, least_suppor
     confident, and the places of the identifiers that were found."""
     spark = rows.sparkSession
     pairs, spots, known = materialize(edges(base), "personal-edges"), None, None
-    totals = spark.createDataFrame([], "pattern string, least long")
-    listed, located = spark.createDataFrame([], "pattern string"), spark.createDataFrame([], "value string")
+    nothing = spark.range(0)  # made by the JVM: an empty list of rows would start Python workers that stay
+    listed, located = (nothing.select(F.lit(None).cast("string").alias(c)) for c in ("pattern", "value"))
+    totals = listed.withColumn("least", F.lit(None).cast("long"))
 
     def add(at: DataFrame) -> None:
         nonlocal pairs, spots

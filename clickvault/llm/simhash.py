@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clickvault.llm.common import batched, columns_of, materialize, pick
+from clickvault.llm.common import batched, columns_of, map_texts, materialize, pick
 from clickvault.llm.components import components
 
 BITS = 64
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()),
                                               pa.array([signed(fingerprint(t or b"", shingle)) for t in texts], pa.int64())], schema=schema)
 
-    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return map_texts(pick(docs, id_col, text_col), run, "doc_id long, fp long")
 
 
 def submasks(mask: int, parts: int) -> list[int]:

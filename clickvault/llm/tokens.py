@@ -25,7 +25,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from clickvault.llm.common import batched, pick
+from clickvault.llm.common import batched, map_texts, pick
 
 END_ID = 1
 LONG = 64
@@ -257,4 +257,4 @@ def encode_texts(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_c
 
         yield from batched(rows(), schema, weigh="ids")
 
-    return pick(docs, id_col, text_col).mapInArrow(run, "doc_id long, ids binary")
+    return map_texts(pick(docs, id_col, text_col), run, "doc_id long, ids binary")

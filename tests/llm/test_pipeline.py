@@ -1,11 +1,15 @@
 import re
+from unittest import mock
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as P
-from clickvault.llm.common import fresh_path
+from clickvault.llm import personal
+from clickvault.llm.common import BATCH_BYTES, fresh_path, map_texts
+from clickvault.llm.leaks import decontaminate
 from clickvault.llm.tokens import Encoder, default_tokenizer
 
 from .helpers import ODD, docs_of, empty, prose
@@ -99,3 +103,23 @@ def test_rows_that_share_an_id_are_told_apart(spark):
     df = docs_of(spark, [a, b, c, a], extra=False).withColumn("doc_id", F.when(F.col("doc_id") == 1, 0).otherwise(F.col("doc_id")))
     out = P.near_duplicate(spark, df.unionByName(df), SF).collect()  # ids 0 0 2 3; 3 is a copy of the first
     assert sorted((r.doc_id, r.text) for r in out) == sorted([(0, a), (0, b), (2, c)])
+
+
+def test_batches_of_long_texts_are_bounded(spark):
+    """What a Python worker gets at once follows a bound in bytes, not 10,000 texts of any length."""
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_pylist([{"n": b.num_rows, "bytes": b.nbytes}])
+
+    docs = spark.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.lit("x" * 50_000).alias("text"))
+    got = map_texts(docs, sizes, "n long, bytes long").collect()
+    assert sum(r.n for r in got) == 600 and max(r.bytes for r in got) <= BATCH_BYTES + 200_000
+
+
+def test_helper_rows_start_no_python_workers(spark):
+    """The pipeline's native stages make their helper rows in the JVM."""
+    docs = docs_of(spark, ["a mail to a@b.org from a b c d e f g h i j", None])
+    items = spark.createDataFrame([("i1", "a b c d e f g h i j")], "item_id string, text string")
+    with mock.patch.object(type(spark), "createDataFrame", side_effect=AssertionError("rows from Python")):
+        assert {r.doc_id: r.contaminated for r in decontaminate(docs, items).collect()} == {0: True, 1: False}
+        assert personal.find(docs).count() == 2

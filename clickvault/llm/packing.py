@@ -37,6 +37,7 @@ from clickvault.llm.common import batched, map_texts, materialize, pick
 from clickvault.llm.tokens import END_ID, encoder
 
 FAN = 16
+SHARES = 4  # tasks that a round has for each group, whatever the number of shuffle partitions
 COLUMNS = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("doc_tokens", pa.int64()),
                      ("sequence_id", pa.int64()), ("offset", pa.int64()), ("ids", pa.binary())])
@@ -97,6 +98,8 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
     One pass tokenizes, cuts and fills bins and is written to the shared
     staging folder; only leftover pieces (at most ``k - 1`` of each class and
     task) are shuffled, in rounds of ``FAN`` to one (16 million tasks take six).
+    A round has ``SHARES`` tasks a group: a group is bounded by ``FAN`` and the
+    capacity, and each task writes a file of its own.
     """
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, bins = encoder(tokenizer), Bins(capacity, _ids(0))
@@ -161,7 +164,7 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = 2048, slack: float = 1
     while round_no == 0 or groups > 1:
         round_no, groups = round_no + 1, -(-groups // FAN)
         left = now.filter("sequence_id IS NULL")
-        dealt = left.repartition(F.floor(F.lit(capacity) / F.col("length")), F.floor(F.col("offset") / FAN))
+        dealt = left.repartition(F.floor(F.lit(capacity) / F.col("length")), F.floor(F.col("offset") / FAN)).coalesce(SHARES * groups)
         now = materialize(dealt.sortWithinPartitions("length", *order).mapInArrow(again(round_no), COLUMNS), "packing-shared")
         done.append(now)
     # fewer than k pieces of each class: bounded by the capacity, not by the corpus

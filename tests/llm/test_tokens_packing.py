@@ -89,6 +89,24 @@ def test_pack_hot_class_over_many_workers(spark):
     assert pad <= 0.02 * total and len({r.sequence_id >> 60 for r in rows}) >= 2
 
 
+def test_pack_rounds_write_a_few_files_a_group(spark):
+    rng = random.Random(5)
+    texts = [prose(rng, rng.randrange(1, 60)) for _ in range(400)]  # many classes, left by up to 150 workers
+    held = {"spark.sql.shuffle.partitions": "150", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        packed = pack(docs_of(spark, texts).repartition(150, "doc_id"), default_tokenizer(), capacity=256)
+        rows, files = packed.collect(), [f for f in packed.inputFiles() if "packing-shared" in f]
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    pad, total = check_pack(rows, dict(enumerate(texts)), 256)
+    assert pad < 0.02 * total
+    assert 0 < len(files) <= 4 * (10 + 1)  # at most 10 groups, then one
+
+
 def test_pack_empty_and_repeats(spark):
     assert pack(empty(spark), default_tokenizer()).count() == 0
     df = docs_of(spark, ["one two three"])

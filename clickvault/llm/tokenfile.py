@@ -49,7 +49,9 @@ ONE, FLOOR, SPEED = 1 << 12, 64, 5
 
 
 class Coder:
-    """Range coder states of many blocks, one column each (carry-less, 16 bits at a time)."""
+    """Range coder states of many blocks, one column each (carry-less, 16 bits at a time).
+
+    A step takes the first so many lanes: blocks are in order of their length."""
 
     def __init__(self, lanes: int, data: list[bytes] | None = None, room: int = 0):
         self.low, self.range = np.zeros(lanes, U), np.full(lanes, U(0xFFFFFFFFFFFFFFFF))
@@ -65,45 +67,44 @@ class Coder:
                 self.code = (self.code << S16) | self.out[np.arange(lanes), self.at].astype(U)
                 self.at += 1
 
-    def _narrow(self, lanes: np.ndarray, lo: np.ndarray, width: np.ndarray, reading: bool) -> None:
-        r = self.range.take(lanes)
-        r >>= PREC
-        low = self.low.take(lanes) + r * lo.astype(U)
-        rng = r * width.astype(U)
+    def _narrow(self, lanes: int, lo: np.ndarray, width: np.ndarray, reading: bool) -> None:
+        low, rng = self.low[:lanes], self.range[:lanes]
+        r = rng >> PREC
+        low += r * lo.astype(U)
+        np.multiply(r, width.astype(U), out=rng)
         at = None
         while True:
             # the first turn looks at all lanes, the next ones at those that moved
             a, b = (low, rng) if at is None else (low[at], rng[at])
             settled = (a ^ (a + b)) < TOP
-            tight = (b <= LOW) & ~settled
-            go = np.flatnonzero(settled | tight)
+            go = np.flatnonzero(settled | (b <= LOW))
             if not len(go):
                 break
+            tight = ~settled[go]
             at = go if at is None else at[go]
             if tight.any():
-                x = at[tight[go]]
+                x = at[tight]
                 rng[x] = (~low[x] + U(1)) & LOW
-            todo = lanes[at]
+            lows, places = low[at], self.at[at]
             if reading:
                 # beyond the end only in a damaged block, which its checksum will tell
-                self.code[todo] = (self.code[todo] << S16) | self.out[todo, np.minimum(self.at[todo], self.out.shape[1] - 1)].astype(U)
+                self.code[at] = (self.code[at] << S16) | self.out[at, np.minimum(places, self.out.shape[1] - 1)].astype(U)
             else:
                 if self.turns % 256 == 0 and int(self.at.max()) + 1024 >= self.out.shape[1]:
                     self.out = np.concatenate([self.out, np.zeros((len(self.out), 2048), "<u2")], axis=1)
                 self.turns += 1
-                self.out[todo, self.at[todo]] = (low[at] >> S48).astype(np.uint16)
-            self.at[todo] += 1
-            low[at] <<= S16
+                self.out[at, places] = (lows >> S48).astype(np.uint16)
+            self.at[at] = places + 1
+            low[at] = lows << S16
             rng[at] <<= S16
-        self.low[lanes], self.range[lanes] = low, rng
 
-    def encode(self, lanes, lo, width) -> None:
+    def encode(self, lanes: int, lo, width) -> None:
         self._narrow(lanes, lo, width, False)
 
-    def target(self, lanes: np.ndarray) -> np.ndarray:
-        return np.minimum((self.code[lanes] - self.low[lanes]) // (self.range[lanes] >> PREC), U((1 << 16) - 1)).astype(np.int64)
+    def target(self, lanes: int) -> np.ndarray:
+        return np.minimum((self.code[:lanes] - self.low[:lanes]) // (self.range[:lanes] >> PREC), U((1 << 16) - 1)).astype(np.int32)
 
-    def decode(self, lanes, lo, width) -> None:
+    def decode(self, lanes: int, lo, width) -> None:
         self._narrow(lanes, lo, width, True)
 
     def finish(self) -> list[bytes]:
@@ -125,15 +126,20 @@ class Tables:
     def __init__(self, lanes: int, contexts: int, rate: int):
         self.rate, self.contexts, n = rate, contexts, 16
         self.borders = np.tile((np.arange(1, n + 1) * FULL // n).astype(np.int16), (lanes * contexts, 1))
+        self.whole = self.borders.view("V32").reshape(-1)  # the same borders, one item a context
         step = np.arange(n)
         self.goals = np.where(step[None, :] >= step[:, None], FULL - (n - 1 - step) * LEAST, (step + 1) * LEAST).astype(np.int16)
 
+    def rows(self, at: np.ndarray) -> np.ndarray:
+        return self.borders[:len(at)] if self.contexts == 1 else self.borders.take(at, axis=0)
+
     def move(self, at: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> None:
         change = self.goals.take(symbol, axis=0)
         change -= rows
         change >>= self.rate
         rows += change
-        self.borders[at] = rows
+        if self.contexts > 1:
+            self.whole[at] = rows.view("V32").reshape(-1)
 
 
 class Predictor:
@@ -149,33 +155,47 @@ class Predictor:
         self.weights = [np.tile(np.concatenate([w, w]), lanes) for w in (one, two)]
 
     def group(self, coder: Coder, lanes: np.ndarray, i: int, context: np.ndarray, state: list, votes: list, symbol: np.ndarray | None) -> np.ndarray:
-        """Code the ``i``-th four bits of one id of each lane under the mix; returns them."""
+        """Code the ``i``-th four bits of one id of each lane under the mix; returns them.
+
+        Products stay below 2^27, so 32 bits hold all but the weights' shares."""
         table = self.bits[i]
         at = lanes * table.contexts + context
-        rows = table.borders.take(at, axis=0)
-        slot = lanes * 50 + (25 if i else 0) + state[0] * 5 + state[1]
+        rows = table.rows(at)
+        slot = lanes * 50 + ((25 if i else 0) + state[0] * 5 + state[1])
         held = [w.take(slot) for w in self.weights]
-        two = np.where(state[1] < 4, np.minimum(held[1], ONE - FLOOR), 0).astype(np.int64)
-        one = np.where(state[0] < 4, np.minimum(held[0], ONE - FLOOR - two), 0).astype(np.int64)
+        two = np.minimum(held[1], ONE - FLOOR)
+        two *= state[1] < 4
+        one = np.minimum(held[0], ONE - FLOOR - two)
+        one *= state[0] < 4
         zero = ONE - one - two
+        one_part, two_part = one << 4, two << 4
+        flat, each = rows.reshape(-1), lanes * 16
         reading = symbol is None
         if reading:
-            target, each = coder.target(lanes)[:, None], np.arange(16)
-            mixed = zero[:, None] * rows >> 10
-            mixed += np.where(each >= votes[0][:, None], one[:, None] << 4, 0)
-            mixed += np.where(each >= votes[1][:, None], two[:, None] << 4, 0)
-            symbol = np.minimum((mixed <= target).sum(axis=1), 15)
-        flat, each = rows.reshape(-1), np.arange(len(lanes)) * 16
-        hi, lo = flat.take(each + symbol).astype(np.int64), np.where(symbol > 0, flat.take(each + symbol - 1, mode="clip"), 0).astype(np.int64)
-        right = [votes[0] == symbol, votes[1] == symbol]
-        low = (zero * lo >> 10) + (one << 4) * (votes[0] < symbol) + (two << 4) * (votes[1] < symbol)
-        high = (zero * hi >> 10) + (one << 4) * (votes[0] <= symbol) + (two << 4) * (votes[1] <= symbol)
-        (coder.decode if reading else coder.encode)(lanes, low, high - low)
-        # the share of each order in the probability of what came
-        own = [one * right[0] << 14, two * right[1] << 14]
-        total = zero * (hi - lo) + own[0] + own[1]
+            target, symbol = coder.target(len(lanes)), np.zeros(len(lanes), np.int32)
+            for step in (8, 4, 2, 1):  # the first symbol whose upper border is above the target
+                last = symbol + (step - 1)
+                mixed = zero * flat.take(each + last)
+                mixed >>= 10
+                mixed += one_part * (votes[0] <= last)
+                mixed += two_part * (votes[1] <= last)
+                symbol += step * (mixed <= target)
+        hi = zero * flat.take(each + symbol)
+        lo = zero * flat.take(each + symbol - 1, mode="clip")
+        lo *= symbol > 0
+        # the share of each order in the probability of what came, out of ONE: a quotient of whole
+        # numbers below 2^38 by one below 2^27 is never rounded up to the next whole number
+        own = [one * (votes[0] == symbol), two * (votes[1] == symbol)]
+        total = hi - lo + (own[0] + own[1] << 14)
+        hi >>= 10
+        lo >>= 10
+        width = hi - lo + (own[0] + own[1] << 4)
+        lo += one_part * (votes[0] < symbol)
+        lo += two_part * (votes[1] < symbol)
+        (coder.decode if reading else coder.encode)(len(lanes), lo, width)
         for o in (0, 1):
-            self.weights[o][slot] = held[o] + (((own[o] << 12) // total - held[o]) >> SPEED)
+            share = (own[o] * float(ONE << 14) / total).astype(np.int32)
+            self.weights[o][slot] = held[o] + ((share - held[o]) >> SPEED)
         table.move(at, rows, symbol)
         return symbol
 
@@ -187,12 +207,14 @@ class Predictor:
         seen = [self.seen[o].take(keys[o]) for o in (0, 1)]
         guess, trust = [x >> 2 for x in seen], [x & 3 for x in seen]
         state, value = list(trust), np.zeros(len(lanes), np.int64)
+        coming = None if ids is None else ids.astype(np.int32)
         for i in range(4):
             context = value if i < 3 else value * 2654435761 >> 10 & 255
             votes = [g >> (12 - 4 * i) & 15 for g in guess]
-            part = self.group(coder, lanes, i, context, state, votes, None if ids is None else ids >> (12 - 4 * i) & 15)
+            part = self.group(coder, lanes, i, context, state, votes, None if coming is None else coming >> (12 - 4 * i) & 15)
             value = value * 16 + part
-            state = [np.where(votes[o] == part, state[o], 4) for o in (0, 1)]
+            if i < 3:
+                state = [np.where(votes[o] == part, state[o], 4) for o in (0, 1)]
         for o in (0, 1):
             self.seen[o][keys[o]] = value * 4 + np.where(value == guess[o], np.minimum(trust[o] + 1, 3), trust[o] >> 1)
         return value

@@ -1,4 +1,5 @@
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -35,6 +36,34 @@ def test_worst_and_best_inputs():
     assert (alone == blocks[2]).all()
 
 
+def test_bytes_of_the_format_stay():
+    n = np.arange(3000)
+    blocks = [n * 2654435761 % 2**32 >> 7 & 0xFFFF, n % 97 * 501, (n * n // 7 + n) % 61 * 1000, np.minimum(n, 700) * 93 & 0xFFFF]
+    assert zlib.crc32(b"".join(encode_blocks(blocks))) == 190896343
+
+
+def test_reading_looks_at_few_borders(monkeypatch):
+    """Four of the sixteen are mixed, so reading holds little more than writing."""
+    group, peaks = Predictor.group, {True: 0, False: 0}
+
+    def noted(self, coder, lanes, i, context, state, votes, symbol):
+        tracemalloc.reset_peak()
+        before = tracemalloc.get_traced_memory()[0]
+        out = group(self, coder, lanes, i, context, state, votes, symbol)
+        peaks[symbol is None] = max(peaks[symbol is None], tracemalloc.get_traced_memory()[1] - before)
+        return out
+
+    monkeypatch.setattr(Predictor, "group", noted)
+    blocks = [np.arange(6) * 977 + i for i in range(1024)]
+    tracemalloc.start()
+    try:
+        coded = encode_blocks(blocks)
+        assert all((a == b).all() for a, b in zip(decode_blocks(coded, [6] * 1024), blocks))
+    finally:
+        tracemalloc.stop()
+    assert 0 < peaks[True] < 1.5 * peaks[False], peaks
+
+
 def test_mixing_beats_fewer_orders_on_documents(spark, monkeypatch):
     enc = Encoder(default_tokenizer())
     texts = [r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").collect()]

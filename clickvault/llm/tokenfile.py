@@ -224,15 +224,16 @@ def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
     """Payloads of blocks of ids below 65536, coded side by side."""
     order = sorted(range(len(blocks)), key=lambda i: -len(blocks[i]))
     sizes = np.array([len(blocks[i]) for i in order])
-    ids = np.zeros((len(blocks), int(sizes.max(initial=0))), np.int64)
-    for row, i in enumerate(order):
-        ids[row, :len(blocks[i])] = blocks[i]
+    ids = np.zeros((int(sizes.max(initial=0)), len(blocks)), np.uint16)  # what a step codes lies together
+    for lane, i in enumerate(order):
+        ids[:len(blocks[i]), lane] = blocks[i]
     coder, model = Coder(len(blocks), room=2048), Predictor(len(blocks))
-    zero = np.zeros(len(blocks), np.int64)
-    for t in range(ids.shape[1]):
+    one = two = np.zeros(len(blocks), np.int64)
+    for t in range(len(ids)):
         lanes = np.arange(int((sizes > t).sum()))
-        one, two = ids[lanes, t - 1] if t > 0 else zero[lanes], ids[lanes, t - 2] if t > 1 else zero[lanes]
-        model.step(coder, lanes, one, two, ids[lanes, t])
+        now = ids[t, :len(lanes)].astype(np.int64)
+        model.step(coder, lanes, one[:len(lanes)], two[:len(lanes)], now)
+        one, two = now, one
     out: list[bytes] = [b""] * len(blocks)
     for row, payload in enumerate(coder.finish()):
         out[order[row]] = payload
@@ -243,14 +244,16 @@ def decode_blocks(payloads: list[bytes], sizes: list[int]) -> list[np.ndarray]:
     order = sorted(range(len(sizes)), key=lambda i: -sizes[i])
     n = np.array([sizes[i] for i in order])
     coder, model = Coder(len(n), [payloads[i] for i in order]), Predictor(len(n))
-    ids, zero = np.zeros((len(n), int(n.max(initial=0))), np.int64), np.zeros(len(n), np.int64)
-    for t in range(ids.shape[1]):
+    ids = np.zeros((int(n.max(initial=0)), len(n)), np.uint16)
+    one = two = np.zeros(len(n), np.int64)
+    for t in range(len(ids)):
         lanes = np.arange(int((n > t).sum()))
-        one, two = ids[lanes, t - 1] if t > 0 else zero[lanes], ids[lanes, t - 2] if t > 1 else zero[lanes]
-        ids[lanes, t] = model.step(coder, lanes, one, two, None)
-    out: list[np.ndarray] = [zero] * len(n)
-    for row, i in enumerate(order):
-        out[i] = ids[row, :n[row]].astype("<u4")
+        now = model.step(coder, lanes, one[:len(lanes)], two[:len(lanes)], None)
+        ids[t, :len(lanes)] = now
+        one, two = now, one
+    out: list[np.ndarray] = [one] * len(n)
+    for lane, i in enumerate(order):
+        out[i] = ids[:n[lane], lane].astype("<u4")
     return out
 
 
@@ -288,7 +291,7 @@ def _write(dtype: np.dtype):
         def close():
             nonlocal parts, index, filled
             if filled:
-                full.append((np.concatenate(parts).astype(np.int64), index))
+                full.append((np.concatenate(parts), index))
             parts, index, filled = [], [], 0
 
         def flush():

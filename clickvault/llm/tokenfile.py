@@ -39,13 +39,18 @@ from pyspark.sql import functions as F
 from clickvault.llm.common import batched, columns_of, commit_files, fresh_path, materialize, read_blobs, write_blobs
 from clickvault.llm.tokens import encode_texts, id_type
 
-BLOCK, LANES, CONTEXTS = 4096, 2048, 1 << 12
+#: LANES: a quarter more than the blocks of a file of the usual size, as the sampled ranges differ by a
+#: tenth or so and a few blocks left over take a third of the time of 2048.
+BLOCK, LANES, CONTEXTS = 4096, 2560, 1 << 12
 MAGIC, TRAILER, HEAD, ENTRY = b"TKB1", "TKBE", struct.Struct("<4sIIII"), np.dtype([("id", "<i8"), ("n", "<u4"), ("flags", "u1")])
 U = np.uint64
 TOP, LOW, S16, S48, PREC = U(1 << 48), U((1 << 32) - 1), U(16), U(48), U(16)
 FULL, LEAST = 1 << 14, 24
 #: Weights are out of ONE, and order 0 keeps FLOOR: with LEAST that leaves every group of bits a width of one in 65536.
 ONE, FLOOR, SPEED = 1 << 12, 64, 5
+#: Contexts of order 0 for each group of bits, and how fast their frequencies move; where the bits lie in an id.
+SIZES, RATES, PLACES = (1, 16, 256, 256), (5, 5, 4, 4), np.array([[12], [8], [4], [0]], np.int32)
+SAME = np.tile(np.arange(FULL, dtype=np.int16)[:, None], (1, 16))  # each number as a row of borders
 
 
 class Coder:
@@ -67,45 +72,48 @@ class Coder:
                 self.code = (self.code << S16) | self.out[np.arange(lanes), self.at].astype(U)
                 self.at += 1
 
-    def _narrow(self, lanes: int, lo: np.ndarray, width: np.ndarray, reading: bool) -> None:
+    def _narrow(self, lanes: int, r: np.ndarray, lo: np.ndarray, width: np.ndarray, reading: bool) -> None:
         low, rng = self.low[:lanes], self.range[:lanes]
-        r = rng >> PREC
-        low += r * lo.astype(U)
-        np.multiply(r, width.astype(U), out=rng)
-        at = None
-        while True:
-            # the first turn looks at all lanes, the next ones at those that moved
-            a, b = (low, rng) if at is None else (low[at], rng[at])
-            settled = (a ^ (a + b)) < TOP
-            go = np.flatnonzero(settled | (b <= LOW))
-            if not len(go):
+        low += r * lo.astype(U, copy=False)
+        np.multiply(r, width.astype(U, copy=False), out=rng)
+        # no width is above 65521, so the first 16 bits of both ends can be equal below TOP only
+        at = np.flatnonzero(rng < TOP)
+        while len(at):
+            a, b = low[at], rng[at]
+            go, short = (a ^ (a + b)) < TOP, b <= LOW
+            if np.count_nonzero(short):
+                tight = np.flatnonzero(short & ~go)
+                b[tight] = (~a[tight] + U(1)) & LOW
+                go |= short
+            at, a, b = at[go], a[go], b[go]
+            if not len(at):
                 break
-            tight = ~settled[go]
-            at = go if at is None else at[go]
-            if tight.any():
-                x = at[tight]
-                rng[x] = (~low[x] + U(1)) & LOW
-            lows, places = low[at], self.at[at]
+            places = self.at[at]
             if reading:
                 # beyond the end only in a damaged block, which its checksum will tell
-                self.code[at] = (self.code[at] << S16) | self.out[at, np.minimum(places, self.out.shape[1] - 1)].astype(U)
+                self.code[at] = (self.code[at] << S16) | self.out[at, np.minimum(places, self.out.shape[1] - 1)]
             else:
                 if self.turns % 256 == 0 and int(self.at.max()) + 1024 >= self.out.shape[1]:
                     self.out = np.concatenate([self.out, np.zeros((len(self.out), 2048), "<u2")], axis=1)
                 self.turns += 1
-                self.out[at, places] = (lows >> S48).astype(np.uint16)
+                self.out[at, places] = a >> S48
             self.at[at] = places + 1
-            low[at] = lows << S16
-            rng[at] <<= S16
+            b <<= S16
+            low[at] = a << S16
+            rng[at] = b
+            # after a shift they can also be equal when the range is all but whole and the sum goes round
+            at = at[b + TOP < TOP + TOP]
 
     def encode(self, lanes: int, lo, width) -> None:
-        self._narrow(lanes, lo, width, False)
+        self._narrow(lanes, self.range[:lanes] >> PREC, lo, width, False)
 
     def target(self, lanes: int) -> np.ndarray:
-        return np.minimum((self.code[:lanes] - self.low[:lanes]) // (self.range[:lanes] >> PREC), U((1 << 16) - 1)).astype(np.int32)
+        self.unit = self.range[:lanes] >> PREC
+        return np.minimum((self.code[:lanes] - self.low[:lanes]) // self.unit, U((1 << 16) - 1)).astype(np.int32)
 
     def decode(self, lanes: int, lo, width) -> None:
-        self._narrow(lanes, lo, width, True)
+        """What ``target`` was asked for."""
+        self._narrow(lanes, self.unit, lo, width, True)
 
     def finish(self) -> list[bytes]:
         for i in range(4):
@@ -117,29 +125,31 @@ class Coder:
 
 
 class Tables:
-    """Adaptive frequencies: for each lane and context the upper borders of 16 symbols, out of ``FULL``.
+    """Adaptive frequencies: for each group of bits, lane and context the upper
+    borders of 16 symbols, out of ``FULL``; the last is always ``FULL``.
 
     A symbol moves the borders a part of the way to a distribution in which
     every other symbol still has ``LEAST``, so no width ever reaches zero.
     """
 
-    def __init__(self, lanes: int, contexts: int, rate: int):
-        self.rate, self.contexts, n = rate, contexts, 16
-        self.borders = np.tile((np.arange(1, n + 1) * FULL // n).astype(np.int16), (lanes * contexts, 1))
+    def __init__(self, lanes: int):
+        n = 16
+        first = np.cumsum([0, *(lanes * c for c in SIZES)])
+        self.base = first[:4, None] + np.arange(lanes) * np.array(SIZES)[:, None]
+        self.borders = np.tile((np.arange(1, n + 1) * FULL // n).astype(np.int16), (int(first[4]), 1))
         self.whole = self.borders.view("V32").reshape(-1)  # the same borders, one item a context
         step = np.arange(n)
         self.goals = np.where(step[None, :] >= step[:, None], FULL - (n - 1 - step) * LEAST, (step + 1) * LEAST).astype(np.int16)
 
-    def rows(self, at: np.ndarray) -> np.ndarray:
-        return self.borders[:len(at)] if self.contexts == 1 else self.borders.take(at, axis=0)
-
-    def move(self, at: np.ndarray, rows: np.ndarray, symbol: np.ndarray) -> None:
+    def move(self, at: np.ndarray, rows: np.ndarray, symbol: np.ndarray, rates: tuple[int, ...]) -> None:
+        """``rates``: one for each equal part of the rows."""
         change = self.goals.take(symbol, axis=0)
         change -= rows
-        change >>= self.rate
-        rows += change
-        if self.contexts > 1:
-            self.whole[at] = rows.view("V32").reshape(-1)
+        n = len(rows) // len(rates)
+        for i, rate in enumerate(rates):
+            change[i * n:(i + 1) * n] >>= rate
+        change += rows
+        self.whole[at] = change.view("V32").reshape(-1)
 
 
 class Predictor:
@@ -147,76 +157,139 @@ class Predictor:
 
     def __init__(self, lanes: int):
         # for each order, lane and context: the last id times four, and how far it is trusted
-        self.seen = [np.zeros(lanes * CONTEXTS, np.int32) for _ in range(2)]
-        self.bits = [Tables(lanes, c, rate) for c, rate in ((1, 5), (16, 5), (256, 4), (256, 4))]
-        # weights of orders 1 and 2 for each trust in them (4: its bits were wrong already), first group and later ones
+        self.seen = np.zeros(2 * lanes * CONTEXTS, np.int32)
+        self.keys = np.arange(2 * lanes).reshape(2, lanes) * CONTEXTS
+        self.bits = Tables(lanes)
+        # weights of orders 1 and 2 for each trust in them, first group and later ones; an order
+        # whose bits were wrong already (4) has none, and what has none gets none
         start = np.array([250, 1100, 1700, 2000, 0], np.int32)
         one, two = np.tile(start[:, None], (1, 5)).reshape(-1), np.tile(start[None, :], (5, 1)).reshape(-1)
-        self.weights = [np.tile(np.concatenate([w, w]), lanes) for w in (one, two)]
+        self.held = np.concatenate([np.tile(np.concatenate([w, w]), lanes) for w in (one, two)])
+        self.weights = [self.held[:lanes * 50], self.held[lanes * 50:]]
+        self.slots = np.arange(2 * lanes).reshape(2, lanes) * 50
+        self.each = np.arange(4 * lanes) * 16
+
+    def weigh(self, slots: np.ndarray) -> tuple[np.ndarray, ...]:
+        """What is held for orders 1 and 2, and the weights of orders 1, 2 and 0."""
+        held = self.held.take(slots)
+        two = np.minimum(held[1], ONE - FLOOR)
+        one = np.minimum(held[0], ONE - FLOOR - two)
+        return held, one, two, ONE - one - two
 
-    def group(self, coder: Coder, lanes: np.ndarray, i: int, context: np.ndarray, state: list, votes: list, symbol: np.ndarray | None) -> np.ndarray:
+    def learn(self, slots: np.ndarray, held: np.ndarray, own: np.ndarray, zero: np.ndarray) -> None:
+        """Move weights towards each order's share in the probability of what came, out of ONE.
+
+        A quotient of whole numbers below 2^38 by one below 2^27 is never rounded up to the next whole number."""
+        share = (own * float(ONE << 14) / (zero + (own[0] + own[1] << 14))).astype(np.int32)
+        share -= held
+        share >>= SPEED
+        share += held
+        self.held[slots] = share
+
+    def group(self, coder: Coder, lanes: np.ndarray, i: int | slice, context: np.ndarray, state: np.ndarray, votes: np.ndarray, symbol: np.ndarray | None) -> np.ndarray:
         """Code the ``i``-th four bits of one id of each lane under the mix; returns them.
 
-        Products stay below 2^27, so 32 bits hold all but the weights' shares."""
-        table = self.bits[i]
-        at = lanes * table.contexts + context
-        rows = table.rows(at)
-        slot = lanes * 50 + ((25 if i else 0) + state[0] * 5 + state[1])
-        held = [w.take(slot) for w in self.weights]
-        two = np.minimum(held[1], ONE - FLOOR)
-        two *= state[1] < 4
-        one = np.minimum(held[0], ONE - FLOOR - two)
-        one *= state[0] < 4
-        zero = ONE - one - two
-        one_part, two_part = one << 4, two << 4
-        flat, each = rows.reshape(-1), lanes * 16
-        reading = symbol is None
+        When writing all groups are known, and come together (``i``: a slice, and
+        a dimension more). Products stay below 2^27, so 32 bits hold all but the
+        weights' shares."""
+        n, reading = len(lanes), symbol is None
+        at = (self.bits.base[i, :n] + context).reshape(-1)
+        rows = self.bits.borders.take(at, axis=0)
+        flat, each = rows.reshape(-1), self.each[:len(at)]
+        slots = self.slots[:, :n] + (state[0] * 5 + state[1])[..., None, :]
         if reading:
-            target, symbol = coder.target(len(lanes)), np.zeros(len(lanes), np.int32)
-            for step in (8, 4, 2, 1):  # the first symbol whose upper border is above the target
-                last = symbol + (step - 1)
-                mixed = zero * flat.take(each + last)
-                mixed >>= 10
-                mixed += one_part * (votes[0] <= last)
-                mixed += two_part * (votes[1] <= last)
-                symbol += step * (mixed <= target)
-        hi = zero * flat.take(each + symbol)
-        lo = zero * flat.take(each + symbol - 1, mode="clip")
-        lo *= symbol > 0
-        # the share of each order in the probability of what came, out of ONE: a quotient of whole
-        # numbers below 2^38 by one below 2^27 is never rounded up to the next whole number
-        own = [one * (votes[0] == symbol), two * (votes[1] == symbol)]
-        total = hi - lo + (own[0] + own[1] << 14)
+            if i:
+                slots += 25
+            held, one, two, zero = self.weigh(slots)
+            symbol = self.find(coder.target(n), rows, each, np.stack([one, two]) << 4, zero, votes)
+        else:
+            slots[1:] += 25
+        position = each + symbol.reshape(-1)
+        hi = flat.take(position).astype(np.int32).reshape(symbol.shape)
+        position -= 1  # the first symbol finds the row before, which ends with FULL: no lower border
+        lo = (flat.take(position, mode="wrap") & (FULL - 1)).astype(np.int32).reshape(symbol.shape)
+        hits = (votes == symbol).astype(np.int32)
+        if reading:
+            own = np.stack([one, two])
+            own *= hits
+            self.learn(slots, held, own, zero * (hi - lo))
+        else:
+            span, own = hi - lo, np.empty_like(hits)
+            one, two, zero = (np.empty_like(hi) for _ in range(3))
+            for g in range(len(slots)):
+                held, one[g], two[g], zero[g] = self.weigh(slots[g])
+                np.multiply(one[g], hits[0, g], out=own[0, g])
+                np.multiply(two[g], hits[1, g], out=own[1, g])
+                self.learn(slots[g], held, own[:, g], zero[g] * span[g])
+        hi *= zero
+        lo *= zero
         hi >>= 10
         lo >>= 10
-        width = hi - lo + (own[0] + own[1] << 4)
-        lo += one_part * (votes[0] < symbol)
-        lo += two_part * (votes[1] < symbol)
-        (coder.decode if reading else coder.encode)(len(lanes), lo, width)
-        for o in (0, 1):
-            share = (own[o] * float(ONE << 14) / total).astype(np.int32)
-            self.weights[o][slot] = held[o] + ((share - held[o]) >> SPEED)
-        table.move(at, rows, symbol)
+        width = hi - lo
+        width += own[0] + own[1] << 4
+        below = (votes - symbol) >> 31  # all bits where a vote stands before what came
+        below[0] &= one << 4
+        below[1] &= two << 4
+        lo += below[0]
+        lo += below[1]
+        if reading:
+            coder.decode(n, lo, width)
+        else:
+            for l, w in zip(lo.astype(U), width.astype(U), strict=True):
+                coder.encode(n, l, w)
+        self.bits.move(at, rows, symbol.reshape(-1), RATES[i] if isinstance(i, slice) else RATES[i:i + 1])
         return symbol
 
+    def find(self, target: np.ndarray, rows: np.ndarray, each: np.ndarray, parts: np.ndarray, zero: np.ndarray, votes: np.ndarray) -> np.ndarray:
+        """The first symbol whose upper border in the mix is above the target.
+
+        Votes whose symbols begin at or before the target are taken off it; what is left
+        is looked up among the borders of order 0, all 16 of a row compared at once."""
+        before = (rows.reshape(-1).take(each + votes - 1, mode="wrap") & (FULL - 1)).astype(np.int32)
+        before *= zero
+        before >>= 10
+        before += (votes[::-1] - votes) >> 31 & parts[::-1]
+        past = (before - 1 - target) >> 31  # all bits where the target is not before the vote's symbol
+        left = target + 1 - (parts[0] & past[0]) - (parts[1] & past[1])
+        least = votes & past
+        most = ((left * 1024 - 1) / zero).astype(np.int64)  # rounded towards zero: what is below has no border either
+        fits = (rows <= SAME.take(most, axis=0, mode="clip")).view(U)
+        count = (fits[:, 0] + fits[:, 1]) * U(0x0101010101010101) >> U(56)  # the sum of 16 bytes
+        return np.maximum(count.astype(np.int32), np.maximum(least[0], least[1]))
+
     def step(self, coder: Coder, lanes: np.ndarray, one: np.ndarray, two: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
         """Code one id of each lane after ``two``, ``one``; returns the ids."""
-        mixed = one * 2654435761
-        base = lanes * CONTEXTS
-        keys = (base + (mixed >> 7 & (CONTEXTS - 1)), base + ((mixed + two * 2654469599) >> 9 & (CONTEXTS - 1)))
-        seen = [self.seen[o].take(keys[o]) for o in (0, 1)]
-        guess, trust = [x >> 2 for x in seen], [x & 3 for x in seen]
-        state, value = list(trust), np.zeros(len(lanes), np.int64)
-        coming = None if ids is None else ids.astype(np.int32)
-        for i in range(4):
-            context = value if i < 3 else value * 2654435761 >> 10 & 255
-            votes = [g >> (12 - 4 * i) & 15 for g in guess]
-            part = self.group(coder, lanes, i, context, state, votes, None if coming is None else coming >> (12 - 4 * i) & 15)
-            value = value * 16 + part
-            if i < 3:
-                state = [np.where(votes[o] == part, state[o], 4) for o in (0, 1)]
-        for o in (0, 1):
-            self.seen[o][keys[o]] = value * 4 + np.where(value == guess[o], np.minimum(trust[o] + 1, 3), trust[o] >> 1)
+        n = len(lanes)
+        keys, mixed = np.empty((2, n), np.int64), one * 2654435761
+        np.right_shift(mixed, 7, out=keys[0])
+        np.right_shift(mixed + two * 2654469599, 9, out=keys[1])
+        keys &= CONTEXTS - 1
+        keys += self.keys[:, :n]
+        seen = self.seen.take(keys)
+        guess, trust = seen >> 2, seen & 3
+        if ids is None:
+            right, state, value = np.ones((2, n), bool), trust, np.zeros(n, np.int64)
+            for i in range(4):
+                context = value if i < 3 else value * 2654435761 >> 10 & 255
+                votes = guess >> (12 - 4 * i) & 15
+                part = self.group(coder, lanes, i, context, state, votes, None)
+                value = value * 16 + part
+                right &= votes == part
+                if i < 3:
+                    state = np.where(right, trust, 4)
+        else:
+            value, symbol, votes = ids, ids.astype(np.int32) >> PLACES & 15, guess[:, None] >> PLACES & 15
+            context = np.zeros((4, n), np.int64)
+            np.right_shift(ids, 12, out=context[1])
+            np.right_shift(ids, 8, out=context[2])
+            context[3] = (ids >> 4) * 2654435761 >> 10 & 255
+            hits, state = votes == symbol, np.empty_like(votes)
+            right, state[:, 0] = hits[:, 0], trust
+            for i in range(1, 4):
+                state[:, i] = np.where(right, trust, 4)
+                right = right & hits[:, i]
+            self.group(coder, lanes, slice(0, 4), context, state, votes, symbol)
+        self.seen[keys] = value * 4 + np.where(right, np.minimum(trust + 1, 3), trust >> 1)
         return value
 
 

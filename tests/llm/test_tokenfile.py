@@ -1,13 +1,16 @@
+import inspect
 import random
 import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from clickvault.llm import tokenfile
 from clickvault.llm.common import fresh_path, list_files
 from clickvault.llm.registry import QUERIES
 from clickvault.llm.tokenfile import Predictor, blocks_of, decode_blocks, documents_of, encode_blocks, read_tokens, write_tokens
@@ -42,6 +45,38 @@ def test_bytes_of_the_format_stay():
     assert zlib.crc32(b"".join(encode_blocks(blocks))) == 190896343
 
 
+def test_bytes_of_hard_blocks_stay():
+    """Many lanes of unlike lengths: noise, runs, cycles, and ids that come back now and then."""
+    n, blocks = np.arange(700), []
+    for i in range(60):
+        noise = (n + i * 977) * 2654435761 % 2**32 >> 11
+        blocks.append([noise & 0xFFFF, n // 90 * 501 + i, n % (i + 1) * 1237 & 0xFFFF, np.where(noise % 7 < 5, n % 23 * 2011, noise) & 0xFFFF][i % 4][:700 - i * i % 611])
+    coded = encode_blocks(blocks)
+    assert zlib.crc32(b"".join(coded)) == 188708567
+    assert all((a == b).all() for a, b in zip(decode_blocks(coded, [len(b) for b in blocks]), blocks))
+
+
+def test_writing_codes_an_id_in_one_go(monkeypatch):
+    """All bits are known, so the four groups share their steps."""
+    group, calls = Predictor.group, []
+    monkeypatch.setattr(Predictor, "group", lambda self, *a: calls.append(1) or group(self, *a))
+    encode_blocks([np.arange(50) * 977, np.arange(30)])
+    assert len(calls) == 50
+
+
+def test_a_file_of_uneven_range_is_coded_in_one_go(monkeypatch):
+    """Ranges differ by a tenth; blocks left over would be coded by themselves at a third of the cost of all."""
+    usual = inspect.signature(write_tokens).parameters["file_ids"].default // tokenfile.BLOCK
+    monkeypatch.setattr(tokenfile, "BLOCK", 4)
+    whole, calls = tokenfile.encode_blocks, []
+    monkeypatch.setattr(tokenfile, "encode_blocks", lambda blocks: calls.append(len(blocks)) or whole(blocks))
+    ids = np.arange(usual * 4 * 6 // 5, dtype="<u2")
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64()), "ids": pa.array([ids.tobytes()], pa.binary())})
+    data = b"".join(b + tokenfile.TRAILER.encode() for out in tokenfile._write(ids.dtype)(iter([batch])) for b in out.column("block").to_pylist())
+    assert calls == [-(-len(ids) // 4)]
+    assert [np.frombuffer(d["ids"], "<u4").tolist() for d in documents_of(data)] == [ids.tolist()]
+
+
 def test_reading_looks_at_few_borders(monkeypatch):
     """Four of the sixteen are mixed, so reading holds little more than writing."""
     group, peaks = Predictor.group, {True: 0, False: 0}
